@@ -178,7 +178,7 @@ def _value_sql(where: str) -> str:
     return L.frames_sql(_PRICES, f"""SELECT c.chip_id, c.full_model_name, c.capacity_gb AS vram_gb, count(DISTINCT variant_id) AS available_variants,
     min(price_eur) AS min_price_eur, CAST(sum(CAST(price_eur AS DECIMAL(28, 8))) AS DOUBLE) / count(*) AS avg_price_eur, max(price_eur) AS max_price_eur,
     min(price_eur) / c.capacity_gb AS price_per_vram_gb, c.bandwidth AS memory_bandwidth_gbs, c.tdp_w AS tdp_watts
-FROM ({_SHEET}) c JOIN prices p ON c.chip_id = p.chip_id {where} GROUP BY ALL""")
+FROM ({_SHEET}) c JOIN prices p ON c.chip_id = p.chip_id {where} GROUP BY c.chip_id, c.full_model_name, c.capacity_gb, c.bandwidth, c.tdp_w""")
 
 
 def _value(spark: SparkSession, sf: str, available_only: bool) -> DataFrame:
@@ -330,8 +330,7 @@ def match_two_attempts(spark: SparkSession, sf: str) -> DataFrame:
     (SELECT count(*) FROM dim d WHERE d.vendor_id = b_v AND d.model_key = b_k AND (b_gb IS NULL OR d.vram_gb = b_gb)) AS filtered,
     (SELECT min(d.vram_gb) FROM dim d WHERE d.vendor_id = b_v AND d.model_key = b_k) AS min_vram_gb,
     (SELECT max(d.vram_gb) FROM dim d WHERE d.vendor_id = b_v AND d.model_key = b_k) AS max_vram_gb,
-    (SELECT count(*) FROM (SELECT DISTINCT model_key FROM dim d WHERE d.vendor_id = b_v)) AS n_keys0,
-    coalesce((SELECT array_to_string(list_sort(list(DISTINCT model_key))[1:10], ';') FROM dim d WHERE d.vendor_id = b_v), '') AS key_sample FROM att2""").replace("(SELECT count(*) FROM (SELECT DISTINCT model_key FROM dim d WHERE d.vendor_id = b_v)) AS n_keys0,", ""))
+    coalesce((SELECT array_to_string(list_sort(list(DISTINCT model_key))[1:10], ';') FROM dim d WHERE d.vendor_id = b_v), '') AS key_sample FROM att2"""))
 def match_explain(spark: SparkSession, sf: str) -> DataFrame:
     attempts = matched(spark, sf).select("product_id", "second_attempt.vendor_id", "second_attempt.model_key", "second_attempt.vram_gb")
     seen = matching.explain_match(attempts, L.chip_dim(spark), "vendor_id", "model_key", "vram_gb")
@@ -418,9 +417,7 @@ def enrichment_funnel(spark: SparkSession, sf: str) -> DataFrame:
 def fk_semi_split(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     kept = table(spark, sf, "part").where("p_partkey % 10 <> 0").select(c("p_partkey").alias("l_partkey"))
-    good, bad = joins.semi_split(lines, kept, ["l_partkey"])
-    both = good.withColumn("known", F.lit(True)).unionByName(bad.withColumn("known", F.lit(False)))
-    return both.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "known")
+    return joins.mark_known(lines, kept, ["l_partkey"], "known").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "known")
 
 
 @query("fk_violations", """SELECT 'lineitem.part' AS relation, CAST(l_partkey AS VARCHAR) AS key, count(*) AS n_rows FROM lineitem WHERE l_partkey % 10 = 0 GROUP BY 1, 2
@@ -454,10 +451,10 @@ def required_fields(spark: SparkSession, sf: str) -> DataFrame:
     return quality.required_fields(rows, "props", ["k", "z"]).select("event_id", F.array_join("missing", ";").alias("missing"))
 
 
-@query("constraint_report", """SELECT 'quantity > 0' AS rule, count(*) AS n_rows, count_if(NOT l_quantity > 0) AS n_violations FROM lineitem
-UNION ALL SELECT 'discount <= tax', count(*), count_if(NOT l_discount <= l_tax) FROM lineitem
-UNION ALL SELECT 'flag known', count(*), count_if(NOT l_returnflag IN ('A', 'N')) FROM lineitem
-UNION ALL SELECT 'nulls pass', count(*), count_if(NOT nullif(l_quantity, 1) > 10) FROM lineitem""")
+@query("constraint_report", """SELECT 'quantity > 0' AS rule, count(*) AS n_rows, CAST(count_if(NOT l_quantity > 0) AS BIGINT) AS n_violations FROM lineitem
+UNION ALL SELECT 'discount <= tax', count(*), CAST(count_if(NOT l_discount <= l_tax) AS BIGINT) FROM lineitem
+UNION ALL SELECT 'flag known', count(*), CAST(count_if(NOT l_returnflag IN ('A', 'N')) AS BIGINT) FROM lineitem
+UNION ALL SELECT 'nulls pass', count(*), CAST(count_if(NOT nullif(l_quantity, 1) > 10) AS BIGINT) FROM lineitem""")
 def constraint_report(spark: SparkSession, sf: str) -> DataFrame:
     return quality.check(table(spark, sf, "lineitem"), [
         ("quantity > 0", c("l_quantity") > 0),
@@ -580,8 +577,8 @@ _REJECT = ("ref", "product_url", "outcome", "path", "vendor_id", "model_key", "v
 
 
 @query("reject_table", L.frames_sql(["classified"], f"""SELECT ref, product_url, outcome, path, vendor_id, model_key, vram_gb, brand, aib_model_suffix, part_number, variant_id,
-    CASE WHEN path IS NOT NULL THEN variant_known END AS variant_known, a_state AS first_state, b_state AS second_state, CAST(1 AS BIGINT) AS n_copies
-FROM (SELECT * REPLACE ({_OUTCOME.format('observation_id', 'ref')} AS outcome) FROM classified) WHERE outcome <> 'inserted'"""))
+    CASE WHEN document IS NOT NULL THEN variant_known END AS variant_known, a_state AS first_state, b_state AS second_state, count(*) AS n_copies
+FROM (SELECT * REPLACE ({_OUTCOME.format('observation_id', 'ref')} AS outcome) FROM classified) WHERE outcome <> 'inserted' GROUP BY ALL"""))
 def reject_table(spark: SparkSession, sf: str) -> DataFrame:
     rejected = silver.reject_table(classified(spark, sf))
     return rejected.select(*_REJECT, c("first_attempt.state").alias("first_state"), c("second_attempt.state").alias("second_state"), "n_copies")

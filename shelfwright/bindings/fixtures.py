@@ -357,13 +357,13 @@ CTES: dict[str, str] = {
     WHEN chip_id IS NULL AND state = 'missing' THEN 'missing_match_fields' WHEN chip_id IS NULL AND state = 'ambiguous' THEN 'ambiguous_chip_match'
     WHEN chip_id IS NULL THEN 'no_chip_match' END AS outcome FROM matched""",
     "known": "SELECT DISTINCT variant_id FROM classified_evidence WHERE outcome IS NULL",
-    "lookedup": """SELECT l.*, i.url_hash AS found_hash, i.hypotheses, m.path AS path, m.chip_id, m.state, m.brand, m.variant_id,
+    "lookedup": """SELECT l.*, i.url_hash AS found_hash, i.hypotheses, CASE WHEN len(i.hypotheses) = 1 THEN i.hypotheses[1] END AS path, m.path AS document, m.chip_id, m.state, m.brand, m.variant_id,
     m.vendor_id, m.model_key, m.vram_gb, m.aib_model_suffix, m.part_number, m.a_state, m.b_state, k.variant_id IS NOT NULL AS variant_known
   FROM listings l LEFT JOIN idx i ON sha256(l.product_url) = i.url_hash
   LEFT JOIN matched m ON len(i.hypotheses) = 1 AND m.path = i.hypotheses[1] LEFT JOIN known k ON m.variant_id = k.variant_id""",
     "classified": f"""SELECT *, CASE WHEN outcome IS NULL THEN {id_sql('obs', 'variant_id', 'retailer', 'product_url', "strftime(observed_at, '%Y-%m-%dT%H:%M:%SZ')")} END AS observation_id
   FROM (SELECT *, CASE WHEN found_hash IS NULL THEN 'no_index_entry' WHEN len(hypotheses) = 0 THEN 'no_hypothesis'
-    WHEN len(hypotheses) > 1 THEN 'ambiguous_hypothesis' WHEN path IS NULL THEN 'missing_hypothesis_file'
+    WHEN len(hypotheses) > 1 THEN 'ambiguous_hypothesis' WHEN document IS NULL THEN 'missing_hypothesis_file'
     WHEN brand IS NULL THEN 'missing_brand' WHEN chip_id IS NULL AND state = 'missing' THEN 'missing_match_fields'
     WHEN chip_id IS NULL AND state = 'ambiguous' THEN 'ambiguous_chip_match' WHEN chip_id IS NULL THEN 'no_chip_match'
     WHEN retailer IS NULL OR observed_at IS NULL OR run_id IS NULL THEN 'missing_identifiers'

@@ -9,10 +9,11 @@ from shelfwright.bindings.registry import query, table
 from shelfwright.functions.ids import stable_id
 from shelfwright.session import workspace
 from shelfwright.sources import pages
+from shelfwright.sources.markup import ItemRules
 from shelfwright.streaming import jobs
 
 c = F.col
-NAV = pages.ItemRules(containers=("nav li",), links=("a",), prices=(), need_price=False)
+NAV = ItemRules(containers=("nav li",), links=("a",), prices=(), need_price=False)
 
 
 @query("page_items", r"""SELECT page_id, CAST(pos AS INTEGER) AS position, trim(replace(regexp_extract(item, '>([^<]*)</a>', 1), '&amp;', '&')) AS name,
@@ -30,17 +31,17 @@ def page_sanity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("page_block_class", r"""SELECT page_id, CASE WHEN contains(title, 'que') OR contains(title, 'und') THEN 'blocked_title'
-    WHEN contains(html, 'class="ad"') AND contains(html, 'ad 7') THEN 'items' WHEN contains(html, 'track(3') THEN 'items'
+    WHEN contains(html, 'track(3') THEN 'items'
     WHEN length(html) < 6000 AND (contains(lower(html), 'the ') OR contains(lower(html), 'sch')) THEN 'blocked_body' ELSE 'clear' END AS class
-FROM (SELECT *, lower(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS title FROM pages)""".replace("WHEN contains(html, 'class=\"ad\"') AND contains(html, 'ad 7') THEN 'items' ", ""))
+FROM (SELECT *, lower(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS title FROM pages)""")
 def page_block_class(spark: SparkSession, sf: str) -> DataFrame:
     kind = pages.block_class(c("html"), 2000, ("que", "und"), ("the ", "sch"), ("track(3",))
     return table(spark, sf, "pages").select("page_id", kind.alias("class"))
 
 
 def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    path = f"{sf}/{name}.parquet"
-    return spark.readStream.schema(table(spark, sf, name).schema).parquet(path)
+    # A stream source takes a folder or a pattern; the pattern also fits one file.
+    return spark.readStream.schema(table(spark, sf, name).schema).parquet(f"{sf}/{name}.parquet*")
 
 
 @query("stream_dedup", """SELECT DISTINCT user_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events""")

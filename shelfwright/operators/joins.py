@@ -16,17 +16,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-    """Join ``dim``, which has one row per ``on``, to ``df``."""
-    return df.join(dim, list(on), how)
-
-
 def semi_split(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows of ``df`` whose key exists in ``keys``, and the others."""
     known = keys.select(*on)
     return df.join(known, list(on), "left_semi"), df.join(known, list(on), "left_anti")
 
 
+def mark_known(df: DataFrame, keys: DataFrame, on: Sequence[str], out: str) -> DataFrame:
+    """Add whether the key exists in ``keys``: both sides of the split in one pass."""
+    known = keys.select(*on).distinct().withColumn(out, F.lit(True))
+    return df.join(known, list(on), "left").withColumn(out, F.coalesce(out, F.lit(False)))
+
+
 def foreign_keys(child: DataFrame, relations: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
     """Missing parents: one row per relation and unknown key with its row count.
 

@@ -230,29 +230,30 @@ def reject_table(
 ) -> DataFrame:
     """Rejected listings with reason, both attempts and the would-be ids.
 
-    ``n_copies`` is 1 for a listing that failed a rule. Accepted listings are
-    counted per reference; the first reference of a new id is inserted, and
-    what remains of it and all other references are duplicates. The work per
-    hot id is a count and a minimum, both combined inside each task, and one
-    join on the reference. Write ``classified`` to a table first when it is
-    costly: both branches read it.
+    Equal listings are one row with their number in ``n_copies``. Of the
+    acceptable listings the first reference of a new id is inserted; what
+    remains of it and all other references are duplicates. The work per hot id
+    is a count and a minimum, both combined inside each task, and one join on
+    the reference. Write ``classified`` to a table first when it is costly: it
+    is read twice.
     """
     columns = [
         "product_url", "outcome", "path", "first_attempt", "second_attempt", "vendor_id",
         "model_key", "vram_gb", "brand", "aib_model_suffix", "part_number", "variant_id", "variant_known",
     ]
-    failed = classified.where("outcome is not null").select(
-        ref, *columns, F.lit(1).cast("bigint").alias("n_copies")
-    )
     if not duplicates:
-        return failed
+        failed = classified.where("outcome is not null")
+        return failed.groupBy(ref, *columns).agg(F.count("*").alias("n_copies"))
     ok = classified.where("outcome is null")
-    rows = ok.withColumn("outcome", F.lit("duplicate"))
-    per_ref = rows.groupBy(ref).agg(F.count("*").alias("_rows"), F.first(F.struct(*columns)).alias("_row"))
     winners = ok.groupBy("observation_id").agg(F.min_by(ref, F.struct(*order)).alias(ref))
     if target is not None:
         winners = winners.join(target.select("observation_id"), "observation_id", "left_anti")
-    inserted = winners.select(ref, F.lit(1).alias("_first"))
+    inserted = winners.select(ref, F.lit(1).alias("_first"), F.lit("duplicate").alias("outcome"))
+    rows = classified.withColumn("outcome", F.coalesce("outcome", F.lit("duplicate")))
+    # Copies of one listing collapse inside each task; only then rows are exchanged.
+    distinct = rows.groupBy(ref, *columns).agg(F.count("*").alias("_rows"))
     left = F.col("_rows") - F.coalesce("_first", F.lit(0))
-    again = per_ref.join(inserted, ref, "left").select(ref, "_row.*", left.alias("n_copies")).where("n_copies > 0")
-    return failed.unionByName(again)
+    return (
+        distinct.join(inserted, [ref, "outcome"], "left")
+        .select(ref, *columns, left.alias("n_copies")).where("n_copies > 0")
+    )
