@@ -540,13 +540,11 @@ def upsert_dimension(spark: SparkSession, sf: str) -> DataFrame:
     return merge.upsert(target, batch, "c_custkey", F.lit("new"))
 
 
-@query("index_documents", L.frames_sql(["idx"], """SELECT url_hash AS id, url_hash[1:2] AS shard, sha256('{"observed_product_id":"' || url_hash || '","normalized_name":"' || normalized_name || '","product_url":"' || product_url
+@query("index_documents", L.frames_sql(["idx"], """SELECT url_hash AS id, url_hash[1:1] AS shard, sha256('{"observed_product_id":"' || url_hash || '","normalized_name":"' || normalized_name || '","product_url":"' || product_url
     || '","hypotheses":[' || array_to_string(list_transform(hypotheses, lambda h: '"' || h || '"'), ',') || ']}') AS digest FROM idx"""))
 def index_documents(spark: SparkSession, sf: str) -> DataFrame:
     document = F.to_json(F.struct(c("url_hash").alias("observed_product_id"), "normalized_name", "product_url", "hypotheses"))
-    path = workspace(spark, "index-documents")
-    merge.write_documents(L.index(spark, sf), path, "url_hash", document)
-    return spark.read.schema("id string, document string, shard string").parquet(path).select("id", "shard", F.sha2("document", 256).alias("digest"))
+    return merge.documents(L.index(spark, sf), "url_hash", document).select("id", "shard", F.sha2("document", 256).alias("digest"))
 
 
 # --- outcomes ------------------------------------------------------------------------

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfwright.bindings.registry import table
 from shelfwright.functions.ids import url_hash
+from shelfwright.schemas import literal_rows
 
 # Invented chips: chip_no, vendor, series, model, cores, boost, watts, GB, GB/s, tensor cores.
 CHIPS = (
@@ -56,8 +57,8 @@ def _nth(values: tuple[str, ...], i: Column) -> Column:
 
 
 def chips(spark: SparkSession) -> DataFrame:
-    df = spark.createDataFrame(
-        list(CHIPS),
+    df = literal_rows(
+        spark, CHIPS,
         "chip_no int, vendor_id string, brand_series string, model_name string, cores int, "
         "boost_mhz int, tdp_w int, capacity_gb int, bandwidth double, tensor_cores int",
     )
@@ -162,14 +163,15 @@ def index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
     order = c("l_orderkey")
-    cents = lambda name: F.round(c(name) * 100).cast("bigint").cast("string")
+    cents = lambda name: F.floor(c(name) * 100 + 0.5).cast("string")
+    day = c("l_shipdate").cast("date").cast("string")
     flag = c("l_returnflag")
     price = c("l_extendedprice") / c("l_quantity")
     return table(spark, sf_dir, "lineitem").select(
         F.concat_ws(
             "|", *[c(k).cast("string") for k in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
             *[cents(k) for k in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")],
-            flag, c("l_linestatus"), F.date_format("l_shipdate", "yyyy-MM-dd"),
+            flag, c("l_linestatus"), day,
         ).alias("ref"),
         c("l_partkey").alias("product_id"),
         F.concat(F.lit(URL_BASE), c("l_partkey").cast("string")).alias("product_url"),
@@ -178,7 +180,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(order % 89 == 0, F.lit("bogus")).when(flag == "A", F.lit("in_stock"))
         .when(flag == "R", F.lit("low_stock")).alias("stock_status"),
         F.when(order % 107 != 0, c("l_shipdate")).alias("observed_at"),
-        F.concat(F.lit("run_"), F.date_format("l_shipdate", "yyyy-MM")).alias("run_id"),
+        F.concat(F.lit("run_"), F.substring(day, 1, 7)).alias("run_id"),
         F.when(order % 83 != 0, F.lit("EUR")).alias("currency"),
     )
 
@@ -329,8 +331,8 @@ CTES: dict[str, str] = {
   FROM (SELECT *, CASE WHEN product_id % 71 = 0 THEN 'nowhere/' ELSE 'evidence/' END || product_id AS own FROM products)
   WHERE product_id % 41 <> 0""",
     "listings": f"""SELECT concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
-      CAST(round(l_quantity * 100) AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT),
-      CAST(round(l_discount * 100) AS BIGINT), CAST(round(l_tax * 100) AS BIGINT),
+      CAST(floor(l_quantity * 100 + 0.5) AS BIGINT), CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT),
+      CAST(floor(l_discount * 100 + 0.5) AS BIGINT), CAST(floor(l_tax * 100 + 0.5) AS BIGINT),
       l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d')) AS ref,
     l_partkey AS product_id, '{URL_BASE}' || l_partkey AS product_url, 'shop_' || (l_suppkey % 5) AS retailer,
     CASE WHEN l_orderkey % 97 = 0 THEN NULL WHEN l_orderkey % 103 = 0 THEN -(l_extendedprice / l_quantity) ELSE l_extendedprice / l_quantity END AS price_eur,

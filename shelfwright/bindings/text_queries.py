@@ -108,8 +108,8 @@ def parse_model(spark: SparkSession, sf: str) -> DataFrame:
     nullif(alias, '') AS alias FROM {_HINTED}"""))
 def earliest_alias(spark: SparkSession, sf: str) -> DataFrame:
     head = text.clean_text(F.substring_index("name", ",", 1))
-    found = L.products(spark, sf).select("product_id", text.brand(head).alias("b"))
-    return found.select("product_id", c("b.label").alias("brand_name"), c("b.word").alias("alias"))
+    found = L.products(spark, sf).select("product_id", text.brand_alias(head).alias("alias"))
+    return found.select("product_id", text.brand(c("alias")).alias("brand_name"), "alias")
 
 
 @query("token_filter_suffix", L.frames_sql(NAMES, f"SELECT product_id, suffix_hint FROM {_HINTED}"))
@@ -238,14 +238,10 @@ _CENTS = "CAST(round(l_extendedprice * 100) AS BIGINT)"
 @query("parse_eu_price", f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, cents / CAST(100 AS DOUBLE) AS de_price,
     CAST(cents AS DOUBLE) AS dots_only FROM (SELECT *, {_CENTS} AS cents FROM lineitem)""")
 def parse_eu_price(spark: SparkSession, sf: str) -> DataFrame:
-    # 1234567 cents are written as "1.2345,67" style groups: "€ 12.345,67".
-    cents = F.round(c("l_extendedprice") * 100).cast("bigint").cast("string")
-    whole = F.substring(cents, F.lit(1), F.length(cents) - 2)
-    grouped = F.regexp_replace(whole, r"(?<=\d)(?=(\d{3})+$)", ".")
-    small = F.substring(cents, F.length(cents) - 1, F.lit(2))
+    amount = F.format_number("l_extendedprice", 2)
     rendered = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        F.concat(F.lit("ab € "), grouped, F.lit(","), small).alias("de"), F.concat(whole, F.lit("."), small).alias("dots"),
+        F.concat(F.lit("ab € "), F.translate(amount, ",.", ".,")).alias("de"), F.replace(amount, F.lit(","), F.lit("")).alias("dots"),
     )
     return rendered.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfwright.functions.expr import let
 from shelfwright.functions.text import strip
 
 _INT = r"^[+-]?\d+(_\d+)*$"
@@ -21,18 +22,18 @@ def text_to_str(c: Column) -> Column:
 
 def text_to_int(c: Column, dtype: str = "int") -> Column:
     """Integer literal as a number; ``'303.5'`` and other text are NULL."""
-    t = strip(c)
-    return F.when(t.rlike(_INT), F.replace(t, F.lit("_"), F.lit("")).try_cast(dtype))
+    return let(strip(c), lambda t: F.when(
+        t.rlike(_INT), F.replace(t, F.lit("_"), F.lit("")).try_cast(dtype)
+    ))
 
 
 def text_to_float(c: Column) -> Column:
     """Decimal literal as a double; ``'5d'`` and other text are NULL."""
-    t = strip(c)
-    return (
+    return let(strip(c), lambda t: (
         F.when(t.rlike(_FLOAT), F.replace(t, F.lit("_"), F.lit("")).try_cast("double"))
         .when(t.rlike(_SPECIAL), t.try_cast("double"))
         .when(t.rlike(r"(?i)^[+-]?nan$"), F.lit(float("nan")))
-    )
+    ))
 
 
 def float_text(c: Column) -> Column:

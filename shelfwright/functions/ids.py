@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 from shelfwright.functions.text import strip
 
 
-def id_part(c: Column) -> Column:
+def id_part(c: Column, stripped: bool = False) -> Column:
     """Stripped lower-case text of one id part; NULL is the empty text.
 
-    Doubles must be rendered by ``coerce.float_text`` first.
+    Doubles must be rendered by ``coerce.float_text`` first. ``stripped`` says
+    that the text has no outer blanks any more.
     """
-    return F.coalesce(F.lower(strip(c.cast("string"))), F.lit(""))
+    text = c.cast("string")
+    return F.coalesce(F.lower(text if stripped else strip(text)), F.lit(""))
 
 
-def stable_id(prefix: str, *parts: Column) -> Column:
+def stable_id(prefix: str, *parts: Column, stripped: bool = False) -> Column:
     """``<prefix>_<sha256 of the parts joined by '|'>``."""
-    joined = F.concat_ws("|", *[id_part(p) for p in parts])
+    joined = F.concat_ws("|", *[id_part(p, stripped) for p in parts])
     return F.concat(F.lit(f"{prefix}_"), F.sha2(joined, 256))
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfwright.functions.expr import let
 from shelfwright.functions.text import strip
 
 
@@ -15,32 +18,38 @@ def parse_strict(c: Column) -> Column:
     only element of an array and as the only field of an object, no tail can
     close both, so a tail of any kind makes one of the two fail.
     """
-    inner = F.concat(F.lit("["), c, F.lit("]"))
-    elements = F.try_variant_get(F.try_parse_json(inner), "$", "array<variant>")
+    elements = F.try_variant_get(
+        F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))), "$", "array<variant>"
+    )
     as_field = F.try_parse_json(F.concat(F.lit('{"v":'), c, F.lit("}")))
-    return F.when((F.size(elements) == 1) & as_field.isNotNull(), F.get(elements, F.lit(0)))
+    return let(elements, lambda e: F.when((F.size(e) == 1) & as_field.isNotNull(), F.get(e, F.lit(0))))
 
 
 def is_json(c: Column) -> Column:
-    return F.coalesce(parse_strict(c).isNotNull(), F.lit(False))
+    return parse_strict(c).isNotNull()
 
 
 def repair_json(c: Column) -> Column:
     """Struct ``value, stage``: whole text, fenced block, outermost braces.
 
-    ``stage`` is ``direct``, ``fenced``, ``braces`` or ``error``.
+    ``stage`` is ``direct``, ``fenced``, ``braces`` or ``error``. A later attempt
+    runs only where the earlier ones failed.
     """
     text = strip(c)
-    direct = parse_strict(text)
-    fenced = parse_strict(F.regexp_extract(text, r"(?s)```(?:json)?\s*(\{.*?\})\s*```", 1))
-    braces = parse_strict(F.regexp_extract(text, r"(?s)\{.*\}", 0))
+    attempts = (
+        ("direct", text),
+        ("fenced", F.regexp_extract(text, r"(?s)```(?:json)?\s*(\{.*?\})\s*```", 1)),
+        ("braces", F.regexp_extract(text, r"(?s)\{.*\}", 0)),
+    )
 
     def result(value: Column, stage: str) -> Column:
         return F.struct(value.alias("value"), F.lit(stage).alias("stage"))
 
-    return (
-        F.when(direct.isNotNull(), result(direct, "direct"))
-        .when(fenced.isNotNull(), result(fenced, "fenced"))
-        .when(braces.isNotNull(), result(braces, "braces"))
-        .otherwise(result(F.lit(None).cast("variant"), "error"))
-    )
+    repaired = result(F.lit(None).cast("variant"), "error")
+    for stage, candidate in reversed(attempts):
+        repaired = _attempt(candidate, stage, result, repaired)
+    return repaired
+
+
+def _attempt(candidate: Column, stage: str, result: Callable[[Column, str], Column], other: Column) -> Column:
+    return let(parse_strict(candidate), lambda v: F.when(v.isNotNull(), result(v, stage)).otherwise(other))

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfwright.functions.expr import let
 from shelfwright.schemas import (
     BRAND_ALIASES,
     MEMORY_TYPES,
@@ -21,8 +22,9 @@ from shelfwright.schemas import (
     VENDOR_WORDS,
 )
 
-# Unicode white space plus the four ASCII separators that also count as blank.
-_BLANK = r"[\s\x1c-\x1f]"
+# Unicode white space plus the four ASCII separators that also count as blank,
+# spelled out because that class is faster than the Unicode mode of ``\s``.
+_BLANK = r"[\t-\r\x1c- \x85\xa0  -     　]"
 
 
 def _none_if_empty(c: Column) -> Column:
@@ -30,13 +32,26 @@ def _none_if_empty(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """Remove white space of every kind at both ends."""
-    return F.regexp_replace(c, rf"(?U)^{_BLANK}+|{_BLANK}+$", "")
+    """Remove white space of every kind at both ends.
+
+    Text between two printable ASCII characters, nearly all of it, passes
+    without the pattern.
+    """
+    def printable(end: Column) -> Column:
+        return F.ascii(end).between(33, 126)
+
+    clean = printable(c) & printable(F.substring(c, -1, 1))
+    return F.when(clean, c).otherwise(F.regexp_replace(c, rf"^{_BLANK}++|{_BLANK}++$", ""))
+
+
+def has_text(c: Column) -> Column:
+    """Whether there is anything but white space; false for NULL."""
+    return F.coalesce(c.rlike(_BLANK.replace("[", "[^", 1)), F.lit(False))
 
 
 def collapse_ws(c: Column) -> Column:
     """Replace each run of white space by one blank and trim the ends."""
-    return F.trim(F.regexp_replace(c, rf"(?U){_BLANK}+", " "))
+    return F.trim(F.regexp_replace(c, rf"{_BLANK}+", " "))
 
 
 def first_line(c: Column) -> Column:
@@ -62,7 +77,8 @@ def model_key(c: Column) -> Column:
     return F.coalesce(collapse_ws(split), F.lit(""))
 
 
-def _append_capacity(key: Column, gb: Column) -> Column:
+def append_capacity(key: Column, gb: Column) -> Column:
+    """``key`` plus ``' <gb> gb'`` when the size is known and not inside already."""
     return F.when(
         gb.isNotNull() & ~F.contains(key, F.lit("gb")),
         F.concat(key, F.lit(" "), gb.cast("string"), F.lit(" gb")),
@@ -71,13 +87,12 @@ def _append_capacity(key: Column, gb: Column) -> Column:
 
 def model_key_with_capacity(c: Column, gb: Column) -> Column:
     """``model_key`` plus ``' <gb> gb'``; NULL when the bare key is empty."""
-    key = model_key(c)
-    return F.when(key != "", _append_capacity(key, gb))
+    return let(model_key(c), lambda key: F.when(key != "", append_capacity(key, gb)))
 
 
 def attempt_key(c: Column, gb: Column) -> Column:
     """Key of a match attempt: the capacity is appended even to an empty key."""
-    return _append_capacity(model_key(c), gb)
+    return let(model_key(c), lambda key: append_capacity(key, gb))
 
 
 def capacity_gb(c: Column) -> Column:
@@ -112,120 +127,120 @@ def port_count(c: Column, kind: str) -> Column:
     return sum_matches(c, PORT_PATTERNS[kind])
 
 
-def _model(vendor: str, series: Column, name: Column, number: Column, tokens: Column) -> Column:
-    return F.struct(
-        F.lit(vendor).alias("vendor"),
-        series.alias("series"),
-        name.alias("model"),
-        number.alias("number"),
-        tokens.alias("tokens"),
-    )
+def model_match(c: Column) -> Column:
+    """Text of the model in a cleaned name: NVIDIA, AMD and Intel spelling in this order.
 
-
-def parse_model(c: Column) -> Column:
-    """Struct ``vendor, series, model, number, tokens`` of a cleaned name.
-
-    NVIDIA, AMD and Intel spellings are tried in this order. Each pattern scans
-    the name once; the parts are then read from the short matched text.
+    A spelling is searched only where the ones before it do not occur.
     """
-    rtx = F.regexp_extract(c, r"\bRTX[\s\-]*([0-9]{3,4})(?:[\s\-]*(TI))?(?:[\s\-]*(SUPER))?\b", 0)
-    rx = F.regexp_extract(c, r"\bRX[\s\-]*([0-9]{3,4})(?:[\s\-]*(XTX|XT|GRE))?\b", 0)
-    arc = F.regexp_extract(c, r"\bARC[\s\-]*([A-Z])[\s\-]*([0-9]{3,4})\b", 0)
-
-    def number(found: Column) -> Column:
-        return F.regexp_extract(found, r"[0-9]{3,4}", 0)
-
-    n, ti, sup = number(rtx), F.contains(rtx, F.lit("TI")), F.contains(rtx, F.lit("SUPER"))
-    nvidia = _model(
-        "NVIDIA",
-        F.when(F.length(n) >= 4, F.concat(F.lit("GeForce RTX "), F.substring(n, 1, 2))),
-        F.concat(
-            F.lit("RTX "), n,
-            F.when(ti, F.lit(" Ti")).otherwise(F.lit("")),
-            F.when(sup, F.lit(" SUPER")).otherwise(F.lit("")),
-        ),
-        n,
-        F.array_compact(F.array(
-            F.lit("RTX"), n, F.when(ti, F.lit("TI")), F.when(sup, F.lit("SUPER")),
-        )),
+    return F.coalesce(*[
+        _none_if_empty(F.regexp_extract(c, pattern, 0))
+        for pattern in (
+            r"\bRTX[\s\-]*([0-9]{3,4})(?:[\s\-]*(TI))?(?:[\s\-]*(SUPER))?\b",
+            r"\bRX[\s\-]*([0-9]{3,4})(?:[\s\-]*(XTX|XT|GRE))?\b",
+            r"\bARC[\s\-]*([A-Z])[\s\-]*([0-9]{3,4})\b",
+        )
+    ])
+
+
+def model_parts(found: Column) -> Column:
+    """Struct ``vendor, series, model, number, tokens`` of the text of ``model_match``."""
+    number = F.regexp_extract(found, r"[0-9]{3,4}", 0)
+    rtx, rx = F.startswith(found, F.lit("RTX")), F.startswith(found, F.lit("RX"))
+    ti, sup = F.contains(found, F.lit("TI")), F.contains(found, F.lit("SUPER"))
+    tail = _none_if_empty(F.regexp_extract(found, r"(XTX|XT|GRE)$", 1))
+    code = F.concat(F.regexp_extract(found, r"^ARC[\s\-]*([A-Z])", 1), number)
+    long_number = F.length(number) >= 4
+    vendor = F.when(rtx, F.lit("NVIDIA")).when(rx, F.lit("AMD")).when(found.isNotNull(), F.lit("INTEL"))
+    series = (
+        F.when(rtx & long_number, F.concat(F.lit("GeForce RTX "), F.substring(number, 1, 2)))
+        .when(rx & long_number, F.concat(F.lit("Radeon RX "), F.substring(number, 1, 1), F.lit("000")))
     )
-    m, tail = number(rx), _none_if_empty(F.regexp_extract(rx, r"(XTX|XT|GRE)$", 1))
-    amd = _model(
-        "AMD",
-        F.when(F.length(m) >= 4, F.concat(F.lit("Radeon RX "), F.substring(m, 1, 1), F.lit("000"))),
-        F.concat_ws(" ", F.lit("RX"), m, tail),
-        m,
-        F.array_compact(F.array(F.lit("RX"), m, tail)),
+    model = (
+        F.when(rtx, F.concat_ws(" ", F.lit("RTX"), number, F.when(ti, F.lit("Ti")), F.when(sup, F.lit("SUPER"))))
+        .when(rx, F.concat_ws(" ", F.lit("RX"), number, tail))
+        .when(found.isNotNull(), F.concat(F.lit("ARC "), code))
     )
-    letter, k = F.regexp_extract(arc, r"^ARC[\s\-]*([A-Z])", 1), number(arc)
-    intel = _model(
-        "INTEL",
-        F.lit(None).cast("string"),
-        F.concat(F.lit("ARC "), letter, k),
-        k,
-        F.array(F.lit("ARC"), F.concat(letter, k)),
+    words = (
+        F.when(rtx, F.concat_ws(" ", F.lit("RTX"), number, F.when(ti, F.lit("TI")), F.when(sup, F.lit("SUPER"))))
+        .when(found.isNotNull(), model)
+    )
+    return F.struct(
+        vendor.alias("vendor"), series.alias("series"), model.alias("model"),
+        number.alias("number"), F.split(words, " ").alias("tokens"),
     )
-    return F.when(rtx != "", nvidia).when(rx != "", amd).when(arc != "", intel)
 
 
-def earliest_match(c: Column, labels: Sequence[tuple[str, str, str]]) -> Column:
-    """Struct ``pos, ord, label, word`` of the earliest of ``(label, word, pattern)``.
+def parse_model(c: Column) -> Column:
+    """Struct ``vendor, series, model, number, tokens`` of a cleaned name."""
+    return let(model_match(c), model_parts)
 
-    Equal positions go to the label declared first. ``least`` skips the NULLs of
-    patterns that do not occur, so no array and no lambda is needed.
+
+def _first_of(c: Column, patterns: Sequence[str]) -> Column:
+    """Text of the leftmost match of any pattern; NULL without one.
+
+    At one position the alternative listed first wins, so one scan of the text
+    finds the earliest pattern with ties in declared order.
     """
-    hits = []
-    for order, (label, word, pattern) in enumerate(labels):
-        pos = F.regexp_instr(c, F.lit(pattern))
-        hits.append(F.when(pos > 0, F.struct(
-            pos.alias("pos"), F.lit(order).alias("ord"),
-            F.lit(label).alias("label"), F.lit(word).alias("word"),
-        )))
-    return hits[0] if len(hits) == 1 else F.least(*hits)
+    return _none_if_empty(F.regexp_extract(c, "(" + "|".join(f"(?:{p})" for p in patterns) + ")", 1))
 
 
 def earliest(c: Column, labels: Sequence[tuple[str, str]]) -> Column:
-    """Label of the ``(label, pattern)`` pair that occurs first in ``c``."""
-    return earliest_match(c, [(label, label, p) for label, p in labels])["label"]
+    """Label of the ``(label, pattern)`` pair that occurs first in ``c``.
+
+    Equal positions go to the label declared first. Patterns must not match the
+    empty text and must recognise their match without its surroundings.
+    """
+    def label_of(found: Column) -> Column:
+        (label, pattern), *rest = labels
+        chain = F.when(found.rlike(rf"^(?:{pattern})$"), F.lit(label))
+        for label, pattern in rest:
+            chain = chain.when(found.rlike(rf"^(?:{pattern})$"), F.lit(label))
+        return chain
+
+    return let(_first_of(c, [pattern for _, pattern in labels]), label_of)
 
 
 def infer_vendor(c: Column) -> Column:
     return earliest(c, VENDOR_PATTERNS)
 
 
-def alias_pattern(alias: str) -> str:
-    return r"\b" + r"\s+".join(alias.split()) + r"\b"
+def brand_alias(head: Column, aliases: Sequence[tuple[str, str]] = BRAND_ALIASES) -> Column:
+    """Earliest brand alias in the cleaned part before the first comma."""
+    return _first_of(head, [rf"\b{alias}\b" for _, alias in aliases])
 
 
-def brand(head: Column, aliases: Sequence[tuple[str, str]] = BRAND_ALIASES) -> Column:
-    """Earliest ``(brand, alias)`` in the cleaned part before the first comma."""
-    return earliest_match(head, [(name, alias, alias_pattern(alias)) for name, alias in aliases])
+def brand(alias: Column, aliases: Sequence[tuple[str, str]] = BRAND_ALIASES) -> Column:
+    """Brand that a matched alias stands for."""
+    names = F.create_map(*[F.lit(v) for name, word in aliases for v in (word, name)])
+    return F.try_element_at(names, alias)
 
 
-def suffix(head: Column, alias: Column, model: Column) -> Column:
-    """Words of ``head`` that say nothing else: not brand, model, memory or port.
+def suffix_words(head: Column, drop: Column, number: Column) -> Column:
+    """Words of ``head`` that are not vendor, memory, port, size or model words.
 
-    ``alias`` is the matched brand alias, ``model`` the struct of ``parse_model``;
-    without a model there is no suffix.
+    ``drop`` holds the model's own words and those of the brand alias; words that
+    contain the model number go too. A NULL number leaves no words.
     """
-    fixed = F.array(*[F.lit(t) for t in (*VENDOR_WORDS, *MEMORY_TYPES, *PORT_WORDS)])
-    drop = F.concat(
-        fixed, model["tokens"],
-        F.coalesce(F.split(alias, " "), F.array().cast("array<string>")),
-    )
-    kept = F.filter(
+    fixed = "|".join((*VENDOR_WORDS, *MEMORY_TYPES, *PORT_WORDS))
+    return F.filter(
         F.split(head, " "),
-        lambda t: ~F.array_contains(drop, t)
-        & ~t.rlike(r"^(?:\d+$|\d{1,3}GB?$|\d{1,3}G\b)")
-        & ~F.contains(t, model["number"]),
+        lambda t: ~t.rlike(rf"^(?:(?:{fixed}|\d+|\d{{1,3}}GB?)$|\d{{1,3}}G\b)")
+        & ~F.contains(t, number) & ~F.array_contains(drop, t),
     )
-    return F.when(model["model"].isNotNull(), _none_if_empty(F.array_join(kept, " ")))
+
+
+def suffix(head: Column, alias: Column, model: Column) -> Column:
+    """Model suffix of a cleaned head; NULL without a model or without words.
+
+    ``alias`` is the matched brand alias, ``model`` the struct of ``parse_model``.
+    """
+    drop = F.concat(model["tokens"], F.coalesce(F.split(alias, " "), F.array().cast("array<string>")))
+    return let(drop, lambda d: _none_if_empty(F.array_join(suffix_words(head, d, model["number"]), " ")))
 
 
 def canonical_vendor(c: Column, vendors: Sequence[str] = ("NVIDIA", "AMD")) -> Column:
     """Vendor id when it is one of ``vendors``, else NULL."""
-    key = F.upper(strip(c))
-    return F.when(key.isin(*vendors), key)
+    return let(F.upper(strip(c)), lambda key: F.when(key.isin(*vendors), key))
 
 
 def slug(

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from shelfwright.functions import text
 from shelfwright.operators.latest import top_k
 
-ATTEMPT = "struct<chip_id:string,state:string,n_candidates:bigint,vendor_id:string,model_key:string,vram_gb:int,brand:string>"
-
-
 def dimension_keys(dim: DataFrame, model: str = "model_name") -> DataFrame:
     """``chip_id, vendor_id, vram_gb, model_key`` of every chip with a key."""
     key = text.model_key_with_capacity(F.col(model), F.col("vram_gb"))
@@ -59,9 +56,9 @@ def match_entities(
     for a match.
     """
     v, gb = text.canonical_vendor(vendor), capacity.cast("int")
-    key = text.attempt_key(model, gb)
     given = v.isNotNull() & F.coalesce(model != "", F.lit(False))
-    staged = df.withColumns({"_v": v, "_gb": gb, "_given": given}).withColumn("_key", F.when(F.col("_given"), key))
+    staged = df.withColumns({"_v": v, "_gb": gb, "_bare": F.when(given, text.model_key(model))})
+    staged = staged.withColumn("_key", text.append_capacity(F.col("_bare"), F.col("_gb")))
     usable = F.coalesce(F.col("_key") != "", F.lit(False))
     # A NULL vendor keeps unusable attempts out of the lookup.
     staged = staged.withColumn("_lv", F.when(usable, F.col("_v")))
@@ -83,7 +80,7 @@ def match_entities(
         F.when(F.col("_lv").isNotNull(), who).alias("brand"),
     )
     joined = staged.join(dim, on, "left").withColumn(out, attempt)
-    return joined.drop("_v", "_gb", "_given", "_key", "_lv", "_dv", "_dk", "_dgb", "_n", "_chip")
+    return joined.drop("_v", "_gb", "_bare", "_key", "_lv", "_dv", "_dk", "_dgb", "_n", "_chip")
 
 
 def pick_attempt(first: Column, second: Column) -> dict[str, Column]:

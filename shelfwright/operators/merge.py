@@ -118,7 +118,13 @@ def read_current(spark: SparkSession, base: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{version}/{table}")
 
 
+def documents(df: DataFrame, id_col: str, document: Column) -> DataFrame:
+    """``id, document, shard`` of JSON documents; the first id character is the shard."""
+    return df.select(
+        F.col(id_col).alias("id"), document.alias("document"), F.substring(id_col, 1, 1).alias("shard")
+    )
+
+
 def write_documents(df: DataFrame, path: str, id_col: str, document: Column) -> None:
-    """One JSON document per row, in folders by the first two id characters."""
-    rows = df.select(F.substring(id_col, 1, 2).alias("shard"), F.col(id_col).alias("id"), document.alias("document"))
-    rows.write.partitionBy("shard").parquet(path)
+    """One JSON document per row, in folders by shard."""
+    documents(df, id_col, document).write.partitionBy("shard").parquet(path)

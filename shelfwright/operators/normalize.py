@@ -19,24 +19,24 @@ def normalize_listings(df: DataFrame, name_col: str) -> DataFrame:
     Each stage is used more than once by the next, so Catalyst keeps the stages
     apart and runs the cleaning and the model pattern once per row.
     """
-    name = F.col(name_col)
+    name, c = F.col(name_col), F.col
     cleaned = df.withColumns({
         "_name": text.clean_text(name),
         "_head": text.clean_text(F.substring_index(name, ",", 1)),
     })
-    parsed = cleaned.withColumns({
-        "_model": text.parse_model(F.col("_name")),
-        "_brand": text.brand(F.col("_head")),
-    })
-    model, clean = F.col("_model"), F.col("_name")
-    return parsed.withColumns({
-        "vendor_hint": F.coalesce(model["vendor"], text.infer_vendor(clean)),
-        "series_hint": model["series"],
-        "model_name_hint": model["model"],
-        "brand_hint": F.col("_brand")["label"],
-        "suffix_hint": text.suffix(F.col("_head"), F.col("_brand")["word"], model),
-        "vram_gb_hint": text.capacity_gb(clean),
-        "memory_type_hint": text.memory_type(clean),
-        "hdmi_count_hint": text.port_count(clean, "hdmi"),
-        "displayport_count_hint": text.port_count(clean, "displayport"),
-    }).drop("_name", "_head", "_model", "_brand")
+    found = cleaned.withColumns({"_found": text.model_match(c("_name")), "_alias": text.brand_alias(c("_head"))})
+    no_words = F.array().cast("array<string>")
+    parsed = found.withColumn("_model", text.model_parts(c("_found")))
+    parsed = parsed.withColumn("_drop", F.concat(c("_model.tokens"), F.coalesce(F.split("_alias", " "), no_words)))
+    words = parsed.withColumn("_words", text.suffix_words(c("_head"), c("_drop"), c("_model.number")))
+    return words.withColumns({
+        "vendor_hint": F.coalesce(c("_model.vendor"), text.infer_vendor(c("_name"))),
+        "series_hint": c("_model.series"),
+        "model_name_hint": c("_model.model"),
+        "brand_hint": text.brand(c("_alias")),
+        "suffix_hint": F.when(F.size("_words") > 0, F.array_join("_words", " ")),
+        "vram_gb_hint": text.capacity_gb(c("_name")),
+        "memory_type_hint": text.memory_type(c("_name")),
+        "hdmi_count_hint": text.port_count(c("_name"), "hdmi"),
+        "displayport_count_hint": text.port_count(c("_name"), "displayport"),
+    }).drop("_name", "_head", "_found", "_alias", "_model", "_drop", "_words")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfwright.functions import coerce
 from shelfwright.functions.ids import stable_id
+from shelfwright.functions.text import has_text
 from shelfwright.functions.times import iso_text
 from shelfwright.operators.lookup import lookup_chain
 from shelfwright.operators.matching import candidate_index, match_two_attempts
@@ -75,7 +76,7 @@ def match_evidence(evidence: DataFrame, dim: DataFrame) -> DataFrame:
         (c("chipset_manufacturer"), c("chipset_model"), c("extracted_vram_gb"), c("aib_manufacturer")),
     )
     parts = [c(n) for n in ("vendor_id", "model_key", "vram_gb", "brand", "aib_model_suffix", "part_number")]
-    return matched.withColumn("variant_id", stable_id("var", *parts))
+    return matched.withColumn("variant_id", stable_id("var", *parts, stripped=True))
 
 
 def _match_reasons() -> list[tuple[str, Column]]:
@@ -142,18 +143,13 @@ def classify_observations(
         "first_attempt", "second_attempt",
     ]
     chained = lookup_chain(listings, index, products.select(*columns))
-    given = {
-        c: coerce.text_to_str(F.col(c))
-        for c in ("retailer", "product_url", "run_id", "stock_status", "currency", "sku") if c in listings.columns
-    }
-    cleaned = chained.withColumns(given)
-    if dict(listings.dtypes)["observed_at"] == "string":
-        cleaned = cleaned.withColumn("observed_text", coerce.text_to_str(F.col("observed_at")))
-    else:
-        cleaned = cleaned.withColumn("observed_text", iso_text(F.col("observed_at")))
     c = F.col
-    identifiers = c("retailer").isNull() | c("product_url").isNull() | c("observed_text").isNull() | c("run_id").isNull()
-    price = c("price_eur")
+    moment = c("observed_at")
+    timed = moment.isNotNull() if dict(listings.dtypes)["observed_at"] != "string" else has_text(moment)
+    named = has_text(c("retailer")) & has_text(c("product_url")) & has_text(c("run_id")) & timed
+    price, status = c("price_eur"), c("stock_status")
+    # The rules look at the raw texts: a filter on the outcome is pushed below
+    # the cleaning, which it would otherwise repeat.
     reasons = [
         ("no_index_entry", c("n_entries").isNull()),
         ("ambiguous_index_entry", c("n_entries") > 1),
@@ -164,17 +160,20 @@ def classify_observations(
     ]
     if evidence_type:
         reasons.append(("wrong_type", ~F.coalesce(c("hypothesis_type") == evidence_type, F.lit(False))))
-    reasons += [*_match_reasons(), ("missing_identifiers", identifiers)]
+    reasons += [*_match_reasons(), ("missing_identifiers", ~named)]
     if require_currency:
-        reasons.append(("missing_currency", c("currency").isNull()))
+        reasons.append(("missing_currency", ~has_text(c("currency"))))
     reasons += [
         ("invalid_price", price.isNull() | F.isnan(price) | (price <= 0)),
-        ("invalid_stock_status", c("stock_status").isNotNull() & ~c("stock_status").isin(*STOCK_STATUS)),
+        ("invalid_stock_status", has_text(status) & ~coerce.strip(status).isin(*STOCK_STATUS)),
         ("unknown_variant", ~c("variant_known")),
     ]
-    ids = stable_id("obs", c("variant_id"), c("retailer"), c("product_url"), c("observed_text"))
-    classified = reject_cascade(cleaned, reasons)
-    return classified.withColumn("observation_id", F.when(c("outcome").isNull(), ids))
+    classified = reject_cascade(chained, reasons)
+    texts = ("retailer", "product_url", "run_id", "stock_status", "currency", "sku")
+    cleaned = classified.withColumns({n: coerce.text_to_str(c(n)) for n in texts if n in listings.columns})
+    observed = coerce.text_to_str(moment) if dict(listings.dtypes)["observed_at"] == "string" else iso_text(moment)
+    ids = stable_id("obs", c("variant_id"), c("retailer"), c("product_url"), observed, stripped=True)
+    return cleaned.withColumn("observation_id", F.when(c("outcome").isNull(), ids))
 
 
 def outcome_counts(classified: DataFrame, key: str, target: DataFrame | None = None) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -164,28 +167,43 @@ MEMORY_TYPE_ROWS = (
 )
 
 
+_ARROW = {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
+
+
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
+    """Fixed rows as a local relation.
+
+    Its size is known to the planner, so joins broadcast the rows and not the
+    table on the other side, as they would next to rows of unknown size.
+    """
+    fields = [field.split() for field in ddl.split(",")]
+    columns = list(zip(*rows))
+    return spark.createDataFrame(pa.table({
+        name: pa.array(values, _ARROW[kind]) for (name, kind), values in zip(fields, columns)
+    }))
+
+
 def vendors(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(VENDOR_ROWS),
+    return literal_rows(
+        spark, VENDOR_ROWS,
         "vendor_id string, full_name string, founded_year int, headquarters string, "
         "website_url string, compute_unit_name string, rt_core_name string, tensor_core_name string",
     )
 
 
 def architectures(spark: SparkSession) -> DataFrame:
-    df = spark.createDataFrame(
-        list(ARCHITECTURE_ROWS),
+    df = literal_rows(
+        spark, ARCHITECTURE_ROWS,
         "architecture_id string, vendor_id string, generation string, process_node_nm int, "
         "announcement_date string, first_product_launch string, supports_raytracing boolean, "
         "supports_mesh_shaders boolean, supports_direct_storage boolean",
     )
-    dates = {c: df[c].cast("date") for c in ("announcement_date", "first_product_launch")}
-    return df.withColumns(dates)
+    return df.withColumns({c: df[c].cast("date") for c in ("announcement_date", "first_product_launch")})
 
 
 def memory_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(MEMORY_TYPE_ROWS),
+    return literal_rows(
+        spark, MEMORY_TYPE_ROWS,
         "memory_type_id string, generation int, standard_name string, max_speed_gbps double, "
         "typical_voltage double, release_year int, jedec_standard string",
     )

@@ -21,6 +21,8 @@ def build_session(app: str = "shelfwright", master: str | None = None, **conf: s
         # Split a hot key even where the split costs one more exchange.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.ui.enabled": "false",
+        # Do not record a Python stack for every column expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
