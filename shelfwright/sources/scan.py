@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwright import schemas
+from shelfwright.functions.jsontext import parse_strict
+from shelfwright.functions.text import has_text
 from shelfwright.operators.latest import first_rows
 from shelfwright.operators.merge import RejectedLoad
 from shelfwright.operators.quality import missing_fields
@@ -89,15 +91,14 @@ def read_documents(
         hadoop = spark._jvm.org.apache.hadoop.fs.Path(preferred)
         fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
         path = preferred if fs.exists(hadoop) else path
-    with_bad = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    docs = (
-        spark.read.schema(with_bad)
-        .option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
-        .json(path)
-        .select(_relative(root).alias("path"), *schema.names, F.col("_corrupt").isNull().alias("readable"))
+    files = (
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+        .text(path, wholetext=True)
+        .select(_relative(root).alias("path"), "value", parse_strict(F.col("value")).alias("_v"))
     )
-    return first_rows(docs, ["path"], limit)
+    readable = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
+    parsed = files.select("path", F.from_json("value", schema).alias("_doc"), readable.alias("readable"))
+    return first_rows(parsed.select("path", "_doc.*", "readable"), ["path"], limit)
 
 
 def split_permissive(df: DataFrame, corrupt: str = "_corrupt") -> tuple[DataFrame, DataFrame]:
@@ -109,10 +110,9 @@ def split_permissive(df: DataFrame, corrupt: str = "_corrupt") -> tuple[DataFram
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines; text that does not parse is kept in ``_corrupt``."""
     with_bad = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    return (
-        spark.read.schema(with_bad).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    lines = spark.read.text(path).where(has_text(F.col("value")))
+    return lines.select(F.from_json("value", with_bad, options).alias("_row")).select("_row.*")
 
 
 def explode_index(df: DataFrame, refs_col: str) -> DataFrame:
