@@ -38,6 +38,10 @@ def text_to_float(c: Column) -> Column:
 
 def float_text(c: Column) -> Column:
     """Text of a double without Spark's early exponent: ``10000000.0``, ``1e-05``."""
+    return let(c, _float_text)
+
+
+def _float_text(c: Column) -> Column:
     plain = F.regexp_replace(c.cast("decimal(38,18)").cast("string"), r"(\.\d*?[1-9])0+$|(\.0)0+$", "$1$2")
     raw = c.cast("string")
     exponent = F.regexp_extract(raw, r"E-?(\d+)$", 1)
@@ -56,41 +60,34 @@ def float_text(c: Column) -> Column:
     )
 
 
-def _kind(v: Column) -> Column:
-    return F.schema_of_variant(v)
+def _by_kind(v: Column, boolean: Column, text: Column, fraction: Column, other: Column) -> Column:
+    """The value for the JSON type of ``v``, whose type is looked up once."""
+    def pick(kind: Column) -> Column:
+        broken = kind.isin("DOUBLE", "FLOAT") | (kind.startswith("DECIMAL") & ~kind.endswith(",0)"))
+        return F.when(kind == "BOOLEAN", boolean).when(kind == "STRING", text).when(broken, fraction).otherwise(other)
 
-
-def _is_fraction(v: Column) -> Column:
-    kind = _kind(v)
-    return kind.isin("DOUBLE", "FLOAT") | (kind.startswith("DECIMAL") & ~kind.endswith(",0)"))
+    return let(F.schema_of_variant(v), pick)
 
 
 def to_str(v: Column) -> Column:
     """Stripped text of a JSON scalar; blank and null are NULL."""
-    text = (
-        F.when(_kind(v) == "BOOLEAN", F.initcap(F.try_variant_get(v, "$", "string")))
-        .when(_is_fraction(v), float_text(F.try_variant_get(v, "$", "double")))
-        .otherwise(F.try_variant_get(v, "$", "string"))
-    )
-    return text_to_str(text)
+    plain = F.try_variant_get(v, "$", "string")
+    text = _by_kind(v, F.initcap(plain), plain, float_text(F.try_variant_get(v, "$", "double")), plain)
+    return let(text, text_to_str)
 
 
 def to_int(v: Column) -> Column:
     """Number rounded half-even, integer text as it is, everything else NULL."""
-    return (
-        F.when(_kind(v) == "BOOLEAN", F.lit(None).cast("int"))
-        .when(_kind(v) == "STRING", text_to_int(F.try_variant_get(v, "$", "string")))
-        .otherwise(F.bround(F.try_variant_get(v, "$", "double"), 0).try_cast("int"))
-    )
+    number = F.bround(F.try_variant_get(v, "$", "double"), 0).try_cast("int")
+    text = text_to_int(F.try_variant_get(v, "$", "string"))
+    return _by_kind(v, F.lit(None).cast("int"), text, number, number)
 
 
 def to_float(v: Column) -> Column:
     """Number or decimal text as a double, everything else NULL."""
-    return (
-        F.when(_kind(v) == "BOOLEAN", F.lit(None).cast("double"))
-        .when(_kind(v) == "STRING", text_to_float(F.try_variant_get(v, "$", "string")))
-        .otherwise(F.try_variant_get(v, "$", "double"))
-    )
+    number = F.try_variant_get(v, "$", "double")
+    text = text_to_float(F.try_variant_get(v, "$", "string"))
+    return _by_kind(v, F.lit(None).cast("double"), text, number, number)
 
 
 def clip_range(c: Column, lo=None, hi=None, *, open_lo: bool = False) -> Column:

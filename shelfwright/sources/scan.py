@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwright import schemas
+from shelfwright.functions.coerce import to_str
+from shelfwright.functions.ids import stable_id
 from shelfwright.functions.jsontext import parse_strict
 from shelfwright.functions.text import has_text
 from shelfwright.operators.latest import first_rows
+from shelfwright.operators.matching import resolve_reference
 from shelfwright.operators.merge import RejectedLoad
-from shelfwright.operators.quality import missing_fields
+from shelfwright.operators.quality import conflicting, missing_fields
 
 LISTING_GLOB = "page_pg=*.products.json"
 
@@ -155,18 +158,15 @@ def read_seed(spark: SparkSession, path: str) -> DataFrame:
     return rows
 
 
-def seed_relations(entries: DataFrame, vendors: DataFrame, architectures: DataFrame, memory_types: DataFrame) -> dict[str, DataFrame]:
+def seed_relations(
+    entries: DataFrame, vendors: DataFrame, architectures: DataFrame, memory_types: DataFrame
+) -> dict[str, DataFrame]:
     """``chip``, ``memory``, ``features`` and ``problems`` of seed entries.
 
     References resolve by their comparable form. The chip id is made of all chip
     and memory fields, so identical entries fall together and an id with two
     feature sets is a problem.
     """
-    from shelfwright.functions.coerce import to_str
-    from shelfwright.functions.ids import stable_id
-    from shelfwright.operators.matching import resolve_reference
-    from shelfwright.operators.quality import conflicting
-
     parsed = entries.withColumn("_v", F.parse_json("entry"))
     field = lambda section, name, kind="variant": F.try_variant_get("_v", f"$.{section}.{name}", kind)
     parts = [
@@ -174,7 +174,7 @@ def seed_relations(entries: DataFrame, vendors: DataFrame, architectures: DataFr
         for section in ("chip", "memory") for name in schemas.SEED_FIELDS[section]
     ]
     df = parsed.withColumns({
-        "chip_id": stable_id("chip", *parts),
+        "chip_id": stable_id("chip", *parts, stripped=True),
         "_vendor": field("chip", "vendor", "string"),
         "_arch": field("chip", "architecture", "string"),
         "_mem": field("memory", "memory_type", "string"),
