@@ -26,7 +26,7 @@ def parse_price(c: Column, locale: str = "de") -> Column:
 
 def valid_price(c: Column, cap: float = MAX_PRICE) -> Column:
     """``0 < price <= cap``; NULL and NaN are not valid."""
-    return F.coalesce((c > 0) & (c <= cap), F.lit(False))
+    return c.isNotNull() & (c > 0) & (c <= cap)
 
 
 def ratio(a: Column, b: Column, digits: int | None = None) -> Column:

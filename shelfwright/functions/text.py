@@ -32,16 +32,8 @@ def _none_if_empty(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """Remove white space of every kind at both ends.
-
-    Text between two printable ASCII characters, nearly all of it, passes
-    without the pattern.
-    """
-    def printable(end: Column) -> Column:
-        return F.ascii(end).between(33, 126)
-
-    clean = printable(c) & printable(F.substring(c, -1, 1))
-    return F.when(clean, c).otherwise(F.regexp_replace(c, rf"^{_BLANK}++|{_BLANK}++$", ""))
+    """Remove white space of every kind at both ends."""
+    return F.regexp_replace(c, rf"^{_BLANK}++|{_BLANK}++$", "")
 
 
 def has_text(c: Column) -> Column:
@@ -142,8 +134,8 @@ def model_match(c: Column) -> Column:
     ])
 
 
-def model_parts(found: Column) -> Column:
-    """Struct ``vendor, series, model, number, tokens`` of the text of ``model_match``."""
+def model_fields(found: Column) -> dict[str, Column]:
+    """``vendor, series, model, number, tokens`` of the text of ``model_match``."""
     number = F.regexp_extract(found, r"[0-9]{3,4}", 0)
     rtx, rx = F.startswith(found, F.lit("RTX")), F.startswith(found, F.lit("RX"))
     ti, sup = F.contains(found, F.lit("TI")), F.contains(found, F.lit("SUPER"))
@@ -164,15 +156,14 @@ def model_parts(found: Column) -> Column:
         F.when(rtx, F.concat_ws(" ", F.lit("RTX"), number, F.when(ti, F.lit("TI")), F.when(sup, F.lit("SUPER"))))
         .when(found.isNotNull(), model)
     )
-    return F.struct(
-        vendor.alias("vendor"), series.alias("series"), model.alias("model"),
-        number.alias("number"), F.split(words, " ").alias("tokens"),
-    )
+    return {"vendor": vendor, "series": series, "model": model, "number": number, "tokens": F.split(words, " ")}
 
 
 def parse_model(c: Column) -> Column:
     """Struct ``vendor, series, model, number, tokens`` of a cleaned name."""
-    return let(model_match(c), model_parts)
+    return let(model_match(c), lambda found: F.struct(*[
+        part.alias(name) for name, part in model_fields(found).items()
+    ]))
 
 
 def _first_of(c: Column, patterns: Sequence[str]) -> Column:

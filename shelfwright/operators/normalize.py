@@ -26,17 +26,19 @@ def normalize_listings(df: DataFrame, name_col: str) -> DataFrame:
     })
     found = cleaned.withColumns({"_found": text.model_match(c("_name")), "_alias": text.brand_alias(c("_head"))})
     no_words = F.array().cast("array<string>")
-    parsed = found.withColumn("_model", text.model_parts(c("_found")))
-    parsed = parsed.withColumn("_drop", F.concat(c("_model.tokens"), F.coalesce(F.split("_alias", " "), no_words)))
-    words = parsed.withColumn("_words", text.suffix_words(c("_head"), c("_drop"), c("_model.number")))
+    parsed = found.withColumns({f"_{n}": part for n, part in text.model_fields(c("_found")).items()})
+    parsed = parsed.withColumn("_drop", F.concat("_tokens", F.coalesce(F.split("_alias", " "), no_words)))
+    words = parsed.withColumn("_words", text.suffix_words(c("_head"), c("_drop"), c("_number")))
     return words.withColumns({
-        "vendor_hint": F.coalesce(c("_model.vendor"), text.infer_vendor(c("_name"))),
-        "series_hint": c("_model.series"),
-        "model_name_hint": c("_model.model"),
+        "vendor_hint": F.coalesce(c("_vendor"), text.infer_vendor(c("_name"))),
+        "series_hint": c("_series"),
+        "model_name_hint": c("_model"),
         "brand_hint": text.brand(c("_alias")),
         "suffix_hint": F.when(F.size("_words") > 0, F.array_join("_words", " ")),
         "vram_gb_hint": text.capacity_gb(c("_name")),
         "memory_type_hint": text.memory_type(c("_name")),
         "hdmi_count_hint": text.port_count(c("_name"), "hdmi"),
         "displayport_count_hint": text.port_count(c("_name"), "displayport"),
-    }).drop("_name", "_head", "_found", "_alias", "_model", "_drop", "_words")
+    }).drop(
+        "_name", "_head", "_found", "_alias", "_vendor", "_series", "_model", "_number", "_tokens", "_drop", "_words"
+    )
