@@ -492,7 +492,7 @@ _BATCH_SQL = f"SELECT * FROM ({_WRITE_SQL}) WHERE observed_at >= TIMESTAMP '{_CU
 def _write_frames(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Target before a date and an overlapping later batch; repeats are real."""
     rows = L.observations(spark, sf).withColumn(
-        "observation_id", stable_id("obs", c("product_url"), c("retailer"), iso_text(c("observed_at")))
+        "observation_id", stable_id("obs", c("product_url"), c("retailer"), iso_text(c("observed_at")), stripped=True)
     )
     at = lambda day: F.lit(day).cast("timestamp_ntz")
     return rows.where(c("observed_at") < at(_LATE)), rows.where(c("observed_at") >= at(_CUT))
@@ -506,7 +506,7 @@ def idempotent_append(spark: SparkSession, sf: str) -> DataFrame:
     return merge.append_new(target, rows, "observation_id", ["ref"]).select("observation_id", "ref", "price_eur")
 
 
-@query("append_preview", L.frames_sql(_WRITE, f"""SELECT observation_id, count(*) AS n_rows, CASE WHEN observation_id IN ({_TARGET_SQL}) THEN 0 ELSE 1 END AS inserted,
+@query("append_preview", L.frames_sql(_WRITE, f"""SELECT observation_id, count(*) AS n_rows, CAST(CASE WHEN observation_id IN ({_TARGET_SQL}) THEN 0 ELSE 1 END AS BIGINT) AS inserted,
     count(*) - CASE WHEN observation_id IN ({_TARGET_SQL}) THEN 0 ELSE 1 END AS duplicates FROM ({_BATCH_SQL}) GROUP BY 1"""))
 def append_preview(spark: SparkSession, sf: str) -> DataFrame:
     target, batch = _write_frames(spark, sf)
