@@ -362,8 +362,8 @@ def key_samples(spark: SparkSession, sf: str) -> DataFrame:
     return matching.key_samples(part_dim(spark, sf)).select("vendor_id", F.array_join("model_keys", ";").alias("model_keys"))
 
 
-@query("lookup_chain", L.frames_sql(["listings", "idx", "evidence"], """SELECT l.ref, sha256(l.product_url) AS url_hash, CASE WHEN i.url_hash IS NOT NULL THEN 1 END AS n_entries,
-    len(i.hypotheses) AS n_hypotheses, CASE WHEN len(i.hypotheses) = 1 THEN i.hypotheses[1] END AS path, CASE WHEN i.url_hash IS NOT NULL THEN e.path IS NOT NULL END AS evidence_found, e.chipset_model
+@query("lookup_chain", L.frames_sql(["listings", "idx", "evidence"], """SELECT l.ref, sha256(l.product_url) AS url_hash, CASE WHEN i.url_hash IS NOT NULL THEN CAST(1 AS BIGINT) END AS n_entries,
+    CAST(len(i.hypotheses) AS INTEGER) AS n_hypotheses, CASE WHEN len(i.hypotheses) = 1 THEN i.hypotheses[1] END AS path, CASE WHEN i.url_hash IS NOT NULL THEN e.path IS NOT NULL END AS evidence_found, e.chipset_model
 FROM listings l LEFT JOIN idx i ON sha256(l.product_url) = i.url_hash LEFT JOIN evidence e ON len(i.hypotheses) = 1 AND i.hypotheses[1] = e.path"""))
 def lookup_chain(spark: SparkSession, sf: str) -> DataFrame:
     documents = L.evidence(spark, sf).select("path", "chipset_model")

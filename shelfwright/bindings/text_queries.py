@@ -19,19 +19,19 @@ def _digest(value: Column) -> list[Column]:
     return [F.sha2(value, 256).alias("digest"), F.length(value).alias("n_chars")]
 
 
-@query("clean_text", f"""SELECT doc_id, sha256(t) AS digest, length(t) AS n_chars
+@query("clean_text", f"""SELECT doc_id, sha256(t) AS digest, CAST(length(t) AS INTEGER) AS n_chars
 FROM (SELECT doc_id, {L.clean_sql("replace(text, 'ß', 'ss')")} AS t FROM documents)""")
 def clean_text(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", *_digest(text.clean_text(c("text"))))
 
 
-@query("collapse_ws", r"""SELECT doc_id, sha256(t) AS digest, length(t) AS n_chars
+@query("collapse_ws", r"""SELECT doc_id, sha256(t) AS digest, CAST(length(t) AS INTEGER) AS n_chars
 FROM (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS t FROM documents)""")
 def collapse_ws(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", *_digest(text.collapse_ws(c("text"))))
 
 
-@query("first_line", r"""SELECT conv_id, turn, sha256(t) AS digest, length(t) AS n_chars
+@query("first_line", r"""SELECT conv_id, turn, sha256(t) AS digest, CAST(length(t) AS INTEGER) AS n_chars
 FROM (SELECT conv_id, turn, regexp_extract(regexp_replace(text, '^\s+|\s+$', '', 'g'), '^[^\r\n]*') AS t FROM conversations)""")
 def first_line(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "conversations").select("conv_id", "turn", *_digest(text.first_line(c("text"))))
