@@ -64,10 +64,10 @@ def test_normalize(spark):
     assert [tuple(r) for r in rows] == [want for _, want in names]
 
 
-def test_demo_name(spark):
-    name = "INNO3D GeForce RTX 5080 iCHILL Frostbite Pro, 16GB GDDR7, HDMI, 3x DP"
+def test_unknown_brand(spark):
+    name = "Acme3D GeForce RTX 5080 Glacier Max, 16GB GDDR7, HDMI, 3x DP"
     row = normalize_listings(spark.createDataFrame([(name,)], "name string"), "name").select(*HINTS).first()
-    assert tuple(row) == ("NVIDIA", "GeForce RTX 50", "RTX 5080", None, "INNO3D ICHILL FROSTBITE PRO", 16, "GDDR7", None, 3)
+    assert tuple(row) == ("NVIDIA", "GeForce RTX 50", "RTX 5080", None, "ACME3D GLACIER MAX", 16, "GDDR7", None, 3)
 
 
 def test_derivations(values):
