@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfwright.bindings.registry import query, table
-from shelfwright.llm import extendible_dedup, ngram_join
+from shelfwright.llm import extendible_dedup, langid, ngram_join, sp_viterbi, template_decon
+
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 @query("op3_ngram_jaccard_join")
@@ -26,3 +30,24 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each document the copy that stays."""
     return extendible_dedup.mark_copies(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op1_language_bitmask_filter")
+def op1_language_bitmask_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; nothing is learned from the held-out fold."""
+    documents = table(spark, sf_dir, "documents")
+    fold = langid.held_out(F.col("doc_id"))
+    model = langid.learn(documents.where(~fold))
+    return langid.predict(spark, documents, model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_template_decontamination")
+def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contaminated documents with the items that they contain."""
+    return template_decon.find_leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_sentencepiece_viterbi")
+def op6_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded, and whether its ids decode to it."""
+    return sp_viterbi.round_trip(spark, table(spark, sf_dir, "documents"), sp_viterbi.load(public_tokenizers.path(PIECE_MODEL)))
