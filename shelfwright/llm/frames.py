@@ -35,6 +35,16 @@ def checked_broadcast(df: DataFrame, n_bytes: int, limit: int) -> DataFrame:
     return F.broadcast(df) if n_bytes <= limit else df
 
 
+def without(spark: SparkSession, rows: DataFrame, gone: DataFrame, limit: int = 64 << 20) -> DataFrame:
+    """``rows`` whose ``doc_id`` is not in ``gone``, all columns. A row without a ``doc_id`` stays.
+
+    The ids are broadcast, so that the rows do not move, only while their measured number keeps within ``limit`` bytes.
+    """
+    ids = written(spark, gone.select(F.col("doc_id").cast("long").alias("_gone")).where("_gone is not null").distinct(), "gone")
+    side = checked_broadcast(ids, 32 * ids.count(), limit)
+    return rows.join(side, rows["doc_id"].cast("long") == side["_gone"], "left_anti")
+
+
 def fingerprint(df: DataFrame) -> tuple[int, int]:
     """Row count and an order-free hash of all rows."""
     row = df.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(*df.columns)).alias("h")).first()

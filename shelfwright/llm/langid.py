@@ -22,6 +22,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -157,24 +158,39 @@ def scores(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(out), np.concatenate(letters)
 
 
+def decide(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text."""
+    got, letters = scores(model, texts)
+    if not model.languages:
+        return [UNKNOWN] * len(texts), np.zeros(len(texts))
+    best = got.argmax(axis=1)
+    names = [model.languages[i] if ok else UNKNOWN for i, ok in zip(best, letters, strict=True)]
+    return names, np.where(letters, got[np.arange(len(texts)), best], 0.0)
+
+
 def predict(spark: SparkSession, documents: DataFrame, model: Model) -> DataFrame:
     """``doc_id, lang_pred, score`` of every document."""
     held = spark.sparkContext.broadcast(model)
 
-    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            got, letters = scores(held.value, texts)
-            if got.shape[1]:
-                best = got.argmax(axis=1)
-                top = np.where(letters, got[np.arange(len(texts)), best], 0.0)
-                names = [held.value.languages[i] if ok else UNKNOWN for i, ok in zip(best, letters, strict=True)]
-            else:
-                top, names = np.zeros(len(texts)), [UNKNOWN] * len(texts)
+            names, top = decide(held.value, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(top, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        decide, "doc_id long, lang_pred string, score double")
+        run, "doc_id long, lang_pred string, score double")
+
+
+def accepted(spark: SparkSession, documents: DataFrame, model: Model, least: float) -> DataFrame:
+    """Documents that have a language with a score of ``least`` or more, all columns; rows stay where they are."""
+    held = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def good(text: pd.Series) -> pd.Series:
+        names, top = decide(held.value, [t if isinstance(t, str) else None for t in text])
+        return pd.Series([name != UNKNOWN and score >= least for name, score in zip(names, top, strict=True)])
+
+    return documents.where(good(documents["text"].cast("string")))
 
 
 def held_out(doc_id: Column) -> Column:

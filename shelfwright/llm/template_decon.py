@@ -124,8 +124,3 @@ def find_leaks(spark: SparkSession, documents: DataFrame, benchmark: DataFrame)
         F.max(F.struct("n_windows", F.col("kind") == "exact", "apart", "kind")).alias("b"))
     return best.select("doc_id", "item_id", "b.n_windows", "b.kind")
 
-
-def clean(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents without a leak, all columns."""
-    leaks = written(spark, find_leaks(spark, documents, benchmark).select(F.col("doc_id").alias("_leak_id")).distinct(), "leaks")
-    return documents.join(leaks, documents["doc_id"].cast("long").eqNullSafe(leaks["_leak_id"]), "left_anti")
