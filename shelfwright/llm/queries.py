@@ -7,9 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwright.bindings.registry import query, table
-from shelfwright.llm import extendible_dedup, langid, ngram_join, sp_viterbi, template_decon
+from shelfwright.llm import deobfuscate, extendible_dedup, langid, ngram_join, secret_scan, sp_viterbi, template_decon, token_files
+from shelfwright.session import workspace
 
-PIECE_MODEL = "piece_bpe_32k.model"
+PIECE_MODEL, BYTE_MODEL, END_ID = "piece_bpe_32k.model", "byte_bpe_50k.json", 2
+
+
+@query("op2_token_files")
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts encoded into flat files in the shared folder, and what the files hold of each document."""
+    path = workspace(spark, "tokens")
+    token_files.write(spark, table(spark, sf_dir, "documents"), path, public_tokenizers.path(BYTE_MODEL), END_ID)
+    return token_files.digest(spark, path)
 
 
 @query("op3_ngram_jaccard_join")
@@ -51,3 +60,15 @@ def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded, and whether its ids decode to it."""
     return sp_viterbi.round_trip(spark, table(spark, sf_dir, "documents"), sp_viterbi.load(public_tokenizers.path(PIECE_MODEL)))
+
+
+@query("op8_secret_scan")
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op10_pii_deobfuscation")
+def op10_pii_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document, also disguised."""
+    return deobfuscate.scan(table(spark, sf_dir, "documents"))
