@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwright.bindings.registry import query, table
-from shelfwright.llm import deobfuscate, extendible_dedup, langid, ngram_join, secret_scan, sp_viterbi, template_decon, token_files
+from shelfwright.llm import deobfuscate, extendible_dedup, langid, ngram_join, secret_scan, sp_viterbi, template_decon, token_files, warc
 from shelfwright.session import workspace
 
 PIECE_MODEL, BYTE_MODEL, END_ID = "piece_bpe_32k.model", "byte_bpe_50k.json", 2
@@ -72,3 +72,21 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document, also disguised."""
     return deobfuscate.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op7_warc", """
+    with p as (
+        select page_id, coalesce(html, '') as payload, strlen(coalesce(html, '')) as payload_bytes from pages
+    ), m as (
+        select *, max(page_id) over (partition by payload) as first from p
+    )
+    select page_id, payload_bytes, sha1(payload) as payload_digest,
+        case when payload_bytes >= 1000 and page_id <> first then 'revisit' else 'response' end as record_type,
+        case when payload_bytes >= 1000 and page_id <> first then first end as refers_to
+    from m
+""")
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages archived in the shared folder, and what the archives hold of each."""
+    path = workspace(spark, "warc")
+    warc.write(spark, table(spark, sf_dir, "pages"), path)
+    return warc.pages_of(warc.read(spark, path))
