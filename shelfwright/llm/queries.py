@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwright.bindings.registry import query, table
-from shelfwright.llm import deobfuscate, extendible_dedup, langid, ngram_join, secret_scan, sp_viterbi, template_decon, token_files, warc
+from shelfwright.llm import deobfuscate, extendible_dedup, langid, ngram_join, pseudo_lm, secret_scan, sp_viterbi, template_decon, token_files, warc
 from shelfwright.session import workspace
 
 PIECE_MODEL, BYTE_MODEL, END_ID = "piece_bpe_32k.model", "byte_bpe_50k.json", 2
@@ -50,6 +50,13 @@ def op1_language_bitmask_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(spark, documents, model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@query("op4_pseudo_likelihood")
+def op4_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document under a network trained on all of them."""
+    documents = table(spark, sf_dir, "documents")
+    return pseudo_lm.score(spark, documents, pseudo_lm.train(spark, documents))
+
+
 @query("op5_template_decontamination")
 def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contaminated documents with the items that they contain."""
