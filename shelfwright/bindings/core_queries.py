@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwright.bindings import fixtures as L
 from shelfwright.bindings.registry import query, table
 from shelfwright.functions import coerce, text
 from shelfwright.functions.ids import stable_id, url_hash
+from shelfwright.functions.price import exact_avg
 from shelfwright.functions.times import iso_text
 from shelfwright.operators import joins, latest, lookup, matching, merge, quality
 from shelfwright.plans import gold, silver
 from shelfwright.schemas import EVIDENCE, struct
-from shelfwright.session import workspace
+from shelfwright.session import workspace, written
 from shelfwright.sources import conform, pages, scan
 
 c = F.col
@@ -165,7 +167,7 @@ def first_seen_index(spark: SparkSession, sf: str) -> DataFrame:
     arg_min(price_eur, strftime(observed_at, '%Y%m%d%H%M%S') || ref) AS first_price, arg_max(price_eur, strftime(observed_at, '%Y%m%d%H%M%S') || ref) AS last_price
 FROM observations GROUP BY 1, 2"""))
 def price_history(spark: SparkSession, sf: str) -> DataFrame:
-    history = gold.price_history(L.observations(spark, sf), tie=("ref",), period="month")
+    history = gold.price_history(L.observations(spark, sf), tie=("ref",), period="month", average=exact_avg)
     return history.withColumn("period", c("period").cast("timestamp_ntz"))
 
 
@@ -186,7 +188,7 @@ def _value(spark: SparkSession, sf: str, available_only: bool) -> DataFrame:
         "chip_id", text.full_name(c("brand_series"), c("model_name")).alias("full_model_name"),
         c("vendor_id").alias("vendor_name"), "vram_gb", "memory_bandwidth_gbs", "tdp_watts",
     )
-    return gold.value_analysis(sheet, prices(spark, sf), available_only, digits=None).drop("vendor_name")
+    return gold.value_analysis(sheet, prices(spark, sf), available_only, digits=None, average=exact_avg).drop("vendor_name")
 
 
 @query("value_analysis", _value_sql(""))
@@ -524,7 +526,7 @@ def schema_adaptive_append(spark: SparkSession, sf: str) -> DataFrame:
         into = target.select(*columns)
         rows = batch.where("currency is not null") if "currency" in columns else batch
         new = merge.append_new(into, rows, "observation_id", ["ref"])
-        parts.append(merge.conform_to_target(new, columns).withColumn("target", F.lit(name)))
+        parts.append(merge.conform_to_target(new, into.schema).withColumn("target", F.lit(name)))
     return parts[0].unionByName(parts[1], allowMissingColumns=True).select("target", "observation_id", "price_eur", "currency")
 
 
@@ -537,7 +539,7 @@ def upsert_dimension(spark: SparkSession, sf: str) -> DataFrame:
     top = customer.agg(F.max("c_custkey")).scalar()
     target = customer.where(c("c_custkey") * 2 < top).withColumns({"created_at": F.lit("old"), "updated_at": F.lit("old")})
     batch = customer.where(c("c_custkey") * 4 > top).withColumn("c_acctbal", c("c_acctbal") + 100)
-    return merge.upsert(target, batch, "c_custkey", F.lit("new"))
+    return merge.upsert(target, batch, "c_custkey", F.lit("new"), ["c_name"])
 
 
 @query("index_documents", L.frames_sql(["idx"], """SELECT url_hash AS id, url_hash[1:1] AS shard, sha256('{"observed_product_id":"' || url_hash || '","normalized_name":"' || normalized_name || '","product_url":"' || product_url
@@ -554,7 +556,8 @@ def loaded_variants(found: DataFrame) -> DataFrame:
 
 
 def classified(spark: SparkSession, sf: str) -> DataFrame:
-    found = matched(spark, sf)
+    """Judged listings. The match is written once, at product size; both its readers take it from there."""
+    found = written(spark, matched(spark, sf), "matched")
     return silver.classify_observations(L.listings(spark, sf), L.index(spark, sf), found, loaded_variants(found))
 
 
@@ -578,17 +581,75 @@ _REJECT = ("ref", "product_url", "outcome", "path", "vendor_id", "model_key", "v
     CASE WHEN document IS NOT NULL THEN variant_known END AS variant_known, a_state AS first_state, b_state AS second_state, count(*) AS n_copies
 FROM (SELECT * REPLACE ({_OUTCOME.format('observation_id', 'ref')} AS outcome) FROM classified) WHERE outcome <> 'inserted' GROUP BY ALL"""))
 def reject_table(spark: SparkSession, sf: str) -> DataFrame:
-    rejected = silver.reject_table(classified(spark, sf))
+    rejected = silver.reject_table(written(spark, classified(spark, sf), "classified"))
     return rejected.select(*_REJECT, c("first_attempt.state").alias("first_state"), c("second_attempt.state").alias("second_state"), "n_copies")
 
 
-_FACT = ("observation_id", "variant_id", "retailer", "product_url", "price_eur", "stock_status", "observed_at", "scrape_run_id")
+_FACT = T.StructType([
+    *[T.StructField(n, T.StringType()) for n in ("observation_id", "variant_id", "retailer", "product_url")],
+    T.StructField("price_eur", T.DoubleType()), T.StructField("stock_status", T.StringType()),
+    T.StructField("observed_at", T.TimestampNTZType()), T.StructField("scrape_run_id", T.StringType()),
+])
+_FACT_SQL = L.frames_sql(["classified"], """SELECT observation_id, variant_id, retailer, product_url, price_eur, stock_status, observed_at, run_id AS scrape_run_id
+FROM (SELECT *, row_number() OVER (PARTITION BY observation_id ORDER BY ref) AS rn FROM classified WHERE outcome IS NULL) WHERE rn = 1""")
 
 
-@query("silver_load", L.frames_sql(["classified"], """SELECT observation_id, variant_id, retailer, product_url, price_eur, stock_status, observed_at, run_id AS scrape_run_id
-FROM (SELECT *, row_number() OVER (PARTITION BY observation_id ORDER BY ref) AS rn FROM classified WHERE outcome IS NULL) WHERE rn = 1"""))
+@query("silver_load", _FACT_SQL)
 def silver_load(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.load_observations(classified(spark, sf), target_columns=_FACT)
+    return silver.load_observations(classified(spark, sf), schema=_FACT)
+
+
+@query("silver_load_files", _FACT_SQL)
+def silver_load_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The same load from array pages, index documents and evidence documents, written to and read from shared storage."""
+    root = L.bronze_files(spark, sf)
+    listings = scan.read_listings(spark, f"{root}/listings", root, glob="*.json")
+    evidence = silver.coerce_evidence(scan.read_documents(spark, f"{root}/evidence", root=root))
+    # The invented evidence paths have no file ending.
+    evidence = evidence.withColumn("path", F.regexp_replace("path", r"\.json$", ""))
+    load = silver.silver_pipeline(spark, listings, scan.read_index(spark, f"{root}/index", root), evidence, L.chip_dim(spark), schema=_FACT)
+    return load.observations
+
+
+@query("first_write_order", """SELECT role, min(conv_id * 1000 + turn) AS first_key, count(*) AS n_rows FROM conversations WHERE role IS NOT NULL GROUP BY role""")
+def first_write_order(spark: SparkSession, sf: str) -> DataFrame:
+    """First row per role in scan order, from pages of more than ten records: record 2 comes before record 10."""
+    turns = table(spark, sf, "conversations").where("role is not null")
+    ids = turns.withColumn("key", c("conv_id") * 1000 + c("turn")).repartitionByRange("key").sortWithinPartitions("key")
+    path = workspace(spark, "ordered-pages")
+    pages_ = L.array_pages(ids.select("role", "key"), ["role", "key"]).withColumn("path", F.concat(F.lit("runs/"), "path"))
+    L.write_files(spark, pages_, path)
+    rows = scan.read_array_files(spark, path, struct("role string, key bigint"), "*.json", path, within="/runs/").where("readable")
+    flat = rows.select(c("record.role").alias("role"), c("record.key").alias("first_key"), "file", "pos")
+    counts = flat.groupBy("role").agg(F.count("*").alias("n_rows"))
+    return merge.append_new(None, flat, "role", ["file", "pos"]).join(counts, "role").select("role", "first_key", "n_rows")
+
+
+@query("match_candidates", L.frames_sql(["att2"], """SELECT product_id, d.chip_id, d.vram_gb AS candidate_vram_gb, b_gb IS NULL OR coalesce(b_gb = d.vram_gb, false) AS kept
+FROM att2 JOIN dim d ON d.vendor_id = b_v AND d.model_key = b_k"""))
+def match_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    attempts = matched(spark, sf).select("product_id", "second_attempt.vendor_id", "second_attempt.model_key", "second_attempt.vram_gb")
+    return matching.match_candidates(attempts, L.chip_dim(spark), ["product_id"])
+
+
+@query("domain_constraints", L.frames_sql(["observations", "classified_evidence"], """SELECT 'variant: length_mm > 0' AS rule, count(*) AS n_rows, CAST(count_if(NOT length_mm > 0) AS BIGINT) AS n_violations FROM classified_evidence WHERE outcome IS NULL
+UNION ALL SELECT 'variant: aib_manufacturer not null', count(*), CAST(count_if(brand IS NULL) AS BIGINT) FROM classified_evidence WHERE outcome IS NULL
+UNION ALL SELECT 'observation: price_eur > 0', count(*), CAST(count_if(NOT price_eur > 0) AS BIGINT) FROM listings
+UNION ALL SELECT 'observation: stock_status known', count(*), CAST(count_if(stock_status = 'bogus') AS BIGINT) FROM listings"""))
+def domain_constraints(spark: SparkSession, sf: str) -> DataFrame:
+    """Domain rules on loaded variants, which must hold, and on raw listings, which break some."""
+    accepted = silver.classify_evidence(matched(spark, sf)).where("outcome is null")
+    found = quality.check(silver.variant_rows(accepted), quality.variant_rules()).withColumn("rule", F.concat(F.lit("variant: "), "rule"))
+    raw = L.listings(spark, sf).withColumnsRenamed({"ref": "observation_id", "run_id": "scrape_run_id"}).withColumn("variant_id", c("product_url"))
+    rows = quality.check(raw, quality.observation_rules()).withColumn("rule", F.concat(F.lit("observation: "), "rule"))
+    wanted = ["variant: length_mm > 0", "variant: aib_manufacturer not null", "observation: price_eur > 0", "observation: stock_status known"]
+    return found.union(rows).where(c("rule").isin(wanted))
+
+
+@query("run_verdict", L.frames_sql(["classified"], """SELECT count_if(outcome = 'unknown_variant') AS n_errors, count_if(outcome = 'unknown_variant') > 0 AS failed FROM classified"""))
+def run_verdict(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the load counts as failed: skipped rows do not fail it, errors do."""
+    return quality.run_failed(silver.outcome_counts(classified(spark, sf), "observation_id"), silver.ERRORS)
 
 
 @query("load_variants", L.frames_sql(["classified_evidence"], """SELECT variant_id, chip_id, brand AS aib_manufacturer, aib_model_suffix AS model_suffix, factory_boost_mhz, length_mm, width_slots,

@@ -7,12 +7,16 @@ same rules as SQL, so that both engines build the same rows.
 
 from __future__ import annotations
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwright.bindings.registry import table
 from shelfwright.functions.ids import url_hash
+from shelfwright.functions.times import iso_text
 from shelfwright.schemas import literal_rows
+from shelfwright.session import workspace
 
 # Invented chips: chip_no, vendor, series, model, cores, boost, watts, GB, GB/s, tensor cores.
 CHIPS = (
@@ -199,6 +203,52 @@ def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- the frames as files ----------------------------------------------------
+
+PAGE_RECORDS = 500
+
+
+def array_pages(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``path, value``: JSON arrays of at most ``PAGE_RECORDS`` rows, named so that path order is the order of ``rows``."""
+    numbered = rows.withColumn("_n", F.monotonically_increasing_id())
+    record = F.struct("_n", F.struct(*columns).alias("r"))
+    page = numbered.groupBy(F.floor(F.col("_n") / PAGE_RECORDS).alias("page")).agg(F.sort_array(F.collect_list(record)).alias("rows"))
+    return page.select(
+        F.concat(F.lit("page_pg="), F.lpad(F.col("page").cast("string"), 20, "0"), F.lit(".products.json")).alias("path"),
+        F.to_json(F.col("rows.r")).alias("value"))
+
+
+def write_files(spark: SparkSession, files: DataFrame, base: str) -> None:
+    """Each ``path, value`` as a file below ``base``, a folder that all executors share."""
+    def put(batches):
+        store, folder = fs.FileSystem.from_uri(base)
+        made = 0
+        for batch in batches:
+            for path, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                store.create_dir(f"{folder}/{path}".rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(f"{folder}/{path}") as out:
+                    out.write(value.encode())
+                made += 1
+        yield pa.RecordBatch.from_arrays([pa.array([made])], ["n"])
+
+    files.select("path", "value").mapInArrow(put, "n long").agg(F.sum("n")).collect()
+
+
+def bronze_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with ``listings`` (array pages of runs), ``index`` and ``evidence`` (a document per file), as scrapers leave them."""
+    base, c = workspace(spark, "bronze files"), F.col
+    rows = listings(spark, sf_dir).repartitionByRange("ref").sortWithinPartitions("ref")
+    rows = rows.withColumnsRenamed({"run_id": "scrape_run_id"}).withColumn("observed_at_utc", iso_text(c("observed_at")))
+    pages = array_pages(rows, ["retailer", "product_url", "price_eur", "currency", "observed_at_utc", "scrape_run_id", "stock_status"])
+    write_files(spark, pages.withColumn("path", F.concat(F.lit("listings/runs/r1/"), "path")), base)
+    entry = F.to_json(F.struct("product_url", "normalized_name", F.concat("hypotheses", F.array(F.lit("\t"))).alias("hypotheses")))
+    write_files(spark, index(spark, sf_dir).select(c("index_path").alias("path"), entry.alias("value")), base)
+    inner = [n for n in evidence(spark, sf_dir).columns if n not in ("path", "product_id", "name", "hypothesis_type")]
+    document = F.to_json(F.struct("hypothesis_type", F.struct(c("name").alias("model_name")).alias("input"), F.struct(*inner).alias("extraction")))
+    write_files(spark, evidence(spark, sf_dir).select(F.concat("path", F.lit(".json")).alias("path"), document.alias("value")), base)
+    return base
+
+
 # --- the same rules as SQL -------------------------------------------------
 
 CLEAN = "trim(regexp_replace(upper({0}), '[^A-Z0-9+-]+', ' ', 'g'))"

@@ -134,7 +134,7 @@ def normalize(spark: SparkSession, sf: str) -> DataFrame:
 FROM (SELECT product_id, upper(name) AS u,
     regexp_extract(upper(name), '(GEFORCE RTX [0-9]{4}\s?TI?|GEFORCE RTX [0-9]{4}|RADEON RX [0-9]{4}\s?XT?)', 1) AS m FROM products)"""))
 def derive_chipset(spark: SparkSession, sf: str) -> DataFrame:
-    derived = L.products(spark, sf).select("product_id", text.derive_chipset(c("name")).alias("d"))
+    derived = L.products(spark, sf).select("product_id", text.derive_chipset(c("name"), compat=True).alias("d"))
     return derived.select("product_id", "d.*")
 
 

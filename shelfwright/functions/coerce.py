@@ -76,11 +76,12 @@ def to_str(v: Column) -> Column:
     return let(text, text_to_str)
 
 
-def to_int(v: Column) -> Column:
+def to_int(v: Column, dtype: str = "int") -> Column:
     """Number rounded half-even, integer text as it is, everything else NULL."""
-    number = F.bround(F.try_variant_get(v, "$", "double"), 0).try_cast("int")
-    text = text_to_int(F.try_variant_get(v, "$", "string"))
-    return _by_kind(v, F.lit(None).cast("int"), text, number, number)
+    exact = F.try_variant_get(v, "$", dtype)
+    number = F.bround(F.try_variant_get(v, "$", "double"), 0).try_cast(dtype)
+    text = text_to_int(F.try_variant_get(v, "$", "string"), dtype)
+    return _by_kind(v, F.lit(None).cast(dtype), text, number, F.coalesce(exact, number))
 
 
 def to_float(v: Column) -> Column:

@@ -36,6 +36,10 @@ def ratio(a: Column, b: Column, digits: int | None = None) -> Column:
 
 
 def exact_avg(c: Column, scale: int = 8) -> Column:
-    """Average whose value does not depend on the order of summation."""
+    """Average whose value does not depend on the order of summation.
+
+    For comparing runs only: digits past ``scale`` are cut and values from 1e20 are an error. The plans average plainly
+    unless they are given this function.
+    """
     total = F.sum(c.cast(f"decimal(28,{scale})")).cast("double")
     return F.try_divide(total, F.count(c).cast("double"))

@@ -248,15 +248,18 @@ def slug(
     return F.regexp_replace(joined, r"[^a-z0-9_]", "")
 
 
-def derive_chipset(name: Column) -> Column:
+# The listing rules as they are, and without the letter that they clip from the next word.
+_CLIPPING = r"(?U)(GEFORCE RTX \d{4}\s?TI?|GEFORCE RTX \d{4}|RADEON RX \d{4}\s?XT?)"
+_CLEAN = r"(?U)(GEFORCE RTX \d{4}(?:\s?TI\b)?|RADEON RX \d{4}(?:\s?XTX?\b)?)"
+
+
+def derive_chipset(name: Column, compat: bool = False) -> Column:
     """Struct ``manufacturer, model, vram_gb, is_oc`` by fixed listing rules.
 
-    Keeps the known clipping of the rules: ``RTX 5070 TUF`` gives ``5070 T``.
+    ``compat`` keeps the known clipping of the rules: ``RTX 5070 TUF`` gives ``5070 T``.
     """
     text = F.upper(name)
-    found = _none_if_empty(F.regexp_extract(
-        text, r"(?U)(GEFORCE RTX \d{4}\s?TI?|GEFORCE RTX \d{4}|RADEON RX \d{4}\s?XT?)", 1
-    ))
+    found = _none_if_empty(F.regexp_extract(text, _CLIPPING if compat else _CLEAN, 1))
     # Title case also raises a letter that follows a digit.
     titled = F.initcap(F.lower(found))
     for small in ("t", "x"):

@@ -31,22 +31,24 @@ def mark_known(df: DataFrame, keys: DataFrame, on: Sequence[str], out: str) -> D
 def foreign_keys(child: DataFrame, relations: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
     """Missing parents: one row per relation and unknown key with its row count.
 
-    ``relations`` holds ``(name, child_column, parent, parent_column)``. Child
-    rows are counted per key before the join, so a hot key shuffles as one row
-    per task; NULL keys reference nothing and pass.
+    ``relations`` holds ``(name, child_column, parent, parent_column)``. The child
+    is read once: each row gives its key of every relation, and these are counted
+    before the join, so a hot key shuffles as one row per task. Keys meet as text;
+    NULL keys reference nothing and pass.
     """
-    found = []
-    for name, child_col, parent, parent_col in relations:
-        counts = (
-            child.where(F.col(child_col).isNotNull())
-            .groupBy(F.col(child_col).alias("key")).agg(F.count("*").alias("n_rows"))
-        )
-        known = parent.select(F.col(parent_col).alias("key"))
-        found.append(
-            counts.join(known, "key", "left_anti")
-            .select(F.lit(name).alias("relation"), F.col("key").cast("string").alias("key"), "n_rows")
-        )
-    return reduce(DataFrame.unionByName, found)
+    references = F.array(*[
+        F.struct(F.lit(name).alias("relation"), F.col(child_col).cast("string").alias("key"))
+        for name, child_col, _, _ in relations
+    ])
+    counts = (
+        child.select(F.inline(references)).where("key is not null")
+        .groupBy("relation", "key").agg(F.count("*").alias("n_rows"))
+    )
+    known = [
+        parent.select(F.lit(name).alias("relation"), F.col(parent_col).cast("string").alias("key"))
+        for name, _, parent, parent_col in relations
+    ]
+    return counts.join(reduce(DataFrame.unionByName, known), ["relation", "key"], "left_anti")
 
 
 def purge_orphans(parent: DataFrame, child: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:

@@ -31,6 +31,18 @@ def candidate_index(dim: DataFrame, model: str = "model_name") -> DataFrame:
     return anyhow.withColumn("vram_gb", F.lit(None).cast("int")).unionByName(exact)
 
 
+def match_candidates(attempts: DataFrame, dim: DataFrame, keep: list[str], model: str = "model_name") -> DataFrame:
+    """One row per attempt and chip with its key: ``keep``, ``chip_id``, its capacity and whether the capacity agrees.
+
+    ``attempts`` has ``vendor_id, model_key, vram_gb`` of match attempts; one without vendor or key has no candidates. An
+    attempt without capacity keeps all of them.
+    """
+    keyed = dimension_keys(dim, model).withColumnRenamed("vram_gb", "candidate_vram_gb")
+    fits = F.col("vram_gb").isNull() | F.coalesce(F.col("vram_gb") == F.col("candidate_vram_gb"), F.lit(False))
+    usable = attempts.where("vendor_id is not null and model_key is not null")
+    return usable.join(keyed, ["vendor_id", "model_key"]).select(*keep, "chip_id", "candidate_vram_gb", fits.alias("kept"))
+
+
 def key_samples(dim: DataFrame, n: int = 10, model: str = "model_name") -> DataFrame:
     """The first ``n`` model keys of each vendor in text order."""
     keys = dimension_keys(dim, model).select("vendor_id", "model_key").distinct()

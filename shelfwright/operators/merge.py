@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwright.operators.latest import first_by_key
 
@@ -20,14 +21,15 @@ def append_new(
     The batch is exchanged once on ``key``; the ranking and the anti join share
     that partitioning. ``prune`` names a column the key determines (for instance
     the observation date): only target rows inside the batch's range of it are
-    read.
+    read, and those without a value if the batch has such rows.
     """
     first = first_by_key(batch, [key], order)
     if target is None:
         return first
     if prune:
-        lo, hi = batch.agg(F.min(prune), F.max(prune)).first()
-        target = target.where(F.col(prune).between(lo, hi))
+        lo, hi = batch.agg(F.min(prune)).scalar(), batch.agg(F.max(prune)).scalar()
+        blank = batch.agg(F.coalesce(F.bool_or(F.col(prune).isNull()), F.lit(False))).scalar()
+        target = target.where(F.col(prune).between(lo, hi) | (F.col(prune).isNull() & blank))
     return first.join(target.select(key), key, "left_anti")
 
 
@@ -47,26 +49,27 @@ def append_preview(target: DataFrame | None, batch: DataFrame, key: str) -> Data
     ).drop("_known")
 
 
-def conform_to_target(batch: DataFrame, target_columns: Sequence[str]) -> DataFrame:
-    """Select what the target has; columns it lacks are left out.
+def conform_to_target(batch: DataFrame, target: T.StructType) -> DataFrame:
+    """Columns and types of the target; what it lacks is left out.
 
-    Optional target columns that the batch lacks become NULL.
+    Optional target columns that the batch lacks become NULL. A value that does
+    not fit the target's type is an error, as in a table's own insert.
     """
     return batch.select(*[
-        F.col(c) if c in batch.columns else F.lit(None).alias(c) for c in target_columns
+        (F.col(f.name) if f.name in batch.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in target.fields
     ])
 
 
 def upsert(
-    target: DataFrame, batch: DataFrame, key: str, now: Column, order: Sequence[str | Column] = ()
+    target: DataFrame, batch: DataFrame, key: str, now: Column, order: Sequence[str | Column]
 ) -> DataFrame:
     """New state of ``target``: batch rows replace all non-key columns.
 
     ``created_at`` survives an update, ``updated_at`` becomes ``now`` on every
     row the batch touches. With repeats of a key in the batch the first in
-    ``order`` wins.
+    ``order``, which must tell them apart, wins.
     """
-    source = first_by_key(batch, [key], order or [key])
+    source = first_by_key(batch, [key], order)
     payload = [c for c in source.columns if c != key]
     renamed = source.select(key, *[F.col(c).alias(f"_new_{c}") for c in payload], F.lit(True).alias("_hit"))
     merged = target.join(renamed, key, "full_outer")

@@ -6,12 +6,12 @@ DataFrames; ``register_views`` gives them SQL names.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwright.functions.price import exact_avg, ratio
+from shelfwright.functions.price import ratio
 from shelfwright.functions.text import full_name
 from shelfwright.operators.joins import prefix_join
 from shelfwright.operators.latest import latest_by_key, top_k
@@ -65,18 +65,19 @@ def technical_sheet(
 
 
 def value_analysis(
-    sheet: DataFrame, prices: DataFrame, available_only: bool = False, digits: int | None = 2
+    sheet: DataFrame, prices: DataFrame, available_only: bool = False, digits: int | None = 2,
+    average: Callable[[Column], Column] = F.avg,
 ) -> DataFrame:
     """Market statistics per chip: variants, price span and price per GB.
 
-    The average is summed exactly, so it is the same for every partitioning.
-    ``available_only`` keeps offers in or low in stock.
+    ``available_only`` keeps offers in or low in stock. ``average`` may be ``price.exact_avg``, which is the same for
+    every partitioning.
     """
     offers = prices.where(F.col("stock_status").isin(*AVAILABLE_STATUS)) if available_only else prices
     stats = offers.groupBy("chip_id").agg(
         F.count_distinct("variant_id").alias("available_variants"),
         F.min("price_eur").alias("min_price_eur"),
-        exact_avg(F.col("price_eur")).alias("avg_price_eur"),
+        average(F.col("price_eur")).alias("avg_price_eur"),
         F.max("price_eur").alias("max_price_eur"),
     )
     facts = sheet.select("chip_id", "full_model_name", "vendor_name", "vram_gb", "memory_bandwidth_gbs", "tdp_watts")
@@ -168,6 +169,7 @@ def capacity_per_watt(
 def price_history(
     observations: DataFrame, keys: Sequence[str] = ("variant_id",), time: str = "observed_at",
     price: str = "price_eur", tie: Sequence[str] = ("observation_id",), period: str | None = None,
+    average: Callable[[Column], Column] = F.avg,
 ) -> DataFrame:
     """Count, span, average, first and last price per key and optional period.
 
@@ -183,7 +185,7 @@ def price_history(
     return df.groupBy(*groups).agg(
         F.count("*").alias("n_observations"),
         F.min(price).alias("min_price"),
-        exact_avg(F.col(price)).alias("avg_price"),
+        average(F.col(price)).alias("avg_price"),
         F.max(price).alias("max_price"),
         F.min_by(price, when).alias("first_price"),
         F.max_by(price, when).alias("last_price"),

@@ -8,9 +8,11 @@ gets one outcome; accepted and rejected rows together are the input.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwright.functions import coerce
 from shelfwright.functions.ids import stable_id
@@ -22,7 +24,9 @@ from shelfwright.operators.merge import append_new, conform_to_target
 from shelfwright.operators.normalize import normalize_listings
 from shelfwright.operators.quality import reject_cascade
 from shelfwright.schemas import COOLING_TYPES, EVIDENCE_TYPE, STOCK_STATUS
+from shelfwright.session import written
 
+_ORDER = ("ref", "file", "pos")
 ERRORS = ("unreadable", "unknown_variant")
 _EVIDENCE_TEXT = (
     "aib_manufacturer", "aib_model_suffix", "chipset_manufacturer", "chipset_model", "part_number",
@@ -41,7 +45,9 @@ def coerce_evidence(documents: DataFrame) -> DataFrame:
     VARIANT and are coerced here by their JSON type.
     """
     e = F.col("extraction")
-    own = F.coalesce(coerce.to_str(e["aib_model_suffix"]), coerce.to_str(e["model_suffix"]))
+    # The first suffix that is no empty text counts, even if it is blank.
+    given = F.coalesce(F.try_variant_get(e["aib_model_suffix"], "$", "string") != "", F.lit(False))
+    own = F.when(given, coerce.to_str(e["aib_model_suffix"])).otherwise(coerce.to_str(e["model_suffix"]))
     columns = [own.alias(n) if n == "aib_model_suffix" else coerce.to_str(e[n]).alias(n) for n in _EVIDENCE_TEXT]
     columns += [coerce.to_int(e[n]).alias(n) for n in _EVIDENCE_INT]
     return documents.select(
@@ -176,6 +182,35 @@ def classify_observations(
     return cleaned.withColumn("observation_id", F.when(c("outcome").isNull(), ids))
 
 
+@dataclass(frozen=True)
+class Load:
+    """Tables of one run: new variants, judged listings and new facts."""
+
+    variants: DataFrame
+    classified: DataFrame
+    observations: DataFrame
+
+
+def silver_pipeline(
+    spark: SparkSession, listings: DataFrame, index: DataFrame, evidence: DataFrame, dim: DataFrame,
+    variants: DataFrame | None = None, observations: DataFrame | None = None, schema: T.StructType | None = None,
+) -> Load:
+    """The whole load, from what the bronze readers give to new variants and facts.
+
+    ``listings`` comes from ``read_listings``, ``index`` from ``read_index`` and ``evidence`` from ``coerce_evidence``;
+    ``variants`` and ``observations`` are the existing tables, if any. Evidence is matched once: the match and the judged
+    listings are written to shared storage, because the variants, the facts and the reports all read them.
+    """
+    matched = written(spark, match_evidence(evidence, dim), "matched")
+    accepted = classify_evidence(matched).where("outcome is null")
+    new = written(spark, append_new(variants, variant_rows(accepted), "variant_id", ["path"]).drop("path"), "variants")
+    known = new.select("variant_id") if variants is None else new.select("variant_id").union(variants.select("variant_id"))
+    readable = listings.where("readable") if "readable" in listings.columns else listings
+    judged = classify_observations(readable.drop("readable"), index, matched, known)
+    classified = written(spark, judged, "classified")
+    return Load(new, classified, load_observations(classified, target=observations, schema=schema))
+
+
 def outcome_counts(classified: DataFrame, key: str, target: DataFrame | None = None) -> DataFrame:
     """Rows per outcome, with accepted rows told apart as inserted or duplicate.
 
@@ -209,23 +244,32 @@ def accepted_observations(classified: DataFrame) -> DataFrame:
     optional = [c for c in ("sku", "currency") if c in classified.columns]
     return classified.where("outcome is null").withColumnsRenamed({"run_id": "scrape_run_id"}).select(
         "observation_id", "variant_id", "retailer", "product_url", "price_eur", "stock_status",
-        "observed_at", "scrape_run_id", *optional, *[c for c in ("ref",) if c in classified.columns],
+        "observed_at", "scrape_run_id", *optional, *[c for c in _ORDER if c in classified.columns],
     )
 
 
+def scan_order(rows: DataFrame) -> list[str]:
+    """``file, pos`` where the rows carry them, else the reference."""
+    return ["file", "pos"] if {"file", "pos"} <= set(rows.columns) else ["ref"]
+
+
 def load_observations(
-    classified: DataFrame, order: Sequence[str] = ("ref",), target: DataFrame | None = None,
-    target_columns: Sequence[str] | None = None,
+    classified: DataFrame, order: Sequence[str] | None = None, target: DataFrame | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """New fact rows in the target's columns: first per id, unless it exists."""
-    rows = append_new(target, accepted_observations(classified), "observation_id", list(order))
-    columns = target.columns if target is not None else target_columns
-    return conform_to_target(rows, columns) if columns else rows.drop("ref")
+    """New fact rows in the target's columns and types: first per id, unless it exists.
+
+    The order is that of the scan (file, then number within it) unless another is given.
+    """
+    accepted = accepted_observations(classified)
+    rows = append_new(target, accepted, "observation_id", list(order or scan_order(accepted)))
+    schema = target.schema if target is not None else schema
+    return conform_to_target(rows, schema) if schema else rows.drop(*_ORDER)
 
 
 def reject_table(
     classified: DataFrame, target: DataFrame | None = None, ref: str = "ref",
-    order: Sequence[str] = ("ref",), duplicates: bool = True,
+    order: Sequence[str] | None = None, duplicates: bool = True,
 ) -> DataFrame:
     """Rejected listings with reason, both attempts and the would-be ids.
 
@@ -244,7 +288,7 @@ def reject_table(
         failed = classified.where("outcome is not null")
         return failed.groupBy(ref, *columns).agg(F.count("*").alias("n_copies"))
     ok = classified.where("outcome is null")
-    winners = ok.groupBy("observation_id").agg(F.min_by(ref, F.struct(*order)).alias(ref))
+    winners = ok.groupBy("observation_id").agg(F.min_by(ref, F.struct(*(order or scan_order(ok)))).alias(ref))
     if target is not None:
         winners = winners.join(target.select("observation_id"), "observation_id", "left_anti")
     inserted = winners.select(ref, F.lit(1).alias("_first"), F.lit("duplicate").alias("outcome"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "shelfwright", master: str | None = None, **conf: str) -> SparkSession:
@@ -45,3 +45,13 @@ def workspace(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="shelfwright-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, read back: computed once, and its lineage ends there.
+
+    The folder lies below ``spark.checkpoint.dir``; who owns that folder clears it.
+    """
+    path = workspace(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 FIELDS = {
     "aib_manufacturer": "string", "aib_model_suffix": "string", "chipset_manufacturer": "string",
@@ -22,12 +23,15 @@ NESTED_DEFAULTS = {"displayport_count": 0, "hdmi_count": 0}
 
 
 def _pick(df: DataFrame, names: dict[str, str], defaults: dict[str, object]) -> list[Column]:
-    """Every canonical field: mapped column, same-named column, default or NULL."""
+    """Every canonical field: mapped column, same-named column, default or NULL.
+
+    A value that is no text of the field's type counts as absent.
+    """
     columns = []
     for field, kind in FIELDS.items():
         source = names.get(field, field)
         known = source in df.columns
-        value = F.col(source).cast(kind) if known else F.lit(None).cast(kind)
+        value = F.col(source).try_cast(kind) if known else F.lit(None).cast(kind)
         if field in defaults:
             value = F.coalesce(value, F.lit(defaults[field]).cast(kind))
         columns.append(value.alias(field))
@@ -45,8 +49,14 @@ PRODUCERS: dict[str, tuple[dict[str, str], dict[str, object]]] = {
 
 
 def conform(df: DataFrame, source: str, keep: Sequence[str] = ()) -> DataFrame:
-    """``keep`` columns, ``source`` and the canonical extraction fields."""
+    """``keep`` columns, ``source`` and the canonical extraction fields.
+
+    Where the payload holds its fields in a struct ``extraction``, they are read from there.
+    """
     names, defaults = PRODUCERS[source]
+    if "extraction" in df.columns and isinstance(df.schema["extraction"].dataType, T.StructType):
+        inner = [f.name for f in df.schema["extraction"].dataType]
+        df = df.select(*[c for c in df.columns if c != "extraction" and c not in inner], "extraction.*")
     if source == "nested":
         df = df.withColumn("chipset_manufacturer", F.substring_index("chipset", " ", 1))
     return df.select(*keep, F.lit(source).alias("source"), *_pick(df, names, defaults))

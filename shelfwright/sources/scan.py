@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwright import schemas
-from shelfwright.functions.coerce import to_str
+from shelfwright.functions.coerce import to_float, to_int, to_str
 from shelfwright.functions.ids import stable_id
 from shelfwright.functions.jsontext import parse_strict
 from shelfwright.functions.text import has_text
@@ -20,11 +21,16 @@ LISTING_GLOB = "page_pg=*.products.json"
 
 
 def _relative(root: str | None) -> Column:
-    """Path below ``root``, or the whole path."""
-    path = F.col("_metadata.file_path")
+    """Path below ``root``, or the whole path; a file that is not below it has none."""
+    # The reader percent-encodes paths; a plus sign stands for itself.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     if root is None:
         return path
-    return F.regexp_extract(path, rf"{root.strip('/')}/(.*)$", 1)
+    below = f"{root.rstrip('/')}/"
+    if ":" in root.split("/", 1)[0]:
+        return F.when(path.startswith(below), F.substring(path, len(below) + 1, F.length(path)))
+    at = F.instr(path, below)
+    return F.when(at > 0, F.substring(path, at + len(below), F.length(path)))
 
 
 def parse_array_pages(pages: DataFrame, text: str, schema: T.StructType) -> DataFrame:
@@ -40,10 +46,14 @@ def parse_array_pages(pages: DataFrame, text: str, schema: T.StructType) -> Data
     listed = pages.withColumn("_objects", objects).withColumn("readable", F.col("_objects").isNotNull())
     keep = [c for c in pages.columns if c != text]
     exploded = listed.select(*keep, "readable", F.posexplode_outer("_objects").alias("pos", "_item"))
-    fields = [
-        F.try_variant_get("_item", f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
-        for f in schema.fields
-    ]
+    def value(field: T.StructField) -> Column:
+        kind = field.dataType.simpleString()
+        if kind in ("double", "int", "bigint"):  # by the JSON type: neither true nor "5d" is a number
+            raw = F.try_variant_get("_item", f"$.{field.name}", "variant")
+            return (to_float(raw) if kind == "double" else to_int(raw, kind)).alias(field.name)
+        return F.try_variant_get("_item", f"$.{field.name}", kind).alias(field.name)
+
+    fields = [value(f) for f in schema.fields]
     record = F.when(F.col("_item").isNotNull(), F.struct(*fields))
     return exploded.withColumn("record", record).drop("_item").where(
         ~F.col("readable") | F.col("pos").isNotNull()
@@ -57,23 +67,29 @@ def read_array_files(
     glob: str = LISTING_GLOB,
     root: str | None = None,
     limit: int | None = None,
+    within: str = "",
 ) -> DataFrame:
     """All records of array files below ``path`` with file, position and reference.
 
-    ``ref`` is ``<path below root>#<pos>``. ``limit`` keeps the first records in
-    (file, position) text order; unreadable files come through as rows with
-    ``readable`` false and do not count.
+    ``ref`` is ``<path below root>#<pos>``. ``limit`` keeps the first records by file
+    and position; files that are unreadable or not below ``root`` come through as rows
+    with ``readable`` false, do not count, and end where the last kept record's file
+    ends. ``within`` is a part that paths must have. One file is one row: array files
+    are pages of listings, which are small, and must fit a task.
     """
     files = (
         spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
         .text(path, wholetext=True)
-        .select(_relative(root).alias("file"), F.col("value"))
+        .select(_relative(root).alias("file"), F.when(_relative(root).isNotNull(), F.col("value")).alias("value"), F.col("_metadata.file_path").alias("_path"))
+        .where(F.contains("_path", F.lit(within))).withColumn("file", F.coalesce("file", "_path")).drop("_path")
     )
     rows = parse_array_pages(files, "value", schema)
     rows = rows.withColumn("ref", F.when(F.col("pos").isNotNull(), F.concat("file", F.lit("#"), F.col("pos"))))
     if limit is None:
         return rows
-    return first_rows(rows.where("readable"), ["file", "pos"], limit)
+    kept = first_rows(rows.where("readable"), ["file", "pos"], limit)
+    last = kept.agg(F.when(F.count("*") >= limit, F.max("file"))).scalar()
+    return kept.union(rows.where("not readable").where(last.isNull() | (F.col("file") <= last)))
 
 
 def read_documents(
@@ -91,17 +107,57 @@ def read_documents(
     """
     if prefer:
         preferred = f"{path.rstrip('/')}/{prefer}"
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(preferred)
-        fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-        path = preferred if fs.exists(hadoop) else path
-    files = (
+        path = preferred if _exists(spark, preferred) else path
+    texts = (
         spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-        .text(path, wholetext=True)
-        .select(_relative(root).alias("path"), "value", parse_strict(F.col("value")).alias("_v"))
+        .text(path, wholetext=True).select(_relative(root).alias("path"), "value")
     )
+    # Cut by path first: only what is kept gets parsed.
+    files = first_rows(texts, ["path"], limit).select("path", "value", parse_strict(F.col("value")).alias("_v"))
     readable = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
     parsed = files.select("path", F.from_json("value", schema).alias("_doc"), readable.alias("readable"))
-    return first_rows(parsed.select("path", "_doc.*", "readable"), ["path"], limit)
+    return parsed.select("path", "_doc.*", "readable")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").schema
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def read_listings(
+    spark: SparkSession, path: str, root: str | None = None, limit: int | None = None, glob: str = LISTING_GLOB, within: str = "/runs/",
+) -> DataFrame:
+    """Listings of run pages as the silver load takes them: flat, with ``observed_at``, ``run_id``, file, position and reference.
+
+    Unreadable pages are rows with ``readable`` false and no other value.
+    """
+    rows = read_array_files(spark, path, schemas.LISTING, glob, root, limit, within)
+    return rows.select("file", "pos", "ref", "readable", "record.*").withColumnsRenamed(
+        {"observed_at_utc": "observed_at", "scrape_run_id": "run_id"})
+
+
+def read_index(spark: SparkSession, path: str, root: str | None = None) -> DataFrame:
+    """Index documents with their ``url_hash``, which is the file's name; a file that is no object is left out.
+
+    ``hypotheses`` keeps the texts that are not blank; a value that is no list is none.
+    """
+    files = (
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+        .text(path, wholetext=True)
+        .select(_relative(root).alias("index_path"), parse_strict(F.col("value")).alias("_v"))
+        .where(F.schema_of_variant("_v").startswith("OBJECT"))
+    )
+    refs = F.try_variant_get("_v", "$.hypotheses", "array<variant>")
+    named = F.filter(F.transform(refs, to_str), has_text)
+    own = [F.try_variant_get("_v", f"$.{n}", "string").alias(n) for n in ("normalized_name", "product_url", "retailer", "first_seen_at")]
+    return files.select(
+        F.regexp_extract("index_path", r"([^/]*)\.json$", 1).alias("url_hash"), *own, "index_path",
+        F.coalesce(named, F.array().cast("array<string>")).alias("hypotheses"))
 
 
 def split_permissive(df: DataFrame, corrupt: str = "_corrupt") -> tuple[DataFrame, DataFrame]:
@@ -120,7 +176,7 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 def explode_index(df: DataFrame, refs_col: str) -> DataFrame:
     """One row per reference of an index document; blank references are dropped."""
-    refs = F.filter(F.col(refs_col), lambda r: F.trim(r) != "")
+    refs = F.filter(F.col(refs_col), has_text)
     return df.withColumn("ref", F.explode(refs)).drop(refs_col)
 
 

@@ -1,14 +1,21 @@
 """Structured Streaming twins of the batch jobs.
 
-Each micro-batch writes its own ``batch_id=<n>`` folder in overwrite mode, so a
-batch that is replayed after a failure replaces its first attempt. What earlier
-batches wrote is the state; nothing grows in memory.
+A micro-batch writes its own folder ``run=<id>/batch_id=<n>`` in overwrite mode. The run id is the streaming query's, which lives in
+its checkpoint: a batch that is replayed after a failure replaces its first attempt, and a start with a new checkpoint, whose
+batch numbers begin at 0 again, never touches what earlier runs wrote. What all other folders hold is the state; nothing grows
+in memory.
+
+Stores of keyed rows are also split into ``SHARDS`` folders by a hash of the key, and a batch reads only the shards that it has
+keys of.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,43 +26,83 @@ from shelfwright.operators.latest import latest_by_key
 from shelfwright.operators.merge import append_new
 
 Order = Sequence[str | Column]
+SHARDS = 16
+#: Of a store's own columns.
+_RUN, _BATCH, _SHARD = "run", "batch_id", "shard"
+
 
+def _store_schema(schema: T.StructType, sharded: bool) -> T.StructType:
+    own = [T.StructField(_RUN, T.StringType()), T.StructField(_BATCH, T.LongType())]
+    return T.StructType([*schema.fields, *own, *([T.StructField(_SHARD, T.IntegerType())] if sharded else [])])
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
+def _open(spark: SparkSession, path: str, schema: T.StructType, sharded: bool) -> DataFrame | None:
+    try:
+        return spark.read.schema(_store_schema(schema, sharded)).option("basePath", path).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
-def _schema_with_batch(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
 
+def read_batches(
+    spark: SparkSession, path: str, schema: T.StructType, besides: tuple[str, int] | None = None, sharded: bool = True,
+) -> DataFrame | None:
+    """Rows written so far, without those of the folder ``besides`` (run, batch); NULL when there is no store yet."""
+    rows = _open(spark, path, schema, sharded)
+    if rows is None or besides is None:
+        return rows
+    return rows.where(~((F.col(_RUN) == besides[0]) & (F.col(_BATCH) == besides[1])))
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame | None:
-    """Rows written so far, or by batches before ``before``; NULL when none are."""
-    if not _exists(spark, path):
-        return None
-    rows = spark.read.schema(_schema_with_batch(schema)).parquet(path)
-    return rows if before is None else rows.where(F.col("batch_id") < before)
 
+def _run_of(batch: DataFrame, checkpoint: str) -> str:
+    """The streaming query's id; where the session does not tell it, one made of the checkpoint's path."""
+    try:
+        found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    except Exception:  # no Spark context in a remote session
+        found = None
+    return found or hashlib.sha256(checkpoint.encode()).hexdigest()[:32]
+
+
+def _start(stream: DataFrame, step: Callable[[DataFrame, str, int], None], checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    def each(batch: DataFrame, batch_id: int) -> None:
+        step(batch, _run_of(batch, checkpoint), batch_id)
 
-def _start(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     return (
-        stream.writeStream.foreachBatch(step)
+        stream.writeStream.foreachBatch(each)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .trigger(**(trigger or {"availableNow": True})).start()
     )
 
 
-def ingest(stream: DataFrame, path: str, checkpoint: str, key: str, order: Order) -> StreamingQuery:
-    """Append each key once: the first arrival wins, as in the batch load."""
+def _shard(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(SHARDS)).cast("int")
+
+
+def _append(batch: DataFrame, path: str, schema: T.StructType, key: str, order: Order, run: str, batch_id: int) -> None:
+    """Write the batch's keys that no other folder of the store has."""
+    spark = batch.sparkSession
+    seen = read_batches(spark, path, schema, besides=(run, batch_id))
+    if seen is not None:
+        touched = [r[0] for r in batch.select(_shard(key)).distinct().collect()]  # at most SHARDS
+        seen = seen.where(F.col(_SHARD).isin(touched)) if len(touched) < SHARDS else seen
+    rows = append_new(seen, batch, key, order).withColumn(_SHARD, _shard(key))
+    rows.write.mode("overwrite").partitionBy(_SHARD).parquet(f"{path}/{_RUN}={run}/{_BATCH}={batch_id}")
+
+
+def ingest(
+    stream: DataFrame, path: str, checkpoint: str, key: str, order: Order, trigger: dict | None = None
+) -> StreamingQuery:
+    """Append each key once: the first arrival wins, as in the batch load.
+
+    ``trigger`` holds the arguments of ``DataStreamWriter.trigger``; the default takes what is there and ends.
+    """
     schema = stream.schema
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        target = read_batches(batch.sparkSession, path, schema, before=batch_id)
-        rows = append_new(target, batch, key, order)
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    def step(batch: DataFrame, run: str, batch_id: int) -> None:
+        _append(batch, path, schema, key, order, run, batch_id)
 
-    return _start(stream, step, checkpoint)
+    return _start(stream, step, checkpoint, trigger)
 
 
 def dedup_within(stream: DataFrame, key: str, time: str, delay: str) -> DataFrame:
@@ -64,46 +111,50 @@ def dedup_within(stream: DataFrame, key: str, time: str, delay: str) -> DataFram
     return stream.withColumn(time, moment).withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def latest(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], time: str, tie: Order) -> StreamingQuery:
+def latest(
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], time: str, tie: Order, trigger: dict | None = None
+) -> StreamingQuery:
     """Keep the newest row per key; rows that arrive late lose by their time.
 
-    A batch writes only its own newest rows; ``current_state`` settles them.
+    A batch writes only its own newest rows; ``current_state`` settles them and ``compact_state`` shortens what it reads.
     """
-    def step(batch: DataFrame, batch_id: int) -> None:
+    def step(batch: DataFrame, run: str, batch_id: int) -> None:
         rows = latest_by_key(batch, keys, time, tie)
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{path}/{_RUN}={run}/{_BATCH}={batch_id}")
 
-    return _start(stream, step, checkpoint)
+    return _start(stream, step, checkpoint, trigger)
 
 
 def current_state(
     spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], time: str, tie: Order
 ) -> DataFrame:
-    """Newest row per key over all batches."""
-    rows = spark.read.schema(_schema_with_batch(schema)).parquet(path).drop("batch_id")
-    return latest_by_key(rows, keys, time, tie)
+    """Newest row per key over all batches of all runs."""
+    rows = read_batches(spark, path, schema, sharded=False)
+    if rows is None:
+        return spark.createDataFrame([], schema)
+    return latest_by_key(rows.drop(_RUN, _BATCH), keys, time, tie)
 
 
 def compact_state(
     spark: SparkSession, path: str, out: str, schema: T.StructType, keys: Sequence[str], time: str, tie: Order
 ) -> None:
-    """Write the settled state as batch 0 of a new folder, to restart from."""
-    current_state(spark, path, schema, keys, time, tie).write.parquet(f"{out}/batch_id=0")
+    """Write the settled state to a new folder, as a run of its own: streams may go on there with any checkpoint."""
+    state = current_state(spark, path, schema, keys, time, tie)
+    state.write.parquet(f"{out}/{_RUN}=compacted-{uuid.uuid4().hex}/{_BATCH}=0")
 
 
 def new_products(
-    stream: DataFrame, path: str, checkpoint: str, order: Order, index: DataFrame | None = None, url: str = "product_url"
+    stream: DataFrame, path: str, checkpoint: str, order: Order, index: DataFrame | None = None, url: str = "product_url",
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Emit every url once that neither the index nor an earlier batch has."""
+    """Emit every url once that neither the index nor another batch has."""
     hashed = stream.withColumn("url_hash", url_hash(F.col(url)))
     schema = hashed.schema
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        seen = read_batches(batch.sparkSession, path, schema, before=batch_id)
+    def step(batch: DataFrame, run: str, batch_id: int) -> None:
         fresh = batch
         if index is not None:
             fresh = fresh.join(index.select("url_hash").distinct(), "url_hash", "left_anti").select(*batch.columns)
-        rows = append_new(seen, fresh, "url_hash", order)
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        _append(fresh, path, schema, "url_hash", order, run, batch_id)
 
-    return _start(hashed, step, checkpoint)
+    return _start(hashed, step, checkpoint, trigger)

@@ -71,7 +71,9 @@ def test_unknown_brand(spark):
 
 
 def test_derivations(values):
-    derived = values(text.derive_chipset, ["GeForce RTX 5070 TUF 12GB OC", "Radeon RX 7900 XTX", "RX 7600 8GB", "geforce rtx 5060ti"])
+    names = ["GeForce RTX 5070 TUF 12GB OC", "Radeon RX 7900 XTX", "RX 7600 8GB", "geforce rtx 5060ti"]
+    assert [d.model for d in values(text.derive_chipset, names)] == ["Geforce Rtx 5070", "Radeon Rx 7900 Xtx", None, "Geforce Rtx 5060Ti"]
+    derived = values(lambda c: text.derive_chipset(c, compat=True), names)
     assert [tuple(d) for d in derived] == [
         ("NVIDIA", "Geforce Rtx 5070 T", 12, True), ("AMD", "Radeon Rx 7900 Xt", None, False),
         ("AMD", None, None, False), ("NVIDIA", "Geforce Rtx 5060Ti", None, False),

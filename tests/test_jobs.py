@@ -43,6 +43,39 @@ def test_stream_ingest_once(spark, tmp_path):
     assert sorted(r.k for r in jobs.read_batches(spark, f"{base}/rows", rows.schema).collect()) == list(range(7))
 
 
+def test_stream_restarts(spark, tmp_path):
+    """New checkpoints, other batch sizes and compaction give the rows of the batch twin."""
+    parts = [spark.createDataFrame([(i, v) for i in keys], "k int, v int") for v, keys in enumerate((range(0, 4), range(2, 6), range(5, 9)))]
+    base = str(tmp_path / "restarts")
+
+    starts = iter(range(99))
+
+    def stream(*which):
+        folder = f"{base}/in-{next(starts)}"
+        for i in which:
+            parts[i].coalesce(1).write.parquet(f"{folder}/{i}")
+        return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(folder)
+
+    def rows():
+        return sorted((r.k, r.v) for r in jobs.read_batches(spark, f"{base}/rows", parts[0].schema).collect())
+
+    jobs.ingest(stream(0, 1), f"{base}/rows", f"{base}/cp1", "k", ["v"]).awaitTermination()
+    first = rows()
+    assert [k for k, _ in first] == list(range(6))
+    jobs.ingest(stream(0, 1), f"{base}/rows", f"{base}/cp2", "k", ["v"]).awaitTermination()
+    assert rows() == first
+    jobs.ingest(stream(2), f"{base}/rows", f"{base}/cp3", "k", ["v"]).awaitTermination()
+    assert rows() == first + [(6, 2), (7, 2), (8, 2)]
+
+    keys, order = ["k"], ["v"]
+    state = lambda path: sorted(map(tuple, jobs.current_state(spark, path, parts[0].schema, keys, "v", order).collect()))
+    jobs.latest(stream(0, 1), f"{base}/state", f"{base}/cp4", keys, "v", order).awaitTermination()
+    jobs.compact_state(spark, f"{base}/state", f"{base}/compact", parts[0].schema, keys, "v", order)
+    jobs.latest(stream(2), f"{base}/compact", f"{base}/cp5", keys, "v", order).awaitTermination()
+    both = parts[0].union(parts[1]).union(parts[2])
+    assert state(f"{base}/compact") == sorted(map(tuple, latest_by_key(both, keys, "v", order).collect()))
+
+
 def test_stream_new_products(spark, tmp_path):
     rows = spark.createDataFrame([(f"u{i % 9}",) for i in range(40)], "product_url string")
     known = spark.createDataFrame([("u1",), ("u2",)], "u string").select(F.sha2("u", 256).alias("url_hash"))
@@ -68,7 +101,7 @@ def test_silver_invariants(spark):
     assert total == spark.read.parquet(f"{SF}/lineitem.parquet").count()
     counts = {r.outcome: r.n_rows for r in silver.outcome_counts(classified, "observation_id").collect()}
     assert sum(counts.values()) == total
-    facts = silver.load_observations(classified, target_columns=Q._FACT).persist()
+    facts = silver.load_observations(classified, schema=Q._FACT).persist()
     assert facts.count() == counts["inserted"]
     rejected = silver.reject_table(classified)
     assert rejected.agg(F.sum("n_copies")).first()[0] == total - counts["inserted"]

@@ -124,6 +124,10 @@ def test_append(spark):
     assert rows(preview, "id") == [("a", 1, 0, 1), ("b", 2, 1, 1), ("c", 1, 1, 0)]
     assert preview.agg(F.sum("inserted")).first()[0] == new.count()
     assert merge.append_new(target, batch, "id", ["v"], prune="v").count() == 3
+    # A known key whose prune column is NULL is not added again.
+    old = spark.createDataFrame([("x", None)], "id string, v int")
+    new = spark.createDataFrame([("x", None), ("y", 4)], "id string, v int")
+    assert [r.id for r in merge.append_new(old, new, "id", ["v"], prune="v").collect()] == ["y"]
 
 
 def test_upsert(spark):

@@ -32,6 +32,45 @@ def test_array_files(spark, tmp_path):
     assert sorted(r.ref for r in first.collect()) == [g[0] for g in got[:2]]
 
 
+def test_awkward_pages(spark, tmp_path):
+    """Folder names with blanks and signs, values of the wrong type, more than ten records, errors under a limit."""
+    base = tmp_path / "a b+c(d)"
+    many = [{"product_url": f"u{i}", "price_eur": i + 0.5} for i in range(12)]
+    write(base / "runs" / "r 1" / "page_pg=1.products.json", many)
+    write(base / "runs" / "r 1" / "page_pg=0.products.json", "{}")
+    odd = [{"price_eur": True}, {"price_eur": "5d"}, {"price_eur": "7.25"}, {"price_eur": 3, "page_number": "2"}]
+    write(base / "runs" / "r+2" / "page_pg=1.products.json", odd)
+    write(base / "other" / "page_pg=9.products.json", many)
+    rows = scan.read_listings(spark, str(tmp_path), root=str(base))
+    assert rows.where("readable").count() == 16 and rows.where("readable").select("ref").distinct().count() == 16
+    assert {r.file for r in rows.collect()} == {"runs/r 1/page_pg=1.products.json", "runs/r 1/page_pg=0.products.json", "runs/r+2/page_pg=1.products.json"}
+    assert [r.price_eur for r in rows.where("file like 'runs/r+2%'").orderBy("pos").collect()] == [None, None, 7.25, 3.0]
+    cut = scan.read_listings(spark, str(tmp_path), root=str(base), limit=11)
+    assert cut.where("not readable").count() == 1 and sorted(r.pos for r in cut.where("readable").collect()) == list(range(11))
+
+
+def test_index_files(spark, tmp_path):
+    write(tmp_path / "ab" / "abc.json", {"product_url": "u", "hypotheses": ["x", " \t", None, 7]})
+    write(tmp_path / "cd.json", {"hypotheses": "none"})
+    write(tmp_path / "bad.json", [1])
+    got = sorted((r.url_hash, r.product_url, r.hypotheses) for r in scan.read_index(spark, str(tmp_path), str(tmp_path)).collect())
+    assert got == [("abc", "u", ["x", "7"]), ("cd", None, [])]
+
+
+def test_conform_nested_payload(spark):
+    inner = "cooling_type string, hdmi_count string, vram_gb string, chipset string, model_suffix string"
+    df = spark.createDataFrame([(1, ("Liquid", "2", "sixteen", "AMD Radeon RX", "Nitro"))], f"id int, extraction struct<{inner.replace(' string', ': string')}>")
+    row = conform.conform(df, "nested", ["id"]).first()
+    assert (row.cooling_type, row.hdmi_count, row.vram_gb, row.chipset_manufacturer, row.aib_model_suffix) == ("Liquid", 2, None, "AMD", "Nitro")
+
+
+def test_blank_first_suffix_counts(spark, tmp_path):
+    write(tmp_path / "1.json", {"input": {"model_name": "n"}, "extraction": {"aib_model_suffix": "  ", "model_suffix": "X"}})
+    write(tmp_path / "2.json", {"input": {"model_name": "n"}, "extraction": {"aib_model_suffix": "", "model_suffix": "X"}})
+    rows = silver.coerce_evidence(scan.read_documents(spark, str(tmp_path))).orderBy("path").collect()
+    assert [r.aib_model_suffix for r in rows] == [None, "X"]
+
+
 def test_documents(spark, tmp_path):
     doc = {"hypothesis_type": "gpu_variant", "input": {"model_name": "n"},
            "extraction": {"vram_gb": 16, "length_mm": 303.5, "width_slots": "2.5", "is_oc": True, "model_suffix": " X "}}
