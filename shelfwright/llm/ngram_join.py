@@ -6,14 +6,15 @@ are one representative from the start, so copies never meet as pairs. Then:
 * **Light sets** (up to ``boundary`` shingles) enumerate the subsets of the size that a link needs. For sizes s >= r a link is
   a common subset of c(s, r) shingles, so equal keys (s, r, subset) *are* links; a key's members are joined to its smallest
   one, not to each other.
-* **Heavy sets** scan inverted lists. A set's shingles are ordered by how many documents have them (rarest first); only the
-  first n - ceil(t n) + 1 go into the lists, with their place, which bounds the overlap that can still follow. Passages that
-  many documents share come last in that order and hardly reach the lists.
+* **Heavy sets** scan inverted lists. A set's shingles are ordered by how many sets have them (rarest first); only the first
+  n - ceil(t n) + 1 go into the lists, with their place, which bounds the overlap that can still follow. Passages that many
+  documents share come last in that order and hardly reach the lists.
 * ``boundary`` is where the subsets of one set begin to cost more than the lists it would scan (``choose_boundary``).
 
-Counts of shingles decide that order only, never the result. They are taken over all documents, of the shingles whose hash is
-below ``UNIVERSE`` (about a third); the others follow in hash order. A bit table of fixed size tells the second pass which
-shingles occur once, so a document without shared ones leaves no list entry.
+A set with more than n - ceil(t n) shingles that no other document has cannot link. Two counts find these sets: first, over all
+documents, of the shingles whose hash is below ``UNIVERSE`` (about a third, which is enough to prove it for most); then, over
+the sets that are left, of all shingles, which also gives the order. A bit table of fixed size tells a pass over the sets
+which shingles are shared; a wrong bit only lets a set through. Counts decide order and work, never the result.
 
 Lists are first compared with one leader each (the member with the fewest shingles of its own, usually the original of a
 family); what that links is one component. Only then do pairs across components meet, so a family of thousands of near
@@ -114,38 +115,50 @@ def _bit_table(shared: DataFrame, n_shared: int) -> np.ndarray:
     return table
 
 
-def _sets(spark: SparkSession, texts: DataFrame, table: np.ndarray, percent: int) -> DataFrame:
-    """A row per document; the arrays only of light sets and of sets that can have a partner.
+def _is_set(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes & np.uint64(len(table) * 8 - 1)
+    return (table[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & np.uint8(1) == 1
 
-    ``counted``: shingles in the universe; ``shared``: those of them that may be shared; ``rest``: the first of the others, if
-    the prefix is longer than ``counted``; ``whole``: the set.
-    """
-    held, mask = spark.sparkContext.broadcast(table), np.uint64(len(table) * 8 - 1)
+
+def _sets(spark: SparkSession, texts: DataFrame, table: np.ndarray, percent: int) -> DataFrame:
+    """``doc_id, n, sig1, sig2, whole`` per document; ``whole`` is the set where it is light or may have a partner, else null."""
+    held = spark.sparkContext.broadcast(table)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = held.value
         for batch in batches:
             for first, sets in shingle_sets(batch.column(1)):
-                ids = batch.column(0).slice(first, len(sets))
                 rows: list[tuple] = []
                 for own in sets:
-                    n, p = len(own), prefix(len(own), percent)
-                    mine = own[:np.searchsorted(own, UNIVERSE)]
-                    at = mine & mask
-                    hit = (bits[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & np.uint8(1)
-                    shared, rest = mine[hit == 1], own[len(mine):max(len(mine), p)]
-                    open_ = n > 0 and (len(mine) - len(shared) < min(p, len(mine)) or len(rest) > 0)
-                    one, two = signature(own)
-                    keep = open_ or n <= LIGHT_LIMIT
-                    rows.append((n, one, two, len(mine), *(x.view(np.int64) if keep else None for x in (shared, rest, own))))
-                columns = list(zip(*rows, strict=True))
-                long, longs = pa.int64(), pa.list_(pa.int64())
+                    counted = own[:np.searchsorted(own, UNIVERSE)]
+                    alone = len(counted) - int(_is_set(held.value, counted).sum())
+                    keep = len(own) <= LIGHT_LIMIT or alone < prefix(len(own), percent)
+                    rows.append((len(own), *signature(own), own.view(np.int64) if keep else None))
+                n, one, two, whole = zip(*rows, strict=True)
+                long = pa.int64()
                 yield pa.RecordBatch.from_arrays(
-                    [ids, *(pa.array(c, long) for c in columns[:4]), *(pa.array(c, longs) for c in columns[4:])],
-                    ["doc_id", "n", "sig1", "sig2", "counted", "shared", "rest", "whole"])
+                    [batch.column(0).slice(first, len(sets)), *(pa.array(c, long) for c in (n, one, two)), pa.array(whole, pa.list_(long))],
+                    ["doc_id", "n", "sig1", "sig2", "whole"])
+
+    return texts.select("doc_id", "text").mapInArrow(emit, "doc_id long, n long, sig1 long, sig2 long, whole array<long>")
+
+
+def _open_sets(spark: SparkSession, reps: DataFrame, table: np.ndarray, percent: int) -> DataFrame:
+    """``doc, n, shared`` of the sets that may have a partner: ``shared`` has the shingles that another set may have."""
+    held = spark.sparkContext.broadcast(table)
 
-    return texts.select("doc_id", "text").mapInArrow(
-        emit, "doc_id long, n long, sig1 long, sig2 long, counted long, shared array<long>, rest array<long>, whole array<long>")
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc, whole in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = whole.values.to_numpy(zero_copy_only=False)
+                shared = own[_is_set(held.value, own.view(np.uint64))]
+                if len(own) - len(shared) < prefix(len(own), percent):
+                    rows.append((doc, len(own), shared))
+            doc, n, shared = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc, pa.int64()), pa.array(n, pa.int64()), pa.array(shared, pa.list_(pa.int64()))], ["doc", "n", "shared"])
+
+    return reps.select("rep", "whole").mapInArrow(emit, "doc long, n long, shared array<long>")
 
 
 def _subset_links(light: DataFrame, boundary: int, percent: int) -> DataFrame:
@@ -171,17 +184,21 @@ def _subset_links(light: DataFrame, boundary: int, percent: int) -> DataFrame:
     return entries.join(lows, "key").select(F.col("doc").alias("a"), other.alias("b")).where("a <> b").distinct()
 
 
-def _entries(reps: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
-    """Inverted lists: ``shingle, doc, n, place, own`` of each prefix; ``own`` is the share of unshared shingles."""
-    p = F.expr(f"n - cast(ceil({percent} * n / 100.0) as bigint) + 1")
-    listed = reps.select(F.col("rep").alias("doc"), "n", "counted", F.explode("shared").alias("shingle")).join(shared, "shingle")
+def _entries(spark: SparkSession, reps: DataFrame, percent: int) -> tuple[DataFrame, float]:
+    """Inverted lists ``shingle, doc, n, place, own`` of each prefix, and the length of the list that an entry has on average.
+
+    ``own`` is the share of shingles that no other set has.
+    """
+    counts = reps.select(F.explode("whole").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    shared = written(spark, counts, "shared")
+    total = shared.agg(F.count("*").alias("n"), F.sum("df").alias("s"), F.sum(F.col("df").cast("double") ** 2).alias("q")).first()
+    open_ = _open_sets(spark, reps, _bit_table(shared, total["n"]), percent)
+    listed = open_.select("doc", "n", F.explode("shared").alias("shingle")).join(shared, "shingle")
+    alone = F.col("n") - F.expr("count(*) over (partition by doc)")
     order = F.expr("row_number() over (partition by doc order by df, shingle)")
-    found = F.expr("count(*) over (partition by doc)")
-    ranked = listed.select("shingle", "doc", "n", (F.col("counted") - found + order - 1).alias("place"),
-                           ((F.col("counted") - found) / F.col("counted")).alias("own"))
-    more = reps.where("size(rest) > 0").select(F.col("rep").alias("doc"), "n", "counted", F.posexplode("rest").alias("i", "shingle"))
-    return ranked.where(F.col("place") < p).union(
-        more.select("shingle", "doc", "n", F.col("counted") + F.col("i"), F.lit(0.0)))
+    ranked = listed.select("shingle", "doc", "n", (alone + order - 1).alias("place"), (alone / F.col("n")).alias("own"))
+    cut = F.expr(f"place < n - cast(ceil({percent} * n / 100.0) as bigint) + 1")
+    return ranked.where(cut), (total["q"] or 0) / (total["s"] or 1)
 
 
 def _possible(left: str, right: str, boundary: int, percent: int) -> Column:
@@ -204,21 +221,21 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def link_components(spark: SparkSession, documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document."""
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    shared = written(spark, _shared_counts(texts), "shared")
-    total = shared.agg(F.count("*").alias("n"), F.sum("df").alias("s"), F.sum(F.col("df").cast("double") ** 2).alias("q")).first()
-    sets = written(spark, _sets(spark, texts, _bit_table(shared, total["n"]), percent), "sets")
+    shared = written(spark, _shared_counts(texts), "counted")
+    sets = written(spark, _sets(spark, texts, _bit_table(shared, shared.count()), percent), "sets")
 
     usable = sets.where("n > 0 and doc_id is not null")
     members = usable.groupBy("n", "sig1", "sig2").agg(F.min("doc_id").alias("rep"))
-    open_ = usable.where("whole is not null").select("doc_id", "n", "sig1", "sig2", "counted", "shared", "rest", "whole")
-    reps = written(spark, open_.join(members, ["n", "sig1", "sig2"]).where("doc_id = rep").drop("doc_id", "sig1", "sig2"), "reps")
+    open_ = usable.where("whole is not null").select("doc_id", "n", "sig1", "sig2", "whole")
+    reps = written(spark, open_.join(members, ["n", "sig1", "sig2"]).where("doc_id = rep").select("rep", "n", "whole"), "reps")
 
+    entries, list_length = _entries(spark, reps, percent)
     sizes = {r["n"]: r["k"] for r in reps.where(F.col("n") <= LIGHT_LIMIT).groupBy("n").agg(F.count("*").alias("k")).collect()}
-    boundary = choose_boundary(sizes, (total["q"] or 0) / (total["s"] or 1), percent)
+    boundary = choose_boundary(sizes, list_length, percent)
     links = _subset_links(reps.where(F.col("n") <= boundary), boundary, percent)
 
     smallest = -(-percent * (boundary + 1) // 100)
-    entries = written(spark, _entries(reps.where(F.col("n") >= smallest), shared, percent), "entries")
+    entries = written(spark, entries.where(F.col("n") >= smallest), "entries")
     leads = entries.groupBy("shingle").agg(
         F.count("*").alias("k"), F.min(F.struct("own", "doc", "n", "place")).alias("r")).where("k > 1")
     starred = entries.alias("l").join(leads, "shingle").where(_possible("l", "r", boundary, percent)).selectExpr(
