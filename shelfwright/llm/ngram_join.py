@@ -225,7 +225,8 @@ def link_components(spark: SparkSession, documents: DataFrame, percent: int = PE
     sets = written(spark, _sets(spark, texts, _bit_table(shared, shared.count()), percent), "sets")
 
     usable = sets.where("n > 0 and doc_id is not null")
-    members = usable.groupBy("n", "sig1", "sig2").agg(F.min("doc_id").alias("rep"))
+    # Written, so that the joins with it may split the rows of a large group of copies.
+    members = written(spark, usable.groupBy("n", "sig1", "sig2").agg(F.min("doc_id").alias("rep")), "members")
     open_ = usable.where("whole is not null").select("doc_id", "n", "sig1", "sig2", "whole")
     reps = written(spark, open_.join(members, ["n", "sig1", "sig2"]).where("doc_id = rep").select("rep", "n", "whole"), "reps")
 
