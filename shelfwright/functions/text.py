@@ -25,6 +25,8 @@ from shelfwright.schemas import (
 # Unicode white space plus the four ASCII separators that also count as blank,
 # spelled out because that class is faster than the Unicode mode of ``\s``.
 _BLANK = r"[\t-\r\x1c- \x85\xa0  -     　]"
+_BLANKS = "".join(map(chr, (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
 def _none_if_empty(c: Column) -> Column:
@@ -33,7 +35,7 @@ def _none_if_empty(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Remove white space of every kind at both ends."""
-    return F.regexp_replace(c, rf"^{_BLANK}++|{_BLANK}++$", "")
+    return F.btrim(c, F.lit(_BLANKS))
 
 
 def has_text(c: Column) -> Column:
