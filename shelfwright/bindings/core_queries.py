@@ -14,7 +14,7 @@ from shelfwright.functions.price import exact_avg
 from shelfwright.functions.times import iso_text
 from shelfwright.operators import joins, latest, lookup, matching, merge, quality
 from shelfwright.plans import gold, silver
-from shelfwright.schemas import EVIDENCE, struct
+from shelfwright.schemas import EVIDENCE, SEED_FIELDS, architectures, memory_types, struct, vendors
 from shelfwright.session import workspace, written
 from shelfwright.sources import conform, pages, scan
 
@@ -271,7 +271,7 @@ _VENDOR = "CASE {0} WHEN 0 THEN 'NVIDIA' WHEN 1 THEN 'AMD' WHEN 2 THEN 'Intel' E
     CASE WHEN vid = 'AMD' THEN 'Game Clock' ELSE 'Base Clock' END AS typical_clock_label, vram_gb, memory_type,
     CASE WHEN vid = 'NVIDIA' THEN dlss END AS dlss_version, s_acctbal AS tdp_watts
 FROM (SELECT *, {_VENDOR.format('r_regionkey')} AS vid FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) s
-LEFT JOIN (SELECT c_nationkey, count(*) AS vram_gb, CASE WHEN count(*) % 2 = 0 THEN 'even' END AS memory_type FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY 1) m ON m.c_nationkey = s.s_nationkey
+LEFT JOIN (SELECT c_nationkey, count(*) AS vram_gb, CASE WHEN count(*) % 2 = 0 THEN 'even' END AS memory_type FROM customer GROUP BY 1) m ON m.c_nationkey = s.s_nationkey AND s.s_suppkey % 7 <> 0
 LEFT JOIN (SELECT s_suppkey AS fk, 'v' || s_suppkey AS dlss FROM supplier WHERE s_acctbal > 0) f ON f.fk = s.s_suppkey""")
 def tech_sheet(spark: SparkSession, sf: str) -> DataFrame:
     """Suppliers as chips, regions as vendors, nations as architectures, customers as memory."""
@@ -289,8 +289,8 @@ def tech_sheet(spark: SparkSession, sf: str) -> DataFrame:
     )
     region = table(spark, sf, "region").select(vendor(c("r_regionkey")).alias("vendor_id"), c("r_name").alias("full_name"))
     arch = nation.select(c("n_nationkey").alias("architecture_id"), c("n_name").alias("generation"))
-    counts = table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").groupBy("c_nationkey").agg(F.count("*").alias("vram_gb"))
-    memory = supplier.join(counts, c("s_nationkey") == c("c_nationkey")).select(
+    counts = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.count("*").alias("vram_gb"))
+    memory = supplier.where("s_suppkey % 7 <> 0").join(counts, c("s_nationkey") == c("c_nationkey")).select(
         c("s_suppkey").alias("chip_id"), "vram_gb", (c("vram_gb") % 2).alias("memory_type_id"),
         none.alias("memory_bus_bits"), none.alias("memory_bandwidth_gbs"),
     )
@@ -558,7 +558,8 @@ def loaded_variants(found: DataFrame) -> DataFrame:
 def classified(spark: SparkSession, sf: str) -> DataFrame:
     """Judged listings. The match is written once, at product size; both its readers take it from there."""
     found = written(spark, matched(spark, sf), "matched")
-    return silver.classify_observations(L.listings(spark, sf), L.index(spark, sf), found, loaded_variants(found))
+    products = written(spark, silver.mark_loaded(found, loaded_variants(found)), "products")
+    return silver.classify_observations(L.listings(spark, sf), L.index(spark, sf), products)
 
 
 _OUTCOME = """CASE WHEN outcome IS NOT NULL THEN outcome WHEN row_number() OVER (PARTITION BY outcome, {0} ORDER BY {1}) = 1 THEN 'inserted' ELSE 'duplicate' END"""
@@ -646,6 +647,33 @@ def domain_constraints(spark: SparkSession, sf: str) -> DataFrame:
     return found.union(rows).where(c("rule").isin(wanted))
 
 
+@query("seed_load", """SELECT 'NVIDIA' AS vendor_id, CASE p_partkey % 3 WHEN 0 THEN 'Blackwell' WHEN 1 THEN 'Ada Lovelace' ELSE 'Ampere' END AS architecture_id,
+    p_name || ' ' || p_partkey AS model_name, CAST(p_size * 10 AS INTEGER) AS tdp_watts, CAST(8 + p_partkey % 4 AS INTEGER) AS vram_gb, 'GDDR6X' AS memory_type_id,
+    CASE WHEN p_partkey % 2 = 0 THEN '4.0' END AS dlss_version FROM part""")
+def seed_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts as seed documents: written as files, read, resolved, loaded all or nothing, read back as the current version."""
+    part = table(spark, sf, "part")
+    own = {
+        "chip": {"vendor": F.lit(" nvidia"), "architecture": F.element_at(F.array(*map(F.lit, ("BLACKWELL", "ada-lovelace", "ampere"))), (c("p_partkey") % 3 + 1).cast("int")),
+                 "model_name": F.concat_ws(" ", "p_name", c("p_partkey").cast("string")), "tdp_watts": c("p_size") * 10},
+        "memory": {"vram_gb": 8 + c("p_partkey") % 4, "memory_type": F.lit("gddr6x")},
+        "features": {"dlss_version": F.when(c("p_partkey") % 2 == 0, F.lit("4.0"))},
+    }
+    sections = [F.struct(*[own[s].get(n, F.lit(None).cast("string")).alias(n) for n in names]).alias(s) for s, names in SEED_FIELDS.items()]
+    rows = part.select(*sections)
+    path = workspace(spark, "seeds")
+    files = L.array_pages(rows, list(SEED_FIELDS))
+    # Seed fields may hold null but must be there.
+    with_nulls = F.to_json(F.from_json("value", "array<struct<" + ",".join(f"{s}:{rows.schema[s].dataType.simpleString()}" for s in SEED_FIELDS) + ">>"), {"ignoreNullFields": "false"})
+    L.write_files(spark, files.select("path", with_nulls.alias("value")), path)
+    parts = scan.seed_relations(scan.read_seed(spark, path), vendors(spark), architectures(spark), memory_types(spark))
+    base = workspace(spark, "seed-tables")
+    merge.load_all(spark, base, {n: parts[n] for n in ("chip", "memory", "features")}, {"seed": parts["problems"]})
+    chip, memory, features = (merge.read_current(spark, base, n) for n in ("chip", "memory", "features"))
+    return chip.join(memory, "chip_id").join(features, "chip_id").select(
+        "vendor_id", "architecture_id", "model_name", "tdp_watts", "vram_gb", "memory_type_id", "dlss_version")
+
+
 @query("run_verdict", L.frames_sql(["classified"], """SELECT count_if(outcome = 'unknown_variant') AS n_errors, count_if(outcome = 'unknown_variant') > 0 AS failed FROM classified"""))
 def run_verdict(spark: SparkSession, sf: str) -> DataFrame:
     """Whether the load counts as failed: skipped rows do not fail it, errors do."""

@@ -58,7 +58,8 @@ def purge_orphans(parent: DataFrame, child: DataFrame, key: str, parent_key: str
 
 
 def prefix_join(
-    left: DataFrame, right: DataFrame, text: str, prefix: str, mode: str = "all"
+    left: DataFrame, right: DataFrame, text: str, prefix: str, mode: str = "all", texts: DataFrame | None = None,
+    empty: bool = True,
 ) -> DataFrame:
     """Pairs where ``text`` starts with ``prefix``, ignoring ASCII case.
 
@@ -66,18 +67,21 @@ def prefix_join(
     text. The distinct texts are expanded to their heads of the lengths that
     occur among the prefixes and joined by equality, so there is no nested loop
     and a text that fills a third of the table is expanded once. ``%`` and ``_``
-    are plain characters; an empty prefix matches every text.
+    are plain characters; an empty prefix matches every text unless ``empty`` is false.
 
     ``mode='longest'`` keeps only the longest matching prefix of each text.
+    ``texts`` may hold the texts of ``left`` in its only column (more do no harm),
+    for instance those of a dimension: then ``left`` is evaluated once.
     The two sides must not share column names.
     """
     if mode not in ("all", "longest"):
         raise ValueError(f"unknown prefix join mode: {mode}")
-    keyed = right.withColumn("_head", _fold(F.col(prefix))).where(F.col("_head").isNotNull())
+    keyed = right.withColumn("_head", _fold(F.col(prefix))).where(F.col("_head").isNotNull() if empty else F.col("_head") != "")
     known = keyed.select("_head").distinct()
     # One number per prefix length: never more than the longest prefix is long.
     lengths = known.agg(F.sort_array(F.collect_set(F.length("_head")))).scalar()
-    texts = left.select(F.col(text).alias("_text")).distinct().withColumn("_lengths", lengths)
+    named = left.select(F.col(text).alias("_text")) if texts is None else texts.toDF("_text")
+    texts = named.distinct().withColumn("_lengths", lengths)
     low = _fold(F.col("_text"))
     fitting = F.filter(F.col("_lengths"), lambda n: n <= F.length("_text"))
     heads = texts.select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwright.functions import text
 from shelfwright.operators.latest import top_k
@@ -72,16 +73,18 @@ def match_entities(
     staged = df.withColumns({"_v": v, "_gb": gb, "_bare": F.when(given, text.model_key(model))})
     staged = staged.withColumn("_key", text.append_capacity(F.col("_bare"), F.col("_gb")))
     usable = F.coalesce(F.col("_key") != "", F.lit(False))
-    # A NULL vendor keeps unusable attempts out of the lookup.
-    staged = staged.withColumn("_lv", F.when(usable, F.col("_v")))
+    # A vendor that no dimension has keeps unusable attempts out of the lookup; NULL would send them all to one partition.
+    plain = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.NumericType))]
+    spread = F.concat(F.lit("?"), F.pmod(F.xxhash64(*[F.col(f"`{n}`") for n in plain]), F.lit(4096)).cast("string"))
+    staged = staged.withColumns({"_usable": usable, "_lv": F.when(usable, F.col("_v")).otherwise(spread)})
     dim = index.select(
         F.col("vendor_id").alias("_dv"), F.col("model_key").alias("_dk"), F.col("vram_gb").alias("_dgb"),
         F.col("n_candidates").alias("_n"), F.col("chip_id").alias("_chip"),
     )
-    on = (F.col("_lv") == F.col("_dv")) & (F.col("_key") == F.col("_dk")) & F.col("_gb").eqNullSafe(F.col("_dgb"))
+    on = (F.col("_lv") == F.col("_dv")) & F.col("_key").eqNullSafe(F.col("_dk")) & F.col("_gb").eqNullSafe(F.col("_dgb"))
     found = F.coalesce(F.col("_n"), F.lit(0).cast("bigint"))
     state = (
-        F.when(F.col("_lv").isNull(), F.lit("missing"))
+        F.when(~F.col("_usable"), F.lit("missing"))
         .when(found == 0, F.lit("no_match"))
         .when(found > 1, F.lit("ambiguous"))
     )
@@ -89,10 +92,10 @@ def match_entities(
     attempt = F.struct(
         F.col("_chip").alias("chip_id"), state.alias("state"), found.alias("n_candidates"),
         F.col("_v").alias("vendor_id"), F.col("_key").alias("model_key"), F.col("_gb").alias("vram_gb"),
-        F.when(F.col("_lv").isNotNull(), who).alias("brand"),
+        F.when(F.col("_usable"), who).alias("brand"),
     )
     joined = staged.join(dim, on, "left").withColumn(out, attempt)
-    return joined.drop("_v", "_gb", "_bare", "_key", "_lv", "_dv", "_dk", "_dgb", "_n", "_chip")
+    return joined.drop("_usable", "_v", "_gb", "_bare", "_key", "_lv", "_dv", "_dk", "_dgb", "_n", "_chip")
 
 
 def pick_attempt(first: Column, second: Column) -> dict[str, Column]:

@@ -154,7 +154,8 @@ def capacity_per_watt(
         full_name(F.col("brand_series"), F.col("model_name")).alias("chip_name"),
     )
     large = suitability.where(F.col("vram_gb") >= min_vram_gb)
-    pairs = prefix_join(large, chips, "model", "chip_name", mode).select(
+    # An offer's model is a chip's full name, so names pair at dimension size and the offers are read once.
+    pairs = prefix_join(large, chips, "model", "chip_name", mode, chips.select("chip_name")).select(
         "model", "vram_gb", F.col("chip_tdp_watts").alias("tdp_watts"),
         ratio(F.col("vram_gb") * 1024.0, F.col("chip_tdp_watts"), digits).alias("vram_mb_per_watt"),
         "variant_id", "retailer", "chip_match",

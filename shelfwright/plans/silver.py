@@ -126,23 +126,29 @@ def load_variants(evidence: DataFrame, dim: DataFrame, target: DataFrame | None
     return append_new(target, variant_rows(accepted), "variant_id", ["path"]).drop("path")
 
 
+def mark_loaded(matched: DataFrame, variants: DataFrame) -> DataFrame:
+    """Add ``variant_known``: whether the document's variant is loaded."""
+    known = variants.select("variant_id").distinct().withColumn("_known", F.lit(True))
+    return matched.join(known, "variant_id", "left").withColumn("variant_known", F.col("_known").isNotNull()).drop("_known")
+
+
 def classify_observations(
     listings: DataFrame,
     index: DataFrame,
     matched: DataFrame,
-    variants: DataFrame,
+    variants: DataFrame | None = None,
     require_currency: bool = False,
     evidence_type: str | None = None,
 ) -> DataFrame:
     """Add ``outcome`` and ``observation_id`` to every listing.
 
     The first failing reason wins; NULL means acceptable, with duplicates still
-    inside. ``matched`` comes from ``match_evidence``. ``evidence_type`` gates
+    inside. ``matched`` comes from ``match_evidence``; it may have passed
+    ``mark_loaded`` already, else ``variants`` says what is loaded. ``evidence_type`` gates
     the evidence kind, which this load does not do by default: evidence of
     another kind has no variant and then fails the reference check.
     """
-    known = variants.select("variant_id").distinct().withColumn("_known", F.lit(True))
-    products = matched.join(known, "variant_id", "left").withColumn("variant_known", F.col("_known").isNotNull())
+    products = matched if variants is None else mark_loaded(matched, variants)
     columns = [
         "path", "readable", "hypothesis_type", "state", "brand", "chip_id", "variant_id", "variant_known",
         "vendor_id", "model_key", "vram_gb", "aib_model_suffix", "part_number",
@@ -206,7 +212,8 @@ def silver_pipeline(
     new = written(spark, append_new(variants, variant_rows(accepted), "variant_id", ["path"]).drop("path"), "variants")
     known = new.select("variant_id") if variants is None else new.select("variant_id").union(variants.select("variant_id"))
     readable = listings.where("readable") if "readable" in listings.columns else listings
-    judged = classify_observations(readable.drop("readable"), index, matched, known)
+    products = written(spark, mark_loaded(matched, known), "products")
+    judged = classify_observations(readable.drop("readable"), index, products)
     classified = written(spark, judged, "classified")
     return Load(new, classified, load_observations(classified, target=observations, schema=schema))
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +52,18 @@ def is_blocked(html: Column, **options) -> Column:
     return block_class(html, **options).startswith("blocked")
 
 
+def _bounded(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices with at most ``limit`` bytes in ``column``, or one row: what Python holds at once does not follow the batch size."""
+    for batch in batches:
+        ends = np.cumsum(np.nan_to_num(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(float)))
+        start = 0
+        while start < batch.num_rows:
+            done = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, done + limit, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def extract_items(
     df: DataFrame, html: str, base: str, rules: ItemRules = ItemRules(), keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -65,7 +79,7 @@ def extract_items(
     out = ", ".join([*kept, "position int", "name string", "url string", "_prices array<string>"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _bounded(batches, "_html"):
             ids, rows = [], []
             pages, addresses = batch.column("_html").to_pylist(), batch.column("_base").to_pylist()
             for i, (page, address) in enumerate(zip(pages, addresses)):

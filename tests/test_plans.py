@@ -40,6 +40,12 @@ def test_filter_and_columns_reach_the_scan(spark):
     assert "l_shipdate" not in text
 
 
+@pytest.mark.parametrize("name, scans", [("silver_load", 3), ("funnel_events", 3), ("reject_table", 4), ("prefix_join_ratio", 3), ("fk_violations", 3)])
+def test_tables_are_read_once(spark, name, scans):
+    """The final plan, after the match and the judged listings are written."""
+    assert plan(spark, name).split("== Physical Plan ==")[1].count("FileScan") <= scans
+
+
 def test_fixed_rows_are_the_broadcast_side(spark):
     text = plan(spark, "canonical_key").split("== Physical Plan ==")[1]
     assert "BuildRight" in text and "LocalTableScan" in text and "ExistingRDD" not in text
