@@ -57,7 +57,56 @@ def op4_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudo_lm.score(spark, documents, pseudo_lm.train(spark, documents))
 
 
-@query("op5_template_decontamination")
+# The rules of ``template_decon`` in SQL; the expressions are the same for both engines.
+_SLOTS = "[chr(57345), chr(57346), chr(57347)]"
+_LEAKS_SQL = rf"""
+    with src as (
+        select 'i' as k, item_id as id, coalesce(text, '') as t from benchmark where item_id is not null
+        union all select 'd', doc_id, coalesce(text, '') from documents
+    ), named as (
+        select *, regexp_replace(t, '{template_decon.NAMES}', '\1 ' || chr(57345) || ' ', 'g') as n from src
+    ), numbered as (
+        select *, regexp_replace(n, '{template_decon.NUMBERS}', ' ' || chr(57346) || ' ', 'g') as m from named
+    ), cut as (
+        select *, regexp_replace(m, '{template_decon.UNITS}', chr(57346) || ' ' || chr(57347) || ' \2', 'g') as u from numbered
+    ), worded as (
+        select *, list_filter(string_split_regex(lower(u), '{template_decon.BREAKS}'), lambda w: w <> '') as words from cut
+    ), sized as (
+        select id as item_id, words, least(len(words), {template_decon.WINDOW}) as size from worded where k = 'i' and len(words) >= {template_decon.SHORT}
+    ), of_items as (
+        select item_id, pos, size, len(words) - size + 1 as windows, array_to_string(words[pos + 1:pos + size], ' ') as w,
+            len(list_filter(words[pos + 1:pos + size], lambda x: list_contains({_SLOTS}, x))) as slots
+        from (select *, unnest(range(len(words) - size + 1)) as pos from sized)
+    ), of_docs as (
+        select id as doc_id, place, size, array_to_string(words[place + 1:place + size], ' ') as w
+        from (select id, words, size, unnest(range(len(words) - size + 1)) as place
+            from worded, (select distinct size from sized) where k = 'd' and len(words) >= size)
+    ), candidates as (
+        select doc_id, item_id, place - pos as apart, size, least(greatest({template_decon.MIN_WORDS} - size + 1, 1), ceil(windows / 2)) as needed,
+            count(distinct pos) as n_windows, count(distinct case when slots = 0 then pos end) as n_plain, min(pos) as low, max(pos) as high
+        from of_items join of_docs using (size, w) where size - slots >= {template_decon.LITERAL}
+        group by all having count(distinct pos) >= needed
+    ), slots as (
+        select k, id, place, slot, case slot when chr(57345) then regexp_extract_all(t, '{template_decon.NAMES}', 2)
+            when chr(57346) then regexp_extract_all(n, '{template_decon.NUMBERS}', 1) else regexp_extract_all(m, '{template_decon.UNITS}', 1) end[nth] as value
+        from (select *, words[place + 1] as slot, len(list_filter(words[1:place + 1], lambda x: x = words[place + 1])) as nth
+            from (select *, unnest(range(len(words))) as place from worded)
+            where list_contains({_SLOTS}, words[place + 1]))
+    ), checked as (
+        select c.doc_id, c.item_id, c.apart, count(distinct (a.slot, a.value)) as n_values, count(distinct (a.slot, a.value, b.value)) as n_pairs,
+            bool_and(a.value = b.value) as same
+        from candidates c join slots a on a.k = 'i' and a.id = c.item_id and a.place between c.low and c.high + c.size - 1
+        join slots b on b.k = 'd' and b.id = c.doc_id and b.place = a.place + c.apart and b.slot = a.slot group by all
+    ), judged as (
+        select c.*, coalesce(same, true) or n_values < n_pairs as exact
+        from candidates c left join checked using (doc_id, item_id, apart) where n_values is null or n_values = n_pairs or n_plain >= needed
+    )
+    select doc_id, item_id, n_windows, case when exact then 'exact' else 'reparameterised' end as kind
+    from (select *, row_number() over (partition by doc_id, item_id order by n_windows desc, exact desc, apart desc) as r from judged) where r = 1
+"""
+
+
+@query("op5_template_decontamination", _LEAKS_SQL)
 def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contaminated documents with the items that they contain."""
     return template_decon.find_leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -3,8 +3,11 @@
 import re
 from collections import defaultdict
 
+import duckdb
 import pytest
 
+import shelfwright.llm.queries  # noqa: F401  (register)
+from shelfwright.bindings.registry import ORACLES
 from shelfwright.llm import template_decon as T
 
 ITEMS = [
@@ -93,6 +96,16 @@ def test_given_tables(spark):
     assert sorted(map(tuple, T.find_leaks(spark, docs, items).collect())) == want
 
 
+def test_sql_of_planted_cases():
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.execute("create table benchmark (item_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", [d for d in DOCS if d[0] is not None and d != DOCS[-1]])
+    con.executemany("insert into benchmark values (?, ?)", ITEMS)
+    docs = [d for d in DOCS if d[0] is not None and d != DOCS[-1]]
+    assert sorted(con.execute(ORACLES["op5_template_decontamination"]).fetchall()) == leaks_by_hand(docs, ITEMS)
+
+
 def test_empty_tables(spark, nothing, documents):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert T.find_leaks(spark, nothing, items).count() == 0
