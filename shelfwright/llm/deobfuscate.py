@@ -2,7 +2,7 @@
 
 Base spans are found in the source text. Then three transducers rewrite what may hide an identifier: homoglyphs and full-width
 forms become ASCII and zero-width characters vanish; ``at`` and ``dot`` in brackets, or as words in ``name at host dot tld``,
-become signs; runs of spelled digits become digits (``plus`` before them a plus sign). The same detectors run over the result, and
+become signs; runs of spelled digits become digits (``plus`` before them, or a length of 10 to 15, gives a plus sign). The same detectors run over the result, and
 each span is mapped back to the source characters that its first and last character came from. A mapped span that overlaps no
 base span of its kind is added; base spans stay as they are.
 
@@ -92,7 +92,9 @@ _NAME = "|".join(_SPELLED)
 _RUN = re.compile(rf"(?<![A-Za-z])(?:plus[ -]+)?(?:{_NAME})(?:[ ,-]+(?:{_NAME}))++(?![A-Za-z])", re.I | re.A)
 _SPELLED_WORD = re.compile(rf"plus|{_NAME}", re.I | re.A)
 _BRACKETED = re.compile(r"\x20?[\[({<]\x20?(at|dot)\x20?[\])}>]\x20?", re.I | re.A)
-_HOST_WORDS = re.compile(r"(?<=[A-Za-z0-9])(\x20at\x20)[A-Za-z0-9-]++((?:(?:\x20dot\x20|\.)[A-Za-z0-9-]++)*)(?<=[A-Za-z0-9])", re.I | re.A)
+_HOST_WORDS = re.compile(
+    r"(?<![A-Za-z0-9])((?:[A-Za-z0-9_%+-]++\x20dot\x20){0,4})[A-Za-z0-9._%+-]++(\x20at\x20)[A-Za-z0-9-]++((?:(?:\x20dot\x20|\.)[A-Za-z0-9-]++)+)",
+    re.I | re.A)
 _DOT_WORD = re.compile(r"\x20dot\x20", re.I | re.A)
 
 
@@ -132,16 +134,21 @@ def _sign_edits(text: str) -> list[tuple[int, int, str]]:
         taken = {p for a, b, _ in edits for p in range(a, b)}
         more = []
         for m in _HOST_WORDS.finditer(text):
-            dots = [(m.start(2) + d.start(), m.start(2) + d.end(), ".") for d in _DOT_WORD.finditer(m[2])]
-            if dots:
-                more += [(*m.span(1), "@"), *dots]
+            before, after = ([(m.start(g) + d.start(), m.start(g) + d.end(), ".") for d in _DOT_WORD.finditer(m[g])] for g in (1, 3))
+            if after:
+                more += [*before, (*m.span(2), "@"), *after]
         more += [(*m.span(), ".") for m in _DOT_WORD.finditer(text)] if edits else []
         edits += [e for e in dict.fromkeys(more) if not taken.intersection(range(e[0], e[1]))]
     return sorted(edits)
 
 
 def _digit_edits(text: str) -> list[tuple[int, int, str]]:
-    return [(*m.span(), "".join(_SPELLED.get(w.lower(), "+") for w in _SPELLED_WORD.findall(m[0]))) for m in _RUN.finditer(text)]
+    edits = []
+    for m in _RUN.finditer(text):
+        digits = "".join(_SPELLED.get(w.lower(), "+") for w in _SPELLED_WORD.findall(m[0]))
+        # Nobody spells so many digits but for a number to call.
+        edits.append((*m.span(), f"+{digits}" if digits[0] != "+" and 10 <= len(digits) <= 15 else digits))
+    return edits
 
 
 #: In this order: later ones read what earlier ones wrote.

@@ -109,6 +109,10 @@ def test_added_secrets():
     ("jоhn@exаmple.com", "email", "jоhn@exаmple.com"),
     ("call plus one four one five five five five zero one zero zero ok", "phone", "plus one four one five five five five zero one zero zero"),
     ("ｊ＠ｘ．ｃｏｍ", "email", "ｊ＠ｘ．ｃｏｍ"),
+    ("to ann dot lee at mail dot example dot org.", "email", "ann dot lee at mail dot example dot org"),
+    ("ring five five five one two three four five six seven now", "phone", "five five five one two three four five six seven"),
+    ("ann.lee AT mail DOT org", "email", "ann.lee AT mail DOT org"),
+    ("ann(at)mail(dot)org", "email", "ann(at)mail(dot)org"), ("ann [at] mail.org", "email", "ann [at] mail.org"),
     ("4111​1111​1111​1111 x", "card", "4111​1111​1111​1111"),
     ("at 10․0․0․1 it", "ip", "10․0․0․1"),
 ])
