@@ -55,7 +55,8 @@ MORE = (
     Rule("slack", r"xox[abps]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"sk_live_[A-Za-z0-9]{16,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # From the start of a run only, so that no run is searched again from its middle.
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
 )
 
