@@ -16,6 +16,7 @@ from shelfwright.schemas import (
     BRAND_ALIASES,
     MEMORY_TYPES,
     MODEL_KEY_NOISE,
+    MODEL_PATTERNS,
     PORT_PATTERNS,
     PORT_WORDS,
     VENDOR_PATTERNS,
@@ -128,11 +129,7 @@ def model_match(c: Column) -> Column:
     """
     return F.coalesce(*[
         _none_if_empty(F.regexp_extract(c, pattern, 0))
-        for pattern in (
-            r"\bRTX[\s\-]*([0-9]{3,4})(?:[\s\-]*(TI))?(?:[\s\-]*(SUPER))?\b",
-            r"\bRX[\s\-]*([0-9]{3,4})(?:[\s\-]*(XTX|XT|GRE))?\b",
-            r"\bARC[\s\-]*([A-Z])[\s\-]*([0-9]{3,4})\b",
-        )
+        for pattern in MODEL_PATTERNS
     ])
 
 

@@ -28,6 +28,11 @@ VENDOR_PATTERNS = (
     ("INTEL", r"\b(INTEL|ARC)\b"),
 )
 VENDOR_WORDS = ("NVIDIA", "GEFORCE", "AMD", "RADEON", "INTEL", "ARC")
+MODEL_PATTERNS = (
+    r"\bRTX[\s\-]*([0-9]{3,4})(?:[\s\-]*(TI))?(?:[\s\-]*(SUPER))?\b",
+    r"\bRX[\s\-]*([0-9]{3,4})(?:[\s\-]*(XTX|XT|GRE))?\b",
+    r"\bARC[\s\-]*([A-Z])[\s\-]*([0-9]{3,4})\b",
+)
 MODEL_KEY_NOISE = ("nvidia", "amd", "geforce", "radeon", "rtx", "rx")
 MEMORY_TYPES = ("GDDR6X", "GDDR7", "GDDR6")
 PORT_WORDS = ("HDMI", "DP", "DISPLAYPORT", "DISPLAY", "PORT")
@@ -76,7 +81,7 @@ BLOCK_BODY_WORDS = (
 ITEM_MARKERS = ("galleryview__item", "productlist__product")
 MIN_PAGE_LENGTH = 5000
 
-# Fields a seed entry must name; a field may hold null.
+# Fields a seed entry must name; a field may hold null.
 SEED_FIELDS = {
     "chip": (
         "vendor", "brand_series", "model_name", "code_name", "architecture",
@@ -97,6 +102,7 @@ SEED_FIELDS = {
     ),
 }
 
+# Field names of the files and of the two loaded tables.
 LISTING = struct(
     "retailer string, product_name_raw string, product_url string, price_eur double, "
     "currency string, page_number int, position_in_page int, observed_at_utc string, "
@@ -120,18 +126,6 @@ EVIDENCE = T.StructType([
     T.StructField("evidence", struct("source_url string, citations array<string>")),
     T.StructField("raw", struct("llm_response string")),
 ])
-INDEX = struct(
-    "observed_product_id string, normalized_name string, product_url string, "
-    "first_seen_at string, retailer string, marketplace_observations array<string>, "
-    "hypotheses array<string>"
-)
-PAGE_META = struct(
-    "page_number int, url string, fetched_at_utc string, http_status int, product_count int"
-)
-RUN_META = struct(
-    "source string, entity string, category string, scrape_run_id string, "
-    "started_at_utc string, finished_at_utc string"
-)
 
 OBSERVATION = struct(
     "observation_id string, variant_id string, retailer string, sku string, product_url string, "

@@ -22,6 +22,7 @@ class ItemRules:
     A selector is one or two steps; the second may lie anywhere below the first.
     """
 
+    # They decide which items are found.
     containers: tuple[str, ...] = ("article.galleryview__item", ".productlist__product")
     links: tuple[str, ...] = (
         "a.galleryview__name-link", ".productlist__name a", "a.productlist__link", "h3 a",
