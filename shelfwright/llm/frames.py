@@ -30,6 +30,11 @@ def written(spark: SparkSession, df: DataFrame, name: str, *partition_by: str) -
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand Python workers at most ``rows`` rows at once, for the rest of the session: long texts then take little memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def checked_broadcast(df: DataFrame, n_bytes: int, limit: int) -> DataFrame:
     """``df`` with a broadcast hint if its measured size is within ``limit``, else as it is (both sides shuffle)."""
     return F.broadcast(df) if n_bytes <= limit else df

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwright.llm.frames import small_batches
 from shelfwright.llm.shingles import mix
 
 ORDERS = (2, 3, 4)
@@ -170,6 +171,7 @@ def decide(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray
 
 def predict(spark: SparkSession, documents: DataFrame, model: Model) -> DataFrame:
     """``doc_id, lang_pred, score`` of every document."""
+    small_batches(spark)
     held = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,6 +185,7 @@ def predict(spark: SparkSession, documents: DataFrame, model: Model) -> DataFram
 
 def accepted(spark: SparkSession, documents: DataFrame, model: Model, least: float) -> DataFrame:
     """Documents that have a language with a score of ``least`` or more, all columns; rows stay where they are."""
+    small_batches(spark)
     held = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwright.llm.frames import components, written
+from shelfwright.llm.frames import components, small_batches, written
 from shelfwright.llm.shingles import shingle_sets, signature
 
 PERCENT = 80
@@ -220,6 +220,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def link_components(spark: SparkSession, documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document."""
+    small_batches(spark)
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     shared = written(spark, _shared_counts(texts), "counted")
     sets = written(spark, _sets(spark, texts, _bit_table(shared, shared.count()), percent), "sets")

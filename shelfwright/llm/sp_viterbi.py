@@ -9,7 +9,7 @@ survives if each two neighbouring pieces are what merging makes of the two alone
 it is the result of the merges. Characters without a piece become their bytes' pieces (or the unknown id without byte fallback).
 
 No piece has a blank after another character, so a text is cut before each run of blanks, and further at pairs of characters
-that no piece contains: there all paths meet. Short parts are remembered by each Python worker, at most ``REMEMBERED``.
+that no piece contains: there all paths meet. Short parts are remembered by each Python worker, at most twice ``REMEMBERED``.
 
 Model files with a normaliser, user-defined or unused pieces are refused. The files are never trained here.
 
@@ -30,10 +30,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_format
 
+from shelfwright.llm.frames import small_batches
+from shelfwright.llm.memory import Memory
 from shelfwright.llm.shingles import mix
 
 MARK = "▁"
-REMEMBERED, LONGEST_REMEMBERED = 400_000, 48
+REMEMBERED, LONGEST_REMEMBERED = 120_000, 48
 _UNIGRAM, _BPE = 1, 2
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 _UNKNOWN_PENALTY = 10.0
@@ -282,7 +284,7 @@ class Encoder:
     def __init__(self, model: Model):
         self.model = model
         self.sweep = Sweep(model)
-        self.known: dict[str, bytes] = {}
+        self.memory = Memory(REMEMBERED)
 
     def search(self, text: str) -> bytes:
         """Ids of one part of any length, in a bounded window."""
@@ -299,11 +301,11 @@ class Encoder:
         for i in range(1, len(text) + 1):
             if i == len(text) or text[i - 1:i + 1] not in inside:
                 run = text[start:i]
-                own = self.known.get(run)
+                own = self.memory.new.get(run)
                 if own is None:
                     own = self.search(run)
                     if len(run) <= LONGEST_REMEMBERED:
-                        self.known[run] = own
+                        self.memory.new[run] = own
                 out.append(own)
                 start = i
         return b"".join(out)
@@ -320,14 +322,12 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as native 32-bit integers."""
-        known, cut = self.known, [self._parts(t) for t in texts]
-        if len(known) >= REMEMBERED:
-            known.clear()
-        wanted = {p for parts in cut for p in parts} - known.keys()
-        short = [p for p in wanted if len(p) <= LONGEST_REMEMBERED]
-        fresh = dict(zip(short, self.sweep.encode(short), strict=True)) if short else {}
-        known.update(fresh)
-        rest = {p: self._long(p) for p in wanted if len(p) > LONGEST_REMEMBERED}
+        cut = [self._parts(t) for t in texts]
+        self.memory.turn()
+        parts = {p for own in cut for p in own}
+        self.memory.fill([p for p in parts if len(p) <= LONGEST_REMEMBERED], lambda new: dict(zip(new, self.sweep.encode(new), strict=True)))
+        rest = {p: self._long(p) for p in parts if len(p) > LONGEST_REMEMBERED}
+        known = self.memory.new
         get = known.__getitem__ if not rest else lambda p: rest.get(p) or known[p]
         return [b"".join(map(get, parts)) for parts in cut]
 
@@ -358,6 +358,7 @@ def load(path: str) -> bytes:
 
 def encode(spark: SparkSession, documents: DataFrame, model: bytes) -> DataFrame:
     """``doc_id, ids`` of whole texts."""
+    small_batches(spark)
     held = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,6 +368,7 @@ def encode(spark: SparkSession, documents: DataFrame, model: bytes) -> DataFrame
                 texts = [t or "" for t in piece.column(1).to_pylist()]
                 ids = [np.frombuffer(x, np.int32) for x in encoder.encode_all(texts)]
                 yield pa.RecordBatch.from_arrays([piece.column(0), _lists(ids)], ["doc_id", "ids"])
+        encoder.memory.rest()
 
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -403,6 +405,7 @@ def round_trip(spark: SparkSession, documents: DataFrame, model: bytes) -> DataF
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(chars, pa.int64()), pa.array(same)],
                     ["doc_id", "n_ids", "ids_crc32", "n_chars", "round_trip"])
+        encoder.memory.rest()
 
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, n_ids long, ids_crc32 long, n_chars long, round_trip boolean")

@@ -9,8 +9,9 @@ Documents are exchanged once, by ranges of ``doc_id``; each task encodes its ran
 holds a random part and the manifest names the shards of the attempts that ended, so a repeated task harms nothing; what a
 failed attempt wrote is not named. The driver sees one row per shard.
 
-Texts are encoded by the ``tokenizers`` library, cut before a single blank between two other characters: byte-level models with
-the usual pattern never join these. What is between cuts is remembered if short, at most ``REMEMBERED`` of them.
+Texts are encoded by the ``tokenizers`` library, cut where byte-level models with the usual pattern never join: before a single
+blank between two other characters, and inside between a letter and a sign. What is between cuts is remembered if short, at
+most twice ``REMEMBERED`` of them; what is new is encoded many at once, and told apart again by the bytes of its tokens.
 
 Rows: one document per input row. A null or empty text has the end id only. Rows with one ``doc_id`` are ordered by text. A null
 ``doc_id`` comes first and is stored as the smallest 64-bit integer. Other columns are ignored.
@@ -33,9 +34,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-REMEMBERED, LONGEST_REMEMBERED, ROWS = 400_000, 48, 512
+from shelfwright.llm.memory import Memory
+
+REMEMBERED, LONGEST_REMEMBERED, ROWS, TOGETHER = 500_000, 48, 512, 64
 NO_ID = -(1 << 63)
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_BLANKS = re.compile(r"\s\s|\A\s|\s\Z")
+#: A letter and a sign, and a line break and a letter, are never in one token.
+_INNER = re.compile(r"(?<=[^\W\d_])(?=[.,;:!?\n%*#&$])|(?<=\S\n)(?=[^\W\d_])")
+_JOINABLE = re.compile(r" \S(?:.*\S)?", re.S)
 
 
 class Encoder:
@@ -47,28 +54,47 @@ class Encoder:
         self.dtype, self.end = dtype, np.array([end_id], dtype).tobytes()
         kind = json.loads(serialized).get("pre_tokenizer") or {}
         self.cuts = kind.get("type") == "ByteLevel" and not kind.get("add_prefix_space") and kind.get("use_regex", True)
-        self.known: dict[str, bytes] = {}
+        self.memory = Memory(REMEMBERED)
+        # A character of a byte-level token stands for one byte.
+        names = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
+        self.sizes = np.array([len(n or "") for n in names], np.int64)
 
     def _parts(self, text: str) -> list[str]:
         if not text:
             return []
         if not self.cuts:
             return [text]
-        first, *rest = _CUT.split(text)
+        # Where no two blanks meet, every single blank is a cut.
+        first, *rest = _CUT.split(text) if _BLANKS.search(text) else text.split(" ")
         return [first, *[" " + r for r in rest]]
 
-    def _fresh(self, parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _fresh(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of each part. Parts that begin with the blank of a cut are encoded side by side."""
+        beside = [p for p in parts if self.cuts and _JOINABLE.fullmatch(p)]
+        apart = list(set(parts).difference(beside))
+        out = {p: ids.tobytes() for p, ids in zip(apart, self._ids(apart), strict=True)}
+        for a in range(0, len(beside), TOGETHER):
+            group = beside[a:a + TOGETHER]
+            ids = self._ids(["".join(group)])[0]
+            ends = np.cumsum([len(p.encode()) for p in group])
+            at = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
+            data, width = ids.tobytes(), ids.itemsize
+            for part, x, y in zip(group, [0, *(at[:-1] * width).tolist()], (at * width).tolist(), strict=True):
+                out[part] = data[x:y]
+        return out
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        known, cut = self.known, [self._parts(t) for t in texts]
-        if len(known) >= REMEMBERED:
-            known.clear()
-        wanted = {p for parts in cut for p in parts} - known.keys()
-        short = [p for p in wanted if len(p) <= LONGEST_REMEMBERED]
-        known.update(zip(short, self._fresh(short), strict=True))
-        long = [p for p in wanted if len(p) > LONGEST_REMEMBERED]
-        rest = dict(zip(long, self._fresh(long), strict=True))
+        memory, cut = self.memory, [self._parts(t) for t in texts]
+        memory.turn()
+        wanted = memory.recall({p for parts in cut for p in parts})
+        short = {p: _INNER.split(p) if self.cuts else [p] for p in wanted if len(p) <= LONGEST_REMEMBERED}
+        memory.fill(list({i for inner in short.values() for i in inner}), self._fresh)
+        known = memory.new
+        known.update({p: b"".join([known[i] for i in inner]) for p, inner in short.items() if len(inner) > 1})
+        rest = self._fresh([p for p in wanted if len(p) > LONGEST_REMEMBERED])
         get = known.__getitem__ if not rest else lambda p: rest[p] if p in rest else known[p]
         return [b"".join(map(get, parts)) + self.end for parts in cut]
 
