@@ -39,10 +39,9 @@ from shelfwright.llm.memory import Memory
 REMEMBERED, LONGEST_REMEMBERED, ROWS, TOGETHER = 500_000, 48, 512, 64
 NO_ID = -(1 << 63)
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_BLANKS = re.compile(r"\s\s|\A\s|\s\Z")
 #: A letter and a sign, and a line break and a letter, are never in one token.
+_SIGNS = ".,;:!?%*#&$"
 _INNER = re.compile(r"(?<=[^\W\d_])(?=[.,;:!?\n%*#&$])|(?<=\S\n)(?=[^\W\d_])")
-_JOINABLE = re.compile(r" \S(?:.*\S)?", re.S)
 
 
 class Encoder:
@@ -64,16 +63,25 @@ class Encoder:
             return []
         if not self.cuts:
             return [text]
-        # Where no two blanks meet, every single blank is a cut.
-        first, *rest = _CUT.split(text) if _BLANKS.search(text) else text.split(" ")
+        words = text.split(" ")
+        if "" in words or [w.strip() for w in words] != words:  # else no two blanks meet, and every single one is a cut
+            words = _CUT.split(text)
+        first, *rest = words
         return [first, *[" " + r for r in rest]]
 
+    def _inner(self, part: str) -> list[str]:
+        """Parts of a part: mostly a word and the signs after it."""
+        word = part.rstrip(_SIGNS)
+        if word[1:].isalpha():
+            return [part] if len(word) == len(part) else [word, part[len(word):]]
+        return _INNER.split(part)
+
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _fresh(self, parts: list[str]) -> dict[str, bytes]:
         """Ids of each part. Parts that begin with the blank of a cut are encoded side by side."""
-        beside = [p for p in parts if self.cuts and _JOINABLE.fullmatch(p)]
+        beside = [p for p in parts if self.cuts and len(p) > 1 and p[0] == " " and p[1:] == p[1:].strip()]
         apart = list(set(parts).difference(beside))
         out = {p: ids.tobytes() for p, ids in zip(apart, self._ids(apart), strict=True)}
         for a in range(0, len(beside), TOGETHER):
@@ -90,7 +98,7 @@ class Encoder:
         memory, cut = self.memory, [self._parts(t) for t in texts]
         memory.turn()
         wanted = memory.recall({p for parts in cut for p in parts})
-        short = {p: _INNER.split(p) if self.cuts else [p] for p in wanted if len(p) <= LONGEST_REMEMBERED}
+        short = {p: self._inner(p) if self.cuts else [p] for p in wanted if len(p) <= LONGEST_REMEMBERED}
         memory.fill(list({i for inner in short.values() for i in inner}), self._fresh)
         known = memory.new
         known.update({p: b"".join([known[i] for i in inner]) for p, inner in short.items() if len(inner) > 1})
