@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwright.llm.frames import small_batches
+from shelfwright.llm.memory import release
 from shelfwright.llm.shingles import mix
 
 ORDERS = (2, 3, 4)
@@ -178,6 +179,7 @@ def predict(spark: SparkSession, documents: DataFrame, model: Model) -> DataFram
         for batch in batches:
             names, top = decide(held.value, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(top, pa.float64())], ["doc_id", "lang_pred", "score"])
+        release()
 
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, lang_pred string, score double")
@@ -191,6 +193,7 @@ def accepted(spark: SparkSession, documents: DataFrame, model: Model, least: flo
     @F.pandas_udf("boolean")
     def good(text: pd.Series) -> pd.Series:
         names, top = decide(held.value, [t if isinstance(t, str) else None for t in text])
+        release()
         return pd.Series([name != UNKNOWN and score >= least for name, score in zip(names, top, strict=True)])
 
     return documents.where(good(documents["text"].cast("string")))

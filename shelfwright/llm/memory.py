@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable
 
+import pyarrow as pa
+
 
 class Memory:
     """Two generations of at most about ``limit`` entries: what is asked for moves to the new one, the old one goes when that is full."""
@@ -27,11 +30,19 @@ class Memory:
             self.old, self.new = self.new, {}
 
     def rest(self) -> None:
-        """At the end of a task: keep one generation for the worker's next task, which may be another job's."""
-        self.old = {}
+        """At the end of a task: the worker's next task may be another job's."""
+        self.new, self.old = {}, {}
 
     def fill(self, keys: list[str], make: Callable[[list[str]], dict[str, bytes]]) -> None:
         """Add what ``make`` gives for the keys that are not known."""
         absent = self.recall(keys)
         if absent:
             self.new.update(make(absent))
+
+
+def release() -> None:
+    """Give what a task has freed back to the system: workers live on between tasks, beside the executor's own memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library; others need none
+    if trim:
+        trim(0)

@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwright.llm.frames import components, small_batches, written
+from shelfwright.llm.memory import release
 from shelfwright.llm.shingles import shingle_sets, signature
 
 PERCENT = 80
@@ -88,6 +89,7 @@ def _shared_counts(texts: DataFrame) -> DataFrame:
             for _, sets in shingle_sets(batch.column(0)):
                 flat = np.concatenate([s[:np.searchsorted(s, UNIVERSE)] for s in sets])
                 yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], ["shingle"])
+        release()
 
     found = texts.select("text").mapInArrow(emit, "shingle long")
     return found.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
@@ -138,6 +140,7 @@ def _sets(spark: SparkSession, texts: DataFrame, table: np.ndarray, percent: int
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(sets)), *(pa.array(c, long) for c in (n, one, two)), pa.array(whole, pa.list_(long))],
                     ["doc_id", "n", "sig1", "sig2", "whole"])
+        release()
 
     return texts.select("doc_id", "text").mapInArrow(emit, "doc_id long, n long, sig1 long, sig2 long, whole array<long>")
 
@@ -157,6 +160,7 @@ def _open_sets(spark: SparkSession, reps: DataFrame, table: np.ndarray, percent:
             doc, n, shared = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc, pa.int64()), pa.array(n, pa.int64()), pa.array(shared, pa.list_(pa.int64()))], ["doc", "n", "shared"])
+        release()
 
     return reps.select("rep", "whole").mapInArrow(emit, "doc long, n long, shared array<long>")
 

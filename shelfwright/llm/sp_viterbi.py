@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_format
 
 from shelfwright.llm.frames import small_batches
-from shelfwright.llm.memory import Memory
+from shelfwright.llm.memory import Memory, release
 from shelfwright.llm.shingles import mix
 
 MARK = "▁"
@@ -369,6 +369,7 @@ def encode(spark: SparkSession, documents: DataFrame, model: bytes) -> DataFrame
                 ids = [np.frombuffer(x, np.int32) for x in encoder.encode_all(texts)]
                 yield pa.RecordBatch.from_arrays([piece.column(0), _lists(ids)], ["doc_id", "ids"])
         encoder.memory.rest()
+        release()
 
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -406,6 +407,7 @@ def round_trip(spark: SparkSession, documents: DataFrame, model: bytes) -> DataF
                     [piece.column(0), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(chars, pa.int64()), pa.array(same)],
                     ["doc_id", "n_ids", "ids_crc32", "n_chars", "round_trip"])
         encoder.memory.rest()
+        release()
 
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, n_ids long, ids_crc32 long, n_chars long, round_trip boolean")
