@@ -1,11 +1,17 @@
 """Masked pseudo-likelihood: a network that sees ``REACH`` words on both sides predicts every word of every document.
 
-**Vocabulary.** Words (runs without white space, A-Z lower-cased) are counted over all documents. The most frequent have an entry of
-their own; the others share ``BUCKETS`` entries by their hash. Counts combine per batch before the exchange; the driver sees the
-vocabulary only.
+**Vocabulary.** Words (runs without white space, A-Z lower-cased) are counted over all documents, and all counts are a written table.
+The most frequent words have an entry of their own; the others share ``BUCKETS`` entries by their hash. The number of entries grows
+with the square root of the number of different words. Counts combine per batch before the exchange; the driver sees how many words
+have each count, the words with an entry and at most ``KNOWN`` further ones.
+
+**Shared entries.** A word without an entry of its own has the probability of its bucket times its share of the bucket's words,
+count / (words of the bucket + 1). The one place left is for words that were never counted, spread evenly over the bucket's hashes,
+so the shares of a bucket sum to 1. Counts of the ``KNOWN`` most frequent words are with every task; the counts of the others are
+joined from the table, by document and word.
 
 **Network.** The hidden vector is tanh of the sum of one embedding for each neighbour and place; the target is masked, it is no input.
-The output is factored: first one of ``CLASSES`` classes, then the entry within the class, so a word costs two short softmaxes.
+The output is factored: first one of the classes, then the entry within the class, so a word costs two short softmaxes.
 
 **Training** is numpy inside Spark tasks, data-parallel over all documents. In each of ``ROUNDS`` rounds every task starts from the
 common weights, takes Adagrad steps over its documents and hands back its weights with their number of targets; the weighted mean
@@ -13,7 +19,7 @@ is the next common state. What is combined grows with the number of tasks, that
 exchanges by parts of the weights, so neither a task nor the driver ever holds more than one model. In round k every document
 contributes the targets at places k mod ``STRIDE``; all words are context.
 
-**Scores** are sums of log conditional probabilities over all words of the whole text.
+**Scores** are sums of log conditional probabilities of the words themselves over the whole text.
 
 Rows: one per input row. A null text and one without words have no words, ``log_prob`` 0 and a null mean. Places beyond a text's ends
 are a padding entry. Other columns are ignored.
@@ -21,8 +27,9 @@ are a padding entry. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -30,32 +37,64 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwright.llm.frames import written
 from shelfwright.llm.shingles import slices, utf8, word_hashes
+from shelfwright.session import workspace
 
 REACH, WIDTH = 2, 24
-CLASSES, MEMBERS = 32, 32
+#: Of the smallest model, for up to ``DISTINCT`` different words.
+CLASSES, MEMBERS, DISTINCT = 32, 32, 1 << 18
 ENTRIES = CLASSES * MEMBERS
 BUCKETS = 64
 PAD = ENTRIES
 ROUNDS, STRIDE, BATCH, RATE = 2, 8, 1024, 0.1
+#: Words whose counts every task has (4 MB); the counts of all others are joined.
+KNOWN = 1 << 18
+#: Log share of one hash among those of a bucket.
+ONE_HASH = math.log(BUCKETS) - 64 * math.log(2)
 #: Floats of the weights in one row, and groups of tasks that are summed first.
 PART, GROUPS = 1 << 14, 64
-_SHAPES = {"embed": (2 * REACH, ENTRIES + 1, WIDTH), "bias": (WIDTH,), "to_class": (WIDTH, CLASSES), "class_bias": (CLASSES,),
-           "to_member": (CLASSES, WIDTH, MEMBERS), "member_bias": (CLASSES, MEMBERS)}
+
+
+def side_for(distinct: int) -> int:
+    """Classes, and members of each, of a model of so many different words."""
+    return max(CLASSES, 8 * math.ceil(CLASSES / 8 * (distinct / DISTINCT) ** 0.25))
+
+
+def _shapes(side: int) -> dict[str, tuple[int, ...]]:
+    return {"embed": (2 * REACH, side * side + 1, WIDTH), "bias": (WIDTH,), "to_class": (WIDTH, side), "class_bias": (side,),
+            "to_member": (side, WIDTH, side), "member_bias": (side, side)}
+
+
+def _bucket(words: np.ndarray) -> np.ndarray:
+    return ((words >> np.uint64(58)) % np.uint64(BUCKETS)).astype(np.int64)
 
 
 @dataclass(frozen=True)
 class Model:
-    """Hashes of the known words, sorted, with their entries; and all weights in one vector."""
+    """Hashes of the words with an entry, sorted, with their entries; all weights in one vector; and what is known of the other words.
+
+    ``known`` are sorted hashes with their ``times``, ``totals`` the words of each bucket, ``table`` the path of the counts of all
+    words, empty if ``known`` has all of them.
+    """
 
     hashes: np.ndarray
     entries: np.ndarray
     weights: np.ndarray
+    side: int = CLASSES
+    known: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    times: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    totals: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS, np.int64))
+    table: str = ""
+
+    @property
+    def pad(self) -> int:
+        return self.side * self.side
 
     def views(self) -> dict[str, np.ndarray]:
         """The weights by name, sharing memory with the vector."""
         out, at = {}, 0
-        for name, shape in _SHAPES.items():
+        for name, shape in _shapes(self.side).items():
             out[name] = self.weights[at:at + int(np.prod(shape))].reshape(shape)
             at += int(np.prod(shape))
         return out
@@ -63,35 +102,47 @@ class Model:
     def tokens(self, words: np.ndarray) -> np.ndarray:
         """Entry of each word hash."""
         at = np.minimum(np.searchsorted(self.hashes, words), max(0, len(self.hashes) - 1))
-        shared = (ENTRIES - BUCKETS + (words >> np.uint64(58)) % np.uint64(BUCKETS)).astype(np.int64)
+        shared = self.pad - BUCKETS + _bucket(words)
         return np.where(self.hashes[at] == words, self.entries[at], shared) if len(self.hashes) else shared
 
-
-def start(hashes: np.ndarray, seed: int = 7) -> Model:
-    """Untrained model of words in order of frequency; frequent words share classes."""
+    def shares(self, words: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log share of each word in its entry, and the places of words whose count is not known here: theirs lacks the count."""
+        out, at = np.zeros(len(words)), np.flatnonzero(tokens >= self.pad - BUCKETS)
+        own = words[at]
+        out[at] = -np.log(self.totals[_bucket(own)] + 1.0)
+        if len(self.known):
+            place = np.minimum(np.searchsorted(self.known, own), len(self.known) - 1)
+            found = self.known[place] == own
+            out[at[found]] += np.log(self.times[place[found]])
+            at = at[~found]
+        return out, at
+
+
+def start(hashes: np.ndarray, seed: int = 7, side: int = CLASSES) -> Model:
+    """Untrained model of words in order of frequency; frequent words share classes. It has counted no words."""
     order = np.argsort(hashes)
     rng = np.random.default_rng(seed)
-    parts = [rng.normal(0, 0.1, shape) if len(shape) > 1 and "bias" not in name else np.zeros(shape) for name, shape in _SHAPES.items()]
-    return Model(hashes[order], order.astype(np.int64), np.concatenate([p.ravel() for p in parts]).astype(np.float32))
+    parts = [rng.normal(0, 0.1, shape) if len(shape) > 1 and "bias" not in name else np.zeros(shape) for name, shape in _shapes(side).items()]
+    return Model(hashes[order], order.astype(np.int64), np.concatenate([p.ravel() for p in parts]).astype(np.float32), side)
 
 
-def _texts(model: Model, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """First row, entries and first word of each row, slice by slice."""
+def _texts(model: Model, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """First row, words, entries and first word of each row, slice by slice."""
     raw, offsets = utf8(column)
     for a, b in slices(offsets):
         off = offsets[a:b + 1]
         words, first = word_hashes(raw[off[0]:off[-1]], off - off[0])
-        yield a, model.tokens(words), first
+        yield a, words, model.tokens(words), first
 
 
-def contexts(tokens: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
+def contexts(tokens: np.ndarray, first: np.ndarray, at: np.ndarray, pad: int = PAD) -> np.ndarray:
     """Entries of the neighbours of the words at ``at``, without crossing a document's ends."""
     row = np.searchsorted(first, at, "right") - 1
     out = np.empty((len(at), 2 * REACH), np.int64)
     for j, step in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
         place = at + step
         inside = (place >= first[row]) & (place < first[row + 1])
-        out[:, j] = np.where(inside, tokens[np.clip(place, 0, len(tokens) - 1)], PAD)
+        out[:, j] = np.where(inside, tokens[np.clip(place, 0, len(tokens) - 1)], pad)
     return out
 
 
@@ -108,24 +159,24 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
 
-def _by_class(targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    kind = targets // MEMBERS
+def _by_class(targets: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
+    kind = targets // side
     order = np.argsort(kind, kind="stable")
-    return order, np.searchsorted(kind[order], np.arange(CLASSES + 1))
+    return order, np.searchsorted(kind[order], np.arange(side + 1))
 
 
 def log_probs(model: Model, tokens: np.ndarray, first: np.ndarray, block: int = 1 << 15) -> np.ndarray:
-    """Log conditional probability of each word given its neighbours."""
+    """Log conditional probability of each word's entry given its neighbours."""
     w, out = model.views(), np.zeros(len(tokens))
     for a in range(0, len(tokens), block):
         at = np.arange(a, min(a + block, len(tokens)))
-        targets, hidden = tokens[at], _hidden(w, contexts(tokens, first, at))
-        got = _softmax(hidden @ w["to_class"] + w["class_bias"])[np.arange(len(at)), targets // MEMBERS]
-        order, edges = _by_class(targets)
-        for c in range(CLASSES):
+        targets, hidden = tokens[at], _hidden(w, contexts(tokens, first, at, model.pad))
+        got = _softmax(hidden @ w["to_class"] + w["class_bias"])[np.arange(len(at)), targets // model.side]
+        order, edges = _by_class(targets, model.side)
+        for c in range(model.side):
             own = order[edges[c]:edges[c + 1]]
             if len(own):
-                got[own] += _softmax(hidden[own] @ w["to_member"][c] + w["member_bias"][c])[np.arange(len(own)), targets[own] % MEMBERS]
+                got[own] += _softmax(hidden[own] @ w["to_member"][c] + w["member_bias"][c])[np.arange(len(own)), targets[own] % model.side]
         out[at] = got
     return out
 
@@ -136,15 +187,15 @@ def step(model: Model, squares: np.ndarray, context: np.ndarray, targets: np.nda
     d, n = g.views(), len(targets)
     hidden = _hidden(w, context)
     grad = np.exp(_softmax(hidden @ w["to_class"] + w["class_bias"]))
-    grad[np.arange(n), targets // MEMBERS] -= 1
+    grad[np.arange(n), targets // model.side] -= 1
     d["to_class"][:], d["class_bias"][:] = hidden.T @ grad, grad.sum(axis=0)
     back = grad @ w["to_class"].T
-    order, edges = _by_class(targets)
-    for c in range(CLASSES):
+    order, edges = _by_class(targets, model.side)
+    for c in range(model.side):
         own = order[edges[c]:edges[c + 1]]
         if len(own):
             grad = np.exp(_softmax(hidden[own] @ w["to_member"][c] + w["member_bias"][c]))
-            grad[np.arange(len(own)), targets[own] % MEMBERS] -= 1
+            grad[np.arange(len(own)), targets[own] % model.side] -= 1
             d["to_member"][c], d["member_bias"][c] = hidden[own].T @ grad, grad.sum(axis=0)
             back[own] += grad @ w["to_member"][c].T
     back *= 1 - hidden ** 2
@@ -158,8 +209,8 @@ def step(model: Model, squares: np.ndarray, context: np.ndarray, targets: np.nda
     model.weights[:] -= rate * change / np.sqrt(squares + 1e-8)
 
 
-def count_words(documents: DataFrame, most: int = ENTRIES - BUCKETS) -> np.ndarray:
-    """Hashes of the most frequent words of all documents, in order; equal counts by hash."""
+def word_counts(documents: DataFrame) -> DataFrame:
+    """``word, n``: hash and count of every word of all documents."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = utf8(batch.column(0))
@@ -168,10 +219,41 @@ def count_words(documents: DataFrame, most: int = ENTRIES - BUCKETS) -> np.ndarr
                 hashes, counts = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], ["word", "n"])
 
-    counted = documents.select(F.col("text").cast("string")).mapInArrow(emit, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return documents.select(F.col("text").cast("string")).mapInArrow(emit, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _most_frequent(counted: DataFrame, most: int) -> np.ndarray:
     return np.array([r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(most).collect()], np.int64).view(np.uint64)
 
 
+def count_words(documents: DataFrame, most: int = ENTRIES - BUCKETS) -> np.ndarray:
+    """Hashes of the most frequent words of all documents, in order; equal counts by hash."""
+    return _most_frequent(word_counts(documents), most)
+
+
+def start_counted(spark: SparkSession, documents: DataFrame) -> Model:
+    """Untrained model of the words of all documents, with their counts."""
+    path = workspace(spark, "words")
+    word_counts(documents).write.parquet(path)
+    counted = spark.read.schema("word long, n long").parquet(path)
+    levels = sorted(((r["n"], r["words"]) for r in counted.groupBy("n").agg(F.count("*").alias("words")).collect()), reverse=True)
+    distinct, least, size = sum(words for _, words in levels), math.inf, 0
+    for n, words in levels:
+        if size + words > KNOWN:
+            break
+        least, size = n, size + words
+    side = side_for(distinct)
+    model = start(_most_frequent(counted, side * side - BUCKETS), side=side)
+    totals = np.zeros(BUCKETS, np.int64)
+    own = counted.where(~F.col("word").isin(model.hashes.view(np.int64).tolist())) if len(model.hashes) else counted
+    for r in own.groupBy(F.shiftrightunsigned("word", 58).alias("bucket")).agg(F.sum("n").alias("n")).collect():
+        totals[r["bucket"]] = r["n"]
+    known = own.where(F.col("n") >= least).toArrow() if size else None
+    words, times = (known[c].to_numpy() for c in ("word", "n")) if known is not None else (np.zeros(0, np.int64),) * 2
+    order = np.argsort(words.view(np.uint64))
+    return replace(model, known=words.view(np.uint64)[order], times=times[order], totals=totals, table=path if size < distinct else "")
+
+
 def _summed(rows: DataFrame, *keys: str) -> DataFrame:
     """``rows`` (part, salt, n, weights) added up by ``keys``, a running sum per key and task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,11 +284,11 @@ def train_round(spark: SparkSession, documents: DataFrame, model: Model, round_:
                 step(own, squares, context[a:a + BATCH], targets[a:a + BATCH])
 
         for batch in batches:
-            for _, tokens, first in _texts(own, batch.column(0)):
+            for _, _, tokens, first in _texts(own, batch.column(0)):
                 row = np.repeat(np.arange(len(first) - 1), np.diff(first))
                 at = np.flatnonzero((np.arange(len(tokens)) - first[row]) % stride == round_ % stride)
                 if len(at):
-                    waiting.append((contexts(tokens, first, at), tokens[at]))
+                    waiting.append((contexts(tokens, first, at, own.pad), tokens[at]))
                     seen += len(at)
                 if sum(len(t) for _, t in waiting) >= BATCH:
                     learn(waiting)
@@ -230,7 +312,7 @@ def train_round(spark: SparkSession, documents: DataFrame, model: Model, round_:
 
 def train(spark: SparkSession, documents: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE) -> Model:
     """Model of all documents."""
-    model = start(count_words(documents))
+    model = start_counted(spark, documents)
     for round_ in range(rounds):
         model = train_round(spark, documents, model, round_, stride)
     return model
@@ -241,13 +323,35 @@ def score(spark: SparkSession, documents: DataFrame, model: Model) -> DataFrame:
     held = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, row = held.value, TaskContext.get().partitionId() << 33
         for batch in batches:
-            for start_, tokens, first in _texts(held.value, batch.column(1)):
-                sums = np.concatenate([[0.0], np.cumsum(log_probs(held.value, tokens, first))])
+            for start_, words, tokens, first in _texts(own, batch.column(1)):
+                shares, open_ = own.shares(words, tokens)
+                if not own.table:
+                    shares[open_] += ONE_HASH
+                    open_ = open_[:0]
+                sums = np.concatenate([[0.0], np.cumsum(log_probs(own, tokens, first) + shares)])
                 n, total = np.diff(first), np.diff(sums[first])
+                # Words whose counts are to be joined, once for each document.
+                of = np.searchsorted(first, open_, "right") - 1
+                order = np.lexsort((words[open_], of))
+                of, rest = of[order], words[open_][order]
+                new = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (rest[1:] != rest[:-1])])) if len(of) else np.zeros(0, np.int64)
+                offsets = pa.array(np.searchsorted(of[new], np.arange(len(n) + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start_, len(n)), pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1), mask=n == 0)],
-                    ["doc_id", "n_words", "log_prob", "mean_log_prob"])
-
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_words long, log_prob double, mean_log_prob double")
+                    [pa.array(row + np.arange(len(n))), batch.column(0).slice(start_, len(n)), pa.array(n), pa.array(total),
+                     pa.ListArray.from_arrays(offsets, pa.array(rest[new].view(np.int64))),
+                     pa.ListArray.from_arrays(offsets, pa.array(np.diff(np.append(new, len(of)))))],
+                    ["row", "doc_id", "n_words", "log_prob", "words", "times"])
+                row += len(n)
+
+    scored = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        run, "row long, doc_id long, n_words long, log_prob double, words array<long>, times array<long>")
+    if model.table:
+        scored = written(spark, scored, "scored")
+        rest = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", "w.words", "w.times")
+        counted = spark.read.schema("word long, n long").parquet(model.table)
+        more = rest.join(counted, rest["words"] == counted["word"], "left").groupBy("row").agg(
+            F.sum(F.col("times") * F.coalesce(F.log("n"), F.lit(ONE_HASH))).alias("more"))
+        scored = scored.join(more, "row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("more", F.lit(0.0)))
+    return scored.select("doc_id", "n_words", "log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")).alias("mean_log_prob"))

@@ -1,6 +1,7 @@
 """The network's gradient, and scores of held-out and shuffled documents."""
 
 import random
+from collections import Counter
 from dataclasses import replace
 
 import numpy as np
@@ -70,3 +71,44 @@ def test_every_row_has_a_score(spark, documents, corpus, nothing):
     fresh = M.train(spark, nothing)
     assert np.array_equal(fresh.weights, M.start(np.zeros(0, np.uint64)).weights)
     assert M.score(spark, nothing, fresh).count() == 0 and M.score(spark, documents, fresh).count() == len(corpus)
+
+
+@pytest.mark.parametrize("known", [0, 40, 1 << 18])
+def test_words_of_a_bucket_have_their_own_probability(spark, known, monkeypatch):
+    """Against counts in plain Python, whether tasks know the counts or they are joined."""
+    monkeypatch.setattr(M, "KNOWN", known)
+    rng = random.Random(3)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.4)) % 6000}" for _ in range(400)) for _ in range(40)]
+    model = M.train(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert bool(model.table) == (known < 1 << 18)
+    counts = Counter(" ".join(texts).split())
+    hashes = {w: int(M.word_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[0][0]) for w in [*counts, "zzgibberish"]}
+    own = set(model.hashes.tolist())
+    rare = {w: counts[w] for w in counts if hashes[w] not in own}
+    totals = Counter()
+    for w, n in rare.items():
+        totals[hashes[w] >> 58] += n
+    assert len(rare) > 100
+    several = [*texts[:5], "zzgibberish " + texts[0], None, next(iter(rare))]
+    rows = spark.createDataFrame([(None if i == 2 else 1, t) for i, t in enumerate(several)], "doc_id long, text string").coalesce(1)
+    want = []
+    for t in several:
+        words = (t or "").split()
+        tokens = model.tokens(np.array([hashes[w] for w in words], np.uint64))
+        entry = M.log_probs(model, tokens, np.array([0, len(words)]), 1 << 15).sum() if words else 0.0
+        share = [np.log(rare.get(w, 2.0 ** -58) / (totals[hashes[w] >> 58] + 1)) for w in words if hashes[w] not in own]
+        want.append((len(words), entry + sum(share)))
+    got = sorted((r.n_words, r.log_prob) for r in M.score(spark, rows, model).collect())
+    assert [n for n, _ in got] == sorted(n for n, _ in want)
+    assert [p for _, p in got] == pytest.approx([p for _, p in sorted(want)], rel=1e-5)
+
+
+def test_entries_grow_with_the_words(spark, monkeypatch):
+    monkeypatch.setattr(M, "DISTINCT", 100)
+    docs = spark.createDataFrame([(i, " ".join(f"v{(i * 7 + j) % 2000}" for j in range(100))) for i in range(200)], "doc_id long, text string")
+    model = M.train(spark, docs)
+    assert model.side > M.CLASSES
+    assert len(model.hashes) > M.ENTRIES - M.BUCKETS
+    first = np.array([0, 3])
+    total = sum(np.exp(M.log_probs(model, np.array([1, e, 2]), first)[1]) for e in range(0, model.pad))
+    assert total == pytest.approx(1, abs=1e-3) and all(r.log_prob < 0 for r in M.score(spark, docs, model).collect())
