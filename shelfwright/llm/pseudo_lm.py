@@ -17,7 +17,8 @@ The output is factored: first one of the classes, then the entry within the clas
 common weights, takes Adagrad steps over its documents and hands back its weights with their number of targets; the weighted mean
 is the next common state. What is combined grows with the number of tasks, that is with the input, and is summed in two
 exchanges by parts of the weights, so neither a task nor the driver ever holds more than one model. In round k every document
-contributes the targets at places k mod ``STRIDE``; all words are context.
+contributes the targets at places k mod ``STRIDE``; all words are context. ``ROUNDS`` is a multiple of ``STRIDE``, so every word is a
+target equally often.
 
 **Scores** are sums of log conditional probabilities of the words themselves over the whole text.
 
@@ -47,7 +48,7 @@ CLASSES, MEMBERS, DISTINCT = 32, 32, 1 << 18
 ENTRIES = CLASSES * MEMBERS
 BUCKETS = 64
 PAD = ENTRIES
-ROUNDS, STRIDE, BATCH, RATE = 2, 8, 1024, 0.1
+ROUNDS, STRIDE, BATCH, RATE = 2, 2, 1024, 0.1
 #: Words whose counts every task has (4 MB); the counts of all others are joined.
 KNOWN = 1 << 18
 #: Log share of one hash among those of a bucket.

@@ -112,3 +112,19 @@ def test_entries_grow_with_the_words(spark, monkeypatch):
     first = np.array([0, 3])
     total = sum(np.exp(M.log_probs(model, np.array([1, e, 2]), first)[1]) for e in range(0, model.pad))
     assert total == pytest.approx(1, abs=1e-3) and all(r.log_prob < 0 for r in M.score(spark, docs, model).collect())
+
+
+def test_every_place_is_a_target(spark, monkeypatch):
+    """With the defaults, the rounds see as many targets as there are words."""
+    assert M.ROUNDS % M.STRIDE == 0
+    summed, seen = M._summed, []
+
+    def counting(rows, *keys):
+        if "salt" in keys:
+            seen.append(rows.where("part = 0").agg(F.sum("n").alias("n")).first().n)
+        return summed(rows, *keys)
+
+    monkeypatch.setattr(M, "_summed", counting)
+    docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(i))) for i in range(1, 30)], "doc_id long, text string")
+    M.train(spark, docs)
+    assert sum(seen) == sum(range(1, 30)) * M.ROUNDS // M.STRIDE
