@@ -3,8 +3,8 @@
 Base spans are found in the source text. Then three transducers rewrite what may hide an identifier: homoglyphs and full-width
 forms become ASCII and zero-width characters vanish; ``at`` and ``dot`` in brackets, or as words in ``name at host dot tld``,
 become signs; runs of spelled digits become digits (``plus`` before them, or a length of 10 to 15, gives a plus sign). The same detectors run over the result, and
-each span is mapped back to the source characters that its first and last character came from. A mapped span that overlaps no
-base span of its kind is added; base spans stay as they are.
+each span is mapped back to the source characters that its first and last character came from. A mapped span is added unless one
+base span of its kind contains it, so the whole of an address is found whose rest is a base span; base spans stay as they are.
 
 A text in which no transducer finds anything is not rewritten. Detectors take time in proportion to the text: no run of
 characters is searched again from its middle.
@@ -170,7 +170,7 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
         for kind, start, end in detect(now):
             for mapped in reversed(chain):
                 start, end = mapped.source(start, end)
-            if (kind, start, end) not in known and not any(k == kind and start < b and a < end for k, a, b in base):
+            if (kind, start, end) not in known and not any(k == kind and a <= start and end <= b for k, a, b in base):
                 added.append((kind, start, end))
     return base, base + added
 

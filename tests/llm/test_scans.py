@@ -121,6 +121,21 @@ def test_disguises_map_back(text, kind, found):
     assert base == [] and [(k, text[a:b]) for k, a, b in spans] == [(kind, found)]
 
 
+@pytest.mark.parametrize("text, kind, base, found", [
+    ("jоhn@example.com", "email", ["hn@example.com"], "jоhn@example.com"),
+    ("john@mail.example [dot] com", "email", ["john@mail.example"], "john@mail.example [dot] com"),
+    ("at 10.0.0.1２ it", "ip", ["10.0.0.1"], "10.0.0.1２"),
+])
+def test_disguised_whole_of_a_base_span(text, kind, base, found):
+    plain, spans = D.find(text)
+    assert [text[a:b] for _, a, b in plain] == base
+    assert [(k, text[a:b]) for k, a, b in spans] == [*((kind, x) for x in base), (kind, found)]
+
+
+def test_span_within_a_base_span_is_not_added():
+    assert D.find("x ann@mail.org, call the оffice") == ([("email", 2, 14)],) * 2
+
+
 @pytest.mark.parametrize("text", ["we meet at noon by the dot com", "one two three", "at the dot", "", "прост текст с словами", "three four dots at six"])
 def test_clean_texts_stay_clean(text):
     assert D.find(text) == ([], [])
