@@ -38,8 +38,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
-    return without(spark, docs, template_decon.find_leaks(spark, docs, table(spark, sf_dir, "benchmark")))
+    """Documents that contain no benchmark item, neither its template nor a verbatim copy."""
+    benchmark = table(spark, sf_dir, "benchmark")
+    templates, copies = (find(spark, docs, benchmark).select("doc_id") for find in (template_decon.find_leaks, template_decon.find_copies))
+    return without(spark, docs, templates.union(copies))
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,8 @@ Then the slots are compared: within the matched stretch, each name, number or un
 document throughout. ``exact``: all values equal; ``reparameterised``: consistent, with other values. A candidate with
 inconsistent slots counts only if its windows without any placeholder suffice (``exact``).
 
+``find_copies`` finds what the literal floor and the placeholders hide: verbatim copies of any window, in any case.
+
 The benchmark's windows are broadcast only if their measured size is within ``BROADCAST_BYTES``; beyond that both sides shuffle.
 
 Rows: one per contaminated document and item, with the best distance. Null and empty texts, and items with fewer than ``SHORT``
@@ -124,3 +126,34 @@ def find_leaks(spark: SparkSession, documents: DataFrame, benchmark: DataFrame)
         F.max(F.struct("n_windows", F.col("kind") == "exact", "apart", "kind")).alias("b"))
     return best.select("doc_id", "item_id", "b.n_windows", "b.kind")
 
+
+def find_copies(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``doc_id, item_id, n_windows`` of documents with a verbatim copy of an item, in upper or lower case.
+
+    Windows are over the plain lower-cased words, so every window of every item counts: also those dense in names, numbers and
+    units, and items with fewer than ``SHORT`` words, which are one window. As many are needed as in ``find_leaks``.
+    """
+    def worded(rows: DataFrame, key: str) -> DataFrame:
+        text = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
+        return rows.select(F.col(key).cast("long"), F.array_remove(F.split(text, BREAKS), "").alias("words"))
+
+    items, docs = worded(benchmark, "item_id").where("item_id is not null"), worded(documents, "doc_id")
+    table = None
+    for size in range(1, WINDOW + 1):
+        own = items.where(F.size("words") >= size if size == WINDOW else F.size("words") == size)
+        part = _windows(own.withColumn("windows", F.size("words") - size + 1), ["item_id", "windows"], size).select(
+            "item_id", F.col("place").alias("at"), "window", F.lit(size).alias("size"), "windows")
+        table = part if table is None else table.union(part)
+    of_items = written(spark, table, "copies")
+    sizes = {r["size"]: r["n"] for r in of_items.groupBy("size").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return spark.createDataFrame([], "doc_id long, item_id long, n_windows long")
+    hits = None
+    for size in sorted(sizes):
+        own = checked_broadcast(of_items.where(F.col("size") == size), 64 * sizes[size], BROADCAST_BYTES)
+        found = _windows(docs, ["doc_id"], size).join(own, "window")
+        hits = found if hits is None else hits.union(found)
+    needed = F.least(F.greatest(MIN_WORDS - F.col("size") + 1, F.lit(1)), F.expr("cast(ceil(windows / 2) as int)"))
+    matches = hits.groupBy("doc_id", "item_id", (F.col("place") - F.col("at")).alias("apart"), needed.alias("needed")).agg(
+        F.count_distinct("at").alias("n_windows")).where(F.col("n_windows") >= F.col("needed"))
+    return matches.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"))

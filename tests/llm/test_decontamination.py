@@ -110,3 +110,30 @@ def test_empty_tables(spark, nothing, documents):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert T.find_leaks(spark, nothing, items).count() == 0
     assert T.find_leaks(spark, documents, items.where("1 = 0")).count() == 0
+
+
+DENSE = [
+    (1, "What is 12 * 7 + 3 - 5?"), (2, ITEMS[7][1]), (3, "Add 4 to it"), (4, "Then Ann and Bob and 3 km or 4 kg"), (5, "In the shop Tom Baker buys 5 apples and 3 pears"),
+    (6, None), (7, ""), (8, " ".join(f"word{i}" for i in range(30))),
+]
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_verbatim_copies_of_dense_items(spark, broadcast, monkeypatch):
+    if not broadcast:
+        monkeypatch.setattr(T, "BROADCAST_BYTES", 0)
+    docs = [(10 * i + k, f"xx yy {t} zz") for i, text in DENSE if text for k, t in enumerate((text, text.upper(), text.lower()))]
+    docs += [(100, "What is 12 * 7 + 3 - 6?"), (101, "Add 5 to it"), (102, None), (103, " ".join(f"word{i}" for i in range(11))), (104, " ".join(f"word{i}" for i in range(12)))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame([*DENSE, (None, "xx yy")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in T.find_copies(spark, frame, items).collect()}
+    assert got == {(10 * i + k, i) for i, text in DENSE if text for k in range(3)} | {(104, 8)}
+    assert T.find_copies(spark, frame, items.where("1 = 0")).count() == T.find_copies(spark, frame.where("1 = 0"), items).count() == 0
+
+
+def test_pipeline_drops_verbatim_copies(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame(DENSE, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, f"xx {DENSE[0][1]} yy"), (2, DENSE[1][1].upper()), (3, "nothing of it"), (None, "no id")], "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.leaks(spark, docs, str(tmp_path)).collect()} == {3, None}
