@@ -92,8 +92,9 @@ _NAME = "|".join(_SPELLED)
 _RUN = re.compile(rf"(?<![A-Za-z])(?:plus[ -]+)?(?:{_NAME})(?:[ ,-]+(?:{_NAME}))++(?![A-Za-z])", re.I | re.A)
 _SPELLED_WORD = re.compile(rf"plus|{_NAME}", re.I | re.A)
 _BRACKETED = re.compile(r"\x20?[\[({<]\x20?(at|dot)\x20?[\])}>]\x20?", re.I | re.A)
+#: From the first of several parts only, so that a run of them is read once.
 _HOST_WORDS = re.compile(
-    r"(?<![A-Za-z0-9])((?:[A-Za-z0-9_%+-]++\x20dot\x20){0,4})[A-Za-z0-9._%+-]++(\x20at\x20)[A-Za-z0-9-]++((?:(?:\x20dot\x20|\.)[A-Za-z0-9-]++)+)",
+    r"(?<![A-Za-z0-9_%+-])(?<![A-Za-z0-9_%+-]\x20dot\x20)((?:[A-Za-z0-9_%+-]++\x20dot\x20)*+)[A-Za-z0-9._%+-]++(\x20at\x20)[A-Za-z0-9-]++((?:(?:\x20dot\x20|\.)[A-Za-z0-9-]++)+)",
     re.I | re.A)
 _DOT_WORD = re.compile(r"\x20dot\x20", re.I | re.A)
 
@@ -126,7 +127,7 @@ def _glyph_edits(text: str) -> list[tuple[int, int, str]]:
 
 
 def _sign_edits(text: str) -> list[tuple[int, int, str]]:
-    low = text.lower() if "dot" in text or "at" in text or "DOT" in text or "AT" in text else ""
+    low = text.lower()
     edits = []
     if "dot" in low or "at" in low:
         edits = [(*m.span(), "@" if m[1].lower() == "at" else ".") for m in _BRACKETED.finditer(text)]

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pyarrow as pa
 import pytest
@@ -136,6 +137,18 @@ def test_span_within_a_base_span_is_not_added():
     assert D.find("x ann@mail.org, call the оffice") == ([("email", 2, 14)],) * 2
 
 
+@pytest.mark.parametrize("text", ["Bob [At] Foo [Dot] Com", "Bob At Foo Dot Com", "a dot b dot c dot d dot e dot f dot g at mail dot org", "x.b dot c at mail dot org"])
+def test_whole_disguised_address(text):
+    base, spans = D.find(text)
+    assert base == [] and [(k, text[a:b]) for k, a, b in spans] == [("email", text)]
+
+
+def test_long_runs_of_parts_take_linear_time():
+    began = time.process_time()
+    assert D.find("%a dot " * 40_000) == ([], [])
+    assert time.process_time() - began < 5
+
+
 @pytest.mark.parametrize("text", ["we meet at noon by the dot com", "one two three", "at the dot", "", "прост текст с словами", "three four dots at six"])
 def test_clean_texts_stay_clean(text):
     assert D.find(text) == ([], [])
