@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwright.bindings.registry import query, table
-from shelfwright.llm import deobfuscate, extendible_dedup, langid, ngram_join, pseudo_lm, secret_scan, sp_viterbi, template_decon, token_files, warc
+from shelfwright.llm import deobfuscate, extendible_dedup, importance, langid, ngram_join, pseudo_lm, secret_scan, sp_viterbi, template_decon, token_files, warc
 from shelfwright.session import workspace
 
 PIECE_MODEL, BYTE_MODEL, END_ID = "piece_bpe_32k.model", "byte_bpe_50k.json", 2
@@ -146,3 +146,46 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace(spark, "warc")
     warc.write(spark, table(spark, sf_dir, "pages"), path)
     return warc.pages_of(warc.read(spark, path))
+
+
+@query("op11_importance_resampling", rf"""
+    with steps as (
+        select list(list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as step
+        from range(256) t(i)
+    ), texts as (
+        select 'd' as k, doc_id, row_number() over () as r, text from documents union all select 'b', null, row_number() over (), text from benchmark
+    ), words as (
+        select k, r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from texts
+    ), counted as (
+        select k, r, word, count(*) as n from (select k, r, unnest(words) as word from words) group by all
+    ), coded as (
+        select word, hex(encode(word)) as h from (select distinct word from counted)
+    ), buckets as (
+        select word, xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(range(length(h) // 2), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::bigint)),
+            lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1]))) % {importance.BUCKETS} as bucket from coded, steps
+    ), hits as (
+        select k, r, bucket, sum(n) as n from counted join buckets using (word) group by all
+    ), totals as (
+        select bucket, coalesce(sum(n) filter (k = 'd'), 0) as s, coalesce(sum(n) filter (k = 'b'), 0) as t from hits group by all
+    ), gains as (
+        select bucket, floor(1000 * ln((t + 1)::double * ((select sum(s) from totals) + {importance.BUCKETS})::double
+            / ((s + 1)::double * ((select sum(t) from totals) + {importance.BUCKETS})::double)))::bigint as gain from totals
+    ), sums as (
+        select r, sum(n)::bigint as n, sum(n * gain)::bigint as total from hits join gains using (bucket) where k = 'd' group by all
+    ), weighed as (
+        select doc_id, coalesce(n, 0)::bigint as n_features, coalesce((total - ((total % n) + n) % n) // n, 0)::bigint as weight,
+            ('0x' || sha256('{importance.SEED}:' || coalesce(doc_id::varchar, ''))[1:8])::bigint as h
+        from texts left join sums using (r) where k = 'd'
+    ), scored as (
+        select *, weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296)))::bigint as score from weighed
+    ), ranked as (
+        select *, row_number() over (partition by n_features >= {importance.LEAST_WORDS} order by score desc, doc_id nulls first, n_features) as place,
+            count(*) over (partition by n_features >= {importance.LEAST_WORDS}) as n from scored
+    )
+    select doc_id, n_features, weight, score,
+        case when n_features >= {importance.LEAST_WORDS} and place <= {importance.PERCENT} * n // 100 then place end as rank from ranked
+""")
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight of every document for the benchmark's distribution, and the ranks of those drawn."""
+    return importance.resample(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
