@@ -7,7 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwright.bindings.registry import query, table
-from shelfwright.llm import deobfuscate, extendible_dedup, importance, langid, ngram_join, pseudo_lm, secret_scan, sp_viterbi, template_decon, token_files, warc
+from shelfwright.llm import (
+    bpe_tree,
+    conversation_repair,
+    deobfuscate,
+    extendible_dedup,
+    importance,
+    langid,
+    ngram_join,
+    pseudo_lm,
+    secret_scan,
+    sp_viterbi,
+    template_decon,
+    token_files,
+    warc,
+)
 from shelfwright.session import workspace
 
 PIECE_MODEL, BYTE_MODEL, END_ID = "piece_bpe_32k.model", "byte_bpe_50k.json", 2
@@ -189,3 +203,15 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight of every document for the benchmark's distribution, and the ranks of those drawn."""
     return importance.resample(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and its audit of every conversation, after planted damage."""
+    return conversation_repair.repair(spark, conversation_repair.damage(table(spark, sf_dir, "conversations")))[0]
+
+
+@query("op13_bpe_tree")
+def op13_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded again."""
+    return bpe_tree.round_trip(spark, table(spark, sf_dir, "documents"), bpe_tree.load(public_tokenizers.path(BYTE_MODEL)))
