@@ -9,9 +9,8 @@ Documents are exchanged once, by ranges of ``doc_id``; each task encodes its ran
 holds a random part and the manifest names the shards of the attempts that ended, so a repeated task harms nothing; what a
 failed attempt wrote is not named. The driver sees one row per shard.
 
-Texts are encoded by the ``tokenizers`` library, cut where byte-level models with the usual pattern never join: before a single
-blank between two other characters, and inside between a letter and a sign. What is between cuts is remembered if short, at
-most twice ``REMEMBERED`` of them; what is new is encoded many at once, and told apart again by the bytes of its tokens.
+Texts are encoded by the ``tokenizers`` library, cut where byte-level models with the usual pattern never join (see ``parts``): the
+library sees each different part once.
 
 Rows: one document per input row. A null or empty text has the end id only. Rows with one ``doc_id`` are ordered by text. A null
 ``doc_id`` comes first and is stored as the smallest 64-bit integer. Other columns are ignored.
@@ -19,9 +18,7 @@ Rows: one document per input row. A null or empty text has the end id only. Rows
 
 from __future__ import annotations
 
-import json
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -34,77 +31,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shelfwright.llm.memory import Memory
+from shelfwright.llm.parts import Parts
+from shelfwright.llm.shingles import utf8
 
-REMEMBERED, LONGEST_REMEMBERED, ROWS, TOGETHER = 500_000, 48, 512, 64
+ROWS = 512
 NO_ID = -(1 << 63)
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-#: A letter and a sign, and a line break and a letter, are never in one token.
-_SIGNS = ".,;:!?%*#&$"
-_INNER = re.compile(r"(?<=[^\W\d_])(?=[.,;:!?\n%*#&$])|(?<=\S\n)(?=[^\W\d_])")
 
 
 class Encoder:
-    """Ids of texts as bytes of ``dtype``, each with the end id."""
+    """Ids of texts in ``dtype``, each with the end id."""
 
     def __init__(self, serialized: str, end_id: int, dtype: str):
-        self.tokenizer = Tokenizer.from_str(serialized)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.dtype, self.end = dtype, np.array([end_id], dtype).tobytes()
-        kind = json.loads(serialized).get("pre_tokenizer") or {}
-        self.cuts = kind.get("type") == "ByteLevel" and not kind.get("add_prefix_space") and kind.get("use_regex", True)
-        self.memory = Memory(REMEMBERED)
-        # A character of a byte-level token stands for one byte.
-        names = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
-        self.sizes = np.array([len(n or "") for n in names], np.int64)
-
-    def _parts(self, text: str) -> list[str]:
-        if not text:
-            return []
-        if not self.cuts:
-            return [text]
-        words = text.split(" ")
-        if "" in words or [w.strip() for w in words] != words:  # else no two blanks meet, and every single one is a cut
-            words = _CUT.split(text)
-        first, *rest = words
-        return [first, *[" " + r for r in rest]]
-
-    def _inner(self, part: str) -> list[str]:
-        """Parts of a part: mostly a word and the signs after it."""
-        word = part.rstrip(_SIGNS)
-        if word[1:].isalpha():
-            return [part] if len(word) == len(part) else [word, part[len(word):]]
-        return _INNER.split(part)
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _fresh(self, parts: list[str]) -> dict[str, bytes]:
-        """Ids of each part. Parts that begin with the blank of a cut are encoded side by side."""
-        beside = [p for p in parts if self.cuts and len(p) > 1 and p[0] == " " and p[1:] == p[1:].strip()]
-        apart = list(set(parts).difference(beside))
-        out = {p: ids.tobytes() for p, ids in zip(apart, self._ids(apart), strict=True)}
-        for a in range(0, len(beside), TOGETHER):
-            group = beside[a:a + TOGETHER]
-            ids = self._ids(["".join(group)])[0]
-            ends = np.cumsum([len(p.encode()) for p in group])
-            at = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
-            data, width = ids.tobytes(), ids.itemsize
-            for part, x, y in zip(group, [0, *(at[:-1] * width).tolist()], (at * width).tolist(), strict=True):
-                out[part] = data[x:y]
-        return out
+        self.parts, self.end = Parts(serialized, dtype), end_id
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and how many each text has."""
+        ids, starts = self.parts.encode(*utf8(texts))
+        counts = np.diff(starts)
+        out = np.full(len(ids) + len(counts), self.end, self.parts.dtype)
+        out[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
+        return out, counts + 1
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        memory, cut = self.memory, [self._parts(t) for t in texts]
-        memory.turn()
-        wanted = memory.recall({p for parts in cut for p in parts})
-        short = {p: self._inner(p) if self.cuts else [p] for p in wanted if len(p) <= LONGEST_REMEMBERED}
-        memory.fill(list({i for inner in short.values() for i in inner}), self._fresh)
-        known = memory.new
-        known.update({p: b"".join([known[i] for i in inner]) for p, inner in short.items() if len(inner) > 1})
-        rest = self._fresh([p for p in wanted if len(p) > LONGEST_REMEMBERED])
-        get = known.__getitem__ if not rest else lambda p: rest[p] if p in rest else known[p]
-        return [b"".join(map(get, parts)) + self.end for parts in cut]
+        ids, counts = self.encode_column(pa.array(texts, pa.string()))
+        return [part.tobytes() for part in np.split(ids, np.cumsum(counts)[:-1])]
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -156,9 +106,9 @@ def write(spark: SparkSession, documents: DataFrame, path: str, tokenizer: str,
                     store.create_dir(folder, recursive=True)
                     name = f"shard-{place:06d}-{uuid.uuid4().hex}"
                     tokens = store.open_output_stream(f"{folder}/{name}.tok")
-                encoded = encoder.encode_all([t or "" for t in part.column(1).to_pylist()])
-                tokens.write(b"".join(encoded))
-                lengths += [len(e) // int(dtype[2]) for e in encoded]
+                encoded, counts = encoder.encode_column(part.column(1))
+                tokens.write(encoded.tobytes())
+                lengths += counts.tolist()
                 ids.append(part.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False))
         if tokens is None:
             return
