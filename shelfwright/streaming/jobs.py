@@ -64,7 +64,8 @@ def _run_of(batch: DataFrame, checkpoint: str) -> str:
     return found or hashlib.sha256(checkpoint.encode()).hexdigest()[:32]
 
 
-def _start(stream: DataFrame, step: Callable[[DataFrame, str, int], None], checkpoint: str, trigger: dict | None) -> StreamingQuery:
+def each_batch(stream: DataFrame, step: Callable[[DataFrame, str, int], None], checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    """Give ``step`` each batch with the run's id and the batch's number."""
     def each(batch: DataFrame, batch_id: int) -> None:
         step(batch, _run_of(batch, checkpoint), batch_id)
 
@@ -79,7 +80,7 @@ def _shard(key: str) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(SHARDS)).cast("int")
 
 
-def _append(batch: DataFrame, path: str, schema: T.StructType, key: str, order: Order, run: str, batch_id: int) -> None:
+def append_batch(batch: DataFrame, path: str, schema: T.StructType, key: str, order: Order, run: str, batch_id: int) -> None:
     """Write the batch's keys that no other folder of the store has."""
     spark = batch.sparkSession
     seen = read_batches(spark, path, schema, besides=(run, batch_id))
@@ -100,9 +101,9 @@ def ingest(
     schema = stream.schema
 
     def step(batch: DataFrame, run: str, batch_id: int) -> None:
-        _append(batch, path, schema, key, order, run, batch_id)
+        append_batch(batch, path, schema, key, order, run, batch_id)
 
-    return _start(stream, step, checkpoint, trigger)
+    return each_batch(stream, step, checkpoint, trigger)
 
 
 def dedup_within(stream: DataFrame, key: str, time: str, delay: str) -> DataFrame:
@@ -122,7 +123,7 @@ def latest(
         rows = latest_by_key(batch, keys, time, tie)
         rows.write.mode("overwrite").parquet(f"{path}/{_RUN}={run}/{_BATCH}={batch_id}")
 
-    return _start(stream, step, checkpoint, trigger)
+    return each_batch(stream, step, checkpoint, trigger)
 
 
 def current_state(
@@ -155,6 +156,6 @@ def new_products(
         fresh = batch
         if index is not None:
             fresh = fresh.join(index.select("url_hash").distinct(), "url_hash", "left_anti").select(*batch.columns)
-        _append(fresh, path, schema, "url_hash", order, run, batch_id)
+        append_batch(fresh, path, schema, "url_hash", order, run, batch_id)
 
-    return _start(hashed, step, checkpoint, trigger)
+    return each_batch(hashed, step, checkpoint, trigger)
