@@ -633,18 +633,28 @@ def match_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return matching.match_candidates(attempts, L.chip_dim(spark), ["product_id"])
 
 
-@query("domain_constraints", L.frames_sql(["observations", "classified_evidence"], """SELECT 'variant: length_mm > 0' AS rule, count(*) AS n_rows, CAST(count_if(NOT length_mm > 0) AS BIGINT) AS n_violations FROM classified_evidence WHERE outcome IS NULL
-UNION ALL SELECT 'variant: aib_manufacturer not null', count(*), CAST(count_if(brand IS NULL) AS BIGINT) FROM classified_evidence WHERE outcome IS NULL
-UNION ALL SELECT 'observation: price_eur > 0', count(*), CAST(count_if(NOT price_eur > 0) AS BIGINT) FROM listings
-UNION ALL SELECT 'observation: stock_status known', count(*), CAST(count_if(stock_status = 'bogus') AS BIGINT) FROM listings"""))
+def _rule_rows(kind: str, source: str, rules: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{kind}: {name}' AS rule, count(*) AS n_rows, CAST(count_if(NOT ({sql})) AS BIGINT) AS n_violations FROM {source}" for name, sql in rules.items())
+
+
+@query("domain_constraints", L.frames_sql(["listings", "classified_evidence"], " UNION ALL ".join([
+    _rule_rows("variant", "(SELECT * FROM classified_evidence WHERE outcome IS NULL)", {
+        "variant_id not null": "variant_id IS NOT NULL", "chip_id not null": "chip_id IS NOT NULL", "aib_manufacturer not null": "brand IS NOT NULL",
+        "length_mm > 0": "length_mm > 0", "width_slots in range": "width_slots BETWEEN 2 AND 4", "cooling_type known": "cooling_type IN ('Air', 'Liquid', 'Hybrid')",
+        "fan_count >= 0": "fan_count >= 0"}),
+    _rule_rows("observation", "listings", {
+        "observation_id not null": "ref IS NOT NULL", "variant_id not null": "product_url IS NOT NULL", "retailer not null": "retailer IS NOT NULL",
+        "product_url not null": "product_url IS NOT NULL", "price_eur not null": "price_eur IS NOT NULL", "observed_at not null": "observed_at IS NOT NULL",
+        "scrape_run_id not null": "run_id IS NOT NULL", "price_eur > 0": "price_eur > 0",
+        "stock_status known": "stock_status IN ('in_stock', 'low_stock', 'preorder', 'out_of_stock', 'discontinued')"})])))
 def domain_constraints(spark: SparkSession, sf: str) -> DataFrame:
-    """Domain rules on loaded variants, which must hold, and on raw listings, which break some."""
+    """All domain rules, on loaded variants, which must hold, and on raw listings, which break some."""
     accepted = silver.classify_evidence(matched(spark, sf)).where("outcome is null")
     found = quality.check(silver.variant_rows(accepted), quality.variant_rules()).withColumn("rule", F.concat(F.lit("variant: "), "rule"))
     raw = L.listings(spark, sf).withColumnsRenamed({"ref": "observation_id", "run_id": "scrape_run_id"}).withColumn("variant_id", c("product_url"))
     rows = quality.check(raw, quality.observation_rules()).withColumn("rule", F.concat(F.lit("observation: "), "rule"))
-    wanted = ["variant: length_mm > 0", "variant: aib_manufacturer not null", "observation: price_eur > 0", "observation: stock_status known"]
-    return found.union(rows).where(c("rule").isin(wanted))
+    return found.union(rows)
 
 
 @query("seed_load", """SELECT 'NVIDIA' AS vendor_id, CASE p_partkey % 3 WHEN 0 THEN 'Blackwell' WHEN 1 THEN 'Ada Lovelace' ELSE 'Ampere' END AS architecture_id,

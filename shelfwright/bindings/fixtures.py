@@ -234,13 +234,20 @@ def write_files(spark: SparkSession, files: DataFrame, base: str) -> None:
     files.select("path", "value").mapInArrow(put, "n long").agg(F.sum("n")).collect()
 
 
-def bronze_files(spark: SparkSession, sf_dir: str) -> str:
+def listing_pages(rows: DataFrame, folder: str) -> DataFrame:
+    """``path, value`` of listings as array pages below ``listings/<folder>``, in the order of ``ref``."""
+    c = F.col
+    ordered = rows.repartitionByRange("ref").sortWithinPartitions("ref")
+    named = ordered.withColumnsRenamed({"run_id": "scrape_run_id"}).withColumn("observed_at_utc", iso_text(c("observed_at")))
+    pages = array_pages(named, ["retailer", "product_url", "price_eur", "currency", "observed_at_utc", "scrape_run_id", "stock_status"])
+    return pages.withColumn("path", F.concat(F.lit(f"listings/{folder}/"), "path"))
+
+
+def bronze_files(spark: SparkSession, sf_dir: str, pages: bool = True) -> str:
     """Folder with ``listings`` (array pages of runs), ``index`` and ``evidence`` (a document per file), as scrapers leave them."""
     base, c = workspace(spark, "bronze files"), F.col
-    rows = listings(spark, sf_dir).repartitionByRange("ref").sortWithinPartitions("ref")
-    rows = rows.withColumnsRenamed({"run_id": "scrape_run_id"}).withColumn("observed_at_utc", iso_text(c("observed_at")))
-    pages = array_pages(rows, ["retailer", "product_url", "price_eur", "currency", "observed_at_utc", "scrape_run_id", "stock_status"])
-    write_files(spark, pages.withColumn("path", F.concat(F.lit("listings/runs/r1/"), "path")), base)
+    if pages:
+        write_files(spark, listing_pages(listings(spark, sf_dir), "runs/r1"), base)
     entry = F.to_json(F.struct("product_url", "normalized_name", F.concat("hypotheses", F.array(F.lit("\t"))).alias("hypotheses")))
     write_files(spark, index(spark, sf_dir).select(c("index_path").alias("path"), entry.alias("value")), base)
     inner = [n for n in evidence(spark, sf_dir).columns if n not in ("path", "product_id", "name", "hypothesis_type")]

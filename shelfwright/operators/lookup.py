@@ -17,6 +17,8 @@ def index_by_hash(index: DataFrame) -> DataFrame:
     entries stays one row. Only a hash with exactly one entry gets a path.
     """
     lone = F.count("*") == 1
+    if "readable" in index.columns:
+        index = index.where("readable")
     return index.groupBy("url_hash").agg(
         F.count("*").alias("n_entries"),
         F.when(lone, F.min(F.coalesce(F.size("hypotheses"), F.lit(0)))).alias("n_hypotheses"),

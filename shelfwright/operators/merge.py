@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwright.operators.latest import first_by_key
+from shelfwright.session import written
 
 
 def append_new(
@@ -89,6 +91,50 @@ def upsert(
     return merged.select(*columns)
 
 
+def key_range(key: str, digits: int = 2) -> Column:
+    """Range of content ids that a row belongs to: the first digits of the hash, so ranges are even; 256 of them for two."""
+    return F.substring(F.substring_index(key, "_", -1), 1, digits)
+
+
+def rewrite_parts(
+    spark: SparkSession, path: str, new: DataFrame, part: str, merge: Callable[[DataFrame, DataFrame], DataFrame],
+) -> list:
+    """Merge ``new`` into a table partitioned by ``part``, reading and writing only the parts that ``new`` has rows of.
+
+    ``merge`` gets the stored rows of those parts and the new rows. The result replaces the parts when the whole job has ended
+    (dynamic partition overwrite), so a failed write leaves the table as it was. Returns the parts.
+    """
+    new = written(spark, new, "new-rows")
+    touched = [r[0] for r in new.select(part).distinct().collect()]  # as many as the table has parts
+    schema = T.StructType([*[f for f in new.schema.fields if f.name != part], new.schema[part]])
+    try:
+        old = spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        old = spark.createDataFrame([], schema)
+    rows = merge(old.where(F.col(part).isin(touched)), new.select(*schema.names))
+    rows.select(*schema.names).repartition(part).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(part).parquet(path)
+    return touched
+
+
+def upsert_parts(
+    spark: SparkSession, path: str, batch: DataFrame, key: str, now: Column, order: Sequence[str | Column], digits: int = 2,
+) -> list:
+    """Upsert by key into a table in key ranges; ranges without a batch row are neither read nor written.
+
+    Several related relations can be one table with a struct for each: then they change together. ``created_at`` and
+    ``updated_at`` are added.
+    """
+    stamped = first_by_key(batch, [key], order).withColumns({"created_at": now, "updated_at": now, "key_range": key_range(key, digits)})
+
+    def merge(old: DataFrame, new: DataFrame) -> DataFrame:
+        rows = upsert(old.drop("key_range"), new.drop("key_range", "created_at", "updated_at"), key, now, [F.lit(1)])
+        return rows.withColumn("key_range", key_range(key, digits))
+
+    return rewrite_parts(spark, path, stamped, "key_range", merge)
+
+
 class RejectedLoad(ValueError):
     """A load was refused before anything became visible."""
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwright import schemas as S
+from shelfwright.operators import contracts
 
 Rule = tuple[str, Column]
 
@@ -42,50 +42,19 @@ def fill_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
 
 
 def chip_rules() -> list[Rule]:
-    c = F.col
-    return [
-        *not_null("chip_id", "vendor_id", "architecture_id", "brand_series", "model_name",
-                  "compute_units_type", "compute_units_count", "tdp_watts", "pcie_generation"),
-        ("compute_units_type known", c("compute_units_type").isin(*S.COMPUTE_UNIT_TYPES)),
-        ("compute_units_count > 0", c("compute_units_count") > 0),
-        ("typical_clock_mhz > 0", c("typical_clock_mhz") > 0),
-        ("boost_clock_mhz >= typical_clock_mhz", c("boost_clock_mhz") >= c("typical_clock_mhz")),
-        ("tdp_watts > 0", c("tdp_watts") > 0),
-        ("recommended_psu_watts >= tdp_watts", c("recommended_psu_watts") >= c("tdp_watts")),
-        ("pcie_lanes known", c("pcie_lanes").isin(*S.PCIE_LANES)),
-    ]
+    return contracts.rules(contracts.CHIP)
 
 
 def memory_rules() -> list[Rule]:
-    c = F.col
-    return [
-        *not_null("chip_id", "vram_gb", "memory_type_id", "memory_bus_bits"),
-        ("vram_gb > 0", c("vram_gb") > 0),
-        ("memory_bus_bits known", c("memory_bus_bits").isin(*S.MEMORY_BUS_BITS)),
-        ("memory_speed_gbps > 0", c("memory_speed_gbps") > 0),
-        ("memory_bandwidth_gbs > 0", c("memory_bandwidth_gbs") > 0),
-    ]
+    return contracts.rules(contracts.MEMORY)
 
 
 def variant_rules() -> list[Rule]:
-    c = F.col
-    return [
-        *not_null("variant_id", "chip_id", "aib_manufacturer"),
-        ("length_mm > 0", c("length_mm") > 0),
-        ("width_slots in range", c("width_slots").between(2.0, 4.0)),
-        ("cooling_type known", c("cooling_type").isin(*S.COOLING_TYPES)),
-        ("fan_count >= 0", c("fan_count") >= 0),
-    ]
+    return contracts.rules(contracts.VARIANT)
 
 
 def observation_rules() -> list[Rule]:
-    c = F.col
-    return [
-        *not_null("observation_id", "variant_id", "retailer", "product_url", "price_eur",
-                  "observed_at", "scrape_run_id"),
-        ("price_eur > 0", c("price_eur") > 0),
-        ("stock_status known", c("stock_status").isin(*S.STOCK_STATUS)),
-    ]
+    return contracts.rules(contracts.OBSERVATION)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

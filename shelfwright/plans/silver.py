@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from shelfwright.functions import coerce
 from shelfwright.functions.ids import stable_id
 from shelfwright.functions.text import has_text
 from shelfwright.functions.times import iso_text
+from shelfwright.operators.counters import ACCEPTED, TOTAL, counted, tally
 from shelfwright.operators.lookup import lookup_chain
 from shelfwright.operators.matching import candidate_index, match_two_attempts
 from shelfwright.operators.merge import append_new, conform_to_target
@@ -28,6 +30,12 @@ from shelfwright.session import written
 
 _ORDER = ("ref", "file", "pos")
 ERRORS = ("unreadable", "unknown_variant")
+#: What a listing can come to, besides being inserted or a duplicate.
+OUTCOMES = (
+    "unreadable", "no_index_entry", "ambiguous_index_entry", "no_hypothesis", "ambiguous_hypothesis", "missing_hypothesis_file",
+    "wrong_type", "missing_brand", "missing_match_fields", "ambiguous_chip_match", "no_chip_match", "missing_identifiers",
+    "missing_currency", "invalid_price", "invalid_stock_status", "unknown_variant",
+)
 _EVIDENCE_TEXT = (
     "aib_manufacturer", "aib_model_suffix", "chipset_manufacturer", "chipset_model", "part_number",
     "cooling_type", "power_connectors", "displayport_version", "hdmi_version",
@@ -162,7 +170,8 @@ def classify_observations(
     price, status = c("price_eur"), c("stock_status")
     # The rules look at the raw texts: a filter on the outcome is pushed below
     # the cleaning, which it would otherwise repeat.
-    reasons = [
+    reasons = [("unreadable", ~c("page_readable"))] if "page_readable" in listings.columns else []
+    reasons += [
         ("no_index_entry", c("n_entries").isNull()),
         ("ambiguous_index_entry", c("n_entries") > 1),
         ("no_hypothesis", c("n_hypotheses") <= 0),
@@ -190,11 +199,13 @@ def classify_observations(
 
 @dataclass(frozen=True)
 class Load:
-    """Tables of one run: new variants, judged listings and new facts."""
+    """Tables of one run: new variants, judged listings, new facts, and ``kind, path`` of what could not be read."""
 
     variants: DataFrame
     classified: DataFrame
     observations: DataFrame
+    unreadable: DataFrame
+    counters: dict[str, int]
 
 
 def silver_pipeline(
@@ -205,17 +216,38 @@ def silver_pipeline(
 
     ``listings`` comes from ``read_listings``, ``index`` from ``read_index`` and ``evidence`` from ``coerce_evidence``;
     ``variants`` and ``observations`` are the existing tables, if any. Evidence is matched once: the match and the judged
-    listings are written to shared storage, because the variants, the facts and the reports all read them.
+    listings are written to shared storage, because the variants, the facts and the reports all read them. The counters
+    come from these writes. Pages that can't be read are rows with the outcome ``unreadable``.
     """
+    new, products = load_products(spark, evidence, dim, variants)
+    pages = listings.withColumnRenamed("readable", "page_readable")
+    judged, seen = counted(classify_observations(pages, index, products), OUTCOMES)
+    classified = written(spark, judged, "classified")
+    facts, inserted = tally(load_observations(classified, target=observations, schema=schema))
+    facts = written(spark, facts, "facts")
+    missing = [evidence.where("not readable").select(F.lit("evidence").alias("kind"), "path")]
+    if "page_readable" in classified.columns:
+        missing.append(classified.where("not page_readable").select(F.lit("listings"), "file"))
+    if "readable" in index.columns:
+        missing.append(index.where("not readable").select(F.lit("index"), "index_path"))
+    return Load(new, classified, facts, reduce(DataFrame.union, missing), run_counters(seen.get, inserted.get))
+
+
+def load_products(
+    spark: SparkSession, evidence: DataFrame, dim: DataFrame, variants: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """New variants, and every matched document with ``variant_known``; both are written tables at product size."""
     matched = written(spark, match_evidence(evidence, dim), "matched")
     accepted = classify_evidence(matched).where("outcome is null")
     new = written(spark, append_new(variants, variant_rows(accepted), "variant_id", ["path"]).drop("path"), "variants")
     known = new.select("variant_id") if variants is None else new.select("variant_id").union(variants.select("variant_id"))
-    readable = listings.where("readable") if "readable" in listings.columns else listings
-    products = written(spark, mark_loaded(matched, known), "products")
-    judged = classify_observations(readable.drop("readable"), index, products)
-    classified = written(spark, judged, "classified")
-    return Load(new, classified, load_observations(classified, target=observations, schema=schema))
+    return new, written(spark, mark_loaded(matched, known), "products")
+
+
+def run_counters(judged: dict[str, int], inserted: dict[str, int]) -> dict[str, int]:
+    """Rows per outcome from what the two writes counted: accepted rows that became no fact are duplicates."""
+    new = inserted[TOTAL]
+    return {k: n for k, n in judged.items() if k not in (ACCEPTED, TOTAL)} | {"inserted": new, "duplicate": judged[ACCEPTED] - new}
 
 
 def outcome_counts(classified: DataFrame, key: str, target: DataFrame | None = None) -> DataFrame:
@@ -246,6 +278,10 @@ def outcome_counts(classified: DataFrame, key: str, target: DataFrame | None = N
     )
 
 
+#: What the facts need of a judged listing, besides its reference and outcome.
+FACT_INPUTS = ("observation_id", "variant_id", "retailer", "product_url", "price_eur", "stock_status", "observed_at", "run_id", "sku", "currency", "file", "pos")
+
+
 def accepted_observations(classified: DataFrame) -> DataFrame:
     """Fact columns of the acceptable rows, still with repeats, plus the order columns."""
     optional = [c for c in ("sku", "currency") if c in classified.columns]

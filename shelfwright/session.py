@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Scratch folder of a local session without ``spark.checkpoint.dir``.
+SCRATCH = "shelfwright.scratch.dir"
+
+
 def build_session(app: str = "shelfwright", master: str | None = None, **conf: str) -> SparkSession:
     """Session with adaptive execution, skew splitting and UTC times."""
     builder = SparkSession.builder.appName(app)
@@ -34,16 +38,17 @@ def workspace(spark: SparkSession, name: str) -> str:
     """New folder for files that outlive one task.
 
     It lies in the shared folder of ``spark.checkpoint.dir``, which every
-    executor reaches. Only a local session without that setting gets a
-    temporary folder.
+    executor reaches. Only a local session without that setting, as in tests,
+    gets a folder of its own, one for all its files, in ``SCRATCH``.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH, None)
     if not shared:
         shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="shelfwright-")
+        spark.conf.set(SCRATCH, shared)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

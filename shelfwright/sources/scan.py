@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,8 +16,11 @@ from shelfwright.operators.latest import first_rows
 from shelfwright.operators.matching import resolve_reference
 from shelfwright.operators.merge import RejectedLoad
 from shelfwright.operators.quality import conflicting, missing_fields
+from shelfwright.session import written
 
 LISTING_GLOB = "page_pg=*.products.json"
+#: Files that a limited scan counts first.
+FIRST_FILES = 64
 
 
 def _relative(root: str | None) -> Column:
@@ -60,6 +63,21 @@ def parse_array_pages(pages: DataFrame, text: str, schema: T.StructType) -> Data
     )
 
 
+def _array_files(reader, path: str, glob: str, root: str | None, within: str) -> DataFrame:
+    """``file, value, _path`` of whole array files; a file that is not below ``root`` has its full path and no value."""
+    below = _relative(root)
+    return (
+        reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True)
+        .select(below.alias("file"), F.when(below.isNotNull(), F.col("value")).alias("value"), F.col("_metadata.file_path").alias("_path"))
+        .where(F.contains("_path", F.lit(within))).withColumn("file", F.coalesce("file", "_path"))
+    )
+
+
+def _records(files: DataFrame, schema: T.StructType) -> DataFrame:
+    rows = parse_array_pages(files.select("file", "value"), "value", schema)
+    return rows.withColumn("ref", F.when(F.col("pos").isNotNull(), F.concat("file", F.lit("#"), F.col("pos"))))
+
+
 def read_array_files(
     spark: SparkSession,
     path: str,
@@ -77,19 +95,39 @@ def read_array_files(
     ends. ``within`` is a part that paths must have. One file is one row: array files
     are pages of listings, which are small, and must fit a task.
     """
-    files = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-        .text(path, wholetext=True)
-        .select(_relative(root).alias("file"), F.when(_relative(root).isNotNull(), F.col("value")).alias("value"), F.col("_metadata.file_path").alias("_path"))
-        .where(F.contains("_path", F.lit(within))).withColumn("file", F.coalesce("file", "_path")).drop("_path")
-    )
-    rows = parse_array_pages(files, "value", schema)
-    rows = rows.withColumn("ref", F.when(F.col("pos").isNotNull(), F.concat("file", F.lit("#"), F.col("pos"))))
-    if limit is None:
-        return rows
-    kept = first_rows(rows.where("readable"), ["file", "pos"], limit)
-    last = kept.agg(F.when(F.count("*") >= limit, F.max("file"))).scalar()
-    return kept.union(rows.where("not readable").where(last.isNull() | (F.col("file") <= last)))
+    files = _array_files(spark.read, path, glob, root, within)
+    return _records(files, schema) if limit is None else _first_records(spark, files, _paths(spark, path, glob, root, within), schema, limit)
+
+
+def _paths(spark: SparkSession, path: str, glob: str, root: str | None, within: str) -> DataFrame:
+    """``file, _path`` of the same files; their content is not read."""
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    full = names.select(_relative(root).alias("file"), F.col("_metadata.file_path").alias("_path")).where(F.contains("_path", F.lit(within)))
+    return full.withColumn("file", F.coalesce("file", "_path"))
+
+
+def _first_records(spark: SparkSession, files: DataFrame, paths: DataFrame, schema: T.StructType, limit: int) -> DataFrame:
+    """The first ``limit`` records by file and position, by prefix sums over the files' record counts.
+
+    The first files in path order are read and counted, four times as many each time until they hold enough. Files beyond
+    are neither read nor parsed. A record is kept if the records before its file and its position say so: nothing is sorted.
+    """
+    first = FIRST_FILES
+    while True:
+        head = first_rows(paths, ["file"], first)
+        end = head.agg(F.max("file").alias("file"), F.max("_path").alias("path"), F.count("*").alias("n")).first()
+        if end["n"] == 0:
+            return _records(files, schema).limit(0)
+        # The bound on the raw path is a condition on the file itself, so the scan leaves out what lies beyond.
+        near = files.where((F.col("_path") <= end["path"]) & (F.col("file") <= end["file"]))
+        counts = written(spark, _records(near, schema).groupBy("file").agg(F.count("pos").alias("n")), "file-counts")
+        if end["n"] < first or (counts.agg(F.sum("n")).first()[0] or 0) >= limit:
+            break
+        first *= 4
+    before = F.sum("n").over(Window.orderBy("file")) - F.col("n")  # a row per file of the head
+    sums = counts.select("file", before.alias("_before")).where(F.col("_before") < limit)
+    rows = _records(near, schema).join(sums, "file")
+    return rows.where(~F.col("readable") | (F.col("_before") + F.col("pos") < limit)).drop("_before")
 
 
 def read_documents(
@@ -136,28 +174,43 @@ def read_listings(
 
     Unreadable pages are rows with ``readable`` false and no other value.
     """
-    rows = read_array_files(spark, path, schemas.LISTING, glob, root, limit, within)
+    return _flat(read_array_files(spark, path, schemas.LISTING, glob, root, limit, within))
+
+
+def _flat(rows: DataFrame) -> DataFrame:
     return rows.select("file", "pos", "ref", "readable", "record.*").withColumnsRenamed(
         {"observed_at_utc": "observed_at", "scrape_run_id": "run_id"})
 
 
-def read_index(spark: SparkSession, path: str, root: str | None = None) -> DataFrame:
+def stream_listings(
+    spark: SparkSession, path: str, root: str | None = None, glob: str = LISTING_GLOB, within: str = "/runs/", files: int | None = None,
+) -> DataFrame:
+    """The columns of ``read_listings`` as a stream over newly arrived pages, at most ``files`` of them in a batch."""
+    reader = spark.readStream if files is None else spark.readStream.option("maxFilesPerTrigger", files)
+    return _flat(_records(_array_files(reader, path, glob, root, within), schemas.LISTING))
+
+
+def read_index(spark: SparkSession, path: str, root: str | None = None, keep_unreadable: bool = False) -> DataFrame:
     """Index documents with their ``url_hash``, which is the file's name; a file that is no object is left out.
 
-    ``hypotheses`` keeps the texts that are not blank; a value that is no list is none.
+    With ``keep_unreadable`` such a file is a row with ``readable`` false, which the lookups leave out and the load counts.
+    ``hypotheses`` and ``observation_refs`` keep the texts that are not blank; a value that is no list is none.
     """
     files = (
         spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
         .text(path, wholetext=True)
         .select(_relative(root).alias("index_path"), parse_strict(F.col("value")).alias("_v"))
-        .where(F.schema_of_variant("_v").startswith("OBJECT"))
+        .withColumn("readable", F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)))
     )
-    refs = F.try_variant_get("_v", "$.hypotheses", "array<variant>")
-    named = F.filter(F.transform(refs, to_str), has_text)
+
+    def texts(name: str) -> Column:
+        items = F.try_variant_get("_v", f"$.{name}", "array<variant>")
+        return F.coalesce(F.filter(F.transform(items, to_str), has_text), F.array().cast("array<string>"))
+
     own = [F.try_variant_get("_v", f"$.{n}", "string").alias(n) for n in ("normalized_name", "product_url", "retailer", "first_seen_at")]
-    return files.select(
+    return files.where(F.lit(keep_unreadable) | F.col("readable")).select(
         F.regexp_extract("index_path", r"([^/]*)\.json$", 1).alias("url_hash"), *own, "index_path",
-        F.coalesce(named, F.array().cast("array<string>")).alias("hypotheses"))
+        texts("hypotheses").alias("hypotheses"), texts("marketplace_observations").alias("observation_refs"), "readable")
 
 
 def split_permissive(df: DataFrame, corrupt: str = "_corrupt") -> tuple[DataFrame, DataFrame]:
@@ -221,7 +274,7 @@ def seed_relations(
 
     References resolve by their comparable form. The chip id is made of all chip
     and memory fields, so identical entries fall together and an id with two
-    feature sets is a problem.
+    feature sets is a problem; so is a value that does not fit its column's type.
     """
     parsed = entries.withColumn("_v", F.parse_json("entry"))
     field = lambda section, name, kind="variant": F.try_variant_get("_v", f"$.{section}.{name}", kind)
@@ -239,28 +292,29 @@ def seed_relations(
     df = resolve_reference(df, "_arch", architectures.select("architecture_id"), "architecture_id", "architecture_id")
     df = resolve_reference(df, "_mem", memory_types.select("memory_type_id"), "memory_type_id", "memory_type_id")
     text_fields = {"brand_series", "model_name", "code_name", "compute_units_type", "pcie_generation"}
-    chip = df.select(
-        "chip_id", "vendor_id", "architecture_id",
-        *[
-            field("chip", n, "string" if n in text_fields else "date" if n == "launch_date" else "int").alias(n)
-            for n in schemas.SEED_FIELDS["chip"] if n not in ("vendor", "architecture")
-        ],
-    )
-    memory = df.select(
-        "chip_id", field("memory", "vram_gb", "int").alias("vram_gb"), "memory_type_id",
-        field("memory", "memory_bus_bits", "int").alias("memory_bus_bits"),
-        field("memory", "memory_speed_gbps", "double").alias("memory_speed_gbps"),
-        field("memory", "memory_bandwidth_gbs", "double").alias("memory_bandwidth_gbs"),
-    )
     labels = {"raytracing_api_support", "cuda_compute_capability", "dlss_version", "nvenc_generation"}
-    features = df.select(
-        "chip_id",
-        *[field("features", n, "string" if n in labels else "boolean").alias(n) for n in schemas.SEED_FIELDS["features"]],
-    )
-    errors = df.where(F.coalesce("vendor_id_error", "architecture_id_error", "memory_type_id_error").isNotNull())
+    references = {"vendor", "architecture", "memory_type"}
+    kinds = {n: "string" for n in text_fields | labels | references} | {"launch_date": "date", "memory_speed_gbps": "double", "memory_bandwidth_gbs": "double"}
+    kinds |= {n: "boolean" for n in schemas.SEED_FIELDS["features"] if n not in labels}
+    typed = lambda section, name: field(section, name, kinds.get(name, "int"))
+    odd = F.array_compact(F.array(*[
+        F.when(field(section, name).isNotNull() & ~F.coalesce(F.is_variant_null(field(section, name)), F.lit(True))
+               & typed(section, name).isNull(), F.lit(f"{section}.{name}"))
+        for section, names in schemas.SEED_FIELDS.items() for name in names]))
+    ids = ["chip_id", "vendor_id", "architecture_id", "memory_type_id"]
+    # Parsed and resolved once: four frames read it.
+    df = written(entries.sparkSession, df.select(
+        "file", "pos", "entry", *ids, odd.alias("odd"),
+        F.coalesce("vendor_id_error", "architecture_id_error", "memory_type_id_error").isNotNull().alias("unknown"),
+        *[F.struct(*[typed(s, n).alias(n) for n in names if n not in references]).alias(s) for s, names in schemas.SEED_FIELDS.items()]), "seed")
+    section = lambda name: [F.col(f"{name}.{n}") for n in schemas.SEED_FIELDS[name] if n not in references]
+    chip = df.select("chip_id", "vendor_id", "architecture_id", *section("chip"))
+    memory = df.select("chip_id", "memory.vram_gb", "memory_type_id", *section("memory")[1:])
+    features = df.select("chip_id", *section("features"))
     problems = (
         seed_problems(entries).select("file", "pos", F.array_join("problems", ", ").alias("problem"))
-        .unionByName(errors.select("file", "pos", F.lit("unknown reference").alias("problem")))
+        .unionByName(df.where("unknown").select("file", "pos", F.lit("unknown reference").alias("problem")))
+        .unionByName(df.where(F.size("odd") > 0).select("file", "pos", F.concat(F.lit("wrong type: "), F.array_join("odd", ", ")).alias("problem")))
         .unionByName(
             conflicting(df.select("chip_id", "entry"), ["chip_id"], ["entry"])
             .select(F.col("chip_id").alias("file"), F.lit(0).alias("pos"), F.lit("conflicting payload").alias("problem"))
@@ -270,3 +324,11 @@ def seed_relations(
         "chip": chip.distinct(), "memory": memory.distinct(), "features": features.distinct(),
         "problems": problems,
     }
+
+
+def seed_units(parts: dict[str, DataFrame]) -> DataFrame:
+    """One row per chip with a struct for each of its three relations, so that an upsert changes them together."""
+    def packed(name: str) -> DataFrame:
+        return parts[name].select("chip_id", F.struct(*[n for n in parts[name].columns if n != "chip_id"]).alias(name))
+
+    return packed("chip").join(packed("memory"), "chip_id").join(packed("features"), "chip_id")
