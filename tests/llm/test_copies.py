@@ -54,6 +54,36 @@ def test_directory():
     assert grown.buckets[8] == grown.buckets[11]  # a bucket that was not full has several entries
 
 
+def test_directory_table_doubles_and_owns(spark):
+    """Several doublings at a small capacity: the same buckets as by hand, none overfull, and rows find their chains only through them."""
+    keys = spark.range(3000).select(F.xxhash64("id").alias("key"))
+    capacity = 7
+    table, depth = X.plan(spark, keys, capacity, 2)  # too few bits at first: counted again with more
+    entries = {r.entry: r.bucket for r in table.collect()}
+    assert depth >= 9
+    cells = {r[0]: r[1] for r in keys.groupBy(X.cell_of(F.col("key"), 18)).count().collect()}
+    hand = X.plan_directory({c: cells.get(c, 0) for c in range(1 << 18)}, capacity, 18)
+    assert hand.depth == depth
+    same = {}
+    # Entries of cells without keys need no row.
+    assert all(same.setdefault(entries[i], b) == b for i, b in enumerate(hand.buckets) if i in entries) and len(set(same.values())) == len(same)
+    assert {c >> 18 - depth for c in cells} == set(entries)
+    rows = X.place(keys.withColumns({"doc_id": F.col("key"), "norm": F.col("key").cast("string")}), table, depth)
+    assert max(r["count"] for r in rows.groupBy("bucket").count().collect()) <= capacity
+    index = X.build_index(spark, rows)
+    assert X.lookup(rows, index).where("kept").count() == 3000
+    astray = rows.withColumn("bucket", F.lit("0-0"))
+    assert X.lookup(astray, index).count() == 0
+
+
+def test_keys_that_share_all_bits_but_one(spark):
+    keys = spark.createDataFrame([(0,), (1,), (-1,), (1 << 40,)], "key long")
+    table, depth = X.plan(spark, keys, 1)
+    assert depth == 64
+    owners = {r.key: r.bucket for r in X.place(keys, table, depth).collect()}
+    assert len(set(owners.values())) == 4 and owners[0] == "64-0" and owners[-1] == "1-1"
+
+
 def shingles(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", norm(text))
     if len(words) < 5:
