@@ -162,6 +162,8 @@ class Sweep:
     """The same search over many short parts at once, a numpy step for each position; a part is one window."""
 
     BASE, SLOTS, PAIRS = np.uint64(0x100000001B3), 1 << 20, 1 << 20
+    #: Parts at once: memory follows this, not the batch.
+    AT_ONCE = 4096
 
     def __init__(self, model: Model):
         self.model = model
@@ -170,13 +172,16 @@ class Sweep:
         self.sizes = np.array([len(p) for p in self.pieces], np.int64)
         self.scores = np.array([model.scores[p] for p in self.pieces])
         self.keys = np.array([self._hash(p) for p in self.pieces], np.uint64)
-        # Two tables: a piece whose slot is taken goes to the second one, by other bits.
+        # Two tables: a piece whose slot is taken goes to the second one, by other bits; what finds no place there is searched for.
         self.one, self.two = np.full(self.SLOTS, -1, np.int32), np.full(self.SLOTS, -1, np.int32)
+        rest = []
         for i, (s1, s2) in enumerate(zip(*(x.tolist() for x in self._slots(self.keys)), strict=True)):
             table, slot = (self.one, s1) if self.one[s1] < 0 else (self.two, s2)
             if table[slot] >= 0:
-                raise ValueError("two pieces share both slots")
-            table[slot] = i
+                rest.append(i)
+            else:
+                table[slot] = i
+        self.rest = np.array(sorted(rest, key=lambda i: int(self.keys[i])), np.int32)
         self.pair_keys = np.full(self.PAIRS, -1, np.int64)
         self.pair_good = np.zeros(self.PAIRS, bool)
 
@@ -195,7 +200,12 @@ class Sweep:
         s1, s2 = self._slots(keys)
         at = self.one[s1]
         at = np.where((at >= 0) & (self.keys[at] == keys), at, self.two[s2])
-        return np.where((at >= 0) & (self.keys[at] == keys), at, -1)
+        at = np.where((at >= 0) & (self.keys[at] == keys), at, -1)
+        if len(self.rest):
+            miss = np.flatnonzero(at < 0)
+            found = self.rest[np.minimum(np.searchsorted(self.keys[self.rest], keys[miss]), len(self.rest) - 1)]
+            at[miss] = np.where(self.keys[found] == keys[miss], found, -1)
+        return at
 
     def _surface(self, token: int) -> str:
         """A token is a piece's index, the number of pieces + 1 + a code point without a piece, or the number of pieces: none."""
@@ -215,16 +225,26 @@ class Sweep:
         return good
 
     def encode(self, parts: list[str]) -> list[bytes]:
-        """Ids of each part as native 32-bit integers."""
+        """Ids of each part as native 32-bit integers; parts of like length together."""
         order = sorted(range(len(parts)), key=lambda i: -len(parts[i]))
+        out: list[bytes] = [b""] * len(parts)
+        for a in range(0, len(order), self.AT_ONCE):
+            own = order[a:a + self.AT_ONCE]
+            for i, ids in zip(own, self._encode([parts[i] for i in own]), strict=True):
+                out[i] = ids
+        return out
+
+    def _encode(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts, the longest first."""
+        order = range(len(parts))
         sizes = np.array([len(parts[i]) for i in order], np.int64)
         n, width = len(parts), int(sizes[0])
-        points = np.zeros((n, width), np.int64)
+        points = np.zeros((n, width), np.int32)
         flat = np.frombuffer("".join(parts[i] for i in order).encode("utf-32-le", "surrogatepass"), np.uint32)
         points[np.arange(width)[None, :] < sizes[:, None]] = flat
         none = len(self.pieces)
-        back = np.full((n, width + 1), none, np.int64)
-        score = np.zeros((n, width + 1))
+        back = np.full((n, width + 1), none, np.int32)
+        score = np.zeros((n, 0 if self.model.merges else width + 1))
         prefix = np.zeros((n, width + 1), np.uint64)
         power = self.BASE ** np.arange(self.model.longest + 1, dtype=np.uint64)
         lengths = np.append(self.sizes, 0)

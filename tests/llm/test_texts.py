@@ -152,3 +152,20 @@ def test_pieces_of_documents(spark, corpus, documents, nothing):
     back = sorted((r.doc_id, r.text) for r in S.decode(spark, encoded, model).collect() if r.doc_id is not None)
     assert back == sorted((d, t or "") for d, t in corpus if d is not None)
     assert S.encode(spark, nothing, model).count() == 0
+
+
+def test_vocabularies_of_any_size():
+    """More pieces than the tables have room for without conflicts."""
+    rng = random.Random(2)
+    spec = model_format.ModelProto()
+    spec.ParseFromString(S.load(PIECES))
+    known = {p.piece for p in spec.pieces}
+    for _ in range(60_000):
+        piece = "".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randint(3, 9)))
+        if piece not in known:
+            known.add(piece)
+            spec.pieces.add(piece=piece, score=-50000.0 - len(known))
+    sweep = S.Sweep(S.Model(spec.SerializeToString()))
+    assert len(sweep.rest) and (sweep._lookup(sweep.keys) == np.arange(len(sweep.pieces))).all()
+    others = sweep.keys ^ np.uint64(0x5A5A5A5A5A5A5A5A)
+    assert (sweep._lookup(others[~np.isin(others, sweep.keys)]) < 0).all()
