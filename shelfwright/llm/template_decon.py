@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from shelfwright.llm.frames import checked_broadcast, written
 
 WINDOW, SHORT, LITERAL, MIN_WORDS = 8, 5, 5, 12
+#: Items with fewer words count as verbatim copies only where they are a whole line.
+LINE = 3
 BROADCAST_BYTES = 64 << 20
 #: Placeholders: characters for private use, which no text needs.
 NAME, NUMBER, UNIT = "\ue001", "\ue002", "\ue003"
@@ -62,6 +64,17 @@ def _windows(words: DataFrame, keys: list[str], size: int) -> DataFrame:
     return hashed.select(*keys, F.posexplode(runs).alias("place", "window"))
 
 
+def _all_windows(words: DataFrame, keys: list[str], sizes: list[int]) -> DataFrame:
+    """``keys, size, place, window`` for all sizes in one scan: words are hashed once."""
+    hashed = words.select(*keys, F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+
+    def runs(size: int) -> Column:
+        at = F.when(F.size("h") >= size, F.sequence(F.lit(1), F.size("h") - size + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda i: F.struct(F.lit(size).alias("size"), (i - 1).alias("place"), F.xxhash64(F.slice("h", i, size)).alias("window")))
+
+    return hashed.select(*keys, F.explode(F.flatten(F.array(*map(runs, sizes)))).alias("w")).select(*keys, "w.size", "w.place", "w.window")
+
+
 def _slots(rows: DataFrame, keys: list[str]) -> DataFrame:
     """``keys, place, slot, value`` of each placeholder of ``rows`` (keys, text)."""
     named, numbered, _ = _with_slots(F.col("text"))
@@ -98,13 +111,10 @@ def find_leaks(spark: SparkSession, documents: DataFrame, benchmark: DataFrame)
     of_items = benchmark_windows(spark, items)
     sizes = {r["size"]: r["n"] for r in of_items.groupBy("size").agg(F.count("*").alias("n")).collect()}
     words = docs.select("doc_id", template(F.col("text")).alias("words"))
-    hits = None
-    for size in sorted(sizes):
-        own = of_items.where(F.col("size") == size).select("item_id", F.col("place").alias("at"), "window", "size", "windows", "plain")
-        found = _windows(words, ["doc_id"], size).join(checked_broadcast(own, 64 * sizes[size], BROADCAST_BYTES), "window")
-        hits = found if hits is None else hits.union(found)
-    if hits is None:
+    if not sizes:
         return spark.createDataFrame([], "doc_id long, item_id long, n_windows long, kind string")
+    own = of_items.select("item_id", F.col("place").alias("at"), "window", "size", "windows", "plain")
+    hits = _all_windows(words, ["doc_id"], sorted(sizes)).join(checked_broadcast(own, 64 * sum(sizes.values()), BROADCAST_BYTES), ["size", "window"])
     apart = F.col("place") - F.col("at")
     needed = F.least(F.greatest(MIN_WORDS - F.col("size") + 1, F.lit(1)), F.expr("cast(ceil(windows / 2) as int)"))
     candidates = written(spark, hits.groupBy("doc_id", "item_id", apart.alias("apart"), "size", needed.alias("needed")).agg(
@@ -131,29 +141,41 @@ def find_copies(spark: SparkSession, documents: DataFrame, benchmark: DataFrame)
     """``doc_id, item_id, n_windows`` of documents with a verbatim copy of an item, in upper or lower case.
 
     Windows are over the plain lower-cased words, so every window of every item counts: also those dense in names, numbers and
-    units, and items with fewer than ``SHORT`` words, which are one window. As many are needed as in ``find_leaks``.
+    units, and items with fewer than ``SHORT`` words, which are one window. As many are needed as in ``find_leaks``. An item of fewer
+    than ``LINE`` words says too little amid other text: it must be the whole of a line.
+
+    Null and empty texts match nothing, items without an id are left out, rows that share a ``doc_id`` (or have none) are one document.
     """
-    def worded(rows: DataFrame, key: str) -> DataFrame:
-        text = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
-        return rows.select(F.col(key).cast("long"), F.array_remove(F.split(text, BREAKS), "").alias("words"))
-
-    items, docs = worded(benchmark, "item_id").where("item_id is not null"), worded(documents, "doc_id")
-    table = None
-    for size in range(1, WINDOW + 1):
-        own = items.where(F.size("words") >= size if size == WINDOW else F.size("words") == size)
-        part = _windows(own.withColumn("windows", F.size("words") - size + 1), ["item_id", "windows"], size).select(
-            "item_id", F.col("place").alias("at"), "window", F.lit(size).alias("size"), "windows")
-        table = part if table is None else table.union(part)
-    of_items = written(spark, table, "copies")
+    def words_of(text: Column) -> Column:
+        return F.array_remove(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), BREAKS), "")
+
+    items = benchmark.select(F.col("item_id").cast("long"), words_of(F.col("text")).alias("words")).where("item_id is not null")
+    docs = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    length = F.size("words")
+    long, short = items.where(length >= LINE), items.where((length > 0) & (length < LINE))
+    cut = _all_windows(long, ["item_id"], list(range(LINE, WINDOW + 1))).join(long.select("item_id", length.alias("n")), "item_id")
+    cut = cut.where(F.col("size") == F.least("n", F.lit(WINDOW))).select(
+        "item_id", F.col("place").alias("at"), "size", "window", (F.col("n") - F.col("size") + 1).alias("windows"))
+    lines = short.select("item_id", F.lit(0).alias("at"), F.lit(0).alias("size"), _whole("words").alias("window"), F.lit(1).alias("windows"))
+    of_items = written(spark, cut.union(lines), "copies")
     sizes = {r["size"]: r["n"] for r in of_items.groupBy("size").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return spark.createDataFrame([], "doc_id long, item_id long, n_windows long")
-    hits = None
-    for size in sorted(sizes):
-        own = checked_broadcast(of_items.where(F.col("size") == size), 64 * sizes[size], BROADCAST_BYTES)
-        found = _windows(docs, ["doc_id"], size).join(own, "window")
-        hits = found if hits is None else hits.union(found)
-    needed = F.least(F.greatest(MIN_WORDS - F.col("size") + 1, F.lit(1)), F.expr("cast(ceil(windows / 2) as int)"))
+    places = None
+    if max(sizes):
+        places = _all_windows(docs.select("doc_id", words_of(F.col("text")).alias("words")), ["doc_id"], sorted(n for n in sizes if n))
+    if 0 in sizes:
+        line = docs.select("doc_id", F.posexplode(F.split("text", "[\\n\\r]+")).alias("place", "line")).select(
+            "doc_id", F.lit(0).alias("size"), "place", words_of(F.col("line")).alias("words")).where((length > 0) & (length < LINE))
+        line = line.select("doc_id", "size", "place", _whole("words").alias("window"))
+        places = line if places is None else places.union(line)
+    hits = places.join(checked_broadcast(of_items, 64 * sum(sizes.values()), BROADCAST_BYTES), ["size", "window"])
+    needed = F.when(F.col("size") == 0, 1).otherwise(
+        F.least(F.greatest(MIN_WORDS - F.col("size") + 1, F.lit(1)), F.expr("cast(ceil(windows / 2) as int)")))
     matches = hits.groupBy("doc_id", "item_id", (F.col("place") - F.col("at")).alias("apart"), needed.alias("needed")).agg(
         F.count_distinct("at").alias("n_windows")).where(F.col("n_windows") >= F.col("needed"))
     return matches.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"))
+
+
+def _whole(words: str) -> Column:
+    return F.xxhash64(F.transform(words, lambda w: F.xxhash64(w)))

@@ -137,3 +137,12 @@ def test_pipeline_drops_verbatim_copies(spark, tmp_path):
     spark.createDataFrame(DENSE, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     docs = spark.createDataFrame([(1, f"xx {DENSE[0][1]} yy"), (2, DENSE[1][1].upper()), (3, "nothing of it"), (None, "no id")], "doc_id long, text string")
     assert {r.doc_id for r in corpus_pipeline.leaks(spark, docs, str(tmp_path)).collect()} == {3, None}
+
+
+def test_short_items_are_whole_lines(spark):
+    items = spark.createDataFrame([(1, "Yes"), (2, "forty two"), (3, "one two three")], "item_id long, text string")
+    docs = [(1, "yes we did go there"), (2, "Answer:\nYES!\nThen more"), (3, "forty\ntwo"), (4, "x\r\nForty, two."), (5, "zero one two three four"), (6, None), (None, "yes")]
+    docs += [(2, "yes"), (7, "")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as size", "2 as place", "3 as window", "4 as words", "5 as line")
+    got = {(r.doc_id, r.item_id, r.n_windows) for r in T.find_copies(spark, frame, items).collect()}
+    assert got == {(2, 1, 1), (4, 2, 1), (5, 3, 1), (None, 1, 1)}
