@@ -13,6 +13,8 @@ joined from the table, by document and word.
 **Network.** The hidden vector is tanh of the sum of one embedding for each neighbour and place; the target is masked, it is no input.
 The output is factored: first one of the classes, then the entry within the class, so a word costs two short softmaxes.
 
+**Start.** The biases of the output are the frequencies of the words, so an untrained network scores as a unigram model.
+
 **Training** is numpy inside Spark tasks, data-parallel over all documents. In each of ``ROUNDS`` rounds every task starts from the
 common weights, takes Adagrad steps over its documents and hands back its weights with their number of targets; the weighted mean
 is the next common state. What is combined grows with the number of tasks, that is with the input, and is summed in two
@@ -48,7 +50,7 @@ CLASSES, MEMBERS, DISTINCT = 32, 32, 1 << 18
 ENTRIES = CLASSES * MEMBERS
 BUCKETS = 64
 PAD = ENTRIES
-ROUNDS, STRIDE, BATCH, RATE = 2, 2, 1024, 0.1
+ROUNDS, STRIDE, BATCH, RATE, FIRST_SQUARE = 4, 4, 2048, 0.05, 1e-8
 #: Words whose counts every task has (4 MB); the counts of all others are joined.
 KNOWN = 1 << 18
 #: Log share of one hash among those of a bucket.
@@ -160,6 +162,13 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
 
+def _shares(logits: np.ndarray) -> np.ndarray:
+    """Probabilities of each row."""
+    out = np.exp(logits - logits.max(axis=1, keepdims=True))
+    out /= out.sum(axis=1, keepdims=True)
+    return out
+
+
 def _by_class(targets: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
     kind = targets // side
     order = np.argsort(kind, kind="stable")
@@ -182,32 +191,41 @@ def log_probs(model: Model, tokens: np.ndarray, first: np.ndarray, block: int =
     return out
 
 
+def _adagrad(weights: np.ndarray, squares: np.ndarray, at: tuple | slice, change: np.ndarray, rate: float) -> None:
+    """One update of the weights at ``at``."""
+    own = squares[at] + change * change
+    squares[at] = own
+    weights[at] -= rate * change / np.sqrt(own + 1e-8)
+
+
 def step(model: Model, squares: np.ndarray, context: np.ndarray, targets: np.ndarray, rate: float = RATE) -> None:
-    """One Adagrad step on a batch, in place."""
-    w, g = model.views(), replace(model, weights=np.zeros_like(model.weights))
-    d, n = g.views(), len(targets)
+    """One Adagrad step on a batch, in place: only the classes and the embeddings that the batch has are touched."""
+    w, q, n = model.views(), replace(model, weights=squares).views(), len(targets)
     hidden = _hidden(w, context)
-    grad = np.exp(_softmax(hidden @ w["to_class"] + w["class_bias"]))
+    grad = _shares(hidden @ w["to_class"] + w["class_bias"])
     grad[np.arange(n), targets // model.side] -= 1
-    d["to_class"][:], d["class_bias"][:] = hidden.T @ grad, grad.sum(axis=0)
     back = grad @ w["to_class"].T
+    every = slice(None)
+    updates = [("to_class", every, hidden.T @ grad), ("class_bias", every, grad.sum(axis=0))]
     order, edges = _by_class(targets, model.side)
     for c in range(model.side):
         own = order[edges[c]:edges[c + 1]]
         if len(own):
-            grad = np.exp(_softmax(hidden[own] @ w["to_member"][c] + w["member_bias"][c]))
+            near = hidden[own]
+            grad = _shares(near @ w["to_member"][c] + w["member_bias"][c])
             grad[np.arange(len(own)), targets[own] % model.side] -= 1
-            d["to_member"][c], d["member_bias"][c] = hidden[own].T @ grad, grad.sum(axis=0)
+            updates += [("to_member", c, near.T @ grad), ("member_bias", c, grad.sum(axis=0))]
             back[own] += grad @ w["to_member"][c].T
     back *= 1 - hidden ** 2
-    d["bias"][:] = back.sum(axis=0)
+    updates.append(("bias", every, back.sum(axis=0)))
+    narrow = context.astype(np.uint16) if model.pad < 1 << 16 else context
     for j in range(context.shape[1]):
-        order = np.argsort(context[:, j], kind="stable")
-        entries, first = np.unique(context[order, j], return_index=True)
-        d["embed"][j][entries] = np.add.reduceat(back[order], first, axis=0)
-    change = g.weights / n
-    squares += change ** 2
-    model.weights[:] -= rate * change / np.sqrt(squares + 1e-8)
+        order = np.argsort(narrow[:, j], kind="stable")
+        entries = context[order, j]
+        first = np.flatnonzero(np.concatenate([[True], entries[1:] != entries[:-1]]))
+        updates.append(("embed", (j, entries[first]), np.add.reduceat(back[order], first, axis=0)))
+    for name, at, change in updates:
+        _adagrad(w[name], q[name], at, change / n, rate)
 
 
 def word_counts(documents: DataFrame) -> DataFrame:
@@ -223,13 +241,25 @@ def word_counts(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("text").cast("string")).mapInArrow(emit, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _most_frequent(counted: DataFrame, most: int) -> np.ndarray:
-    return np.array([r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(most).collect()], np.int64).view(np.uint64)
+def _most_frequent(counted: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and counts of the most frequent words."""
+    rows = counted.orderBy(F.desc("n"), "word").limit(most).collect()
+    return np.array([r["word"] for r in rows], np.int64).view(np.uint64), np.array([r["n"] for r in rows], np.int64)
 
 
 def count_words(documents: DataFrame, most: int = ENTRIES - BUCKETS) -> np.ndarray:
     """Hashes of the most frequent words of all documents, in order; equal counts by hash."""
-    return _most_frequent(word_counts(documents), most)
+    return _most_frequent(word_counts(documents), most)[0]
+
+
+def _know_unigrams(model: Model, often: np.ndarray, totals: np.ndarray) -> None:
+    """Set the output's biases to the words' own frequencies, in place: training starts there and learns what neighbours tell."""
+    counts = np.ones(model.pad)
+    counts[:len(often)] += often
+    counts[model.pad - BUCKETS:] += totals
+    square, w = counts.reshape(model.side, model.side), model.views()
+    w["class_bias"][:] = np.log(square.sum(axis=1) / square.sum())
+    w["member_bias"][:] = np.log(square / square.sum(axis=1, keepdims=True))
 
 
 def start_counted(spark: SparkSession, documents: DataFrame) -> Model:
@@ -244,11 +274,15 @@ def start_counted(spark: SparkSession, documents: DataFrame) -> Model:
             break
         least, size = n, size + words
     side = side_for(distinct)
-    model = start(_most_frequent(counted, side * side - BUCKETS), side=side)
+    frequent, often = _most_frequent(counted, side * side - BUCKETS)
+    model = start(frequent, side=side)
     totals = np.zeros(BUCKETS, np.int64)
-    own = counted.where(~F.col("word").isin(model.hashes.view(np.int64).tolist())) if len(model.hashes) else counted
+    entered = spark.createDataFrame(pa.table({"word": pa.array(model.hashes.view(np.int64))}))  # as many as the model has entries
+    own = counted.join(entered, "word", "left_anti")
     for r in own.groupBy(F.shiftrightunsigned("word", 58).alias("bucket")).agg(F.sum("n").alias("n")).collect():
         totals[r["bucket"]] = r["n"]
+    if distinct:
+        _know_unigrams(model, often, totals)
     known = own.where(F.col("n") >= least).toArrow() if size else None
     words, times = (known[c].to_numpy() for c in ("word", "n")) if known is not None else (np.zeros(0, np.int64),) * 2
     order = np.argsort(words.view(np.uint64))
@@ -277,7 +311,7 @@ def train_round(spark: SparkSession, documents: DataFrame, model: Model, round_:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = replace(held.value, weights=held.value.weights.copy())
-        squares, seen, waiting = np.full(len(own.weights), 1e-4, np.float32), 0, []
+        squares, seen, waiting = np.full(len(own.weights), FIRST_SQUARE, np.float32), 0, []
 
         def learn(pairs: list) -> None:
             context, targets = (np.concatenate(x) for x in zip(*pairs, strict=True))

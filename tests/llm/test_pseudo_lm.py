@@ -60,6 +60,8 @@ def test_training_learns(spark):
     held = spark.createDataFrame(rows, "doc_id long, text string")
     good = mean(held, model)
     assert good > mean(held, untrained) + 1 and good > mean(shuffled, model)
+    # The start scores as a unigram model; what neighbours tell comes on top.
+    assert good > mean(held, M.start_counted(spark, taught)) + 0.2
 
 
 def test_every_row_has_a_score(spark, documents, corpus, nothing):
