@@ -61,7 +61,7 @@ def test_stages_of_nothing(spark, folder):
 
 def test_registered():
     names = [n for n in entry.queries() if n == "pipeline" or n.startswith("op")]
-    assert sorted(n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()) == sorted(f"op{i}" for i in range(1, 14))
     assert "pipeline" in names and 4 <= len(P.STAGES) <= 5
 
 
