@@ -9,7 +9,9 @@ that name it; a revisit has the HTTP header, with the full length, and no payloa
 **Reading** (format ``warc``). A partition is one archive file. Filters on ``record_type``, ``target_uri``, ``record_id`` and
 ``payload_digest`` are pushed to the reader. It decodes a member only up to the end of the WARC headers and steps over the rest when
 the filters refuse it, or when ``option("payload", "false")`` leaves payloads out. Members without ``sl`` (written by others) are decoded
-in chunks to find their end, and plain ``.warc`` files are stepped through by ``Content-Length``.
+in chunks to find their end, and plain ``.warc`` files are stepped through by ``Content-Length``. An archive that breaks off, a record
+shorter than it announces and a wrong checksum of a decoded member end the read with ``Damaged``; with ``option("damaged", "keep")`` the
+place is a row of type ``damaged`` with the reason as ``record_id``. Members that are stepped over are not checked.
 
 Rows: one record per input row. A null ``html`` is an empty payload. A null ``page_id`` is written as no number; such a row
 is a revisit if another row with the payload has a number, else a response. Rows that repeat page and payload are all responses
@@ -37,6 +39,7 @@ REVISIT_BYTES, FILE_BYTES, BROADCAST_BYTES = 1000, 256 << 20, 64 << 20
 CHUNK, BATCH_BYTES, BATCH_ROWS = 1 << 14, 8 << 20, 512
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2020-01-01T00:00:00Z"
+HEAD_END = CLOSE = b"\r\n\r\n"
 SCHEMA = ("record_type string, record_id string, target_uri string, date string, refers_to string, payload_digest string, "
           "payload_length long, payload binary")
 
@@ -69,7 +72,8 @@ def plan_records(spark: SparkSession, pages: DataFrame) -> DataFrame:
     groups = rows.where(big).select("page_id", F.sha2("payload", 256).alias("key")).groupBy("key").agg(
         F.count("*").alias("n"), F.max("page_id").alias("first")).where("n > 1 and first is not null").select("key", "first")
     groups = written(spark, groups, "equal")
-    keyed = rows.withColumn("key", F.when(big, F.sha2("payload", 256)))
+    # Rows that can't have an equal one are dealt out by a key of their own: no sum of a payload looks like it.
+    keyed = rows.withColumn("key", F.when(big, F.sha2("payload", 256)).otherwise(F.concat(F.lit("-"), F.xxhash64("page_id", "url", "payload"))))
     joined = keyed.join(checked_broadcast(groups, 160 * groups.count(), BROADCAST_BYTES), "key", "left")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return joined.select(
@@ -125,15 +129,21 @@ class Archive(InputPartition):
         self.path = path
 
 
+class Damaged(ValueError):
+    """An archive that breaks off, or whose bytes are not what it announces."""
+
+
 class _Member:
-    """One record, decoded as far as asked."""
+    """One record of an archive, decoded only as far as asked for."""
 
-    def __init__(self, file, gzipped: bool):
-        self.file, self.start, self.size = file, file.tell(), None
+    def __init__(self, file, gzipped: bool, end: int):
+        self.file, self.start, self.end, self.size = file, file.tell(), end, None
         self.unpacker = None
-        self.data = b""
+        self.data = bytearray()
         if gzipped:
             head = file.read(12)
+            if len(head) < 12:
+                raise Damaged("it ends inside a member's header")
             if head[3] & 4:
                 extra = file.read(struct.unpack("<H", head[10:12])[0])
                 if extra[:2] == b"sl":
@@ -142,39 +152,56 @@ class _Member:
             self.unpacker = zlib.decompressobj(31)
 
     def more(self) -> bool:
-        """Decode another chunk."""
+        """Decode another chunk; False at the end of the member or, without compression, of the file."""
+        if self.unpacker is not None and self.unpacker.eof:
+            return False
         raw = self.file.read(CHUNK)
         if self.unpacker is None:
             self.data += raw
             return bool(raw)
-        if not raw or self.unpacker.eof:
-            return False
+        if not raw:
+            raise Damaged("it ends inside a member")
         self.data += self.unpacker.decompress(raw)
         return True
 
-    def upto(self, mark: bytes, start: int = 0) -> int:
-        """Place after ``mark``, decoding as needed; -1 at the end of the record."""
-        at = self.data.find(mark, start)
+    def upto(self, mark: bytes, start: int = 0, limit: int | None = None) -> int:
+        """Place after ``mark``, decoding as needed; -1 if it does not end within the record or the first ``limit`` bytes."""
+        at = self.data.find(mark, start, limit)
         while at < 0:
-            if not self.more():
+            start = max(start, len(self.data) - len(mark) + 1)
+            if (limit is not None and len(self.data) >= limit) or not self.more():
                 return -1
-            at = self.data.find(mark, start)
+            at = self.data.find(mark, start, limit)
         return at + len(mark)
 
+    def whole(self, length: int) -> None:
+        """Decode the record's ``length`` bytes; a compressed one to its end, where its checksum is compared."""
+        while (self.unpacker is not None or len(self.data) < length) and self.more():
+            pass
+        if len(self.data) < length:
+            raise Damaged("a record is shorter than announced")
+
     def finish(self, length: int) -> None:
-        """Go to the next record; ``length`` is this record's, headers and all."""
+        """Go to the next record; ``length`` is this record's with its headers, without the line ends that close it."""
         if self.unpacker is None:
-            self.file.seek(self.start + length)
+            to = self.start + length + len(CLOSE)
+            short = self.start + length > self.end
         elif self.size is not None:
-            self.file.seek(self.start + self.size)
+            to = self.start + self.size
+            short = to > self.end
         else:
-            self.data = b""
-            while not self.unpacker.eof and self.more():
-                self.data = b""
-            self.file.seek(self.file.tell() - len(self.unpacker.unused_data))
-
-
-def _headers(data: bytes) -> dict[str, str]:
+            n = len(self.data)
+            self.data.clear()
+            while self.more():
+                n += len(self.data)
+                self.data.clear()
+            to, short = self.file.tell() - len(self.unpacker.unused_data), n < length
+        if short:
+            raise Damaged("it ends inside a record")
+        self.file.seek(to)
+
+
+def _headers(data: bytes | bytearray) -> dict[str, str]:
     lines = (line.partition(":") for line in data.decode("utf-8", "replace").split("\r\n")[1:])
     return {k.strip().lower(): v.strip() for k, _, v in lines if k}
 
@@ -184,31 +211,56 @@ def _columns(headers: dict[str, str]) -> dict[str, str | None]:
             "date": headers.get("warc-date"), "refers_to": headers.get("warc-refers-to"), "payload_digest": headers.get("warc-payload-digest")}
 
 
-def records(path: str, tests: list, payloads: bool = True) -> Iterator[tuple]:
-    """Rows of ``SCHEMA`` of one archive. ``tests``: functions of the header columns that all must hold."""
+def records(path: str, tests: list, payloads: bool = True, keep_damaged: bool = False) -> Iterator[tuple]:
+    """Rows of ``SCHEMA`` of one archive. ``tests``: functions of the header columns that all must hold.
+
+    Where the archive is damaged, the rows before that place are followed by ``Damaged`` or, with ``keep_damaged``, by one row of type
+    ``damaged`` with the reason as ``record_id``; what lies behind it can't be found.
+    """
     store, at = fs.FileSystem.from_uri(path)
     with store.open_input_file(at) as file:
-        end, gzipped = file.size(), path.endswith(".gz")
-        while file.tell() < end:
-            member = _Member(file, gzipped)
-            head = member.upto(b"\r\n\r\n")
-            if head < 0:
-                return
-            headers = _headers(member.data[:head])
-            length = head + int(headers.get("content-length", 0))
-            columns = _columns(headers)
+        try:
+            yield from _records(file, path.endswith(".gz"), tests, payloads)
+        except (Damaged, zlib.error, struct.error) as fault:
+            reason = f"{path}, at byte {file.tell()}: {fault}"
+            if not keep_damaged:
+                raise Damaged(reason) from fault
+            columns = dict.fromkeys(_columns({})) | {"record_type": "damaged", "record_id": reason}
             if all(test(columns) for test in tests):
-                size, payload = None, None
-                if columns["record_type"] in ("response", "revisit"):
-                    body = member.upto(b"\r\n\r\n", head)
-                    if body > 0:
-                        size = int(_headers(member.data[head:body]).get("content-length", length - body))
-                    if payloads and columns["record_type"] == "response" and body > 0:
-                        while len(member.data) < length and member.more():
-                            pass
-                        payload = member.data[body:length]
-                yield (*columns.values(), size, payload)
-            member.finish(length + 4)
+                yield (*columns.values(), None, None)
+
+
+def _announced(headers: dict[str, str], default: str) -> int:
+    value = headers.get("content-length", default)
+    if not value.isdecimal():
+        raise Damaged(f"a length of {value!r}")
+    return int(value)
+
+
+def _records(file, gzipped: bool, tests: list, payloads: bool) -> Iterator[tuple]:
+    end = file.size()
+    while file.tell() < end:
+        member = _Member(file, gzipped, end)
+        head = member.upto(HEAD_END)
+        if head < 0:
+            if not member.data.strip():
+                return
+            raise Damaged("it ends inside a record's headers")
+        headers = _headers(member.data[:head])
+        length = head + _announced(headers, "0")
+        columns = _columns(headers)
+        if all(test(columns) for test in tests):
+            size, payload = None, None
+            if columns["record_type"] in ("response", "revisit"):
+                body = member.upto(HEAD_END, head, length)
+                wanted = payloads and columns["record_type"] == "response"
+                if wanted:
+                    member.whole(length)
+                if body > 0:
+                    size = _announced(_headers(member.data[head:body]), str(length - body))
+                    payload = bytes(member.data[body:length]) if wanted else None
+            yield (*columns.values(), size, payload)
+        member.finish(length)
 
 
 def _test(pushed: Filter):
@@ -231,6 +283,7 @@ def _test(pushed: Filter):
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.payloads, self.pushed = options["path"], options.get("payload", "true").lower() == "true", []
+        self.keep_damaged = options.get("damaged", "fail").lower() == "keep"
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for one in filters:
@@ -250,7 +303,7 @@ class WarcReader(DataSourceReader):
         tests, rows, size = [_test(f) for f in self.pushed], [], 0
         names = [c.split()[0] for c in SCHEMA.split(", ")]
         types = [pa.string()] * 6 + [pa.int64(), pa.binary()]
-        for row in records(partition.path, tests, self.payloads) if partition else ():
+        for row in records(partition.path, tests, self.payloads, self.keep_damaged) if partition else ():
             rows.append(row)
             size += len(row[-1] or b"")
             if size >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
@@ -274,11 +327,11 @@ class WarcSource(DataSource):
         return WarcReader(self.options)
 
 
-def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """Records of the archives below ``path``. Switches the session's filter push-down for Python sources on."""
+def read(spark: SparkSession, path: str, payloads: bool = True, damaged: str = "fail") -> DataFrame:
+    """Records of the archives below ``path``; ``damaged``: ``fail`` or ``keep``. Switches the session's filter push-down for Python sources on."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
-    return spark.read.format("warc").option("payload", str(payloads).lower()).load(path)
+    return spark.read.format("warc").option("payload", str(payloads).lower()).option("damaged", damaged).load(path)
 
 
 def pages_of(archived: DataFrame) -> DataFrame:

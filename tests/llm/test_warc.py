@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,3 +89,60 @@ def test_files_of_others(spark, tmp_path, name):
     rows = W.read(spark, f"file://{tmp_path}").where("record_type = 'response'").collect()
     assert [(r.record_id, r.payload) for r in rows] == [(f"<urn:page:{i}>", body.split(b"\r\n\r\n")[1]) for i in range(3)]
     assert gzip.decompress(W._member(records[0])) == records[0]
+
+
+@pytest.fixture(params=["own", "plain", "foreign"])
+def archive(request, tmp_path):
+    """Bytes of three records, where each begins, and a function that writes the archive to a folder of its own."""
+    body = b"HTTP/1.0 200 OK\r\nX: 1\r\n\r\n" + random.Random(1).randbytes(20000)
+    records = [W._record("response", [("WARC-Record-ID", f"<urn:page:{i}>")], body) for i in range(3)]
+    parts = [{"own": W._member, "plain": bytes, "foreign": gzip.compress}[request.param](r) for r in records]
+    name = "a.warc" if request.param == "plain" else "a.warc.gz"
+
+    def put(data: bytes) -> str:
+        (tmp_path / name).write_bytes(data)
+        return f"file://{tmp_path / name}"
+
+    return b"".join(parts), [0, len(parts[0]), len(parts[0]) + len(parts[1])], put
+
+
+@pytest.mark.parametrize("payloads", [True, False])
+def test_damaged_archives_are_reported(archive, payloads):
+    data, starts, put = archive
+    assert len(list(W.records(put(data), [], payloads))) == 3
+    for cut, whole in ((len(data) - len(data) // 8, 2), (starts[1] + 8, 1), (starts[1] + 30, 1), (starts[2] - 900, 1)):
+        rows = W.records(put(data[:cut]), [], payloads)
+        with pytest.raises(W.Damaged, match="a.warc"):
+            seen = []
+            for row in rows:
+                seen.append(row)
+        assert [r[1] for r in seen][:whole] == [f"<urn:page:{i}>" for i in range(whole)] and all(r[-1] is None or len(r[-1]) == 20000 for r in seen)
+        kept = list(W.records(put(data[:cut]), [], payloads, keep_damaged=True))
+        assert kept[:-1] == seen and kept[-1][0] == "damaged" and "at byte" in kept[-1][1]
+
+
+def test_wrong_bytes_are_reported(archive):
+    data, starts, put = archive
+    if not put(data).endswith(".gz"):
+        return
+    spot = starts[1] - 7
+    with pytest.raises(W.Damaged):
+        list(W.records(put(data[:spot] + bytes([data[spot] ^ 1]) + data[spot + 1:]), []))
+
+
+def test_damaged_rows_through_spark(spark, archive):
+    data, _, put = archive
+    path = put(data[:-5000])
+    rows = W.read(spark, path, damaged="keep")
+    assert sorted(r.record_type for r in rows.collect()) == ["damaged", "response", "response"]
+    assert rows.where("record_type = 'damaged'").count() == 1 and rows.where("record_type = 'response'").count() == 2
+    with pytest.raises(Exception, match="ends inside|shorter than"):
+        W.read(spark, path).collect()
+
+
+def test_lengths_that_are_no_numbers(tmp_path):
+    (tmp_path / "a.warc").write_bytes(W._record("response", [("WARC-Record-ID", "x")], b"").replace(b"Content-Length: 0", b"Content-Length: -4"))
+    with pytest.raises(W.Damaged, match="length"):
+        list(W.records(f"file://{tmp_path}/a.warc", []))
+    (tmp_path / "c.warc").write_bytes(b"\r\n")
+    assert list(W.records(f"file://{tmp_path}/c.warc", [])) == []
