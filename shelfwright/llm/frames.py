@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +44,7 @@ def checked_broadcast(df: DataFrame, n_bytes: int, limit: int) -> DataFrame:
 
 
 def without(spark: SparkSession, rows: DataFrame, gone: DataFrame, limit: int = 64 << 20) -> DataFrame:
-    """``rows`` whose ``doc_id`` is not in ``gone``, all columns. A row without a ``doc_id`` stays.
+    """``rows`` whose ``doc_id`` is not in ``gone``, all columns. A row without a ``doc_id`` stays: ``dropping`` names such rows first.
 
     The ids are broadcast, so that the rows do not move, only while their measured number keeps within ``limit`` bytes.
     """
@@ -50,6 +53,25 @@ def without(spark: SparkSession, rows: DataFrame, gone: DataFrame, limit: int =
     return rows.join(side, rows["doc_id"].cast("long") == side["_gone"], "left_anti")
 
 
+def dropping(spark: SparkSession, rows: DataFrame, decide: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``rows`` without those whose ``doc_id`` ``decide`` returns, decided and dropped row by row.
+
+    Where ids are missing or repeat, ``decide`` gets a written copy of the rows with new ids, one for each row: in the order of the old
+    ids, rows without one first, rows of one id in the order of their texts' hashes. So "largest" and "smallest" mean the same, and
+    what is decided on one row is not done to another. The rows returned have their old ids.
+    """
+    own = F.col("doc_id").cast("long").alias("id")
+    if rows.select(own).groupBy("id").agg(F.count("*").alias("n")).where("id is null or n > 1").isEmpty():
+        return without(spark, rows, decide(rows))
+    kept = f"own_{uuid.uuid4().hex}"
+    # The row's place comes last in the order, so that very many equal rows are dealt to many partitions, too.
+    order = [F.col("doc_id").cast("long").asc_nulls_first(), F.xxhash64(F.col("text").cast("string")), F.col(f"{kept}_at")]
+    placed = rows.withColumn(f"{kept}_at", F.monotonically_increasing_id())
+    named = written(spark, placed.orderBy(*order).drop(f"{kept}_at").withColumn(kept, F.col("doc_id")).withColumn(
+        "doc_id", F.monotonically_increasing_id()), "named")
+    return without(spark, named, decide(named)).withColumn("doc_id", F.col(kept)).select(*rows.columns)
+
+
 def fingerprint(df: DataFrame) -> tuple[int, int]:
     """Row count and an order-free hash of all rows."""
     row = df.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(*df.columns)).alias("h")).first()

@@ -114,9 +114,31 @@ _LEAKS_SQL = rf"""
     ), judged as (
         select c.*, coalesce(same, true) or n_values < n_pairs as exact
         from candidates c left join checked using (doc_id, item_id, apart) where n_values is null or n_values = n_pairs or n_plain >= needed
+    ), plain as (
+        select k, id, t, list_filter(string_split_regex(lower(t), '{template_decon.BREAKS}'), lambda w: w <> '') as words from src
+    ), copy_sized as (
+        select id as item_id, words, least(len(words), {template_decon.WINDOW}) as size from plain where k = 'i' and len(words) >= {template_decon.LINE}
+    ), copy_items as (
+        select item_id, pos, size, len(words) - size + 1 as windows, array_to_string(words[pos + 1:pos + size], ' ') as w
+        from (select *, unnest(range(len(words) - size + 1)) as pos from copy_sized)
+    ), copy_docs as (
+        select id as doc_id, place, size, array_to_string(words[place + 1:place + size], ' ') as w
+        from (select id, words, size, unnest(range(len(words) - size + 1)) as place
+            from plain, (select distinct size from copy_sized) where k = 'd' and len(words) >= size)
+    ), lines as (
+        select id as doc_id, list_filter(string_split_regex(lower(line), '{template_decon.BREAKS}'), lambda w: w <> '') as words
+        from (select id, unnest(string_split_regex(t, '[\n\r]+')) as line from src where k = 'd')
+    ), copies as (
+        select doc_id, item_id, count(distinct pos) as n_windows from copy_items join copy_docs using (size, w)
+        group by doc_id, item_id, place - pos, size, windows
+        having count(distinct pos) >= least(greatest({template_decon.MIN_WORDS} - size + 1, 1), ceil(windows / 2))
+        union all select doc_id, id, 1 from lines join plain on k = 'i' and plain.words = lines.words
+        where len(lines.words) between 1 and {template_decon.LINE - 1}
+    ), found as (
+        select doc_id, item_id, n_windows, exact from judged union all select doc_id, item_id, n_windows, true from copies
     )
     select doc_id, item_id, n_windows, case when exact then 'exact' else 'reparameterised' end as kind
-    from (select *, row_number() over (partition by doc_id, item_id order by n_windows desc, exact desc, apart desc) as r from judged) where r = 1
+    from (select *, row_number() over (partition by doc_id, item_id order by n_windows desc, exact desc) as r from found) where r = 1
 """
 
 

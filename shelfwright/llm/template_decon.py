@@ -10,12 +10,14 @@ Then the slots are compared: within the matched stretch, each name, number or un
 document throughout. ``exact``: all values equal; ``reparameterised``: consistent, with other values. A candidate with
 inconsistent slots counts only if its windows without any placeholder suffice (``exact``).
 
-``find_copies`` finds what the literal floor and the placeholders hide: verbatim copies of any window, in any case.
+What the literal floor and the placeholders hide is found as verbatim copies (``find_copies``): windows over the plain words, in any
+case, joined in the same way. ``find_leaks`` returns both.
 
 The benchmark's windows are broadcast only if their measured size is within ``BROADCAST_BYTES``; beyond that both sides shuffle.
 
-Rows: one per contaminated document and item, with the best distance. Null and empty texts, and items with fewer than ``SHORT``
-words, match nothing. Items of ``SHORT`` to ``WINDOW`` - 1 words are one window of their own length. Rows that share a ``doc_id``
+Rows: one per contaminated document and item, with the most matching windows at one distance (``exact`` first). Null and empty texts
+match nothing. Items of ``SHORT`` to ``WINDOW`` - 1 words are one window of their own length; shorter ones have no template and are
+found as verbatim copies only. Rows that share a ``doc_id``
 count as one document, also those without one. Other columns are ignored.
 """
 
@@ -105,7 +107,15 @@ def benchmark_windows(spark: SparkSession, benchmark: DataFrame) -> DataFrame:
 
 
 def find_leaks(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, item_id, n_windows, kind`` of contaminated documents."""
+    """``doc_id, item_id, n_windows, kind`` of contaminated documents: matching templates and verbatim copies."""
+    copies = find_copies(spark, documents, benchmark).withColumn("kind", F.lit("exact"))
+    best = find_templates(spark, documents, benchmark).union(copies).groupBy("doc_id", "item_id").agg(
+        F.max(F.struct("n_windows", F.col("kind") == "exact", "kind")).alias("b"))
+    return best.select("doc_id", "item_id", "b.n_windows", "b.kind")
+
+
+def find_templates(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``doc_id, item_id, n_windows, kind`` of documents with an item's template and consistent slots."""
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id is not null")
     docs = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     of_items = benchmark_windows(spark, items)

@@ -59,6 +59,27 @@ def test_stages_of_nothing(spark, folder):
         assert stage(spark, docs, folder).count() == 0
 
 
+def test_decisions_hold_for_rows(spark, folder):
+    """Rows without an id and rows that share one: each is decided on its own, and all columns come back."""
+    texts = ["own words " + " ".join(f"w{i * 7 + k}" for i in range(30)) for k in range(4)]
+    leak = spark.read.parquet(f"{folder}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(None, texts[0]), (None, texts[0]), (5, texts[0]), (7, texts[1]), (7, texts[1]), (7, texts[2]), (None, leak), (7, leak), (8, texts[3]), (None, None)]
+    docs = spark.createDataFrame([(d, t, n) for n, (d, t) in enumerate(rows)], "doc_id int, text string, own_at int").repartition(3)
+
+    def left(stage, docs=docs):
+        out = stage(spark, docs, folder)
+        assert out.schema == docs.schema
+        return sorted((r.own_at, r.doc_id) for r in out.collect())
+
+    exact = left(P.exact_copies)
+    assert (2, 5) in exact and not {(0, None), (1, None)} & set(exact) and len({(3, 7), (4, 7)} & set(exact)) == 1
+    assert {(5, 7), (8, 8), (9, None)} <= set(exact) and len({(6, None), (7, 7)} & set(exact)) == 1 and (7, 7) in exact
+    near = left(P.near_copies)
+    assert len([n for n, _ in near if n in (0, 1, 2)]) == len([n for n, _ in near if n in (3, 4)]) == len([n for n, _ in near if n in (6, 7)]) == 1
+    assert {5, 8, 9} <= {n for n, _ in near}
+    assert [n for n, _ in left(P.leaks)] == [0, 1, 2, 3, 4, 5, 8, 9]
+
+
 def test_registered():
     names = [n for n in entry.queries() if n == "pipeline" or n.startswith("op")]
     assert sorted(n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()) == sorted(f"op{i}" for i in range(1, 14))
