@@ -1,7 +1,7 @@
 """Training-corpus pipeline: from ``documents`` to token ids, each stage one of the operators in ``shelfwright.llm``.
 
 A stage takes all that its predecessor kept, as a written table, and drops what its operator decides; only the last one changes
-the columns. Rows without a ``doc_id`` have no name by which a later stage could drop them: they stay if they have a language.
+the columns. A decision holds for a row: rows without a ``doc_id`` and rows that share one are told apart.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfwright.bindings.registry import query, table
 from shelfwright.llm import extendible_dedup, langid, ngram_join, sp_viterbi, template_decon
-from shelfwright.llm.frames import without, written
+from shelfwright.llm.frames import dropping, written
 
 #: Least share of a document's n-grams that its language must know. Prose of any learned language has 0.8 and more.
 LEAST_KNOWN = 0.2
@@ -29,19 +29,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest ``doc_id``."""
-    return without(spark, docs, extendible_dedup.mark_copies(spark, docs).where("not kept"))
+    return dropping(spark, docs, lambda rows: extendible_dedup.mark_copies(spark, rows).where("not kept"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest ``doc_id``."""
-    return without(spark, docs, ngram_join.link_components(spark, docs).where("doc_id <> component_id"))
+    return dropping(spark, docs, lambda rows: ngram_join.link_components(spark, rows).where("doc_id <> component_id"))
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item, neither its template nor a verbatim copy."""
     benchmark = table(spark, sf_dir, "benchmark")
-    templates, copies = (find(spark, docs, benchmark).select("doc_id") for find in (template_decon.find_leaks, template_decon.find_copies))
-    return without(spark, docs, templates.union(copies))
+    return dropping(spark, docs, lambda rows: template_decon.find_leaks(spark, rows, benchmark))
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
