@@ -91,6 +91,20 @@ def stream_state_latest(spark: SparkSession, sf: str) -> DataFrame:
     return state.current(spark, f"{base}/checkpoint", events.schema).select("user_id", "event_type", "event_id", "value")
 
 
+@query("stream_state_new_products", """SELECT sha256(url) AS url_hash, url, page_id FROM (
+    SELECT url, page_id, row_number() OVER (PARTITION BY url ORDER BY page_id % 2, page_id) AS rn FROM pages
+    WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 3 = 0 AND url IS NOT NULL)) WHERE rn = 1""")
+def stream_state_new_products(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages whose url neither the index nor an earlier arrival has, kept apart by keyed state: even pages arrive first, odd ones after a new start."""
+    pages = table(spark, sf, "pages").where("url is not null and page_id is not null").select(F.sha2("url", 256).alias("url_hash"), "url", "page_id")
+    base, index = workspace(spark, "stream-state-new"), pages.where("page_id % 3 = 0")
+    for rows in (pages.where("page_id % 2 = 0"), pages.where("page_id % 2 = 1")):
+        rows.write.mode("append").parquet(f"{base}/in")
+        arrived = spark.readStream.schema(pages.schema).parquet(f"{base}/in")
+        state.first(arrived, f"{base}/rows", f"{base}/checkpoint", ["url_hash"], "page_id", index).awaitTermination()
+    return spark.read.schema(pages.schema).parquet(f"{base}/rows")
+
+
 @query("stream_dedup_within", """WITH m AS (SELECT max(ts) AS top FROM events),
 again AS (SELECT event_id, ts FROM events, m WHERE event_id % 3 = 0 AND ts > top - INTERVAL 4 DAY),
 late AS (SELECT event_id, ts FROM events, m WHERE event_id % 3 = 1 AND ts < top - INTERVAL 6 DAY),

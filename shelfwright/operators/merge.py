@@ -146,8 +146,10 @@ def load_all(
 
     Every frame in ``problems`` must be empty. Tables go to a new version folder
     and become current by one small pointer write at the end, so a failed write
-    leaves the previous version in place.
+    leaves the previous version in place. A load that finds at its end that another
+    one became current meanwhile is refused: it has not seen that one's rows.
     """
+    before = current_version(spark, base)
     for name, frame in problems.items():
         bad = frame.limit(5).collect()
         if bad:
@@ -155,16 +157,28 @@ def load_all(
     version = f"version-{uuid.uuid4().hex}"
     for name, frame in tables.items():
         frame.write.parquet(f"{base}/{version}/{name}")
+    if current_version(spark, base) != before:
+        raise RejectedLoad(f"{base}: another load became current, run this one again")
     pointer = spark.createDataFrame([(version,)], "version string").coalesce(1)
     pointer.withColumn("seq", F.current_timestamp()).write.mode("append").json(f"{base}/current")
     return version
 
 
+def current_version(spark: SparkSession, base: str) -> str | None:
+    """The version that the newest pointer names; None before the first load."""
+    try:
+        pointers = spark.read.schema("version string, seq timestamp").json(f"{base}/current")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    newest = pointers.orderBy(F.desc("seq"), "version").first()
+    return newest["version"] if newest else None
+
+
 def read_current(spark: SparkSession, base: str, table: str) -> DataFrame:
     """The table in the version that the newest pointer names."""
-    pointers = spark.read.schema("version string, seq timestamp").json(f"{base}/current")
-    version = pointers.orderBy(F.desc("seq"), "version").first()["version"]
-    return spark.read.parquet(f"{base}/{version}/{table}")
+    return spark.read.parquet(f"{base}/{current_version(spark, base)}/{table}")
 
 
 def documents(df: DataFrame, id_col: str, document: Column) -> DataFrame:

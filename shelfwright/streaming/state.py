@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 import pandas as pd
@@ -15,7 +15,7 @@ from shelfwright.streaming.jobs import dedup_within
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_STATE, _NEVER = "newest", -(1 << 63)
+_STATE, _SEEN, _NEVER = "newest", "seen", -(1 << 63)
 
 
 class _Newest(StatefulProcessor):
@@ -42,6 +42,25 @@ class _Newest(StatefulProcessor):
         pass
 
 
+class _First(StatefulProcessor):
+    """Per key the row that came first, once; of one batch the row with the smallest tie. The state is a mark."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState(_SEEN, "yes boolean")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+        if self.seen.exists():
+            for _ in rows:
+                pass
+            return
+        found = min(row for frame in rows for row in frame[["tie_key", "packed"]].itertuples(index=False, name=None))
+        self.seen.update((True,))
+        yield pd.DataFrame({"packed": [found[1]]})
+
+    def close(self) -> None:
+        pass
+
+
 @contextmanager
 def _state_store(spark: SparkSession) -> Iterator[None]:
     """A query takes the provider that is set when it starts."""
@@ -98,6 +117,34 @@ def current(spark: SparkSession, checkpoint: str, schema: T.StructType) -> DataF
     return state.select(*_unpacked(F.col("value.row"), schema))
 
 
+def _least(keys: Sequence[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.sort_values(["tie_key", "packed"]).drop_duplicates(list(keys))
+
+    return run
+
+
+def first(
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], tie: str, known: DataFrame | None = None, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Append each key's first row to ``path``, once over all batches and starts; keys of ``known`` never.
+
+    The state store answers whether a key was there, so a batch costs its own keys and reads nothing that earlier ones wrote. Of one batch
+    the row with the smallest ``tie`` (a whole-number or text column without NULLs) counts. Repeats are dropped inside each task before
+    the exchange, so that a key with very many rows crosses it as a few. ``known`` has the ``keys`` and is joined with each batch.
+    """
+    schema = stream.schema
+    kind = "string" if isinstance(schema[tie].dataType, T.StringType) else "long"
+    rows = stream if known is None else stream.join(known.select(*keys).distinct(), list(keys), "left_anti")
+    packed = rows.select(*keys, F.col(tie).cast(kind).alias("tie_key"), _packed(schema).alias("packed"))
+    packed = packed.mapInPandas(_least(keys), packed.schema)
+    with _state_store(stream.sparkSession):
+        new = packed.groupBy(*keys).transformWithStateInPandas(_First(), "packed string", "Append", "None")
+        return (new.select(*_unpacked(F.col("packed"), schema)).writeStream.format("parquet").outputMode("append").option("path", path)
+                .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
+
+
 def dedup_counted(
     stream: DataFrame, path: str, checkpoint: str, key: str, time: str, delay: str, trigger: dict | None = None,
 ) -> StreamingQuery:

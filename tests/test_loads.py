@@ -163,3 +163,26 @@ def test_stream_load_reads_evidence_again(spark, tmp_path):
     assert stream_silver.facts(spark, base, facts).count() == 1
     assert jobs.read_batches(spark, f"{base}/variants", struct("variant_id string"), sharded=False).count() == 1
     assert "product_url" in LISTING.names
+
+
+def test_first_row_per_key_over_batches_and_starts(spark, tmp_path):
+    ddl, folder, out, cp = "k string, id int, at timestamp, v double", str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+    known = spark.createDataFrame([("z",), ("z",)], "k string")
+    batches = [[("a", 5, 1.5)] * 300 + [("a", 3, 2.5), (None, 7, None), ("z", 1, 0.0)], [("a", 1, 9.0), ("b", 2, 0.1), ("b", 4, 0.2), (None, 1, 1.0)], [("b", 0, 7.0), ("z", 0, 0.0)]]
+    for rows in batches:
+        spark.createDataFrame(rows, "k string, id int, v double").selectExpr("k", "id", "timestamp_seconds(id + 0.25) at", "v").repartition(3).write.mode("append").parquet(folder)
+        state.first(spark.readStream.schema(ddl).parquet(folder), out, cp, ["k"], "id", known).awaitTermination()
+    got = sorted(((r.k, r.id, r.v) for r in spark.read.schema(ddl).parquet(out).where("at = timestamp_seconds(id + 0.25)").collect()), key=str)
+    assert got == sorted([("a", 3, 2.5), (None, 7, None), ("b", 2, 0.1)], key=str)
+
+
+def test_two_loads_at_once(spark, tmp_path, monkeypatch):
+    base, one = str(tmp_path / "tables"), spark.range(3)
+    assert merge.current_version(spark, base) is None
+    first = merge.load_all(spark, base, {"t": one}, {})
+    seen = iter([first, "another"])
+    with monkeypatch.context() as m:
+        m.setattr(merge, "current_version", lambda *_: next(seen))
+        with pytest.raises(merge.RejectedLoad, match="again"):
+            merge.load_all(spark, base, {"t": spark.range(9)}, {})
+    assert merge.current_version(spark, base) == first and merge.read_current(spark, base, "t").count() == 3
