@@ -2,8 +2,9 @@
 
 Base spans are found in the source text. Then three transducers rewrite what may hide an identifier: homoglyphs and full-width
 forms become ASCII and zero-width characters vanish; ``at`` and ``dot`` in brackets, or as words in ``name at host dot tld``,
-become signs; runs of spelled digits become digits (``plus`` before them, or a length of 10 to 15, gives a plus sign). The same detectors run over the result, and
-each span is mapped back to the source characters that its first and last character came from. A mapped span is added unless one
+become signs; runs of spelled digits become digits (``plus`` before them, or a length of 10 to 15, gives a plus sign; ``double`` and
+``triple`` repeat the next digit). The words are those of English, German, French, Spanish, Portuguese and Italian; the two signs of an
+address must be of one language, so that "look at the point where" is none. The same detectors run over the result, and each span is mapped back to the source characters that its first and last character came from. A mapped span is added unless one
 base span of its kind contains it, so the whole of an address is found whose rest is a base span; base spans stay as they are.
 
 A text in which no transducer finds anything is not rewritten. Detectors take time in proportion to the text: no run of
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -87,16 +88,49 @@ _GLYPHS |= {base + i: str(i) for base in (0x660, 0x6F0, 0x966, *range(0x1D7CE, 0
 _GLYPHS |= {code: "" for code in (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)}  # nothing to see
 _GLYPH = re.compile("[" + "".join(re.escape(chr(c)) for c in sorted(_GLYPHS)) + "]")
 
-_SPELLED = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
-_NAME = "|".join(_SPELLED)
-_RUN = re.compile(rf"(?<![A-Za-z])(?:plus[ -]+)?(?:{_NAME})(?:[ ,-]+(?:{_NAME}))++(?![A-Za-z])", re.I | re.A)
-_SPELLED_WORD = re.compile(rf"plus|{_NAME}", re.I | re.A)
-_BRACKETED = re.compile(r"\x20?[\[({<]\x20?(at|dot)\x20?[\])}>]\x20?", re.I | re.A)
-#: From the first of several parts only, so that a run of them is read once.
-_HOST_WORDS = re.compile(
-    r"(?<![A-Za-z0-9_%+-])(?<![A-Za-z0-9_%+-]\x20dot\x20)((?:[A-Za-z0-9_%+-]++\x20dot\x20)*+)[A-Za-z0-9._%+-]++(\x20at\x20)[A-Za-z0-9-]++((?:(?:\x20dot\x20|\.)[A-Za-z0-9-]++)+)",
-    re.I | re.A)
-_DOT_WORD = re.compile(r"\x20dot\x20", re.I | re.A)
+#: How the signs of an address are said, for each language: words for @, word for the full stop.
+_SIGNS = {
+    "en": (("at",), "dot"), "de": (("at", "ät"), "punkt"), "fr": (("arobase", "arrobase"), "point"), "es": (("arroba",), "punto"),
+    "pt": (("arroba",), "ponto"), "it": (("chiocciola",), "punto"),
+}
+#: Words for the digits from 0, alternatives with a stroke, and for what may stand before them.
+_SPELLED_BY_LANGUAGE = {
+    "en": "zero|oh one two three four five six seven eight nine",
+    "de": "null eins zwei|zwo drei vier fünf|fuenf sechs sieben acht neun",
+    "fr": "zéro un deux trois quatre cinq six sept huit neuf",
+    "es": "cero uno dos tres cuatro cinco seis siete ocho nueve",
+    "pt": "zero um dois três quatro cinco seis sete oito nove",
+    "it": "zero uno due tre quattro cinque sei sette otto nove",
+}
+_PLUS = ("plus", "más", "mais", "più")
+_TIMES = {"double": 2, "doble": 2, "doppel": 2, "triple": 3}
+_SPELLED = {word: str(digit) for words in _SPELLED_BY_LANGUAGE.values() for digit, same in enumerate(words.split()) for word in same.split("|")}
+
+
+def _any_case(words: Iterable[str]) -> str:
+    """Alternatives, longer ones first; letters outside ASCII in both cases, which ``re.I`` with ``re.A`` does not give."""
+    return "|".join("".join(c if c.isascii() else f"[{c}{c.upper()}]" for c in w) for w in sorted(set(words), key=lambda w: (-len(w), w)))
+
+
+_LETTER = "A-Za-z\u00c0-\u024f"
+_DIGIT_WORD = rf"(?:(?:{_any_case(_TIMES)})[ -]+)?(?:{_any_case(_SPELLED)})(?![{_LETTER}])"
+_RUN = re.compile(rf"(?<![{_LETTER}])(?:(?:{_any_case(_PLUS)})[ -]+)?{_DIGIT_WORD}(?:[ ,-]+{_DIGIT_WORD})++", re.I | re.A)
+_WORD = re.compile(rf"[{_LETTER}]+")
+_BRACKETED = re.compile(rf"\x20?[\[({{<]\x20?({_any_case(w for ats, dot in _SIGNS.values() for w in (*ats, dot))})\x20?[\])}}>]\x20?", re.I | re.A)
+
+
+def _host_words(ats: tuple[str, ...], dot: str) -> re.Pattern:
+    """``name at host dot tld``, from the first of several parts only, so that a run of them is read once."""
+    part, dotted = "[A-Za-z0-9_%+-]", rf"\x20{dot}\x20"
+    return re.compile(
+        rf"(?<!{part})(?<!{part}{dotted})((?:{part}++{dotted})*+)[A-Za-z0-9._%+-]++(\x20(?:{_any_case(ats)})\x20)[A-Za-z0-9-]++((?:(?:{dotted}|\.)[A-Za-z0-9-]++)+)",
+        re.I | re.A)
+
+
+_HOST_WORDS = {language: _host_words(*signs) for language, signs in _SIGNS.items()}
+_DOT_WORDS = {language: re.compile(rf"\x20{dot}\x20", re.I | re.A) for language, (_, dot) in _SIGNS.items()}
+_DOTS = {dot for _, dot in _SIGNS.values()}
+_SIGN_WORDS = _DOTS.union(*(ats for ats, _ in _SIGNS.values()))
 
 
 class Mapped:
@@ -128,25 +162,48 @@ def _glyph_edits(text: str) -> list[tuple[int, int, str]]:
 
 def _sign_edits(text: str) -> list[tuple[int, int, str]]:
     low = text.lower()
-    edits = []
-    if "dot" in low or "at" in low:
-        edits = [(*m.span(), "@" if m[1].lower() == "at" else ".") for m in _BRACKETED.finditer(text)]
-    if " dot " in low:
-        taken = {p for a, b, _ in edits for p in range(a, b)}
-        more = []
-        for m in _HOST_WORDS.finditer(text):
-            before, after = ([(m.start(g) + d.start(), m.start(g) + d.end(), ".") for d in _DOT_WORD.finditer(m[g])] for g in (1, 3))
-            if after:
-                more += [*before, (*m.span(2), "@"), *after]
-        more += [(*m.span(), ".") for m in _DOT_WORD.finditer(text)] if edits else []
-        edits += [e for e in dict.fromkeys(more) if not taken.intersection(range(e[0], e[1]))]
+    edits, languages = [], set()
+    if any(word in low for word in _SIGN_WORDS):
+        for m in _BRACKETED.finditer(text):
+            word = m[1].lower()
+            edits.append((*m.span(), "." if word in _DOTS else "@"))
+            languages |= {language for language, (ats, dot) in _SIGNS.items() if word in ats or word == dot}
+    taken = {p for a, b, _ in edits for p in range(a, b)}
+    more = []
+    for language, (ats, dot) in _SIGNS.items():
+        if f" {dot} " not in low:
+            continue
+        dots = _DOT_WORDS[language]
+        if any(f" {at} " in low for at in ats):
+            for m in _HOST_WORDS[language].finditer(text):
+                before, after = ([(m.start(g) + d.start(), m.start(g) + d.end(), ".") for d in dots.finditer(m[g])] for g in (1, 3))
+                if after:
+                    more += [*before, (*m.span(2), "@"), *after]
+        if language in languages:
+            more += [(*m.span(), ".") for m in dots.finditer(text)]
+    for start, end, sign in dict.fromkeys(more):
+        if taken.isdisjoint(range(start, end)):
+            edits.append((start, end, sign))
+            taken.update(range(start, end))
     return sorted(edits)
 
 
+def _digits_of(run: str) -> str:
+    """Digits of a run of words, after a plus sign if it has one."""
+    out, times = "", 1
+    for word in _WORD.findall(run):
+        word = word.lower()
+        if word in _TIMES:
+            times = _TIMES[word]
+        else:
+            out, times = out + _SPELLED.get(word, "+") * times, 1
+    return out
+
+
 def _digit_edits(text: str) -> list[tuple[int, int, str]]:
     edits = []
     for m in _RUN.finditer(text):
-        digits = "".join(_SPELLED.get(w.lower(), "+") for w in _SPELLED_WORD.findall(m[0]))
+        digits = _digits_of(m[0])
         # Nobody spells so many digits but for a number to call.
         edits.append((*m.span(), f"+{digits}" if digits[0] != "+" and 10 <= len(digits) <= 15 else digits))
     return edits

@@ -143,6 +143,37 @@ def test_whole_disguised_address(text):
     assert base == [] and [(k, text[a:b]) for k, a, b in spans] == [("email", text)]
 
 
+@pytest.mark.parametrize("text, kind, found", [
+    ("Mail an max punkt muster at beispiel punkt de heute", "email", "max punkt muster at beispiel punkt de"),
+    ("Mail an max ÄT beispiel PUNKT de heute", "email", "max ÄT beispiel PUNKT de"),
+    ("ruf null eins sieben neun fünf FÜNF zwo drei vier acht sechs an", "phone", "null eins sieben neun fünf FÜNF zwo drei vier acht sechs"),
+    ("écrire à jean point dupont arobase exemple point fr merci", "email", "jean point dupont arobase exemple point fr"),
+    ("tel plus trois trois, six un deux trois quatre cinq six sept fin", "phone", "plus trois trois, six un deux trois quatre cinq six sept"),
+    ("correo juan arroba ejemplo punto com punto mx gracias", "email", "juan arroba ejemplo punto com punto mx"),
+    ("llame al más tres cuatro seis cero cero uno dos tres cuatro cinco seis ya", "phone", "más tres cuatro seis cero cero uno dos tres cuatro cinco seis"),
+    ("scrivi a luca chiocciola esempio punto it oggi", "email", "luca chiocciola esempio punto it"),
+    ("para ana [arroba] exemplo ponto pt hoje", "email", "ana [arroba] exemplo ponto pt"),
+    ("call oh two oh double seven four triple six one two now", "phone", "oh two oh double seven four triple six one two"),
+    ("max [at] beispiel punkt de", "email", "max [at] beispiel punkt de"),
+])
+def test_disguises_in_other_languages(text, kind, found):
+    base, spans = D.find(text)
+    assert not base and [(k, text[a:b]) for k, a, b in spans] == [(kind, found)]
+
+
+@pytest.mark.parametrize("text", [
+    "look at the point where they meet", "mail me [at] work point being made", "un deux trois", "der punkt at dem ort", "due tre punti di vista",
+    "arroba y punto", "double one", "one two sevenths", "uno dos tres cuatro cinco seis siete ocho nueve"])
+def test_clean_words_of_other_languages(text):
+    assert D.find(text) == ([], [])
+
+
+def test_digit_words_are_one_digit_in_all_languages():
+    for words in D._SPELLED_BY_LANGUAGE.values():
+        assert [D._digits_of(same.split("|")[0]) for same in words.split()] == list("0123456789")
+    assert D._digits_of("plus double three triple one oh") == "+331110"
+
+
 def test_long_runs_of_parts_take_linear_time():
     began = time.process_time()
     assert D.find("%a dot " * 40_000) == ([], [])
