@@ -1,7 +1,8 @@
 """Benchmark decontamination by question templates, in DataFrame operations only.
 
 ``template`` turns a text into lower-case words in which names, numbers and units are typed placeholders, so that a question
-asked with other names and values has the same template. Windows of ``WINDOW`` template words of all documents are hash-joined
+asked with other names and values has the same template. Every capitalised word counts as a name, also at the start of a text or
+sentence. Windows of ``WINDOW`` template words of all documents are hash-joined
 with those of the benchmark items; a window with fewer than ``LITERAL`` words that are no placeholders does not count. Matches
 of one document and item at one distance (document place minus item place) are one candidate. It needs ``MIN_WORDS`` words in
 matching windows, or half the windows of a shorter item.
@@ -34,8 +35,9 @@ LINE = 3
 BROADCAST_BYTES = 64 << 20
 #: Placeholders: characters for private use, which no text needs.
 NAME, NUMBER, UNIT = "\ue001", "\ue002", "\ue003"
-#: A capitalised word, or several, within a sentence. A word after a full stop is none.
-NAMES = "([a-z,;] )([A-Z][a-z]+(?: [A-Z][a-z]+)*)"
+#: A capitalised word, or several, wherever it stands. The first word of a sentence is one as well: whether it is a name can't be told,
+#: and the comparison of slots holds it to one value throughout.
+NAMES = "(^|[ \\n\\r\\t(\"])([A-Z][a-z]+(?: [A-Z][a-z]+)*)"
 NUMBERS = "([0-9]+(?:[.,][0-9]+)*)"
 UNIT_WORDS = (
     "km", "cm", "mm", "m", "kg", "mg", "g", "ml", "l", "ms", "s", "min", "h", "seconds", "second", "minutes", "minute", "hours", "hour",

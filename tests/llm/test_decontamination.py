@@ -152,6 +152,39 @@ def test_empty_tables(spark, nothing, documents):
     assert T.find_leaks(spark, documents, items.where("1 = 0")).count() == 0
 
 
+QUESTIONS = [
+    (1, "Janet has 9 apples. Mary has 4 more. How many apples are there in total?"),
+    (2, "\"Peter Pan\" drives 20 km to Paris. Then Wendy drives 30 km more to Rome. Who drives further on the way to the sea?"),
+    (4, "Ann drives 20 km to Paris. Wendy drives 30 km to Rome. Who drives further?"),
+    (3, "The cat sat quietly on the mat. The dog slept all day long under the table"),
+]
+ASKED = [
+    (1, "Susan has 3 apples. Peter has 5 more. How many apples are there in total?"),
+    (2, "\nSusan has 3 apples. Susan has 5 more. How many apples are there in total?"),
+    (3, "zz (Ann Lee) drives 7 km to Oslo. Later Bob drives 8 km more to Bonn. Who drives further on the way to the sea?"),
+    (8, "Zoe drives 7 km to Oslo. Bob drives 8 km to Bonn. Who drives further?"), (9, "zz ann drives 20 KM to paris. wendy drives 30 km to rome. who drives further? zz"),
+    (4, "A cat sat quietly on the mat. My dog slept all day long under the table"),
+    (5, "The cat sat quietly on the mat. A dog slept all day long under the table"),
+    (6, "Susan buys 3 pears. Peter sells 5 cups. How few things remain with anyone now?"),
+    (7, "SUSAN HAS 3 APPLES. PETER HAS 5 MORE."),
+]
+
+
+def test_names_at_the_start_of_sentences(spark):
+    docs, items = spark.createDataFrame(ASKED, "doc_id long, text string"), spark.createDataFrame(QUESTIONS, "item_id long, text string")
+    got = sorted(map(tuple, T.find_leaks(spark, docs, items).collect()), key=str)
+    assert got == leaks_by_hand(ASKED, QUESTIONS)
+    kinds = {(d, i): k for d, i, _, k in got}
+    assert kinds[1, 1] == kinds[3, 2] == "reparameterised" and not {6, 7} & {d for d, _ in kinds}
+    assert (8, 4) not in kinds and kinds[9, 4] == "exact"  # too few literal words for a template
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.execute("create table benchmark (item_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", ASKED)
+    con.executemany("insert into benchmark values (?, ?)", QUESTIONS)
+    assert sorted(con.execute(ORACLES["op5_template_decontamination"]).fetchall(), key=str) == got
+
+
 DENSE = [
     (1, "What is 12 * 7 + 3 - 5?"), (2, ITEMS[7][1]), (3, "Add 4 to it"), (4, "Then Ann and Bob and 3 km or 4 kg"), (5, "In the shop Tom Baker buys 5 apples and 3 pears"),
     (6, None), (7, ""), (8, " ".join(f"word{i}" for i in range(30))),
