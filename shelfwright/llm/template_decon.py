@@ -61,22 +61,32 @@ def template(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(_with_slots(text)[2]), BREAKS), "")
 
 
-def _windows(words: DataFrame, keys: list[str], size: int) -> DataFrame:
-    """``keys, place, window``: hash of each ``size`` words in order."""
-    hashed = words.select(*keys, F.transform("words", lambda w: F.xxhash64(w)).alias("h")).where(F.size("h") >= size)
-    runs = F.transform(F.sequence(F.lit(1), F.size("h") - size + 1), lambda i: F.xxhash64(F.slice("h", i, size)))
-    return hashed.select(*keys, F.posexplode(runs).alias("place", "window"))
+def _joined(left: Column, right: Column, apart: int) -> Column:
+    """At each place the hash of ``left`` there and ``right`` ``apart`` places on."""
+    later = F.slice(right, apart + 1, F.greatest(F.size(right) - apart, F.lit(0)))
+    return F.zip_with(left, later, lambda a, b: F.xxhash64(a, b))
 
 
-def _all_windows(words: DataFrame, keys: list[str], sizes: list[int]) -> DataFrame:
-    """``keys, size, place, window`` for all sizes in one scan: words are hashed once."""
-    hashed = words.select(*keys, F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+def _windows(words: DataFrame, keys: list[str], sizes: list[int]) -> DataFrame:
+    """``keys, size, place, window``: hash of each run of words of all ``sizes``, in one scan.
+
+    Words are hashed once; runs of two, four and eight are pairs of shorter ones, so a text takes time in proportion to its words.
+    """
+    frame = words.select(*keys, F.transform("words", lambda w: F.xxhash64(w)).alias("run1"))
+    steps = [1 << k for k in range(max(sizes).bit_length())]
+    for step in steps[1:]:
+        half = F.col(f"run{step // 2}")
+        frame = frame.select("*", _joined(half, half, step // 2).alias(f"run{step}"))
 
     def runs(size: int) -> Column:
-        at = F.when(F.size("h") >= size, F.sequence(F.lit(1), F.size("h") - size + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(at, lambda i: F.struct(F.lit(size).alias("size"), (i - 1).alias("place"), F.xxhash64(F.slice("h", i, size)).alias("window")))
+        parts = [step for step in reversed(steps) if size & step]
+        out, at = F.col(f"run{parts[0]}"), parts[0]
+        for step in parts[1:]:
+            out, at = _joined(out, F.col(f"run{step}"), at), at + step
+        return F.slice(out, 1, F.greatest(F.size("run1") - size + 1, F.lit(0)))
 
-    return hashed.select(*keys, F.explode(F.flatten(F.array(*map(runs, sizes)))).alias("w")).select(*keys, "w.size", "w.place", "w.window")
+    cut = frame.select(*keys, F.explode(F.array(*[F.struct(F.lit(n).alias("size"), runs(n).alias("runs")) for n in sizes])).alias("cut"))
+    return cut.select(*keys, "cut.size", F.posexplode("cut.runs").alias("place", "window"))
 
 
 def _slots(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -99,8 +109,8 @@ def benchmark_windows(spark: SparkSession, benchmark: DataFrame) -> DataFrame:
     for size in range(SHORT, WINDOW + 1):
         own = words.where(F.size("words") >= size if size == WINDOW else F.size("words") == size)
         slots = F.size(F.filter(F.slice("words", F.col("place") + 1, size), lambda w: w.isin(NAME, NUMBER, UNIT)))
-        parts.append(_windows(own, ["item_id"], size).join(own, "item_id").select(
-            "item_id", "place", "window", F.lit(size).alias("size"), (F.size("words") - size + 1).alias("windows"), slots.alias("slots")))
+        parts.append(_windows(own, ["item_id"], [size]).join(own, "item_id").select(
+            "item_id", "place", "window", "size", (F.size("words") - size + 1).alias("windows"), slots.alias("slots")))
     table = parts[0]
     for part in parts[1:]:
         table = table.union(part)
@@ -126,7 +136,7 @@ def find_templates(spark: SparkSession, documents: DataFrame, benchmark: DataFra
     if not sizes:
         return spark.createDataFrame([], "doc_id long, item_id long, n_windows long, kind string")
     own = of_items.select("item_id", F.col("place").alias("at"), "window", "size", "windows", "plain")
-    hits = _all_windows(words, ["doc_id"], sorted(sizes)).join(checked_broadcast(own, 64 * sum(sizes.values()), BROADCAST_BYTES), ["size", "window"])
+    hits = _windows(words, ["doc_id"], sorted(sizes)).join(checked_broadcast(own, 64 * sum(sizes.values()), BROADCAST_BYTES), ["size", "window"])
     apart = F.col("place") - F.col("at")
     needed = F.least(F.greatest(MIN_WORDS - F.col("size") + 1, F.lit(1)), F.expr("cast(ceil(windows / 2) as int)"))
     candidates = written(spark, hits.groupBy("doc_id", "item_id", apart.alias("apart"), "size", needed.alias("needed")).agg(
@@ -165,7 +175,7 @@ def find_copies(spark: SparkSession, documents: DataFrame, benchmark: DataFrame)
     docs = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     length = F.size("words")
     long, short = items.where(length >= LINE), items.where((length > 0) & (length < LINE))
-    cut = _all_windows(long, ["item_id"], list(range(LINE, WINDOW + 1))).join(long.select("item_id", length.alias("n")), "item_id")
+    cut = _windows(long, ["item_id"], list(range(LINE, WINDOW + 1))).join(long.select("item_id", length.alias("n")), "item_id")
     cut = cut.where(F.col("size") == F.least("n", F.lit(WINDOW))).select(
         "item_id", F.col("place").alias("at"), "size", "window", (F.col("n") - F.col("size") + 1).alias("windows"))
     lines = short.select("item_id", F.lit(0).alias("at"), F.lit(0).alias("size"), _whole("words").alias("window"), F.lit(1).alias("windows"))
@@ -175,7 +185,7 @@ def find_copies(spark: SparkSession, documents: DataFrame, benchmark: DataFrame)
         return spark.createDataFrame([], "doc_id long, item_id long, n_windows long")
     places = None
     if max(sizes):
-        places = _all_windows(docs.select("doc_id", words_of(F.col("text")).alias("words")), ["doc_id"], sorted(n for n in sizes if n))
+        places = _windows(docs.select("doc_id", words_of(F.col("text")).alias("words")), ["doc_id"], sorted(n for n in sizes if n))
     if 0 in sizes:
         line = docs.select("doc_id", F.posexplode(F.split("text", "[\\n\\r]+")).alias("place", "line")).select(
             "doc_id", F.lit(0).alias("size"), "place", words_of(F.col("line")).alias("words")).where((length > 0) & (length < LINE))
