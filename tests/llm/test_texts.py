@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -39,6 +40,46 @@ def test_language_of_held_out_documents(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def plain_grams(text):
+    """N-grams of a text as strings, with the same rules."""
+    line = "".join(c if c.isalpha() else " " for c in f" {text.lower()} ")
+    for order in L.ORDERS:
+        for i in range(len(line) - order + 1):
+            gram = line[i:i + order]
+            if " " not in gram[1:-1] and not (gram[0] == gram[-1] == " "):
+                yield gram
+
+
+def test_predictions_equal_plain_sets(spark):
+    """Sets of the most frequent n-grams in plain Python, without filter or hash, give the same languages and shares."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.select("doc_id", "text", "lang").collect()]
+    counts = defaultdict(Counter)
+    for doc_id, text, lang in rows:
+        if text is not None and lang is not None and zlib.crc32(str(doc_id).encode()) % 4 != 2:
+            for gram in plain_grams(text):
+                counts[lang, len(gram)][gram] += 1
+
+    def signed(gram):
+        return int(L.grams(np.array([ord(c) for c in gram], np.uint32), len(gram))[0].view(np.int64)[0])
+
+    sets = defaultdict(set)
+    for (lang, _), of in counts.items():
+        sets[lang] |= {g for g, _ in sorted(of.items(), key=lambda x: (-x[1], signed(x[0])))[:L.TOP]}
+    got = {r.doc_id: r for r in L.predict(spark, docs, L.learn(docs.where(~L.held_out(F.col("doc_id"))))).collect()}
+    assert len(got) == len(rows) and len(sets) > 2
+    for doc_id, text, _ in rows:
+        grams = list(plain_grams(text or ""))
+        shares = {lang: sum(g in of for g in grams) / max(1, len(grams)) for lang, of in sets.items()}
+        if not any(c.isalpha() for c in text or ""):
+            assert (got[doc_id].lang_pred, got[doc_id].score) == (L.UNKNOWN, 0)
+            continue
+        # A filter answers too often by chance, for one n-gram in thousands.
+        slack = 0.01 + 1 / max(1, len(grams))
+        assert abs(got[doc_id].score - shares[got[doc_id].lang_pred]) <= slack
+        assert shares[got[doc_id].lang_pred] >= max(shares.values()) - slack
+
+
 def test_fold(spark):
     ids = spark.createDataFrame([(i,) for i in range(200)] + [(None,)], "doc_id long")
     got = {r[0]: r[1] for r in ids.select("doc_id", L.held_out(F.col("doc_id"))).collect()}
