@@ -36,9 +36,10 @@ BROADCAST_BYTES = 64 << 20
 #: Placeholders: characters for private use, which no text needs.
 NAME, NUMBER, UNIT = "\ue001", "\ue002", "\ue003"
 #: A capitalised word, or several, wherever it stands. The first word of a sentence is one as well: whether it is a name can't be told,
-#: and the comparison of slots holds it to one value throughout.
-NAMES = "(^|[ \\n\\r\\t(\"])([A-Z][a-z]+(?: [A-Z][a-z]+)*)"
-NUMBERS = "([0-9]+(?:[.,][0-9]+)*)"
+#: and the comparison of slots holds it to one value throughout. The repeated groups are possessive: nothing follows that could ask them to
+#: give back, and the others take a level of the stack for each word or digit group, which a long run of them exhausts.
+NAMES = "(^|[ \\n\\r\\t(\"])([A-Z][a-z]+(?: [A-Z][a-z]+)*+)"
+NUMBERS = "([0-9]+(?:[.,][0-9]+)*+)"
 UNIT_WORDS = (
     "km", "cm", "mm", "m", "kg", "mg", "g", "ml", "l", "ms", "s", "min", "h", "seconds", "second", "minutes", "minute", "hours", "hour",
     "days", "day", "weeks", "week", "months", "month", "years", "year", "miles", "mile", "meters", "meter", "feet", "inches",

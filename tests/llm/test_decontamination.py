@@ -219,3 +219,11 @@ def test_short_items_are_whole_lines(spark):
     frame = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as size", "2 as place", "3 as window", "4 as words", "5 as line")
     got = {(r.doc_id, r.item_id, r.n_windows) for r in T.find_copies(spark, frame, items).collect()}
     assert got == {(2, 1, 1), (4, 2, 1), (5, 3, 1), (None, 1, 1)}
+
+
+def test_long_runs_of_names_and_numbers_do_not_exhaust_the_stack(spark):
+    """A level of the stack for each word of a run ended the executor."""
+    texts = [(1, "Alpha " * 20000 + SAME), (2, "1,2." * 20000 + " " + SAME)]
+    items = spark.createDataFrame([(1, SAME)], "item_id long, text string")
+    found = T.find_leaks(spark, spark.createDataFrame(texts, "doc_id long, text string"), items)
+    assert sorted(r.doc_id for r in found.collect()) == [1, 2]
