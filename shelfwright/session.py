@@ -52,6 +52,11 @@ def workspace(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt evenly to as many partitions as a shuffle has: a small file can hold very many rows, and one task would work on all."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder, read back: computed once, and its lineage ends there.
 

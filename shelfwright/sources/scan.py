@@ -16,7 +16,7 @@ from shelfwright.operators.latest import first_rows
 from shelfwright.operators.matching import resolve_reference
 from shelfwright.operators.merge import RejectedLoad
 from shelfwright.operators.quality import conflicting, missing_fields
-from shelfwright.session import written
+from shelfwright.session import spread, written
 
 LISTING_GLOB = "page_pg=*.products.json"
 #: Files that a limited scan counts first.
@@ -233,15 +233,20 @@ def explode_index(df: DataFrame, refs_col: str) -> DataFrame:
     return df.withColumn("ref", F.explode(refs)).drop(refs_col)
 
 
-def seed_problems(entries: DataFrame) -> DataFrame:
-    """Entries (``file, pos, entry`` with JSON text) that lack a section or field."""
+def _lacking() -> Column:
+    """Sections and fields that ``entry`` lacks."""
     checks = []
     for section, names in schemas.SEED_FIELDS.items():
         body = F.get_json_object("entry", f"$.{section}")
         checks.append(F.coalesce(
             missing_fields(body, names), F.array(F.lit(f"section {section}"))
         ))
-    return entries.withColumn("problems", F.concat(*checks)).where(F.size("problems") > 0)
+    return F.concat(*checks)
+
+
+def seed_problems(entries: DataFrame) -> DataFrame:
+    """Entries (``file, pos, entry`` with JSON text) that lack a section or field."""
+    return entries.withColumn("problems", _lacking()).where(F.size("problems") > 0)
 
 
 def read_seed(spark: SparkSession, path: str) -> DataFrame:
@@ -276,7 +281,7 @@ def seed_relations(
     and memory fields, so identical entries fall together and an id with two
     feature sets is a problem; so is a value that does not fit its column's type.
     """
-    parsed = entries.withColumn("_v", F.parse_json("entry"))
+    parsed = spread(entries).withColumn("_v", F.parse_json("entry"))
     field = lambda section, name, kind="variant": F.try_variant_get("_v", f"$.{section}.{name}", kind)
     parts = [
         to_str(field(section, name))
@@ -302,9 +307,9 @@ def seed_relations(
                & typed(section, name).isNull(), F.lit(f"{section}.{name}"))
         for section, names in schemas.SEED_FIELDS.items() for name in names]))
     ids = ["chip_id", "vendor_id", "architecture_id", "memory_type_id"]
-    # Parsed and resolved once: four frames read it.
+    # Parsed, checked and resolved once: all frames read it.
     df = written(entries.sparkSession, df.select(
-        "file", "pos", "entry", *ids, odd.alias("odd"),
+        "file", "pos", "entry", *ids, odd.alias("odd"), _lacking().alias("lacking"),
         F.coalesce("vendor_id_error", "architecture_id_error", "memory_type_id_error").isNotNull().alias("unknown"),
         *[F.struct(*[typed(s, n).alias(n) for n in names if n not in references]).alias(s) for s, names in schemas.SEED_FIELDS.items()]), "seed")
     section = lambda name: [F.col(f"{name}.{n}") for n in schemas.SEED_FIELDS[name] if n not in references]
@@ -312,7 +317,7 @@ def seed_relations(
     memory = df.select("chip_id", "memory.vram_gb", "memory_type_id", *section("memory")[1:])
     features = df.select("chip_id", *section("features"))
     problems = (
-        seed_problems(entries).select("file", "pos", F.array_join("problems", ", ").alias("problem"))
+        df.where(F.size("lacking") > 0).select("file", "pos", F.array_join("lacking", ", ").alias("problem"))
         .unionByName(df.where("unknown").select("file", "pos", F.lit("unknown reference").alias("problem")))
         .unionByName(df.where(F.size("odd") > 0).select("file", "pos", F.concat(F.lit("wrong type: "), F.array_join("odd", ", ")).alias("problem")))
         .unionByName(

@@ -186,3 +186,16 @@ def test_two_loads_at_once(spark, tmp_path, monkeypatch):
         with pytest.raises(merge.RejectedLoad, match="again"):
             merge.load_all(spark, base, {"t": spark.range(9)}, {})
     assert merge.current_version(spark, base) == first and merge.read_current(spark, base, "t").count() == 3
+
+
+def test_seed_in_one_partition_is_parsed_by_many_tasks_and_once(spark):
+    from shelfwright.schemas import SEED_FIELDS, architectures, memory_types, vendors
+
+    whole = {s: {n: None for n in names} for s, names in SEED_FIELDS.items()}
+    rows = [("f", i, json.dumps(whole | {"chip": whole["chip"] | {"model_name": f"m{i}"}} if i else {"chip": {}})) for i in range(40)]
+    entries = spark.createDataFrame(rows, "file string, pos int, entry string").coalesce(1)
+    parts = scan.seed_relations(entries, vendors(spark), architectures(spark), memory_types(spark))
+    assert len(parts["chip"].inputFiles()) > 1
+    assert "get_json_object" not in parts["problems"]._jdf.queryExecution().toString()
+    lacking = [r.problem for r in parts["problems"].where("pos = 0").collect() if "section" in r.problem]
+    assert len(lacking) == 1 and "section memory" in lacking[0] and "section features" in lacking[0]
