@@ -26,7 +26,7 @@ from shelfwright.operators.merge import append_new, conform_to_target
 from shelfwright.operators.normalize import normalize_listings
 from shelfwright.operators.quality import reject_cascade
 from shelfwright.schemas import COOLING_TYPES, EVIDENCE_TYPE, STOCK_STATUS
-from shelfwright.session import written
+from shelfwright.session import spread, written
 
 _ORDER = ("ref", "file", "pos")
 ERRORS = ("unreadable", "unknown_variant")
@@ -78,9 +78,10 @@ def match_evidence(evidence: DataFrame, dim: DataFrame) -> DataFrame:
     """Add both match attempts, the winner's columns and ``variant_id``.
 
     Attempt one uses hints parsed from ``name``, attempt two the extracted
-    fields. ``dim`` has ``chip_id, vendor_id, model_name, vram_gb``.
+    fields. ``dim`` has ``chip_id, vendor_id, model_name, vram_gb``. A match costs far more than reading
+    a row, so the rows are dealt to many tasks first.
     """
-    hinted = normalize_listings(evidence, "name")
+    hinted = normalize_listings(spread(evidence), "name")
     c = F.col
     matched = match_two_attempts(
         # The winner's capacity is called vram_gb, so the extracted one moves aside.
@@ -310,6 +311,13 @@ def load_observations(
     return conform_to_target(rows, schema) if schema else rows.drop(*_ORDER)
 
 
+#: Columns of the reject table, besides the reference and the number of copies.
+REJECT_COLUMNS = (
+    "product_url", "outcome", "path", "first_attempt", "second_attempt", "vendor_id",
+    "model_key", "vram_gb", "brand", "aib_model_suffix", "part_number", "variant_id", "variant_known",
+)
+
+
 def reject_table(
     classified: DataFrame, target: DataFrame | None = None, ref: str = "ref",
     order: Sequence[str] | None = None, duplicates: bool = True,
@@ -320,16 +328,24 @@ def reject_table(
     acceptable listings the first reference of a new id is inserted; what
     remains of it and all other references are duplicates. The work per hot id
     is a count and a minimum, both combined inside each task, and one join on
-    the reference. Write ``classified`` to a table first when it is costly: it
-    is read twice.
+    the reference. Only short hashes of all rows are exchanged first: a rejected
+    listing whose hash occurs once is its own row, an acceptable one whose id's
+    hash occurs once is inserted, and only the others are counted, as whole rows.
+    Write ``classified`` to a table first when it is costly: it is read three times.
     """
-    columns = [
-        "product_url", "outcome", "path", "first_attempt", "second_attempt", "vendor_id",
-        "model_key", "vram_gb", "brand", "aib_model_suffix", "part_number", "variant_id", "variant_known",
-    ]
+    columns = list(REJECT_COLUMNS)
     if not duplicates:
         failed = classified.where("outcome is not null")
         return failed.groupBy(ref, *columns).agg(F.count("*").alias("n_copies"))
+    spark = classified.sparkSession
+    key = F.when(F.col("outcome").isNull(), F.xxhash64("observation_id")).otherwise(F.xxhash64(ref, *columns))
+    keyed = classified.withColumn("_key", key)
+    keys = keyed.select("_key")
+    if target is not None:
+        keys = keys.union(target.select(F.xxhash64("observation_id")))
+    again = written(spark, keys.groupBy("_key").agg(F.count("*").alias("n")).where("n > 1").select("_key"), "again")
+    lone = keyed.where("outcome is not null").join(again, "_key", "left_anti").select(ref, *columns, F.lit(1).cast("bigint").alias("n_copies"))
+    classified = written(spark, keyed.join(again, "_key", "left_semi").drop("_key"), "repeats")
     ok = classified.where("outcome is null")
     winners = ok.groupBy("observation_id").agg(F.min_by(ref, F.struct(*(order or scan_order(ok)))).alias(ref))
     if target is not None:
@@ -339,7 +355,5 @@ def reject_table(
     # Copies of one listing collapse inside each task; only then rows are exchanged.
     distinct = rows.groupBy(ref, *columns).agg(F.count("*").alias("_rows"))
     left = F.col("_rows") - F.coalesce("_first", F.lit(0))
-    return (
-        distinct.join(inserted, [ref, "outcome"], "left")
-        .select(ref, *columns, left.alias("n_copies")).where("n_copies > 0")
-    )
+    counted = distinct.join(inserted, [ref, "outcome"], "left").select(ref, *columns, left.alias("n_copies")).where("n_copies > 0")
+    return lone.union(counted)
