@@ -15,31 +15,7 @@ from shelfwright.streaming.jobs import dedup_within
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_STATE, _SEEN, _NEVER = "newest", "seen", -(1 << 63)
-
-
-class _Newest(StatefulProcessor):
-    """Per key the newest row: its time, its ties and the row as text."""
-
-    def __init__(self, schema: str):
-        self.schema = schema
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.newest = handle.getValueState(_STATE, self.schema)
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
-        before = tuple(self.newest.get()) if self.newest.exists() else None
-        best = before
-        for frame in rows:
-            for row in frame[["moment", "tie_key", "packed"]].itertuples(index=False, name=None):
-                if best is None or row[0] > best[0] or (row[0] == best[0] and row[1] < best[1]):
-                    best = (int(row[0]), row[1], row[2])
-        if best != before:
-            self.newest.update(best)
-            yield pd.DataFrame({"packed": [best[2]]})
-
-    def close(self) -> None:
-        pass
+_SEEN, _NEVER = "seen", -(1 << 63)
 
 
 class _First(StatefulProcessor):
@@ -98,23 +74,24 @@ def latest(
 ) -> StreamingQuery:
     """Keep the newest row per key in the state store; rows that arrive late lose by their time, rows without a time to all others.
 
-    ``tie`` is a whole-number or text column without NULLs; the smallest wins among equal times. Emits changed rows in update mode (here to
-    nowhere; ``current`` reads the state).
+    ``tie`` is a whole-number or text column without NULLs; the smallest wins among equal times. The state is a native minimum, which combines
+    inside each task before the exchange. Emits the rows of a batch's keys in update mode (here to nowhere; ``current`` reads the state).
     """
     schema = stream.schema
     kind = "string" if isinstance(schema[tie].dataType, T.StringType) else "long"
-    packed = stream.select(*keys, _micros(F.col(time), schema[time].dataType).alias("moment"), F.col(tie).cast(kind).alias("tie_key"), _packed(schema).alias("packed"))
+    # All bits of the time are turned over, so the newest is the smallest, as the tie is.
+    age = F.bitwise_not(_micros(F.col(time), schema[time].dataType)).alias("age")
+    packed = stream.select(*keys, F.struct(age, F.col(tie).cast(kind).alias("tie"), _packed(schema).alias("row")).alias("packed"))
     with _state_store(stream.sparkSession):
-        changed = packed.groupBy(*keys).transformWithStateInPandas(
-            _Newest(f"time long, tie {kind}, row string"), "packed string", "Update", "None")
-        return (changed.select(*_unpacked(F.col("packed"), schema)).writeStream.format("noop").outputMode("update")
+        changed = packed.groupBy(*keys).agg(F.min("packed").alias("newest"))
+        return (changed.select(*_unpacked(F.col("newest.row"), schema)).writeStream.format("noop").outputMode("update")
                 .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
 
 
 def current(spark: SparkSession, checkpoint: str, schema: T.StructType) -> DataFrame:
     """Newest row per key, from the state store: as many rows as there are keys."""
-    state = spark.read.format("statestore").option("stateVarName", _STATE).load(checkpoint)
-    return state.select(*_unpacked(F.col("value.row"), schema))
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(*_unpacked(F.col("value.min.row"), schema))
 
 
 def _least(keys: Sequence[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:

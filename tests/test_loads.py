@@ -199,3 +199,34 @@ def test_seed_in_one_partition_is_parsed_by_many_tasks_and_once(spark):
     assert "get_json_object" not in parts["problems"]._jdf.queryExecution().toString()
     lacking = [r.problem for r in parts["problems"].where("pos = 0").collect() if "section" in r.problem]
     assert len(lacking) == 1 and "section memory" in lacking[0] and "section features" in lacking[0]
+
+
+def test_only_repeats_are_counted_as_whole_rows(spark):
+    """Lone rejected rows are joined with the short hashes of repeated ones; copies, repeated and known ids count as before."""
+    rows = [("r1", "no_index_entry", None), ("r2", "no_index_entry", None), ("r2", "no_index_entry", None),
+            ("r3", None, "a"), ("r4", None, "b"), ("r5", None, "b"), ("r6", None, "c"), ("r6", None, "c"), ("r7", None, "known")]
+    others = [F.lit(None).cast("string").alias(n) for n in silver.REJECT_COLUMNS if n != "outcome"]
+    judged = spark.createDataFrame(rows, "ref string, outcome string, observation_id string").select("*", *others)
+    found = silver.reject_table(judged, target=spark.createDataFrame([("known",)], "observation_id string"))
+    assert "LeftAnti" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.ref, r.outcome, r.n_copies) for r in found.collect()) == [
+        ("r1", "no_index_entry", 1), ("r2", "no_index_entry", 2), ("r5", "duplicate", 1), ("r6", "duplicate", 1), ("r7", "duplicate", 1)]
+
+
+def test_evidence_of_one_partition_is_matched_by_many_tasks(spark):
+    names = ("path", "name", *silver._EVIDENCE_TEXT)
+    evidence = spark.createDataFrame([(f"e{i}",) for i in range(40)], "path string").coalesce(1).select(
+        "path", *[F.lit(None).cast("string").alias(n) for n in names if n != "path"], *[F.lit(None).cast("int").alias(n) for n in silver._EVIDENCE_INT])
+    assert silver.match_evidence(evidence, L.chip_dim(spark)).select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_newest_rows_with_null_keys_are_kept(spark, tmp_path):
+    """The state is native: its plan has no Python, and a null among whole-number keys loses no other key."""
+    ddl, folder, cp = "k bigint, e string, t timestamp, id bigint", str(tmp_path / "in"), str(tmp_path / "cp")
+    rows = [(3, "view", "2024-01-01", 1), (None, "view", "2024-01-02", 2), (3, None, "2024-01-03", 3), (3, "view", "2024-01-04", 4)]
+    spark.createDataFrame(rows, "k bigint, e string, t string, id bigint").selectExpr("k", "e", "timestamp(t) t", "id").coalesce(1).write.parquet(folder)
+    query = state.latest(spark.readStream.schema(ddl).parquet(folder), cp, ["k", "e"], "t", "id")
+    query.awaitTermination()
+    assert "InPandas" not in query._jsq.explainInternal(False)
+    got = {(r.k, r.e): r.id for r in state.current(spark, cp, T.StructType.fromDDL(ddl)).collect()}
+    assert got == {(3, "view"): 4, (None, "view"): 2, (3, None): 3}
