@@ -16,7 +16,7 @@ from shelfwright.bindings.registry import table
 from shelfwright.functions.ids import url_hash
 from shelfwright.functions.times import iso_text
 from shelfwright.schemas import literal_rows
-from shelfwright.session import workspace
+from shelfwright.session import spread, workspace
 
 # Invented chips: chip_no, vendor, series, model, cores, boost, watts, GB, GB/s, tensor cores.
 CHIPS = (
@@ -222,10 +222,13 @@ def write_files(spark: SparkSession, files: DataFrame, base: str) -> None:
     """Each ``path, value`` as a file below ``base``, a folder that all executors share."""
     def put(batches):
         store, folder = fs.FileSystem.from_uri(base)
-        made = 0
+        made, folders = 0, set()
         for batch in batches:
             for path, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                store.create_dir(f"{folder}/{path}".rsplit("/", 1)[0], recursive=True)
+                below = f"{folder}/{path}".rsplit("/", 1)[0]
+                if below not in folders:
+                    store.create_dir(below, recursive=True)
+                    folders.add(below)
                 with store.open_output_stream(f"{folder}/{path}") as out:
                     out.write(value.encode())
                 made += 1
@@ -249,10 +252,11 @@ def bronze_files(spark: SparkSession, sf_dir: str, pages: bool = True) -> str:
     if pages:
         write_files(spark, listing_pages(listings(spark, sf_dir), "runs/r1"), base)
     entry = F.to_json(F.struct("product_url", "normalized_name", F.concat("hypotheses", F.array(F.lit("\t"))).alias("hypotheses")))
-    write_files(spark, index(spark, sf_dir).select(c("index_path").alias("path"), entry.alias("value")), base)
+    # A row is a file, and a small table has few partitions: the files are dealt to many tasks.
+    write_files(spark, spread(index(spark, sf_dir).select(c("index_path").alias("path"), entry.alias("value"))), base)
     inner = [n for n in evidence(spark, sf_dir).columns if n not in ("path", "product_id", "name", "hypothesis_type")]
     document = F.to_json(F.struct("hypothesis_type", F.struct(c("name").alias("model_name")).alias("input"), F.struct(*inner).alias("extraction")))
-    write_files(spark, evidence(spark, sf_dir).select(F.concat("path", F.lit(".json")).alias("path"), document.alias("value")), base)
+    write_files(spark, spread(evidence(spark, sf_dir).select(F.concat("path", F.lit(".json")).alias("path"), document.alias("value"))), base)
     return base
 
 

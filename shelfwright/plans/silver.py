@@ -221,12 +221,13 @@ def silver_pipeline(
     come from these writes. Pages that can't be read are rows with the outcome ``unreadable``.
     """
     new, products = load_products(spark, evidence, dim, variants)
+    index = written(spark, index, "index")
     pages = listings.withColumnRenamed("readable", "page_readable")
     judged, seen = counted(classify_observations(pages, index, products), OUTCOMES)
     classified = written(spark, judged, "classified")
     facts, inserted = tally(load_observations(classified, target=observations, schema=schema))
     facts = written(spark, facts, "facts")
-    missing = [evidence.where("not readable").select(F.lit("evidence").alias("kind"), "path")]
+    missing = [products.where("not readable").select(F.lit("evidence").alias("kind"), "path")]
     if "page_readable" in classified.columns:
         missing.append(classified.where("not page_readable").select(F.lit("listings"), "file"))
     if "readable" in index.columns:

@@ -17,16 +17,17 @@ from shelfwright.operators.matching import resolve_reference
 from shelfwright.operators.merge import RejectedLoad
 from shelfwright.operators.quality import conflicting, missing_fields
 from shelfwright.session import spread, written
+from shelfwright.sources import files as files_
 
 LISTING_GLOB = "page_pg=*.products.json"
 #: Files that a limited scan counts first.
 FIRST_FILES = 64
 
 
-def _relative(root: str | None) -> Column:
+def _relative(root: str | None, full: str = "_metadata.file_path") -> Column:
     """Path below ``root``, or the whole path; a file that is not below it has none."""
     # The reader percent-encodes paths; a plus sign stands for itself.
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    path = F.url_decode(F.replace(F.col(full), F.lit("+"), F.lit("%2B")))
     if root is None:
         return path
     below = f"{root.rstrip('/')}/"
@@ -86,6 +87,7 @@ def read_array_files(
     root: str | None = None,
     limit: int | None = None,
     within: str = "",
+    by_tasks: bool = False,
 ) -> DataFrame:
     """All records of array files below ``path`` with file, position and reference.
 
@@ -93,8 +95,17 @@ def read_array_files(
     and position; files that are unreadable or not below ``root`` come through as rows
     with ``readable`` false, do not count, and end where the last kept record's file
     ends. ``within`` is a part that paths must have. One file is one row: array files
-    are pages of listings, which are small, and must fit a task.
+    are pages of listings, which are small, and must fit a task. With ``by_tasks`` and
+    no limit, tasks list and open the files (``files``), for folders of very many; else
+    the driver lists them.
     """
+    top = files_.folder(spark, path, glob) if by_tasks and limit is None else None
+    if top is not None:
+        names = files_.paths(spark, top, glob).where(F.contains("_path", F.lit(within)))
+        below = _relative(root, "_path")
+        rows = files_.contents(names).select(
+            F.coalesce(below, F.col("_path")).alias("file"), F.when(below.isNotNull(), F.col("value")).alias("value"))
+        return _records(rows, schema)
     files = _array_files(spark.read, path, glob, root, within)
     return _records(files, schema) if limit is None else _first_records(spark, files, _paths(spark, path, glob, root, within), schema, limit)
 
@@ -130,6 +141,16 @@ def _first_records(spark: SparkSession, files: DataFrame, paths: DataFrame, sche
     return rows.where(~F.col("readable") | (F.col("_before") + F.col("pos") < limit)).drop("_before")
 
 
+def _texts(spark: SparkSession, path: str, root: str | None, name: str, limit: int | None = None) -> DataFrame:
+    """Path below ``root`` as column ``name``, and ``value``, of all ``*.json`` files below ``path``, or the first ``limit``: one row each."""
+    top = files_.folder(spark, path, "*.json")
+    if top is not None:
+        names = files_.paths(spark, top, "*.json").withColumn(name, _relative(root, "_path"))
+        return files_.contents(first_rows(names, [name], limit)).select(_relative(root, "_path").alias(name), "value")
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True)
+    return first_rows(files.select(_relative(root).alias(name), "value"), [name], limit)
+
+
 def read_documents(
     spark: SparkSession,
     path: str,
@@ -146,18 +167,16 @@ def read_documents(
     if prefer:
         preferred = f"{path.rstrip('/')}/{prefer}"
         path = preferred if _exists(spark, preferred) else path
-    texts = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-        .text(path, wholetext=True).select(_relative(root).alias("path"), "value")
-    )
     # Cut by path first: only what is kept gets parsed.
-    files = first_rows(texts, ["path"], limit).select("path", "value", parse_strict(F.col("value")).alias("_v"))
+    files = _texts(spark, path, root, "path", limit).select("path", "value", parse_strict(F.col("value")).alias("_v"))
     readable = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
     parsed = files.select("path", F.from_json("value", schema).alias("_doc"), readable.alias("readable"))
     return parsed.select("path", "_doc.*", "readable")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    if files_.folder(spark, path, "*.json") is not None:
+        return True
     try:
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").schema
     except AnalysisException as error:
@@ -174,7 +193,7 @@ def read_listings(
 
     Unreadable pages are rows with ``readable`` false and no other value.
     """
-    return _flat(read_array_files(spark, path, schemas.LISTING, glob, root, limit, within))
+    return _flat(read_array_files(spark, path, schemas.LISTING, glob, root, limit, within, by_tasks=True))
 
 
 def _flat(rows: DataFrame) -> DataFrame:
@@ -197,9 +216,7 @@ def read_index(spark: SparkSession, path: str, root: str | None = None, keep_unr
     ``hypotheses`` and ``observation_refs`` keep the texts that are not blank; a value that is no list is none.
     """
     files = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-        .text(path, wholetext=True)
-        .select(_relative(root).alias("index_path"), parse_strict(F.col("value")).alias("_v"))
+        _texts(spark, path, root, "index_path").select("index_path", parse_strict(F.col("value")).alias("_v"))
         .withColumn("readable", F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)))
     )
 

@@ -184,3 +184,23 @@ def test_page_metadata(spark):
     assert [(m.http_status, m.product_count) for m in meta] == [(200, 3), (0, 0), (503, 0)]
     run = pages.run_metadata(seen, "shop", "gpu", "c").first()
     assert (run.started_at, run.finished_at) == ("t1", "t3")
+
+
+def test_small_files_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """Index, evidence and listings come without a file list in the driver, and as Spark's readers give them: nested, hidden, odd names and bytes."""
+    base = tmp_path / "a b+c%d"
+    for name, value in {"index/é/1 #.json": {"product_url": "u"}, "index/2.json": [1], "index/_no.json": {}, "index/.no/3.json": {}, "index/_x=1/4.json": {},
+                        "index/no.JSON": {}, "index/5.txt": {}, "s/runs/r[1]/page_pg=1.products.json": [{"product_url": "u"}]}.items():
+        write(base / name, value)
+    (base / "index" / "6.json").write_bytes(b'{"product_url": "\xff\xfe"}')
+    root = str(base)
+    frames = lambda: [
+        scan.read_index(spark, f"{root}/index", root, keep_unreadable=True), scan.read_documents(spark, f"{root}/index", root=root).select("path", "readable"),
+        scan.read_documents(spark, f"{root}/index").select("path", "readable"), scan.read_documents(spark, f"file:{root}/index", limit=2).select("path", "readable"),
+        scan.read_listings(spark, root, root), scan.read_listings(spark, root, "/elsewhere")]
+    found = frames()
+    assert all("FileScan text" not in f._jdf.queryExecution().toString() for f in found)
+    rows = [sorted(str(r) for r in f.selectExpr("to_json(struct(*))").collect()) for f in found]
+    monkeypatch.setattr(scan.files_, "folder", lambda *a: None)
+    assert rows == [sorted(str(r) for r in f.selectExpr("to_json(struct(*))").collect()) for f in frames()]
+    assert [len(r) for r in rows] == [4, 4, 4, 2, 1, 1]
