@@ -97,14 +97,17 @@ def key_range(key: str, digits: int = 2) -> Column:
 
 
 def rewrite_parts(
-    spark: SparkSession, path: str, new: DataFrame, part: str, merge: Callable[[DataFrame, DataFrame], DataFrame],
+    spark: SparkSession, path: str, new: DataFrame, part: str, merge: Callable[[DataFrame, DataFrame], DataFrame], staged: bool = True,
 ) -> list:
     """Merge ``new`` into a table partitioned by ``part``, reading and writing only the parts that ``new`` has rows of.
 
     ``merge`` gets the stored rows of those parts and the new rows. The result replaces the parts when the whole job has ended
     (dynamic partition overwrite), so a failed write leaves the table as it was. Returns the parts.
+
+    Without ``staged`` the new rows are not written first but read twice, and the merged rows are written by the tasks that merged
+    them: nothing is exchanged for the write. New rows that have other parts at the second reading end the job.
     """
-    new = written(spark, new, "new-rows")
+    new = written(spark, new, "new-rows") if staged else new
     touched = [r[0] for r in new.select(part).distinct().collect()]  # as many as the table has parts
     schema = T.StructType([*[f for f in new.schema.fields if f.name != part], new.schema[part]])
     try:
@@ -113,8 +116,12 @@ def rewrite_parts(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         old = spark.createDataFrame([], schema)
-    rows = merge(old.where(F.col(part).isin(touched)), new.select(*schema.names))
-    rows.select(*schema.names).repartition(part).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(part).parquet(path)
+    if not staged:
+        changed = F.raise_error(F.lit("the new rows changed while they were merged")).cast("boolean")
+        new = new.where(F.when(F.col(part).isin(touched), F.lit(True)).otherwise(changed))
+    rows = merge(old.where(F.col(part).isin(touched)), new.select(*schema.names)).select(*schema.names)
+    rows = rows.repartition(part) if staged else rows
+    rows.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(part).parquet(path)
     return touched
 
 

@@ -194,44 +194,48 @@ def price_history(
     )
 
 
-def price_partials(
-    observations: DataFrame, keys: Sequence[str] = ("variant_id",), time: str = "observed_at", price: str = "price_eur",
-    tie: Sequence[str] = ("observation_id",), period: str = "month",
+def price_states(
+    observations: DataFrame, time: str = "observed_at", price: str = "price_eur", tie: Sequence[str] = ("observation_id",), period: str = "month",
 ) -> DataFrame:
-    """Partial state of ``price_history`` per key and period: what two slices of rows have merges to what both together have.
+    """State of ``price_history`` of each row alone; ``merge_states`` makes one per key and period of them.
 
-    The sum is exact, so the order of merges does not matter. ``part`` names the period in texts.
+    ``part`` names the period in texts. ``last`` is NULL where it is ``first``: a state of one row holds its offer once.
     """
     df = observations.where(F.col(price).isNotNull() & F.col(time).isNotNull()).withColumn("period", F.date_trunc(period, F.col(time)))
     offer = F.struct(F.col(time).alias("at"), *tie, F.col(price).alias("price"))
-    return df.groupBy(*keys, "period").agg(
-        F.count("*").alias("n"), F.sum(F.col(price).cast("decimal(28,8)")).cast("decimal(38,8)").alias("total"),
-        F.min(price).alias("low"), F.max(price).alias("high"), F.min(offer).alias("first"), F.max(offer).alias("last"),
-    ).withColumn("part", F.date_format("period", "yyyy-MM-dd"))
+    return df.withColumns({
+        "n": F.lit(1).cast("bigint"), "total": F.col(price).cast("decimal(28,8)").cast("decimal(38,8)"), "low": F.col(price), "high": F.col(price),
+        "first": offer, "part": F.date_format("period", "yyyy-MM-dd")}).withColumn("last", F.when(F.lit(False), F.col("first")))
 
 
-def merge_partials(partials: DataFrame, keys: Sequence[str] = ("variant_id",)) -> DataFrame:
-    """One state per key and period from any number of them."""
-    return partials.groupBy(*keys, "period", "part").agg(
-        F.sum("n").alias("n"), F.sum("total").cast("decimal(38,8)").alias("total"),
-        F.min("low").alias("low"), F.max("high").alias("high"), F.min("first").alias("first"), F.max("last").alias("last"))
+def merge_states(states: DataFrame, keys: Sequence[str] = ("variant_id",)) -> DataFrame:
+    """One state per key and period from any number of them: what two slices of rows have merges to what both together have.
+
+    The sum is exact, so the order of merges does not matter. States combine in each task before the exchange.
+    """
+    merged = states.groupBy(*keys, "period", "part").agg(
+        F.sum("n").alias("n"), F.sum("total").cast("decimal(38,8)").alias("total"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.min("first").alias("first"), F.max(F.coalesce("last", "first")).alias("last"))
+    return merged.withColumn("last", F.when(~F.col("last").eqNullSafe(F.col("first")), F.col("last")))
 
 
-def history_of(partials: DataFrame, keys: Sequence[str] = ("variant_id",)) -> DataFrame:
+def history_of(states: DataFrame, keys: Sequence[str] = ("variant_id",)) -> DataFrame:
     """The columns of ``price_history`` from merged states."""
-    return partials.select(
+    return states.select(
         *keys, "period", F.col("n").alias("n_observations"), F.col("low").alias("min_price"),
         (F.col("total").cast("double") / F.col("n")).alias("avg_price"), F.col("high").alias("max_price"),
-        F.col("first.price").alias("first_price"), F.col("last.price").alias("last_price"))
+        F.col("first.price").alias("first_price"), F.coalesce("last", "first")["price"].alias("last_price"))
 
 
 def update_history(spark: SparkSession, path: str, observations: DataFrame, keys: Sequence[str] = ("variant_id",), **options) -> list:
     """Merge a slice of new observations into the stored states; only the periods that the slice has rows of are read and written.
 
-    Each row must come in one slice only, as the new facts of a load do. Returns the periods.
+    Each row must come in one slice only, as the new facts of a load do. Old states and new rows cross the network once, together; the slice
+    is read twice, first for its periods. Returns the periods.
     """
-    new = price_partials(observations, keys, **options)
-    return rewrite_parts(spark, path, new, "part", lambda old, add: merge_partials(old.unionByName(add), keys))
+    new = price_states(observations, **options).select(*keys, "period", "n", "total", "low", "high", "first", "last", "part")
+    return rewrite_parts(
+        spark, path, new, "part", lambda old, add: merge_states(old.unionByName(add), keys).sortWithinPartitions("part", *keys), staged=False)
 
 
 VIEWS = (

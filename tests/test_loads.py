@@ -230,3 +230,26 @@ def test_newest_rows_with_null_keys_are_kept(spark, tmp_path):
     assert "InPandas" not in query._jsq.explainInternal(False)
     got = {(r.k, r.e): r.id for r in state.current(spark, cp, T.StructType.fromDDL(ddl)).collect()}
     assert got == {(3, "view"): 4, (None, "view"): 2, (3, None): 3}
+
+
+def test_history_exchanges_a_slice_once(spark, tmp_path, monkeypatch):
+    """Old states and new rows meet in one exchange, which combines before it; equal times and lone rows keep first and last."""
+    path = str(tmp_path / "history")
+    rows = [("v", "2024-01-05", 10.0, "a"), ("v", "2024-01-05", 20.0, "b"), ("v", "2024-02-01", 5.0, "c"), ("w", "2024-01-09", 7.0, None), (None, "2024-01-09", 3.0, "x")]
+    df = spark.createDataFrame(rows, "variant_id string, at string, price_eur double, observation_id string").selectExpr("variant_id", "timestamp(at) observed_at", "price_eur", "observation_id")
+    plans, staged, merged = [], [], gold.merge_states
+
+    def seen(states, keys):
+        plans.append(merged(states, keys))
+        return plans[-1]
+
+    monkeypatch.setattr(gold, "merge_states", seen)
+    monkeypatch.setattr(merge, "written", lambda *a: staged.append(a))
+    for i in ("b", "a"):
+        gold.update_history(spark, path, df.where(F.coalesce("observation_id", F.lit("b")).isin(i, {"b": "c", "a": "x"}[i])))
+    assert not staged
+    text = plans[1]._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and text.index("Exchange") < text.index("partial_min")
+    got = sorted(map(str, gold.history_of(spark.read.parquet(path)).collect()))
+    assert got == sorted(map(str, gold.price_history(df, period="month").collect()))
+    assert sorted((r.variant_id or "", r.n) for r in spark.read.parquet(path).where("last is null").collect()) == [("", 1), ("v", 1), ("w", 1)]
