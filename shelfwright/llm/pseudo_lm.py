@@ -22,6 +22,9 @@ exchanges by parts of the weights, so neither a task nor the driver ever holds m
 contributes the targets at places k mod ``STRIDE``; all words are context. ``ROUNDS`` is a multiple of ``STRIDE``, so every word is a
 target equally often.
 
+**Passes.** The texts are read twice: once to count, once to write every document's entries, which the rounds and the scores read
+instead. Text and entries are worked through in the same pieces (``slices``), so a task's memory follows a piece.
+
 **Scores** are sums of log conditional probabilities of the words themselves over the whole text.
 
 Rows: one per input row. A null text and one without words have no words, ``log_prob`` 0 and a null mean. Places beyond a text's ends
@@ -33,6 +36,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -69,6 +73,29 @@ def _shapes(side: int) -> dict[str, tuple[int, ...]]:
             "to_member": (side, WIDTH, side), "member_bias": (side, side)}
 
 
+def _heads(hashes: np.ndarray) -> tuple[np.ndarray, np.uint64]:
+    """Where the hashes of each leading bit pattern begin among sorted hashes (with the end), and the shift to that pattern."""
+    bits = max(1, (4 * len(hashes) - 1).bit_length())
+    shift = np.uint64(64 - bits)
+    return np.searchsorted(hashes >> shift, np.arange((1 << bits) + 1).astype(np.uint64)), shift
+
+
+def _places(hashes: np.ndarray, heads: tuple[np.ndarray, np.uint64], words: np.ndarray) -> np.ndarray:
+    """Place of each word among sorted hashes, -1 where it is none of them."""
+    begin, shift = heads
+    head = (words >> shift).view(np.int64)
+    at, end, out = begin[head], begin[head + 1], np.full(len(words), -1)
+    rest = np.flatnonzero(at < end)
+    while len(rest):
+        place = at[rest]
+        hit = hashes[place] == words[rest]
+        out[rest[hit]] = place[hit]
+        rest = rest[~hit]
+        at[rest] += 1
+        rest = rest[at[rest] < end[rest]]
+    return out
+
+
 def _bucket(words: np.ndarray) -> np.ndarray:
     return ((words >> np.uint64(58)) % np.uint64(BUCKETS)).astype(np.int64)
 
@@ -98,15 +125,32 @@ class Model:
         """The weights by name, sharing memory with the vector."""
         out, at = {}, 0
         for name, shape in _shapes(self.side).items():
-            out[name] = self.weights[at:at + int(np.prod(shape))].reshape(shape)
-            at += int(np.prod(shape))
+            size = math.prod(shape)
+            out[name] = self.weights[at:at + size].reshape(shape)
+            at += size
         return out
 
+    @cached_property
+    def _entry_heads(self) -> tuple[np.ndarray, np.uint64]:
+        return _heads(self.hashes)
+
+    @cached_property
+    def _known_heads(self) -> tuple[np.ndarray, np.uint64]:
+        return _heads(self.known)
+
+    def network(self) -> Model:
+        """Without its words: enough for entries."""
+        none = np.zeros(0, np.uint64)
+        return Model(none, none.view(np.int64), self.weights, self.side)
+
     def tokens(self, words: np.ndarray) -> np.ndarray:
         """Entry of each word hash."""
-        at = np.minimum(np.searchsorted(self.hashes, words), max(0, len(self.hashes) - 1))
-        shared = self.pad - BUCKETS + _bucket(words)
-        return np.where(self.hashes[at] == words, self.entries[at], shared) if len(self.hashes) else shared
+        out = self.pad - BUCKETS + _bucket(words)
+        if len(self.hashes):
+            place = _places(self.hashes, self._entry_heads, words)
+            own = np.flatnonzero(place >= 0)
+            out[own] = self.entries[place[own]]
+        return out
 
     def shares(self, words: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log share of each word in its entry, and the places of words whose count is not known here: theirs lacks the count."""
@@ -114,8 +158,8 @@ class Model:
         own = words[at]
         out[at] = -np.log(self.totals[_bucket(own)] + 1.0)
         if len(self.known):
-            place = np.minimum(np.searchsorted(self.known, own), len(self.known) - 1)
-            found = self.known[place] == own
+            place = _places(self.known, self._known_heads, own)
+            found = place >= 0
             out[at[found]] += np.log(self.times[place[found]])
             at = at[~found]
         return out, at
@@ -138,94 +182,183 @@ def _texts(model: Model, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np
         yield a, words, model.tokens(words), first
 
 
+def _spaced(tokens: np.ndarray, first: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray]:
+    """The entries with ``REACH`` paddings before, between and behind the documents, and the place of each word there."""
+    place = np.arange(len(tokens)) + REACH * np.repeat(np.arange(1, len(first)), np.diff(first))
+    spaced = np.full(len(tokens) + REACH * len(first), pad)
+    spaced[place] = tokens
+    return spaced, place
+
+
+def _around(spaced: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Entries of the neighbours of each place, a column for each neighbour."""
+    out = np.empty((2 * REACH, len(place)), np.int64)
+    for j, step in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
+        out[j] = spaced[place + step]
+    return out.T
+
+
 def contexts(tokens: np.ndarray, first: np.ndarray, at: np.ndarray, pad: int = PAD) -> np.ndarray:
     """Entries of the neighbours of the words at ``at``, without crossing a document's ends."""
-    row = np.searchsorted(first, at, "right") - 1
-    out = np.empty((len(at), 2 * REACH), np.int64)
-    for j, step in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
-        place = at + step
-        inside = (place >= first[row]) & (place < first[row + 1])
-        out[:, j] = np.where(inside, tokens[np.clip(place, 0, len(tokens) - 1)], pad)
-    return out
+    spaced, place = _spaced(tokens, first, pad)
+    return _around(spaced, place[at])
 
 
 def _hidden(w: dict[str, np.ndarray], context: np.ndarray) -> np.ndarray:
-    total = w["bias"] + w["embed"][0][context[:, 0]]
+    total = w["bias"] + np.take(w["embed"][0], context[:, 0], axis=0)
     for j in range(1, context.shape[1]):
-        total += w["embed"][j][context[:, j]]
-    return np.tanh(total)
+        total += np.take(w["embed"][j], context[:, j], axis=0)
+    return np.tanh(total, out=total)
+
+
+# Logits and shares have a column for each word: numpy is slow where many short rows are reduced.
+
+def _lowered(logits: np.ndarray) -> np.ndarray:
+    """Less the largest of each column, in place."""
+    logits -= logits.max(axis=0)
+    return logits
+
+
+def _total(columns: np.ndarray) -> np.ndarray:
+    """Sum of each column, a multiple of eight long, in the order in which numpy adds a row of up to 128."""
+    lanes = columns[:8] + columns[8:16]
+    for a in range(16, len(columns), 8):
+        lanes += columns[a:a + 8]
+    while len(lanes) > 1:
+        lanes = lanes[0::2] + lanes[1::2]
+    return lanes[0]
+
 
+def _log_share(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log-probability of one place in each column; the logits are lost."""
+    got = _lowered(logits)[at, np.arange(len(at))]
+    return got - np.log(_total(np.exp(logits, out=logits)))
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    """Log-probabilities of each row."""
-    logits = logits - logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
+def _errors(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A row for each column: its probabilities, less 1 at one place."""
+    np.exp(_lowered(logits), out=logits)
+    logits /= _total(logits)
+    logits[at, np.arange(len(at))] -= 1
+    return np.ascontiguousarray(logits.T)
 
-def _shares(logits: np.ndarray) -> np.ndarray:
-    """Probabilities of each row."""
-    out = np.exp(logits - logits.max(axis=1, keepdims=True))
-    out /= out.sum(axis=1, keepdims=True)
+
+def _by_class(targets: np.ndarray, side: int) -> tuple[np.ndarray, list[int]]:
+    kind = (targets // side).astype(np.uint16)  # numpy sorts 16 bits by radix
+    return np.argsort(kind, kind="stable"), [0, *np.cumsum(np.bincount(kind, minlength=side)).tolist()]
+
+
+def _columns(side: int, n: int, dtype: np.dtype) -> np.ndarray:
+    """Empty columns; rows lie no power of two apart, which caches are bad at."""
+    return np.empty((side, n + 16), dtype)[:, :n]
+
+
+def _class_logits(w: dict[str, np.ndarray], hidden: np.ndarray) -> np.ndarray:
+    out = _columns(len(w["class_bias"]), len(hidden), hidden.dtype)
+    np.matmul(w["to_class"].T, hidden.T, out=out)
+    out += w["class_bias"][:, None]
     return out
 
 
-def _by_class(targets: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
-    kind = targets // side
-    order = np.argsort(kind, kind="stable")
-    return order, np.searchsorted(kind[order], np.arange(side + 1))
+def _member_logits(w: dict[str, np.ndarray], near: np.ndarray, edges: list[int]) -> np.ndarray:
+    """Of words in order of their classes, each within its own class."""
+    out = _columns(len(edges) - 1, len(near), near.dtype)
+    for c, (a, b) in enumerate(zip(edges, edges[1:])):
+        if a < b:
+            own = out[:, a:b]
+            np.matmul(w["to_member"][c].T, near[a:b].T, out=own)
+            own += w["member_bias"][c][:, None]
+    return out
 
 
-def log_probs(model: Model, tokens: np.ndarray, first: np.ndarray, block: int = 1 << 15) -> np.ndarray:
+def log_probs(model: Model, tokens: np.ndarray, first: np.ndarray, block: int = 1 << 12) -> np.ndarray:
     """Log conditional probability of each word's entry given its neighbours."""
     w, out = model.views(), np.zeros(len(tokens))
+    spaced, place = _spaced(tokens, first, model.pad)
     for a in range(0, len(tokens), block):
-        at = np.arange(a, min(a + block, len(tokens)))
-        targets, hidden = tokens[at], _hidden(w, contexts(tokens, first, at, model.pad))
-        got = _softmax(hidden @ w["to_class"] + w["class_bias"])[np.arange(len(at)), targets // model.side]
+        targets, hidden = tokens[a:a + block], _hidden(w, _around(spaced, place[a:a + block]))
+        got = _log_share(_class_logits(w, hidden), targets // model.side)
         order, edges = _by_class(targets, model.side)
-        for c in range(model.side):
-            own = order[edges[c]:edges[c + 1]]
-            if len(own):
-                got[own] += _softmax(hidden[own] @ w["to_member"][c] + w["member_bias"][c])[np.arange(len(own)), targets[own] % model.side]
-        out[at] = got
+        got[order] += _log_share(_member_logits(w, np.take(hidden, order, axis=0), edges), targets[order] % model.side)
+        out[a:a + block] = got
     return out
 
 
-def _adagrad(weights: np.ndarray, squares: np.ndarray, at: tuple | slice, change: np.ndarray, rate: float) -> None:
+def _run_sums(values: np.ndarray, rows: np.ndarray, first: np.ndarray, short: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the runs of ``rows`` that begin at ``first``, longest first, and the sums of ``values`` at each run's rows.
+
+    Every sum is what ``np.add.reduceat`` gives; but that takes a call for each run and column, and most runs are short.
+    """
+    lengths = np.diff(first, append=len(rows))
+    kept = np.minimum(lengths, short + 1)
+    order = np.argsort((short + 1 - kept).astype(np.uint8), kind="stable")
+    longer = np.cumsum(np.bincount(kept, minlength=short + 2)[::-1])[::-1]  # runs of so many rows or more
+    n_long = int(longer[short + 1])
+    begin = first[order[n_long:]]
+    out = np.empty((len(first), values.shape[1]), values.dtype)
+    np.take(values, rows[begin], axis=0, out=out[n_long:], mode="clip")
+    if longer[2] > n_long:
+        rest = np.take(values, rows[begin[:longer[2] - n_long] + 1], axis=0)
+        for k in range(2, short):
+            n = longer[k + 1] - n_long
+            rest[:n] += np.take(values, rows[begin[:n] + k], axis=0)
+        out[n_long:longer[2]] += rest
+    if n_long:
+        of = lengths[order[:n_long]]
+        own = np.take(values, rows[np.repeat(lengths > short, lengths)], axis=0)
+        np.add.reduceat(own, np.cumsum(of) - of, axis=0, out=out[:n_long])
+    return order, out
+
+
+def _adagrad(weights: np.ndarray, squares: np.ndarray, at: np.ndarray | slice, change: np.ndarray, rate: float) -> None:
     """One update of the weights at ``at``."""
-    own = squares[at] + change * change
+    whole = isinstance(at, slice)
+    own = change * change
+    own += squares[at] if whole else np.take(squares, at, axis=0)
     squares[at] = own
-    weights[at] -= rate * change / np.sqrt(own + 1e-8)
+    own += 1e-8
+    change = rate * change
+    change /= np.sqrt(own, out=own)
+    weights[at] = np.subtract(weights[at] if whole else np.take(weights, at, axis=0), change, out=change)
 
 
 def step(model: Model, squares: np.ndarray, context: np.ndarray, targets: np.ndarray, rate: float = RATE) -> None:
     """One Adagrad step on a batch, in place: only the classes and the embeddings that the batch has are touched."""
     w, q, n = model.views(), replace(model, weights=squares).views(), len(targets)
-    hidden = _hidden(w, context)
-    grad = _shares(hidden @ w["to_class"] + w["class_bias"])
-    grad[np.arange(n), targets // model.side] -= 1
+    hidden, every = _hidden(w, context), slice(None)
+    grad = _errors(_class_logits(w, hidden), targets // model.side)
     back = grad @ w["to_class"].T
-    every = slice(None)
     updates = [("to_class", every, hidden.T @ grad), ("class_bias", every, grad.sum(axis=0))]
     order, edges = _by_class(targets, model.side)
-    for c in range(model.side):
-        own = order[edges[c]:edges[c + 1]]
-        if len(own):
-            near = hidden[own]
-            grad = _shares(near @ w["to_member"][c] + w["member_bias"][c])
-            grad[np.arange(len(own)), targets[own] % model.side] -= 1
-            updates += [("to_member", c, near.T @ grad), ("member_bias", c, grad.sum(axis=0))]
-            back[own] += grad @ w["to_member"][c].T
-    back *= 1 - hidden ** 2
+    near = np.take(hidden, order, axis=0)
+    grad = _errors(_member_logits(w, near, edges), targets[order] % model.side)
+    had = np.flatnonzero(np.diff(edges))
+    to_member, member_bias = np.empty((len(had), WIDTH, model.side), grad.dtype), np.empty((len(had), model.side), grad.dtype)
+    far = np.empty_like(near)
+    for i, c in enumerate(had.tolist()):
+        a, b = edges[c], edges[c + 1]
+        own = grad[a:b]
+        np.matmul(near[a:b].T, own, out=to_member[i])
+        np.add.reduce(own, axis=0, out=member_bias[i])
+        np.matmul(own, w["to_member"][c].T, out=far[a:b])
+    touched = every if len(had) == model.side else had
+    updates += [("to_member", touched, to_member), ("member_bias", touched, member_bias)]
+    place = np.empty_like(order)
+    place[order] = np.arange(n)
+    back += np.take(far, place, axis=0)
+    np.square(hidden, out=hidden)
+    back *= np.subtract(1, hidden, out=hidden)
     updates.append(("bias", every, back.sum(axis=0)))
-    narrow = context.astype(np.uint16) if model.pad < 1 << 16 else context
-    for j in range(context.shape[1]):
-        order = np.argsort(narrow[:, j], kind="stable")
-        entries = context[order, j]
-        first = np.flatnonzero(np.concatenate([[True], entries[1:] != entries[:-1]]))
-        updates.append(("embed", (j, entries[first]), np.add.reduceat(back[order], first, axis=0)))
+    rows = (context + np.arange(context.shape[1]) * (model.pad + 1)).T.ravel()  # of all embeddings below each other
+    order = np.argsort(rows.astype(np.uint16) if w["embed"].size // WIDTH <= 1 << 16 else rows, kind="stable")
+    rows = rows[order]
+    first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    runs, change = _run_sums(back, order % n, first)
+    updates.append(("embed", rows[first[runs]], change))
+    w["embed"], q["embed"] = w["embed"].reshape(-1, WIDTH), q["embed"].reshape(-1, WIDTH)
     for name, at, change in updates:
-        _adagrad(w[name], q[name], at, change / n, rate)
+        change /= n
+        _adagrad(w[name], q[name], at, change, rate)
 
 
 def word_counts(documents: DataFrame) -> DataFrame:
@@ -305,9 +438,64 @@ def _summed(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(*keys).mapInArrow(run, "part long, salt long, n double, weights binary")
 
 
-def train_round(spark: SparkSession, documents: DataFrame, model: Model, round_: int, stride: int = STRIDE) -> Model:
+def encode(spark: SparkSession, documents: DataFrame, model: Model) -> DataFrame:
+    """A row for each document, with what rounds and scores need of its text; ``model`` may be trained or not.
+
+    ``tokens`` are the entries of its words, ``share`` is the sum of the words' log shares in their entries, ``words`` and ``times``
+    are those whose counts are to be joined. Rows of one ``piece`` are worked on together.
+    """
+    held, kind = spark.sparkContext.broadcast(model), _kind(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, row, piece = held.value, TaskContext.get().partitionId() << 33, 0
+        for batch in batches:
+            for start_, words, tokens, first in _texts(own, batch.column(1)):
+                shares, open_ = own.shares(words, tokens)
+                if not own.table:
+                    shares[open_] += ONE_HASH
+                    open_ = open_[:0]
+                n, share = np.diff(first), np.diff(np.concatenate([[0.0], np.cumsum(shares)])[first])
+                # Words whose counts are to be joined, once for each document.
+                of = np.searchsorted(first, open_, "right") - 1
+                order = np.lexsort((words[open_], of))
+                of, rest = of[order], words[open_][order]
+                new = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (rest[1:] != rest[:-1])])) if len(of) else np.zeros(0, np.int64)
+                offsets = pa.array(np.searchsorted(of[new], np.arange(len(n) + 1)).astype(np.int32))
+                ends = pa.py_buffer((first * kind.itemsize).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row + np.arange(len(n))), batch.column(0).slice(start_, len(n)), pa.array(np.full(len(n), piece)), pa.array(n),
+                     pa.array(share), pa.Array.from_buffers(pa.binary(), len(n), [None, ends, pa.py_buffer(tokens.astype(kind))]),
+                     pa.ListArray.from_arrays(offsets, pa.array(rest[new].view(np.int64))),
+                     pa.ListArray.from_arrays(offsets, pa.array(np.diff(np.append(new, len(of)))))],
+                    ["row", "doc_id", "piece", "n_words", "share", "tokens", "words", "times"])
+                row += len(n)
+                piece += 1
+
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        run, "row long, doc_id long, piece long, n_words long, share double, tokens binary, words array<long>, times array<long>")
+
+
+def _kind(model: Model) -> np.dtype:
+    """Of entries in a file."""
+    return np.dtype(np.uint16 if model.pad < 1 << 16 else np.uint32)
+
+
+def _pieces(piece: pa.Array, tokens: pa.Array, kind: np.dtype) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First row, entries and first word of each row, piece by piece."""
+    wide = np.int64 if pa.types.is_large_binary(tokens.type) else np.int32
+    _, offsets, data = tokens.buffers()
+    rows = len(tokens)
+    off = np.frombuffer(offsets, wide)[tokens.offset:tokens.offset + rows + 1].astype(np.int64) if rows else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    of = piece.to_numpy()
+    cuts = [*np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])), rows] if rows else []
+    for a, b in zip(cuts, cuts[1:]):
+        yield a, raw[off[a]:off[b]].view(kind).astype(np.int64), (off[a:b + 1] - off[a]) // kind.itemsize
+
+
+def train_round(spark: SparkSession, encoded: DataFrame, model: Model, round_: int, stride: int = STRIDE) -> Model:
     """Weighted mean of what all tasks make of ``model``."""
-    held = spark.sparkContext.broadcast(model)
+    held, kind = spark.sparkContext.broadcast(model.network()), _kind(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = replace(held.value, weights=held.value.weights.copy())
@@ -319,7 +507,7 @@ def train_round(spark: SparkSession, documents: DataFrame, model: Model, round_:
                 step(own, squares, context[a:a + BATCH], targets[a:a + BATCH])
 
         for batch in batches:
-            for _, _, tokens, first in _texts(own, batch.column(0)):
+            for _, tokens, first in _pieces(batch.column(0), batch.column(1), kind):
                 row = np.repeat(np.arange(len(first) - 1), np.diff(first))
                 at = np.flatnonzero((np.arange(len(tokens)) - first[row]) % stride == round_ % stride)
                 if len(at):
@@ -337,7 +525,7 @@ def train_round(spark: SparkSession, documents: DataFrame, model: Model, round_:
                     [pa.array([part]), pa.array([TaskContext.get().partitionId() % GROUPS]), pa.array([float(seen)]),
                      pa.array([whole[a:a + PART].astype(np.float32).tobytes()])], ["part", "salt", "n", "weights"])
 
-    made = documents.select(F.col("text").cast("string")).mapInArrow(run, "part long, salt long, n double, weights binary")
+    made = encoded.select("piece", "tokens").mapInArrow(run, "part long, salt long, n double, weights binary")
     parts = sorted(_summed(_summed(made, "part", "salt"), "part").collect(), key=lambda r: r["part"])
     if not parts:
         return model
@@ -345,48 +533,51 @@ def train_round(spark: SparkSession, documents: DataFrame, model: Model, round_:
         [np.frombuffer(r["weights"], np.float32).astype(np.float64) / r["n"] for r in parts]).astype(np.float32))
 
 
-def train(spark: SparkSession, documents: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE) -> Model:
-    """Model of all documents."""
+def _trained(spark: SparkSession, documents: DataFrame, rounds: int, stride: int) -> tuple[Model, DataFrame]:
+    """Model of all documents, and the written table of their entries."""
     model = start_counted(spark, documents)
+    encoded = written(spark, encode(spark, documents, model), "entries")
     for round_ in range(rounds):
-        model = train_round(spark, documents, model, round_, stride)
-    return model
+        model = train_round(spark, encoded, model, round_, stride)
+    return model, encoded
 
 
-def score(spark: SparkSession, documents: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, n_words, log_prob, mean_log_prob`` of every document."""
-    held = spark.sparkContext.broadcast(model)
+def train(spark: SparkSession, documents: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE) -> Model:
+    """Model of all documents."""
+    return _trained(spark, documents, rounds, stride)[0]
+
+
+def _scored(spark: SparkSession, encoded: DataFrame, model: Model) -> DataFrame:
+    held, kind = spark.sparkContext.broadcast(model.network()), _kind(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, row = held.value, TaskContext.get().partitionId() << 33
         for batch in batches:
-            for start_, words, tokens, first in _texts(own, batch.column(1)):
-                shares, open_ = own.shares(words, tokens)
-                if not own.table:
-                    shares[open_] += ONE_HASH
-                    open_ = open_[:0]
-                sums = np.concatenate([[0.0], np.cumsum(log_probs(own, tokens, first) + shares)])
-                n, total = np.diff(first), np.diff(sums[first])
-                # Words whose counts are to be joined, once for each document.
-                of = np.searchsorted(first, open_, "right") - 1
-                order = np.lexsort((words[open_], of))
-                of, rest = of[order], words[open_][order]
-                new = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (rest[1:] != rest[:-1])])) if len(of) else np.zeros(0, np.int64)
-                offsets = pa.array(np.searchsorted(of[new], np.arange(len(n) + 1)).astype(np.int32))
+            row, doc_id, n_words, share, piece, tokens = batch.columns
+            for a, own, first in _pieces(piece, tokens, kind):
+                n = len(first) - 1
+                sums = np.concatenate([[0.0], np.cumsum(log_probs(held.value, own, first))])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row + np.arange(len(n))), batch.column(0).slice(start_, len(n)), pa.array(n), pa.array(total),
-                     pa.ListArray.from_arrays(offsets, pa.array(rest[new].view(np.int64))),
-                     pa.ListArray.from_arrays(offsets, pa.array(np.diff(np.append(new, len(of)))))],
-                    ["row", "doc_id", "n_words", "log_prob", "words", "times"])
-                row += len(n)
+                    [row.slice(a, n), doc_id.slice(a, n), n_words.slice(a, n), pa.array(np.diff(sums[first]) + share.slice(a, n).to_numpy())],
+                    ["row", "doc_id", "n_words", "log_prob"])
 
-    scored = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "row long, doc_id long, n_words long, log_prob double, words array<long>, times array<long>")
+    scored = encoded.select("row", "doc_id", "n_words", "share", "piece", "tokens").mapInArrow(
+        run, "row long, doc_id long, n_words long, log_prob double")
     if model.table:
-        scored = written(spark, scored, "scored")
-        rest = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", "w.words", "w.times")
+        rest = encoded.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", "w.words", "w.times")
         counted = spark.read.schema("word long, n long").parquet(model.table)
         more = rest.join(counted, rest["words"] == counted["word"], "left").groupBy("row").agg(
             F.sum(F.col("times") * F.coalesce(F.log("n"), F.lit(ONE_HASH))).alias("more"))
         scored = scored.join(more, "row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("more", F.lit(0.0)))
     return scored.select("doc_id", "n_words", "log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")).alias("mean_log_prob"))
+
+
+def score(spark: SparkSession, documents: DataFrame, model: Model) -> DataFrame:
+    """``doc_id, n_words, log_prob, mean_log_prob`` of every document."""
+    encoded = encode(spark, documents, model)
+    return _scored(spark, written(spark, encoded, "entries") if model.table else encoded, model)
+
+
+def train_and_score(spark: SparkSession, documents: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE) -> DataFrame:
+    """``score`` of the documents under ``train`` on all of them; their entries are written once."""
+    model, encoded = _trained(spark, documents, rounds, stride)
+    return _scored(spark, encoded, model)

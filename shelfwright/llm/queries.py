@@ -67,8 +67,7 @@ def op1_language_bitmask_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_pseudo_likelihood")
 def op4_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document under a network trained on all of them."""
-    documents = table(spark, sf_dir, "documents")
-    return pseudo_lm.score(spark, documents, pseudo_lm.train(spark, documents))
+    return pseudo_lm.train_and_score(spark, table(spark, sf_dir, "documents"))
 
 
 # The rules of ``template_decon`` in SQL; the expressions are the same for both engines.

@@ -8,7 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwright.bindings.registry import QUERIES
 from shelfwright.llm import pseudo_lm as M
+from shelfwright.llm import queries
 
 
 def test_gradient():
@@ -130,3 +132,56 @@ def test_every_place_is_a_target(spark, monkeypatch):
     docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(i))) for i in range(1, 30)], "doc_id long, text string")
     M.train(spark, docs)
     assert sum(seen) == sum(range(1, 30)) * M.ROUNDS // M.STRIDE
+
+
+def test_texts_are_read_twice(spark, monkeypatch):
+    """Once to count and once for their entries; rounds and scores read these."""
+    read, rows = spark.sparkContext.accumulator(0), [(i, f"a{i % 7} b c{i % 5} d") for i in range(50)] + [(None, None), (3, "")]
+
+    def counting(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    documents = spark.createDataFrame(rows, "doc_id long, text string").mapInArrow(counting, "doc_id long, text string")
+    monkeypatch.setattr(queries, "table", lambda *_: documents)
+    got = QUERIES["op4_pseudo_likelihood"](spark, "").collect()
+    assert read.value == 2 * len(rows)
+    model = M.train(spark, documents)
+    again = M.score(spark, documents, model).collect()
+    assert len(got) == len(rows) and Counter((r.doc_id, r.n_words) for r in got) == Counter((r.doc_id, r.n_words) for r in again)
+    assert sorted(r.log_prob for r in got) == pytest.approx(sorted(r.log_prob for r in again))
+
+
+def test_run_sums_are_those_of_reduceat():
+    rng = np.random.default_rng(4)
+    for lengths in ([1], [1, 1, 2], [30], [8, 9, 1, 40, 2, 7, 1, 8], rng.integers(1, 14, 300), np.full(20, 9), np.full(20, 3)):
+        first = np.cumsum(lengths) - lengths
+        rows, values = rng.integers(0, 50, np.sum(lengths)), rng.normal(size=(50, 5)).astype(np.float32)
+        order, got = M._run_sums(values, rows, first)
+        assert sorted(order.tolist()) == list(range(len(first)))
+        assert np.array_equal(got, np.add.reduceat(values[rows], first, axis=0)[order])
+
+
+def test_places_of_words():
+    rng = np.random.default_rng(5)
+    close = np.uint64(77 << 40) + np.arange(20, dtype=np.uint64)  # alike in their leading bits
+    for hashes in (close, rng.integers(0, 1 << 63, 1000, np.uint64) * np.uint64(2), np.array([0, (1 << 64) - 1], np.uint64)):
+        hashes = np.unique(hashes)
+        words = np.concatenate([hashes, hashes + np.uint64(1), close, np.array([0, (1 << 64) - 1], np.uint64)])
+        want = {int(h): i for i, h in enumerate(hashes)}
+        assert M._places(hashes, M._heads(hashes), words).tolist() == [want.get(int(w), -1) for w in words]
+
+
+def test_many_entries_and_long_texts(spark):
+    """Entries beyond 16 bits, rows of several pieces, nulls between them."""
+    model = M.start(np.zeros(0, np.uint64), side=264)
+    texts = ["one two three", None, " ".join(f"w{i}" for i in range(300_000)), "", " ".join(f"v{i % 9}" for i in range(300_000)), "four"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_words, r.log_prob) for r in M.score(spark, docs, model).collect()}
+    for i, t in enumerate(texts):
+        words = M.word_hashes(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len(t or "")]))[0]
+        tokens = model.tokens(words)
+        assert len(words) == 0 or tokens.min() > 1 << 16
+        want = M.log_probs(model, tokens, np.array([0, len(words)])).sum() + len(words) * M.ONE_HASH
+        assert got[i] == (len(words), pytest.approx(want, rel=1e-9))
