@@ -194,7 +194,7 @@ def _around(spaced: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Entries of the neighbours of each place, a column for each neighbour."""
     out = np.empty((2 * REACH, len(place)), np.int64)
     for j, step in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
-        out[j] = spaced[place + step]
+        out[j] = np.take(spaced, place + step)
     return out.T
 
 
@@ -273,10 +273,14 @@ def _member_logits(w: dict[str, np.ndarray], near: np.ndarray, edges: list[int])
 
 def log_probs(model: Model, tokens: np.ndarray, first: np.ndarray, block: int = 1 << 12) -> np.ndarray:
     """Log conditional probability of each word's entry given its neighbours."""
-    w, out = model.views(), np.zeros(len(tokens))
-    spaced, place = _spaced(tokens, first, model.pad)
-    for a in range(0, len(tokens), block):
-        targets, hidden = tokens[a:a + block], _hidden(w, _around(spaced, place[a:a + block]))
+    return _log_probs(model, *_spaced(tokens, first, model.pad), block)
+
+
+def _log_probs(model: Model, spaced: np.ndarray, place: np.ndarray, block: int = 1 << 12) -> np.ndarray:
+    w, out = model.views(), np.zeros(len(place))
+    for a in range(0, len(place), block):
+        at = place[a:a + block]
+        targets, hidden = np.take(spaced, at).astype(np.int64), _hidden(w, _around(spaced, at))
         got = _log_share(_class_logits(w, hidden), targets // model.side)
         order, edges = _by_class(targets, model.side)
         got[order] += _log_share(_member_logits(w, np.take(hidden, order, axis=0), edges), targets[order] % model.side)
@@ -441,7 +445,7 @@ def _summed(rows: DataFrame, *keys: str) -> DataFrame:
 def encode(spark: SparkSession, documents: DataFrame, model: Model) -> DataFrame:
     """A row for each document, with what rounds and scores need of its text; ``model`` may be trained or not.
 
-    ``tokens`` are the entries of its words, ``share`` is the sum of the words' log shares in their entries, ``words`` and ``times``
+    ``tokens`` are the entries of its words and ``REACH`` paddings, ``share`` is the sum of the words' log shares in their entries, ``words`` and ``times``
     are those whose counts are to be joined. Rows of one ``piece`` are worked on together.
     """
     held, kind = spark.sparkContext.broadcast(model), _kind(model)
@@ -461,10 +465,11 @@ def encode(spark: SparkSession, documents: DataFrame, model: Model) -> DataFrame
                 of, rest = of[order], words[open_][order]
                 new = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (rest[1:] != rest[:-1])])) if len(of) else np.zeros(0, np.int64)
                 offsets = pa.array(np.searchsorted(of[new], np.arange(len(n) + 1)).astype(np.int32))
-                ends = pa.py_buffer((first * kind.itemsize).astype(np.int32))
+                spaced = _spaced(tokens, first, own.pad)[0][REACH:].astype(kind)
+                ends = pa.py_buffer(((first + REACH * np.arange(len(first))) * kind.itemsize).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row + np.arange(len(n))), batch.column(0).slice(start_, len(n)), pa.array(np.full(len(n), piece)), pa.array(n),
-                     pa.array(share), pa.Array.from_buffers(pa.binary(), len(n), [None, ends, pa.py_buffer(tokens.astype(kind))]),
+                     pa.array(share), pa.Array.from_buffers(pa.binary(), len(n), [None, ends, pa.py_buffer(spaced)]),
                      pa.ListArray.from_arrays(offsets, pa.array(rest[new].view(np.int64))),
                      pa.ListArray.from_arrays(offsets, pa.array(np.diff(np.append(new, len(of)))))],
                     ["row", "doc_id", "piece", "n_words", "share", "tokens", "words", "times"])
@@ -480,22 +485,31 @@ def _kind(model: Model) -> np.dtype:
     return np.dtype(np.uint16 if model.pad < 1 << 16 else np.uint32)
 
 
-def _pieces(piece: pa.Array, tokens: pa.Array, kind: np.dtype) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """First row, entries and first word of each row, piece by piece."""
-    wide = np.int64 if pa.types.is_large_binary(tokens.type) else np.int32
+def _pieces(piece: pa.Array, tokens: pa.Array, model: Model) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """First row, entries as ``_spaced`` has them, where each row begins there, and its number of words, piece by piece."""
+    wide, kind = np.int64 if pa.types.is_large_binary(tokens.type) else np.int32, _kind(model)
     _, offsets, data = tokens.buffers()
     rows = len(tokens)
-    off = np.frombuffer(offsets, wide)[tokens.offset:tokens.offset + rows + 1].astype(np.int64) if rows else np.zeros(1, np.int64)
-    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    of = piece.to_numpy()
-    cuts = [*np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])), rows] if rows else []
+    if not rows:
+        return
+    off = np.frombuffer(offsets, wide)[tokens.offset:tokens.offset + rows + 1].astype(np.int64)
+    raw, of, ahead = np.frombuffer(data, np.uint8), piece.to_numpy(), np.full(REACH, model.pad, kind)
+    cuts = [*np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])), rows]
     for a, b in zip(cuts, cuts[1:]):
-        yield a, raw[off[a]:off[b]].view(kind).astype(np.int64), (off[a:b + 1] - off[a]) // kind.itemsize
+        begin = (off[a:b + 1] - off[a]) // kind.itemsize + REACH
+        yield a, np.concatenate([ahead, raw[off[a]:off[b]].view(kind)]), begin[:-1], np.diff(begin) - REACH
+
+
+def _every(begin: np.ndarray, n: np.ndarray, from_: int = 0, stride: int = 1) -> np.ndarray:
+    """The places from ``from_`` on, ``stride`` apart, of rows that begin at ``begin`` and have ``n`` places each."""
+    count = np.maximum(0, -((from_ - n) // stride))
+    ends = np.cumsum(count)
+    return np.repeat(begin + from_ - stride * (ends - count), count) + stride * np.arange(count.sum())
 
 
 def train_round(spark: SparkSession, encoded: DataFrame, model: Model, round_: int, stride: int = STRIDE) -> Model:
     """Weighted mean of what all tasks make of ``model``."""
-    held, kind = spark.sparkContext.broadcast(model.network()), _kind(model)
+    held = spark.sparkContext.broadcast(model.network())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = replace(held.value, weights=held.value.weights.copy())
@@ -507,11 +521,10 @@ def train_round(spark: SparkSession, encoded: DataFrame, model: Model, round_: i
                 step(own, squares, context[a:a + BATCH], targets[a:a + BATCH])
 
         for batch in batches:
-            for _, tokens, first in _pieces(batch.column(0), batch.column(1), kind):
-                row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-                at = np.flatnonzero((np.arange(len(tokens)) - first[row]) % stride == round_ % stride)
+            for _, spaced, begin, n in _pieces(batch.column(0), batch.column(1), own):
+                at = _every(begin, n, round_ % stride, stride)
                 if len(at):
-                    waiting.append((contexts(tokens, first, at, own.pad), tokens[at]))
+                    waiting.append((_around(spaced, at), np.take(spaced, at).astype(np.int64)))
                     seen += len(at)
                 if sum(len(t) for _, t in waiting) >= BATCH:
                     learn(waiting)
@@ -548,14 +561,14 @@ def train(spark: SparkSession, documents: DataFrame, rounds: int = ROUNDS, strid
 
 
 def _scored(spark: SparkSession, encoded: DataFrame, model: Model) -> DataFrame:
-    held, kind = spark.sparkContext.broadcast(model.network()), _kind(model)
+    held = spark.sparkContext.broadcast(model.network())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, doc_id, n_words, share, piece, tokens = batch.columns
-            for a, own, first in _pieces(piece, tokens, kind):
-                n = len(first) - 1
-                sums = np.concatenate([[0.0], np.cumsum(log_probs(held.value, own, first))])
+            for a, spaced, begin, words in _pieces(piece, tokens, held.value):
+                n, first = len(words), np.concatenate([[0], np.cumsum(words)])
+                sums = np.concatenate([[0.0], np.cumsum(_log_probs(held.value, spaced, _every(begin, words)))])
                 yield pa.RecordBatch.from_arrays(
                     [row.slice(a, n), doc_id.slice(a, n), n_words.slice(a, n), pa.array(np.diff(sums[first]) + share.slice(a, n).to_numpy())],
                     ["row", "doc_id", "n_words", "log_prob"])
