@@ -69,9 +69,9 @@ def run_counters(spark: SparkSession, sf: str) -> DataFrame:
     """The funnel from the two writes of the load: the listings are read once."""
     _, products = silver.load_products(spark, silver.coerce_evidence_text(L.evidence(spark, sf)), L.chip_dim(spark))
     judged, seen = counters.counted(silver.classify_observations(L.listings(spark, sf), L.index(spark, sf), products), silver.OUTCOMES)
-    classified = written(spark, judged.select("ref", "outcome", *[n for n in silver.FACT_INPUTS if n in judged.columns]), "classified")
-    facts, inserted = counters.tally(silver.load_observations(classified, schema=Q._FACT))
-    written(spark, facts, "facts")
+    classified = written(spark, judged.select("ref", "outcome", *[n for n in silver.FACT_INPUTS if n in judged.columns]), "classified", silver.CODEC)
+    facts, inserted = counters.tally(silver.load_observations(classified, schema=Q._FACT, stored=True))
+    written(spark, facts, "facts", silver.CODEC)
     return counters.rows(spark, silver.run_counters(seen.get, inserted.get))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwright.functions.coerce import text_to_str
 from shelfwright.functions.ids import url_hash
+from shelfwright.functions.text import strip
 from shelfwright.operators.latest import top_k
 
 
@@ -33,16 +34,26 @@ def lookup_chain(
 
     Events find their entry by ``sha256(url)``, the entry its evidence by path.
     Index and evidence are joined first, at product size; the much larger event
-    side is then exchanged once, on the hash. ``evidence`` has one row per
-    ``path``; its other columns are added as they are.
+    side is then exchanged once, on a short hash of the hash: its 64 digits hardly
+    compress and would be half of what is exchanged. They are compared as a whole
+    after the exchange. ``evidence`` has one row per ``path``; its other columns are
+    added as they are.
     """
     c = F.col(url) if isinstance(url, str) else url
+    digest = url_hash(text_to_str(c))
     products = (
         index_by_hash(index)
         .join(evidence.withColumn("evidence_found", F.lit(True)), "path", "left")
         .withColumn("evidence_found", F.coalesce("evidence_found", F.lit(False)))
     )
-    return events.withColumn("url_hash", url_hash(text_to_str(c))).join(products, "url_hash", "left")
+    added = [n for n in products.columns if n != "url_hash"]
+    events = events.drop("url_hash")
+    keyed = events.withColumn("_key", F.xxhash64(digest))
+    entries = products.withColumnsRenamed({"url_hash": "_hash"}).withColumn("_entry", F.xxhash64("_hash"))
+    # Not as an equality, which would be a key of the exchange and of the sort. A blank text has no entry.
+    same = F.array_contains(F.array("_hash"), url_hash(strip(c))) & (strip(c) != "")
+    found = keyed.join(entries, (F.col("_key") == F.col("_entry")) & same, "left")
+    return found.withColumn("url_hash", digest).select("url_hash", *events.columns, *added)
 
 
 def index_hints(

@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 from shelfwright.operators.latest import first_by_key
 from shelfwright.session import written
 
+#: Repeated hashes, of 8 bytes each, whose table is below Catalyst's limit for broadcasts.
+REPEATS = 500_000
+
 
 def append_new(
     target: DataFrame | None, batch: DataFrame, key: str, order: Sequence[str | Column],
@@ -35,6 +38,26 @@ def append_new(
     return first.join(target.select(key), key, "left_anti")
 
 
+def append_stored(target: DataFrame | None, batch: DataFrame, key: str, order: Sequence[str | Column]) -> DataFrame:
+    """``append_new`` for a written table: only rows whose key may occur again are exchanged.
+
+    A short hash of every key is exchanged, the target's too. A row whose hash occurs once is added as it is; the others are ranked
+    and looked up as whole rows. A table of the repeated hashes, small enough for Catalyst to broadcast, tells them apart; with more
+    than ``REPEATS`` of them all rows are exchanged. ``batch`` is read three times.
+    """
+    keyed = batch.withColumn("_key", F.xxhash64(key))
+    keys = keyed.select("_key")
+    if target is not None:
+        keys = keys.union(target.select(F.xxhash64(key)))
+    spark = batch.sparkSession
+    again = written(spark, keys.groupBy("_key").agg(F.count("*").alias("n")).where("n > 1").select("_key"), "again")
+    if again.count() > REPEATS:
+        return append_new(target, batch, key, order).select(*batch.columns)
+    lone = keyed.join(again, "_key", "left_anti").drop("_key")
+    repeats = append_new(target, keyed.join(again, "_key", "left_semi").drop("_key"), key, order)
+    return lone.select(*batch.columns).union(written(spark, repeats.select(*batch.columns), "repeats"))
+
+
 def append_preview(target: DataFrame | None, batch: DataFrame, key: str) -> DataFrame:
     """What ``append_new`` would do per key: rows, inserts and duplicates."""
     per_key = batch.groupBy(key).agg(F.count("*").alias("n_rows"))

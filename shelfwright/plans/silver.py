@@ -22,7 +22,7 @@ from shelfwright.functions.times import iso_text
 from shelfwright.operators.counters import ACCEPTED, TOTAL, counted, tally
 from shelfwright.operators.lookup import lookup_chain
 from shelfwright.operators.matching import candidate_index, match_two_attempts
-from shelfwright.operators.merge import append_new, conform_to_target
+from shelfwright.operators.merge import append_new, append_stored, conform_to_target
 from shelfwright.operators.normalize import normalize_listings
 from shelfwright.operators.quality import reject_cascade
 from shelfwright.schemas import COOLING_TYPES, EVIDENCE_TYPE, STOCK_STATUS
@@ -30,6 +30,8 @@ from shelfwright.session import spread, written
 
 _ORDER = ("ref", "file", "pos")
 ERRORS = ("unreadable", "unknown_variant")
+#: Of tables at the size of the listings: their ids are hex digits, which it halves.
+CODEC = "zstd"
 #: What a listing can come to, besides being inserted or a duplicate.
 OUTCOMES = (
     "unreadable", "no_index_entry", "ambiguous_index_entry", "no_hypothesis", "ambiguous_hypothesis", "missing_hypothesis_file",
@@ -224,9 +226,9 @@ def silver_pipeline(
     index = written(spark, index, "index")
     pages = listings.withColumnRenamed("readable", "page_readable")
     judged, seen = counted(classify_observations(pages, index, products), OUTCOMES)
-    classified = written(spark, judged, "classified")
-    facts, inserted = tally(load_observations(classified, target=observations, schema=schema))
-    facts = written(spark, facts, "facts")
+    classified = written(spark, judged, "classified", CODEC)
+    facts, inserted = tally(load_observations(classified, target=observations, schema=schema, stored=True))
+    facts = written(spark, facts, "facts", CODEC)
     missing = [products.where("not readable").select(F.lit("evidence").alias("kind"), "path")]
     if "page_readable" in classified.columns:
         missing.append(classified.where("not page_readable").select(F.lit("listings"), "file"))
@@ -300,14 +302,16 @@ def scan_order(rows: DataFrame) -> list[str]:
 
 def load_observations(
     classified: DataFrame, order: Sequence[str] | None = None, target: DataFrame | None = None,
-    schema: T.StructType | None = None,
+    schema: T.StructType | None = None, stored: bool = False,
 ) -> DataFrame:
     """New fact rows in the target's columns and types: first per id, unless it exists.
 
-    The order is that of the scan (file, then number within it) unless another is given.
+    The order is that of the scan (file, then number within it) unless another is given. ``stored`` says that ``classified``
+    is a written table, which can be read several times: then only repeats are exchanged as rows.
     """
     accepted = accepted_observations(classified)
-    rows = append_new(target, accepted, "observation_id", list(order or scan_order(accepted)))
+    append = append_stored if stored else append_new
+    rows = append(target, accepted, "observation_id", list(order or scan_order(accepted)))
     schema = target.schema if target is not None else schema
     return conform_to_target(rows, schema) if schema else rows.drop(*_ORDER)
 

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 #: Scratch folder of a local session without ``spark.checkpoint.dir``.
 SCRATCH = "shelfwright.scratch.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app: str = "shelfwright", master: str | None = None, **conf: str) -> SparkSession:
@@ -57,11 +60,27 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What an action inside exchanges goes from the disks when the action ends, not when the driver happens to collect its garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
+def written(spark: SparkSession, df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` as a table in the shared folder, read back: computed once, and its lineage ends there.
 
-    The folder lies below ``spark.checkpoint.dir``; who owns that folder clears it.
+    The folder lies below ``spark.checkpoint.dir``; who owns that folder clears it. ``codec`` is a
+    compression other than the session's, for tables of very many wide rows.
     """
     path = workspace(spark, name)
-    df.write.parquet(path)
+    with shuffles_freed(spark):
+        (df.write if codec is None else df.write.option("compression", codec)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,11 +2,13 @@
 
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwright import session
 from shelfwright.bindings import fixtures as L
 from shelfwright.operators import contracts, counters, merge
 from shelfwright.operators.references import CATALOG, Graph, Reference
@@ -253,3 +255,53 @@ def test_history_exchanges_a_slice_once(spark, tmp_path, monkeypatch):
     got = sorted(map(str, gold.history_of(spark.read.parquet(path)).collect()))
     assert got == sorted(map(str, gold.price_history(df, period="month").collect()))
     assert sorted((r.variant_id or "", r.n) for r in spark.read.parquet(path).where("last is null").collect()) == [("", 1), ("v", 1), ("w", 1)]
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    """What a written table exchanged is not kept on disk until the driver collects its garbage; the setting is as before."""
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    before, setting = files(), spark.conf.get(session._CLEANUP, None)
+    df = spark.range(1000).withColumn("k", F.col("id") % 7).groupBy("k").agg(F.count("*").alias("n"))
+    assert session.written(spark, df, "freed").count() == 7
+    end = time.time() + 20
+    while files() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(session._CLEANUP, None) == setting
+
+
+def test_only_repeats_of_a_stored_batch_are_exchanged(spark, tmp_path, monkeypatch):
+    rows = [("a", 1, "x"), ("b", 2, "y"), ("a", 3, "z"), ("c", 4, None), (None, 5, "n"), (None, 6, "m"), ("d", 7, "t"), ("d", 7, "t")]
+    spark.createDataFrame(rows, "k string, n int, v string").write.parquet(str(tmp_path / "batch"))
+    batch = spark.read.parquet(str(tmp_path / "batch"))
+    target = spark.createDataFrame([("c",), ("e",), (None,)], "k string")
+    for known in (None, target):
+        whole = sorted(map(str, merge.append_new(known, batch, "k", ["n"]).collect()))
+        few = merge.append_stored(known, batch, "k", ["n"])
+        assert sorted(map(str, few.collect())) == whole
+        branch = few._jdf.queryExecution().optimizedPlan().children().head().toString()
+        assert "LeftAnti" in branch and "Window" not in branch
+        monkeypatch.setattr(merge, "REPEATS", 0)
+        assert sorted(map(str, merge.append_stored(known, batch, "k", ["n"]).collect())) == whole
+        monkeypatch.undo()
+
+
+def test_listings_are_exchanged_without_their_url_hash(spark, monkeypatch):
+    from shelfwright.operators import lookup
+
+    digest = lambda u: __import__("hashlib").sha256(u.encode()).hexdigest()
+    events = spark.createDataFrame([("u1", 1), (" u1 ", 2), (None, 3), ("  ", 4), ("u2", 5), ("u3", 6), ("u9", 7)], "product_url string, n int")
+    entries = [(digest("u1"), ["p"]), (digest("u2"), ["q"]), (digest("u2"), ["r"]), (digest("u3"), []), ("zz", ["p"]), (None, ["p"]), (digest(""), ["p"])]
+    index, evidence = spark.createDataFrame(entries, "url_hash string, hypotheses array<string>"), spark.createDataFrame([("p", 1.5)], "path string, v double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = lookup.lookup_chain(events, index, evidence)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(_key" in plan and "hashpartitioning(url_hash" not in plan.split("_entry")[0]
+        got = {r.n: (r.url_hash, r.n_entries, r.n_hypotheses, r.path, r.v) for r in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    none = (None,) * 4
+    assert got == {
+        1: (digest("u1"), 1, 1, "p", 1.5), 2: (digest("u1"), 1, 1, "p", 1.5), 3: (None, *none), 4: (None, *none),
+        5: (digest("u2"), 2, None, None, None), 6: (digest("u3"), 1, 0, None, None), 7: (digest("u9"), *none)}
