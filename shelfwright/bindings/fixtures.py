@@ -7,8 +7,13 @@ same rules as SQL, so that both engines build the same rows.
 
 from __future__ import annotations
 
+import io
+import uuid
+import zipfile
+
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +21,7 @@ from shelfwright.bindings.registry import table
 from shelfwright.functions.ids import url_hash
 from shelfwright.functions.times import iso_text
 from shelfwright.schemas import literal_rows
-from shelfwright.session import spread, workspace
+from shelfwright.session import shuffles_freed, spread, workspace
 
 # Invented chips: chip_no, vendor, series, model, cores, boost, watts, GB, GB/s, tensor cores.
 CHIPS = (
@@ -206,35 +211,78 @@ def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the frames as files ----------------------------------------------------
 
 PAGE_RECORDS = 500
+#: Bytes of the files in one archive.
+ARCHIVE_BYTES = 8 << 20
 
 
 def array_pages(rows: DataFrame, columns: list[str]) -> DataFrame:
     """``path, value``: JSON arrays of at most ``PAGE_RECORDS`` rows, named so that path order is the order of ``rows``."""
-    numbered = rows.withColumn("_n", F.monotonically_increasing_id())
-    record = F.struct("_n", F.struct(*columns).alias("r"))
-    page = numbered.groupBy(F.floor(F.col("_n") / PAGE_RECORDS).alias("page")).agg(F.sort_array(F.collect_list(record)).alias("rows"))
-    return page.select(
-        F.concat(F.lit("page_pg="), F.lpad(F.col("page").cast("string"), 20, "0"), F.lit(".products.json")).alias("path"),
-        F.to_json(F.col("rows.r")).alias("value"))
+    def pages(batches):
+        page, records = None, []
+        for batch in batches:
+            done = []
+            for number, record in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if number != page:
+                    done += [(page, records)] if records else []
+                    page, records = number, []
+                records.append(record)
+            yield made(done)
+        yield made([(page, records)] if records else [])
+
+    def made(done):
+        numbers, values = [page for page, _ in done], [f"[{','.join(records)}]" for _, records in done]
+        return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(values, pa.string())], ["page", "value"])
 
+    # The rows of a page follow each other in a task: nothing is exchanged.
+    page = F.floor(F.monotonically_increasing_id() / PAGE_RECORDS)
+    return rows.select(page.alias("page"), F.to_json(F.struct(*columns)).alias("record")).mapInArrow(pages, "page long, value string").select(
+        F.concat(F.lit("page_pg="), F.lpad(F.col("page").cast("string"), 20, "0"), F.lit(".products.json")).alias("path"), "value")
+
+
+def write_files(spark: SparkSession, files: DataFrame, base: str, packed: bool = False) -> None:
+    """Each ``path, value`` as a file below ``base``, a folder that all executors share, or ``packed`` into archives in the files' folders."""
+    call = uuid.uuid4().hex[:8]
 
-def write_files(spark: SparkSession, files: DataFrame, base: str) -> None:
-    """Each ``path, value`` as a file below ``base``, a folder that all executors share."""
     def put(batches):
         store, folder = fs.FileSystem.from_uri(base)
-        made, folders = 0, set()
+        made, folders, archives = 0, set(), 0
+        held, size, at = [], 0, None
+
+        def save(path: str, data: bytes) -> None:
+            below = f"{folder}/{path}".rsplit("/", 1)[0]
+            if below not in folders:
+                store.create_dir(below, recursive=True)
+                folders.add(below)
+            with store.open_output_stream(f"{folder}/{path}") as out:
+                out.write(data)
+
+        def save_archive() -> None:
+            archive = io.BytesIO()
+            with zipfile.ZipFile(archive, "w") as members:
+                for name, data in held:
+                    members.writestr(zipfile.ZipInfo(name), data, zipfile.ZIP_DEFLATED)
+            # A repeated task replaces what its first attempt wrote.
+            save(f"{at}/{call}-{TaskContext.get().partitionId():06d}-{archives:06d}.zip", archive.getvalue())
+
         for batch in batches:
             for path, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                below = f"{folder}/{path}".rsplit("/", 1)[0]
-                if below not in folders:
-                    store.create_dir(below, recursive=True)
-                    folders.add(below)
-                with store.open_output_stream(f"{folder}/{path}") as out:
-                    out.write(value.encode())
                 made += 1
+                if not packed:
+                    save(path, value.encode())
+                    continue
+                below, name = path.rsplit("/", 1)
+                if held and (below != at or size >= ARCHIVE_BYTES):
+                    save_archive()
+                    held, size, archives = [], 0, archives + 1
+                at = below
+                held.append((name, value.encode()))
+                size += len(held[-1][1])
+        if held:
+            save_archive()
         yield pa.RecordBatch.from_arrays([pa.array([made])], ["n"])
 
-    files.select("path", "value").mapInArrow(put, "n long").agg(F.sum("n")).collect()
+    with shuffles_freed(spark):
+        files.select("path", "value").mapInArrow(put, "n long").agg(F.sum("n")).collect()
 
 
 def listing_pages(rows: DataFrame, folder: str) -> DataFrame:
@@ -247,16 +295,16 @@ def listing_pages(rows: DataFrame, folder: str) -> DataFrame:
 
 
 def bronze_files(spark: SparkSession, sf_dir: str, pages: bool = True) -> str:
-    """Folder with ``listings`` (array pages of runs), ``index`` and ``evidence`` (a document per file), as scrapers leave them."""
+    """Folder with ``listings`` (array pages of runs), ``index`` and ``evidence`` (a document per file), packed: a loose document takes a block each."""
     base, c = workspace(spark, "bronze files"), F.col
     if pages:
-        write_files(spark, listing_pages(listings(spark, sf_dir), "runs/r1"), base)
+        write_files(spark, listing_pages(listings(spark, sf_dir), "runs/r1"), base, packed=True)
     entry = F.to_json(F.struct("product_url", "normalized_name", F.concat("hypotheses", F.array(F.lit("\t"))).alias("hypotheses")))
     # A row is a file, and a small table has few partitions: the files are dealt to many tasks.
-    write_files(spark, spread(index(spark, sf_dir).select(c("index_path").alias("path"), entry.alias("value"))), base)
+    write_files(spark, spread(index(spark, sf_dir).select(c("index_path").alias("path"), entry.alias("value"))), base, packed=True)
     inner = [n for n in evidence(spark, sf_dir).columns if n not in ("path", "product_id", "name", "hypothesis_type")]
     document = F.to_json(F.struct("hypothesis_type", F.struct(c("name").alias("model_name")).alias("input"), F.struct(*inner).alias("extraction")))
-    write_files(spark, spread(evidence(spark, sf_dir).select(F.concat("path", F.lit(".json")).alias("path"), document.alias("value"))), base)
+    write_files(spark, spread(evidence(spark, sf_dir).select(F.concat("path", F.lit(".json")).alias("path"), document.alias("value"))), base, packed=True)
     return base
 
 

@@ -1,21 +1,29 @@
-"""Folders of very many small files, listed and read by tasks: the driver holds neither their names nor their sizes."""
+"""Folders of very many small files, listed and read by tasks: the driver holds neither their names nor their sizes.
+
+A small file takes a whole block of a disk. Files may therefore lie in zip archives beside or instead of loose ones: a member is
+read as the file of that name in the archive's folder. An archive is read by one task and ends the load when it is damaged.
+"""
 
 from __future__ import annotations
 
 import fnmatch
+import io
 import os
 import re
+import zipfile
 from collections.abc import Iterable, Iterator
+from typing import BinaryIO
 from urllib.parse import unquote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwright.session import spread, written
 
 #: Rows and bytes of one batch of file contents.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+ARCHIVES = "*.zip"
 # What a URI's path does not spell out: the readers' file paths have it percent-encoded.
 _OTHER = re.compile(r"[^A-Za-z0-9_\-!.~'()*:@&=+$,;/\u0080-\U0010FFFF]")
 
@@ -41,13 +49,22 @@ def _hidden(name: str) -> bool:
         name.startswith("_") and "=" not in name and not name.startswith(("_metadata", "_common_metadata")))
 
 
+def _quoted(path: str) -> str:
+    return _OTHER.sub(lambda c: f"%{ord(c[0]):02X}", path)
+
+
 def _uri(path: str) -> str:
-    return "file:" + _OTHER.sub(lambda c: f"%{ord(c[0]):02X}", path)
+    return "file:" + _quoted(path)
+
+
+def archived() -> Column:
+    """Whether ``_path`` is an archive."""
+    return F.endswith(F.col("_path"), F.lit(ARCHIVES[1:]))
 
 
 def _listing(glob: str):
     def entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, rows = re.compile(fnmatch.translate(glob)), []
+        wanted, rows = re.compile(f"{fnmatch.translate(glob)}|{fnmatch.translate(ARCHIVES)}"), []
         for batch in batches:
             for uri in batch.column(0).to_pylist():
                 with os.scandir(unquote(uri.removeprefix("file:")) or "/") as found:
@@ -69,7 +86,7 @@ def _batch(rows: list[tuple], *columns: tuple[str, pa.DataType]) -> pa.RecordBat
 
 
 def paths(spark: SparkSession, top: str, glob: str) -> DataFrame:
-    """``_path`` of the files below the folder ``top``, as Spark's readers spell it; listed once, level by level, a folder by one task."""
+    """``_path`` of the files and archives below the folder ``top``, as Spark's readers spell it; listed once, level by level, a folder by one task."""
     level, found = spark.createDataFrame([(_uri(top),)], "_path string").coalesce(1), None
     while True:
         seen = written(spark, level.mapInArrow(_listing(glob), "_path string, below boolean"), "listed")
@@ -81,21 +98,51 @@ def paths(spark: SparkSession, top: str, glob: str) -> DataFrame:
         level = spread(folders)
 
 
-def _contents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    columns = ("_path", pa.string()), ("value", pa.binary())
-    rows, size = [], 0
-    for batch in batches:
-        for uri in batch.column(0).to_pylist():
-            with open(unquote(uri.removeprefix("file:")), "rb") as file:
-                rows.append((uri, file.read()))
-            size += len(rows[-1][1])
-            if len(rows) == BATCH_ROWS or size >= BATCH_BYTES:
-                yield _batch(rows, *columns)
-                rows, size = [], 0
-    yield _batch(rows, *columns)
+def _members(uri: str, archive: BinaryIO, wanted: re.Pattern) -> Iterator[tuple[str, bytes]]:
+    with zipfile.ZipFile(archive) as packed:
+        for member in packed.infolist():
+            names = member.filename.split("/")
+            if wanted.match(names[-1]) and not any(map(_hidden, names)):
+                yield f"{uri.rsplit('/', 1)[0]}/{_quoted(member.filename)}", packed.read(member)
 
 
-def contents(names: DataFrame) -> DataFrame:
+def _reading(glob: str):
+    """Batches of ``_path`` of files and archives, or of these and their content, to ``_path, value`` of all files."""
+    def rows(batches: Iterable[pa.RecordBatch], wanted: re.Pattern) -> Iterator[tuple[str, bytes]]:
+        for batch in batches:
+            given = batch.column(1) if batch.num_columns > 1 else None
+            for i, uri in enumerate(batch.column(0).to_pylist()):
+                with io.BytesIO(given[i].as_py()) if given is not None else open(unquote(uri.removeprefix("file:")), "rb") as file:
+                    if uri.endswith(ARCHIVES[1:]):
+                        yield from _members(uri, file, wanted)
+                    else:
+                        yield uri, file.read()
+
+    def contents_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = ("_path", pa.string()), ("value", pa.binary())
+        held, size = [], 0
+        for row in rows(batches, re.compile(fnmatch.translate(glob))):
+            held.append(row)
+            size += len(row[1])
+            if len(held) == BATCH_ROWS or size >= BATCH_BYTES:
+                yield _batch(held, *columns)
+                held, size = [], 0
+        yield _batch(held, *columns)
+
+    return contents_of
+
+
+def contents(names: DataFrame, glob: str) -> DataFrame:
     """``_path, value`` of the files that ``names`` (from ``paths``) lists, dealt to as many tasks as a shuffle has."""
-    read = spread(names.select("_path")).mapInArrow(_contents, "_path string, value binary")
+    return _texts(spread(names.select("_path")).mapInArrow(_reading(glob), "_path string, value binary"))
+
+
+def unpacked(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """The same of the files in archives below ``path`` where Spark's readers have to list and open them."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", ARCHIVES)
+    read = reader.load(path).select(F.col("_metadata.file_path").alias("_path"), "content")
+    return _texts(read.mapInArrow(_reading(glob), "_path string, value binary"))
+
+
+def _texts(read: DataFrame) -> DataFrame:
     return read.withColumn("value", F.col("value").cast("string"))

@@ -66,12 +66,14 @@ def parse_array_pages(pages: DataFrame, text: str, schema: T.StructType) -> Data
 
 def _array_files(reader, path: str, glob: str, root: str | None, within: str) -> DataFrame:
     """``file, value, _path`` of whole array files; a file that is not below ``root`` has its full path and no value."""
-    below = _relative(root)
-    return (
-        reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True)
-        .select(below.alias("file"), F.when(below.isNotNull(), F.col("value")).alias("value"), F.col("_metadata.file_path").alias("_path"))
-        .where(F.contains("_path", F.lit(within))).withColumn("file", F.coalesce("file", "_path"))
-    )
+    files = reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True)
+    return _placed(files.select(F.col("_metadata.file_path").alias("_path"), "value"), root, within)
+
+
+def _placed(files: DataFrame, root: str | None, within: str) -> DataFrame:
+    below = _relative(root, "_path")
+    return files.where(F.contains("_path", F.lit(within))).select(
+        F.coalesce(below, F.col("_path")).alias("file"), F.when(below.isNotNull(), F.col("value")).alias("value"), "_path")
 
 
 def _records(files: DataFrame, schema: T.StructType) -> DataFrame:
@@ -97,17 +99,19 @@ def read_array_files(
     ends. ``within`` is a part that paths must have. One file is one row: array files
     are pages of listings, which are small, and must fit a task. With ``by_tasks`` and
     no limit, tasks list and open the files (``files``), for folders of very many; else
-    the driver lists them.
+    the driver lists them. Only with ``by_tasks`` files in archives are read too.
     """
     top = files_.folder(spark, path, glob) if by_tasks and limit is None else None
     if top is not None:
-        names = files_.paths(spark, top, glob).where(F.contains("_path", F.lit(within)))
-        below = _relative(root, "_path")
-        rows = files_.contents(names).select(
-            F.coalesce(below, F.col("_path")).alias("file"), F.when(below.isNotNull(), F.col("value")).alias("value"))
-        return _records(rows, schema)
+        names = files_.paths(spark, top, glob).where(F.contains("_path", F.lit(within)) | files_.archived())
+        return _records(_placed(files_.contents(names, glob), root, within), schema)
     files = _array_files(spark.read, path, glob, root, within)
-    return _records(files, schema) if limit is None else _first_records(spark, files, _paths(spark, path, glob, root, within), schema, limit)
+    packed = _placed(files_.unpacked(spark, path, glob), root, within) if by_tasks else None
+    files = files if packed is None else files.union(packed)
+    if limit is None:
+        return _records(files, schema)
+    paths = _paths(spark, path, glob, root, within)
+    return _first_records(spark, files, paths if packed is None else paths.union(packed.select("file", "_path")), schema, limit)
 
 
 def _paths(spark: SparkSession, path: str, glob: str, root: str | None, within: str) -> DataFrame:
@@ -144,11 +148,17 @@ def _first_records(spark: SparkSession, files: DataFrame, paths: DataFrame, sche
 def _texts(spark: SparkSession, path: str, root: str | None, name: str, limit: int | None = None) -> DataFrame:
     """Path below ``root`` as column ``name``, and ``value``, of all ``*.json`` files below ``path``, or the first ``limit``: one row each."""
     top = files_.folder(spark, path, "*.json")
-    if top is not None:
-        names = files_.paths(spark, top, "*.json").withColumn(name, _relative(root, "_path"))
-        return files_.contents(first_rows(names, [name], limit)).select(_relative(root, "_path").alias(name), "value")
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True)
-    return first_rows(files.select(_relative(root).alias(name), "value"), [name], limit)
+    placed = lambda rows: rows.withColumn(name, _relative(root, "_path"))
+    if top is None:
+        files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True)
+        rows = files.select(F.col("_metadata.file_path").alias("_path"), "value").union(files_.unpacked(spark, path, "*.json"))
+    else:
+        names = files_.paths(spark, top, "*.json")
+        if limit is not None:  # what an archive holds is known when it is read
+            loose = first_rows(placed(names.where(~files_.archived())), [name], limit)
+            names = loose.select("_path").union(names.where(files_.archived()))
+        rows = files_.contents(names, "*.json")
+    return first_rows(placed(rows).select(name, "value"), [name], limit)
 
 
 def read_documents(

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwright import schemas
+from shelfwright.bindings import fixtures
 from shelfwright.operators.merge import RejectedLoad, load_all, read_current
 from shelfwright.plans import silver
 from shelfwright.sources import conform, pages, scan
@@ -186,6 +187,43 @@ def test_page_metadata(spark):
     assert (run.started_at, run.finished_at) == ("t1", "t3")
 
 
+def test_archives_hold_small_files(spark, tmp_path, monkeypatch):
+    """Packed files are read as the loose ones of the same folder, by tasks and by Spark's readers, with and without a limit; a damaged archive is no silence."""
+    loose, packed = tmp_path / "loose", tmp_path / "packed"
+    rows = [(f"index/{'ab' * 32}{i}.json", f'{{"product_url": "u{i}"}}') for i in range(9)] + [("index/bad ä.json", "{"), ("index/_no.json", "{}"), ("index/no.txt", "{}")]
+    rows += [(f"s/runs/r/page_pg={i}.products.json", f'[{{"product_url": "u{i}"}}, {{"product_url": "v{i}"}}]') for i in range(4)] + [("s/other/page_pg=9.products.json", "[{}]")]
+    files = spark.createDataFrame(rows, "path string, value string").coalesce(2)
+    fixtures.write_files(spark, files, str(loose))
+    monkeypatch.setattr(fixtures, "ARCHIVE_BYTES", 60)
+    fixtures.write_files(spark, files, str(packed), packed=True)
+    for i, value in enumerate(("{}", "[{}]")):  # loose files beside archives count
+        for base in (loose, packed):
+            write(base / ("index/more.json", "s/runs/r/page_pg=8.products.json")[i], value)
+    names = [p.name for p in packed.rglob("*") if p.is_file()]
+    assert len(names) < len(rows) and sum(n.endswith(".zip") for n in names) == len(names) - 2
+    frames = lambda base: [
+        scan.read_index(spark, f"{base}/index", base, keep_unreadable=True), scan.read_documents(spark, f"{base}/index", root=base),
+        scan.read_documents(spark, f"{base}/index", root=base, limit=3), scan.read_listings(spark, f"{base}/s", base), scan.read_listings(spark, f"{base}/s", base, limit=3)]
+    texts = lambda base: [sorted(str(r) for r in f.selectExpr("to_json(struct(*))").collect()) for f in frames(str(base))]
+    by_tasks = texts(loose)
+    assert [len(r) for r in by_tasks] == [11, 11, 3, 9, 3] and texts(packed) == by_tasks
+    monkeypatch.setattr(scan.files_, "folder", lambda *a: None)
+    assert texts(packed) == by_tasks
+    monkeypatch.undo()
+    archive = next((packed / "index").glob("*.zip"))
+    archive.write_bytes(archive.read_bytes()[:-30])
+    with pytest.raises(Exception, match="zip"):
+        scan.read_index(spark, str(packed / "index")).count()
+
+
+def test_pages_are_made_without_an_exchange(spark):
+    rows = spark.range(1203).coalesce(1).select(F.col("id").alias("a"), F.when(F.col("id") % 2 == 0, F.lit('x"y')).alias("b"))
+    pages = fixtures.array_pages(rows, ["a", "b"])
+    assert "Exchange" not in pages._jdf.queryExecution().executedPlan().toString()
+    got = [json.loads(r.value) for r in pages.orderBy("path").collect()]
+    assert [len(p) for p in got] == [500, 500, 203] and [r for p in got for r in p] == [{"a": i, **({} if i % 2 else {"b": 'x"y'})} for i in range(1203)]
+
+
 def test_small_files_are_listed_by_tasks(spark, tmp_path, monkeypatch):
     """Index, evidence and listings come without a file list in the driver, and as Spark's readers give them: nested, hidden, odd names and bytes."""
     base = tmp_path / "a b+c%d"
