@@ -23,7 +23,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfwright.functions.ids import url_hash
 from shelfwright.operators.latest import latest_by_key
-from shelfwright.operators.merge import append_new
+from shelfwright.operators.merge import append_new, append_stored
+from shelfwright.session import shuffles_freed
 
 Order = Sequence[str | Column]
 SHARDS = 16
@@ -80,15 +81,19 @@ def _shard(key: str) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(SHARDS)).cast("int")
 
 
-def append_batch(batch: DataFrame, path: str, schema: T.StructType, key: str, order: Order, run: str, batch_id: int) -> None:
-    """Write the batch's keys that no other folder of the store has."""
+def append_batch(
+    batch: DataFrame, path: str, schema: T.StructType, key: str, order: Order, run: str, batch_id: int, codec: str | None = None, stored: bool = False,
+) -> None:
+    """Write the batch's keys that no other folder of the store has. ``stored`` says that the batch is a written table: then only repeats are exchanged as rows."""
     spark = batch.sparkSession
     seen = read_batches(spark, path, schema, besides=(run, batch_id))
     if seen is not None:
         touched = [r[0] for r in batch.select(_shard(key)).distinct().collect()]  # at most SHARDS
         seen = seen.where(F.col(_SHARD).isin(touched)) if len(touched) < SHARDS else seen
-    rows = append_new(seen, batch, key, order).withColumn(_SHARD, _shard(key))
-    rows.write.mode("overwrite").partitionBy(_SHARD).parquet(f"{path}/{_RUN}={run}/{_BATCH}={batch_id}")
+    rows = (append_stored if stored else append_new)(seen, batch, key, order).withColumn(_SHARD, _shard(key))
+    with shuffles_freed(spark):
+        (rows.write if codec is None else rows.write.option("compression", codec)).mode("overwrite").partitionBy(_SHARD).parquet(
+            f"{path}/{_RUN}={run}/{_BATCH}={batch_id}")
 
 
 def ingest(

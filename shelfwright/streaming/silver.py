@@ -38,10 +38,12 @@ def load(
         new, products = silver.load_products(spark, evidence(), dim, known)
         conform_to_target(new, VARIANT).write.mode("overwrite").parquet(f"{base}/{VARIANTS}/{place}")
         pages = batch.withColumnRenamed("readable", "page_readable")
-        judged = written(spark, silver.classify_observations(pages, index(), products), "judged")
-        judged.select("ref", "file", "pos", "outcome", "observation_id").write.mode("overwrite").parquet(f"{base}/{JUDGED}/{place}")
+        found = silver.classify_observations(pages, index(), products)
+        judged = written(spark, found.select("ref", "outcome", *[n for n in silver.FACT_INPUTS if n in found.columns]), "judged", silver.CODEC)
+        stored = judged.select("ref", "file", "pos", "outcome", "observation_id").write.option("compression", silver.CODEC)
+        stored.mode("overwrite").parquet(f"{base}/{JUDGED}/{place}")
         accepted = silver.accepted_observations(judged)
-        jobs.append_batch(accepted, f"{base}/{FACTS}", accepted.schema, "observation_id", ["file", "pos"], run, batch_id)
+        jobs.append_batch(accepted, f"{base}/{FACTS}", accepted.schema, "observation_id", ["file", "pos"], run, batch_id, silver.CODEC, stored=True)
 
     return jobs.each_batch(listings, step, checkpoint, trigger)
 
