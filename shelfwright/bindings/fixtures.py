@@ -240,7 +240,7 @@ def array_pages(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def write_files(spark: SparkSession, files: DataFrame, base: str, packed: bool = False) -> None:
-    """Each ``path, value`` as a file below ``base``, a folder that all executors share, or ``packed`` into archives in the files' folders."""
+    """Each ``path, value`` as a file below ``base``, a folder that all executors share, or ``packed`` into archives in the files' folders. The store compresses ``.gz`` files."""
     call = uuid.uuid4().hex[:8]
 
     def put(batches):

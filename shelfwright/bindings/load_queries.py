@@ -33,7 +33,7 @@ def stream_silver_load(spark: SparkSession, sf: str) -> DataFrame:
     root, base = L.bronze_files(spark, sf, pages=False), workspace(spark, "stream-silver")
     rows, early = L.listings(spark, sf), c("ref") < "5"
     for run, part in (("r1", rows.where(early)), ("r2", rows.where(~early))):
-        L.write_files(spark, L.listing_pages(part, f"runs/{run}"), root)
+        L.write_files(spark, L.listing_pages(part, f"runs/{run}").withColumn("path", F.concat("path", F.lit(".gz"))), root)
         arrived = scan.stream_listings(spark, f"{root}/listings", root, glob="*.json")
         stream_silver.load(
             arrived, base, f"{base}/checkpoint", lambda: scan.read_index(spark, f"{root}/index", root, keep_unreadable=True), lambda: _evidence(spark, root),

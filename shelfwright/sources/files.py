@@ -1,12 +1,14 @@
 """Folders of very many small files, listed and read by tasks: the driver holds neither their names nor their sizes.
 
 A small file takes a whole block of a disk. Files may therefore lie in zip archives beside or instead of loose ones: a member is
-read as the file of that name in the archive's folder. An archive is read by one task and ends the load when it is damaged.
+read as the file of that name in the archive's folder. An archive is read by one task and ends the load when it is damaged. A
+loose file may be compressed on its own: ``<name>.gz`` is read as the file ``<name>``.
 """
 
 from __future__ import annotations
 
 import fnmatch
+import gzip
 import io
 import os
 import re
@@ -23,7 +25,7 @@ from shelfwright.session import spread, written
 
 #: Rows and bytes of one batch of file contents.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
-ARCHIVES = "*.zip"
+ARCHIVES, GZIPPED = "*.zip", ".gz"
 # What a URI's path does not spell out: the readers' file paths have it percent-encoded.
 _OTHER = re.compile(r"[^A-Za-z0-9_\-!.~'()*:@&=+$,;/\u0080-\U0010FFFF]")
 
@@ -57,6 +59,16 @@ def _uri(path: str) -> str:
     return "file:" + _quoted(path)
 
 
+def glob_of(glob: str) -> str:
+    """``glob`` for Spark's readers, with the compressed files; they decompress these by their ending."""
+    return glob if re.search(r"[,{}\\]", glob) else f"{{{glob},{glob}{GZIPPED}}}"
+
+
+def named(path: str) -> Column:
+    """The path of a file, compressed or not, as ``_path``."""
+    return F.regexp_replace(path, rf"\{GZIPPED}$", "").alias("_path")
+
+
 def archived() -> Column:
     """Whether ``_path`` is an archive."""
     return F.endswith(F.col("_path"), F.lit(ARCHIVES[1:]))
@@ -64,7 +76,7 @@ def archived() -> Column:
 
 def _listing(glob: str):
     def entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, rows = re.compile(f"{fnmatch.translate(glob)}|{fnmatch.translate(ARCHIVES)}"), []
+        wanted, rows = re.compile("|".join(map(fnmatch.translate, (glob, f"{glob}{GZIPPED}", ARCHIVES)))), []
         for batch in batches:
             for uri in batch.column(0).to_pylist():
                 with os.scandir(unquote(uri.removeprefix("file:")) or "/") as found:
@@ -86,7 +98,7 @@ def _batch(rows: list[tuple], *columns: tuple[str, pa.DataType]) -> pa.RecordBat
 
 
 def paths(spark: SparkSession, top: str, glob: str) -> DataFrame:
-    """``_path`` of the files and archives below the folder ``top``, as Spark's readers spell it; listed once, level by level, a folder by one task."""
+    """``_path`` of the files, compressed or not, and archives below the folder ``top``, as Spark's readers spell it; listed once, level by level, a folder by one task."""
     level, found = spark.createDataFrame([(_uri(top),)], "_path string").coalesce(1), None
     while True:
         seen = written(spark, level.mapInArrow(_listing(glob), "_path string, below boolean"), "listed")
@@ -115,6 +127,8 @@ def _reading(glob: str):
                 with io.BytesIO(given[i].as_py()) if given is not None else open(unquote(uri.removeprefix("file:")), "rb") as file:
                     if uri.endswith(ARCHIVES[1:]):
                         yield from _members(uri, file, wanted)
+                    elif uri.endswith(GZIPPED):
+                        yield uri.removesuffix(GZIPPED), gzip.decompress(file.read())
                     else:
                         yield uri, file.read()
 

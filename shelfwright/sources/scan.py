@@ -66,8 +66,8 @@ def parse_array_pages(pages: DataFrame, text: str, schema: T.StructType) -> Data
 
 def _array_files(reader, path: str, glob: str, root: str | None, within: str) -> DataFrame:
     """``file, value, _path`` of whole array files; a file that is not below ``root`` has its full path and no value."""
-    files = reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True)
-    return _placed(files.select(F.col("_metadata.file_path").alias("_path"), "value"), root, within)
+    files = reader.option("recursiveFileLookup", True).option("pathGlobFilter", files_.glob_of(glob)).text(path, wholetext=True)
+    return _placed(files.select(files_.named("_metadata.file_path"), "value"), root, within)
 
 
 def _placed(files: DataFrame, root: str | None, within: str) -> DataFrame:
@@ -116,9 +116,9 @@ def read_array_files(
 
 def _paths(spark: SparkSession, path: str, glob: str, root: str | None, within: str) -> DataFrame:
     """``file, _path`` of the same files; their content is not read."""
-    names = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    full = names.select(_relative(root).alias("file"), F.col("_metadata.file_path").alias("_path")).where(F.contains("_path", F.lit(within)))
-    return full.withColumn("file", F.coalesce("file", "_path"))
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", files_.glob_of(glob)).load(path)
+    full = names.select(files_.named("_metadata.file_path")).where(F.contains("_path", F.lit(within)))
+    return full.select(F.coalesce(_relative(root, "_path"), F.col("_path")).alias("file"), "_path")
 
 
 def _first_records(spark: SparkSession, files: DataFrame, paths: DataFrame, schema: T.StructType, limit: int) -> DataFrame:
@@ -150,12 +150,13 @@ def _texts(spark: SparkSession, path: str, root: str | None, name: str, limit: i
     top = files_.folder(spark, path, "*.json")
     placed = lambda rows: rows.withColumn(name, _relative(root, "_path"))
     if top is None:
-        files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True)
-        rows = files.select(F.col("_metadata.file_path").alias("_path"), "value").union(files_.unpacked(spark, path, "*.json"))
+        files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", files_.glob_of("*.json")).text(path, wholetext=True)
+        rows = files.select(files_.named("_metadata.file_path"), "value").union(files_.unpacked(spark, path, "*.json"))
     else:
         names = files_.paths(spark, top, "*.json")
         if limit is not None:  # what an archive holds is known when it is read
-            loose = first_rows(placed(names.where(~files_.archived())), [name], limit)
+            plain = names.where(~files_.archived()).select("_path", files_.named("_path").alias("_name"))
+            loose = first_rows(plain.withColumn(name, _relative(root, "_name")), [name], limit)
             names = loose.select("_path").union(names.where(files_.archived()))
         rows = files_.contents(names, "*.json")
     return first_rows(placed(rows).select(name, "value"), [name], limit)

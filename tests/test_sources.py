@@ -216,6 +216,27 @@ def test_archives_hold_small_files(spark, tmp_path, monkeypatch):
         scan.read_index(spark, str(packed / "index")).count()
 
 
+def test_compressed_pages(spark, tmp_path, monkeypatch):
+    """``x.json.gz`` is read as ``x.json``: by tasks, by Spark's readers, with a limit and as a stream."""
+    rows = [(f"s/runs/r/page_pg={i}.products.json{'.gz' if i % 2 else ''}", f'[{{"product_url": "u{i}"}}, {{"product_url": "v{i}"}}]') for i in range(4)]
+    fixtures.write_files(spark, spark.createDataFrame(rows + [("index/a.json.gz", '{"product_url": "u"}'), ("index/b.json", "{}")], "path string, value string"), str(tmp_path))
+    assert (tmp_path / "s/runs/r/page_pg=1.products.json.gz").read_bytes()[:2] == b"\x1f\x8b"
+    root = str(tmp_path)
+    refs = [f"s/runs/r/page_pg={i}.products.json#{j}" for i in range(4) for j in range(2)]
+    read = lambda: (
+        sorted((r.ref, r.product_url) for r in scan.read_listings(spark, f"{root}/s", root).collect()), sorted(r.ref for r in scan.read_listings(spark, f"{root}/s", root, limit=3).collect()),
+        sorted((r.url_hash, r.index_path, r.product_url) for r in scan.read_index(spark, f"{root}/index", root).select("url_hash", "index_path", F.coalesce("product_url", F.lit("")).alias("product_url")).collect()),
+        [r.path for r in scan.read_documents(spark, f"{root}/index", root=root, limit=1).collect()])
+    by_tasks = read()
+    assert by_tasks == ([(ref, f"{'uv'[k % 2]}{k // 2}") for k, ref in enumerate(refs)], refs[:3], [("a", "index/a.json", "u"), ("b", "index/b.json", "")], ["index/a.json"])
+    monkeypatch.setattr(scan.files_, "folder", lambda *a: None)
+    assert read() == by_tasks
+    got = []
+    scan.stream_listings(spark, f"{root}/s", root).writeStream.foreachBatch(lambda batch, _: got.extend(batch.collect())).option(
+        "checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    assert sorted((r.ref, r.product_url) for r in got) == by_tasks[0]
+
+
 def test_pages_are_made_without_an_exchange(spark):
     rows = spark.range(1203).coalesce(1).select(F.col("id").alias("a"), F.when(F.col("id") % 2 == 0, F.lit('x"y')).alias("b"))
     pages = fixtures.array_pages(rows, ["a", "b"])
