@@ -21,7 +21,7 @@ from shelfwright.bindings.registry import table
 from shelfwright.functions.ids import url_hash
 from shelfwright.functions.times import iso_text
 from shelfwright.schemas import literal_rows
-from shelfwright.session import shuffles_freed, spread, workspace
+from shelfwright.session import shuffles_freed, workspace
 
 # Invented chips: chip_no, vendor, series, model, cores, boost, watts, GB, GB/s, tensor cores.
 CHIPS = (
@@ -239,6 +239,12 @@ def array_pages(rows: DataFrame, columns: list[str]) -> DataFrame:
         F.concat(F.lit("page_pg="), F.lpad(F.col("page").cast("string"), 20, "0"), F.lit(".products.json")).alias("path"), "value")
 
 
+def unique_files(files: DataFrame) -> DataFrame:
+    """One of the rows of each path, as a folder keeps one file of a name, dealt to as many tasks as a shuffle has."""
+    parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(parts, "path").dropDuplicates(["path"])
+
+
 def write_files(spark: SparkSession, files: DataFrame, base: str, packed: bool = False) -> None:
     """Each ``path, value`` as a file below ``base``, a folder that all executors share, or ``packed`` into archives in the files' folders. The store compresses ``.gz`` files."""
     call = uuid.uuid4().hex[:8]
@@ -301,10 +307,10 @@ def bronze_files(spark: SparkSession, sf_dir: str, pages: bool = True) -> str:
         write_files(spark, listing_pages(listings(spark, sf_dir), "runs/r1"), base, packed=True)
     entry = F.to_json(F.struct("product_url", "normalized_name", F.concat("hypotheses", F.array(F.lit("\t"))).alias("hypotheses")))
     # A row is a file, and a small table has few partitions: the files are dealt to many tasks.
-    write_files(spark, spread(index(spark, sf_dir).select(c("index_path").alias("path"), entry.alias("value"))), base, packed=True)
+    write_files(spark, unique_files(index(spark, sf_dir).select(c("index_path").alias("path"), entry.alias("value"))), base, packed=True)
     inner = [n for n in evidence(spark, sf_dir).columns if n not in ("path", "product_id", "name", "hypothesis_type")]
     document = F.to_json(F.struct("hypothesis_type", F.struct(c("name").alias("model_name")).alias("input"), F.struct(*inner).alias("extraction")))
-    write_files(spark, spread(evidence(spark, sf_dir).select(F.concat("path", F.lit(".json")).alias("path"), document.alias("value"))), base, packed=True)
+    write_files(spark, unique_files(evidence(spark, sf_dir).select(F.concat("path", F.lit(".json")).alias("path"), document.alias("value"))), base, packed=True)
     return base
 
 

@@ -216,6 +216,15 @@ def test_archives_hold_small_files(spark, tmp_path, monkeypatch):
         scan.read_index(spark, str(packed / "index")).count()
 
 
+def test_a_path_is_packed_once(spark, tmp_path):
+    parts = [(k, k % 7) for k in range(30)]
+    spark.createDataFrame(parts + parts[:9] + [(3, 50)], "p_partkey long, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    root = fixtures.bronze_files(spark, str(tmp_path), pages=False)
+    for rows, name in ((scan.read_index(spark, f"{root}/index", root), "index_path"), (scan.read_documents(spark, f"{root}/evidence", root=root), "path")):
+        paths = [r[0] for r in rows.select(name).collect()]
+        assert len(paths) == len(set(paths)) >= 29
+
+
 def test_compressed_pages(spark, tmp_path, monkeypatch):
     """``x.json.gz`` is read as ``x.json``: by tasks, by Spark's readers, with a limit and as a stream."""
     rows = [(f"s/runs/r/page_pg={i}.products.json{'.gz' if i % 2 else ''}", f'[{{"product_url": "u{i}"}}, {{"product_url": "v{i}"}}]') for i in range(4)]
